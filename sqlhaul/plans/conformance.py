@@ -280,13 +280,23 @@ JOINS = [
            FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderpriority""",
     ),
     Conf(
+        # Views in the two hours before each purchase of the same user. The
+        # Spark text adds a 2-hour bucket to the equi-join key (each purchase
+        # probes its own and the previous bucket), so one very active user is
+        # spread over many join keys; the exact bounds are applied after.
         "interval_join",
         ("events",),
-        """SELECT a.event_id AS purchase_id, count(b.event_id) AS views_before
-           FROM events a JOIN events b
-             ON a.user_id = b.user_id AND b.ts >= a.ts - INTERVAL 2 HOURS AND b.ts < a.ts
-           WHERE a.event_type = 'purchase' AND b.event_type = 'view'
-           GROUP BY a.event_id""",
+        """WITH e AS (
+             SELECT event_id, user_id, event_type, ts,
+                    timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) DIV 7200000000 AS b
+             FROM events),
+           p AS (SELECT event_id, user_id, ts, b + k AS b
+                 FROM e LATERAL VIEW explode(array(0, -1)) x AS k WHERE event_type = 'purchase'),
+           v AS (SELECT event_id, user_id, ts, b FROM e WHERE event_type = 'view')
+           SELECT p.event_id AS purchase_id, count(*) AS views_before
+           FROM p JOIN v ON p.user_id = v.user_id AND p.b = v.b
+                        AND v.ts >= p.ts - INTERVAL 2 HOURS AND v.ts < p.ts
+           GROUP BY p.event_id""",
         """SELECT a.event_id AS purchase_id, count(b.event_id) AS views_before
            FROM events a JOIN events b
              ON a.user_id = b.user_id AND b.ts >= a.ts - INTERVAL 2 HOUR AND b.ts < a.ts
@@ -294,12 +304,32 @@ JOINS = [
            GROUP BY a.event_id""",
     ),
     Conf(
+        # Latest earlier event of the same user for each purchase. The oracle
+        # is the plain lateral max; the Spark text never pairs events: the
+        # strictly-earlier max inside the purchase's hour comes from a RANGE
+        # frame over (user, hour), and the max of all earlier hours from a
+        # running max over the per-(user, hour) maxima, a table with one row
+        # per user-hour however many events a user has.
         "asof_join",
         ("events",),
-        """SELECT a.event_id, t.prev_ts
-           FROM events a LEFT JOIN LATERAL (
-             SELECT max(b.ts) AS prev_ts FROM events b WHERE b.user_id = a.user_id AND b.ts < a.ts) t
-           WHERE a.event_type = 'purchase'""",
+        """WITH e AS (
+             SELECT event_id, user_id, event_type, ts,
+                    timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS t
+             FROM events),
+           b AS (SELECT *, t DIV 3600000000 AS hr FROM e),
+           within_hour AS (
+             SELECT event_id, user_id, hr, event_type,
+                    max(ts) OVER (PARTITION BY user_id, hr ORDER BY t
+                                  RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_in_hour
+             FROM b),
+           hours AS (
+             SELECT user_id, hr,
+                    max(hour_max) OVER (PARTITION BY user_id ORDER BY hr
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_hours_max
+             FROM (SELECT user_id, hr, max(ts) AS hour_max FROM b GROUP BY user_id, hr))
+           SELECT w.event_id, coalesce(w.prev_in_hour, h.prev_hours_max) AS prev_ts
+           FROM within_hour w JOIN hours h ON w.user_id = h.user_id AND w.hr = h.hr
+           WHERE w.event_type = 'purchase'""",
         """SELECT a.event_id, t.prev_ts
            FROM events a LEFT JOIN LATERAL (
              SELECT max(b.ts) AS prev_ts FROM events b WHERE b.user_id = a.user_id AND b.ts < a.ts) t ON true
