@@ -6,7 +6,7 @@ from .operators.sql import register, run_sql
 from .plans.jobs import load_external, load_sql, load_stored
 from .session import build_session, scratch_dir, workspace_dir
 from .sources.catalog import publish
-from .sources.datasets import DatasetRef, Lake, read_dataset, read_parquet
+from .sources.datasets import DatasetRef, Lake, read_dataset, read_parquet, read_result_csv
 from .sources.external import JdbcSource, read_query
 from .sources.stored import find_query, latest_per_name, put_query, stored_queries
 from .sources.uploads import LoadResult, append, reload, write_upload
@@ -29,6 +29,7 @@ __all__ = [
     "read_dataset",
     "read_parquet",
     "read_query",
+    "read_result_csv",
     "register",
     "reload",
     "run_sql",

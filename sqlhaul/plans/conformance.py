@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.sql import register, run_sql
-from ..session import scratch_dir
+from ..session import ensure_database, scratch_dir
 
 SAME = object()  # oracle text equals the Spark text
 
@@ -790,7 +790,7 @@ def _format_roundtrip(fmt: str, table: str, columns: list[str], **options):
 def ctas_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``CREATE TABLE ... USING parquet LOCATION <shared folder> AS SELECT``."""
     _views(spark, sf_dir, ("orders",))
-    spark.sql("CREATE DATABASE IF NOT EXISTS conformance")
+    ensure_database(spark, "conformance")
     spark.sql("DROP TABLE IF EXISTS conformance.order_totals")
     spark.sql(
         f"CREATE TABLE conformance.order_totals USING parquet LOCATION '{scratch_dir(spark, 'ctas')}' AS "

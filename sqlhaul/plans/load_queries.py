@@ -14,9 +14,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.sql import register, run_sql
-from ..session import scratch_dir
+from ..session import ensure_database, scratch_dir
 from ..sources.catalog import publish
-from ..sources.datasets import DatasetRef, Lake, read_dataset
+from ..operators.result import stringify
+from ..sources.datasets import DatasetRef, Lake, read_dataset, read_result_csv
 from ..sources.stored import files_to_queries, latest_per_name, put_query
 from ..sources.uploads import append, reload
 from .jobs import load_sql, load_stored
@@ -84,6 +85,14 @@ def dataset_roundtrip_embeddings(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "embeddings")
 
 
+def result_csv_scan(spark, sf_dir):
+    """A2: a headed CSV answer file as another engine leaves it (text values,
+    header, doubled quotes), read back as all-string columns."""
+    path = f"{scratch_dir(spark, 'result')}/query-0001.csv"
+    stringify(_table(spark, sf_dir, "orders")).write.options(header="true", escape='"').csv(path)
+    return read_result_csv(spark, path)
+
+
 # -- A9 A10 A11 A12: append / reload / guard -----------------------------------
 
 
@@ -137,7 +146,7 @@ def skip_empty(spark, sf_dir):
 def qualified_scan(spark, sf_dir):
     """``-- Sample Query`` / ``select * from rawtest.<t>_parquet;`` over a
     catalog table declared on the given parquet file."""
-    spark.sql("CREATE DATABASE IF NOT EXISTS rawtest")
+    ensure_database(spark, "rawtest")
     spark.sql("DROP TABLE IF EXISTS rawtest.orders_parquet")
     spark.sql(f"CREATE TABLE rawtest.orders_parquet USING parquet LOCATION '{sf_dir}/orders.parquet'")
     return run_sql(spark, "-- Sample Query\nselect * from rawtest.orders_parquet;")
@@ -232,6 +241,7 @@ LOAD_QUERIES = {
     "dataset_roundtrip_documents": dataset_roundtrip_documents,
     "dataset_roundtrip_events": dataset_roundtrip_events,
     "dataset_roundtrip_embeddings": dataset_roundtrip_embeddings,
+    "result_csv_scan": result_csv_scan,
     "append_twice": append_twice,
     "reload_then_append": reload_then_append,
     "reload_from_itself": reload_from_itself,
@@ -274,6 +284,7 @@ LOAD_ORACLES = {
     "dataset_roundtrip_events": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS user_id,
                event_type, CAST(value AS VARCHAR) AS value, props FROM events""",
+    "result_csv_scan": result_csv_scan,
     "append_twice": append_twice,
     "reload_then_append": reload_then_append,
     "reload_from_itself": reload_from_itself,
@@ -325,6 +336,7 @@ LOAD_ORACLES = {
         UNION ALL
         SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'""",
     "reload_from_itself": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderpriority = '1-URGENT'",
+    "result_csv_scan": f"SELECT {_ORDERS_TEXT} FROM orders",
     "skip_empty": """
         SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
                CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,

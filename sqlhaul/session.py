@@ -79,3 +79,11 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.write(bytearray(data))
     finally:
         out.close()
+
+
+def ensure_database(spark: SparkSession, name: str) -> None:
+    """``CREATE DATABASE IF NOT EXISTS`` with its folder in the shared
+    workspace, not in a warehouse folder relative to the driver's cwd."""
+    ident = "`" + name.replace("`", "``") + "`"
+    location = f"{workspace_dir(spark)}/sqlhaul/catalog/{name}.db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident} LOCATION '{location}'")

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import SparkSession
 
+from ..session import ensure_database
 from . import upload_log
 from .csv_contract import READ_OPTIONS
 from .datasets import PARTITION_COLUMN, DatasetNotFound, DatasetRef, HeaderDrift, Lake
@@ -39,7 +40,7 @@ def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
     name = f"{db}.{table}"
     cols = ", ".join(f"{_ident(c)} STRING" for c in columns)
     opts = ", ".join(f"{_ident(k)} {_lit(v)}" for k, v in READ_OPTIONS.items())
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    ensure_database(spark, ref.domain)
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: metadata only
     spark.sql(
         f"CREATE TABLE {name} ({cols}, {PARTITION_COLUMN} BIGINT) USING csv "

@@ -136,3 +136,11 @@ def read_parquet(spark: SparkSession, path: str) -> DataFrame:
     """Columnar dataset (e.g. a ``*_parquet`` table): plain parquet scan, so
     filters and column pruning reach the files."""
     return spark.read.parquet(path)
+
+
+def read_result_csv(spark: SparkSession, path: str) -> DataFrame:
+    """A headed CSV result written by another engine (e.g. ``<query id>.csv``):
+    every column a string, no type inference, quotes escaped by doubling and
+    values allowed to span lines (the same reader options as datasets, but
+    that engine's null convention: an empty field is null)."""
+    return spark.read.options(header="true", quote='"', escape='"', multiLine="true").csv(path)

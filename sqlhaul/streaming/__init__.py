@@ -1 +1,10 @@
+"""Streaming: intentionally empty.
 
+The library's loads are batch jobs: no source it re-expresses reads a stream,
+keeps state, or handles late data, so no Structured Streaming operator is
+built here. Event-time grouping that users write in SQL (``window`` tumbling
+and sliding, ``session_window``) is ordinary Spark SQL and is covered, in
+batch, by the conformance queries in ``sqlhaul.plans.conformance``
+(``tumbling_window``, ``sliding_window``, ``session_window``); the same text
+runs unchanged over a ``readStream`` DataFrame with a watermark.
+"""
