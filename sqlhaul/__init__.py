@@ -8,7 +8,7 @@ from .session import build_session, scratch_dir, workspace_dir
 from .sources.catalog import publish
 from .sources.datasets import DatasetRef, Lake, read_dataset, read_parquet, read_result_csv
 from .sources.external import JdbcSource, read_query
-from .sources.stored import find_query, latest_per_name, put_query, stored_queries
+from .sources.stored import find_query, latest_per_name, put_query, stored_queries, stored_query_index
 from .sources.uploads import LoadResult, append, reload, write_upload
 
 __all__ = [
@@ -35,6 +35,7 @@ __all__ = [
     "run_sql",
     "scratch_dir",
     "stored_queries",
+    "stored_query_index",
     "stringify",
     "workspace_dir",
     "write_upload",

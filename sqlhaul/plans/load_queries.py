@@ -85,6 +85,14 @@ def dataset_roundtrip_embeddings(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "embeddings")
 
 
+def dataset_roundtrip_pages(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, "pages")
+
+
+def dataset_roundtrip_conversations(spark, sf_dir):
+    return _roundtrip(spark, sf_dir, "conversations")
+
+
 def result_csv_scan(spark, sf_dir):
     """A2: a headed CSV answer file as another engine leaves it (text values,
     header, doubled quotes), read back as all-string columns."""
@@ -241,6 +249,8 @@ LOAD_QUERIES = {
     "dataset_roundtrip_documents": dataset_roundtrip_documents,
     "dataset_roundtrip_events": dataset_roundtrip_events,
     "dataset_roundtrip_embeddings": dataset_roundtrip_embeddings,
+    "dataset_roundtrip_pages": dataset_roundtrip_pages,
+    "dataset_roundtrip_conversations": dataset_roundtrip_conversations,
     "result_csv_scan": result_csv_scan,
     "append_twice": append_twice,
     "reload_then_append": reload_then_append,
@@ -327,6 +337,9 @@ LOAD_ORACLES = {
     "dataset_roundtrip_events": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS user_id,
                event_type, CAST(value AS VARCHAR) AS value, props FROM events""",
+    "dataset_roundtrip_pages": "SELECT CAST(page_id AS VARCHAR) AS page_id, url, html FROM pages",
+    "dataset_roundtrip_conversations": """
+        SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, text FROM conversations""",
     "append_twice": f"""
         SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'F'
         UNION ALL

@@ -21,15 +21,20 @@ class StoredQueryNotFound(LookupError):
     pass
 
 
+def _listing(spark: SparkSession, directory: str) -> DataFrame:
+    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
+
+
+def stored_query_index(spark: SparkSession, directory: str) -> DataFrame:
+    """``path, user_id, dataset_id, upload_epoch, file_name`` of every file
+    below ``directory``. Only file metadata is read: the ``content`` column is
+    never requested, so no file is opened."""
+    return _listing(spark, directory).select(F.col("path"), *upload_key_fields(F.col("path")))
+
+
 def stored_queries(spark: SparkSession, directory: str) -> DataFrame:
-    """``path, user_id, dataset_id, upload_epoch, file_name, text`` of every
-    file below ``directory`` (UTF-8 decoded)."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(directory)
-    )
-    return files_to_queries(files)
+    """As ``stored_query_index`` plus ``text`` (UTF-8), reading every file."""
+    return files_to_queries(_listing(spark, directory))
 
 
 def files_to_queries(files: DataFrame) -> DataFrame:
@@ -50,18 +55,22 @@ def latest_per_name(queries: DataFrame) -> DataFrame:
 
 
 def find_query(spark: SparkSession, directory: str, file_name: str) -> str:
-    """Text of the latest upload named ``file_name``; raises if none or empty."""
-    rows = (
-        stored_queries(spark, directory)
+    """Text of the latest upload named ``file_name``; raises if none or empty.
+
+    Two steps: a metadata-only listing picks the path (top-1 by epoch, then
+    path), then that one file is read."""
+    chosen = (
+        stored_query_index(spark, directory)
         .filter(F.col("file_name") == file_name)
         .orderBy(F.col("upload_epoch").desc_nulls_last(), F.col("path").desc())
-        .select("text")
+        .select("path")
         .limit(1)
         .collect()
     )
-    if not rows:
+    if not chosen:
         raise StoredQueryNotFound(f"no stored query named {file_name!r} under {directory}")
-    text = rows[0]["text"]
+    content = _listing(spark, chosen[0]["path"]).select(F.decode("content", "UTF-8").alias("text")).first()
+    text = content["text"] if content else None
     if text is None or not text.strip():
         raise StoredQueryNotFound(f"stored query {file_name!r} is empty")
     return text
