@@ -87,3 +87,12 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     ident = "`" + name.replace("`", "``") + "`"
     location = f"{workspace_dir(spark)}/sqlhaul/catalog/{name}.db"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident} LOCATION '{location}'")
+
+
+def list_dir_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the entries directly under ``path`` (one listing call); empty
+    if the folder does not exist."""
+    fs, hpath = _fs_and_path(spark, path)
+    if not fs.exists(hpath):
+        return []
+    return [status.getPath().getName() for status in fs.listStatus(hpath)]

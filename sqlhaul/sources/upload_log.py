@@ -1,9 +1,14 @@
 """The upload log: one small parquet file per load, beside the dataset's data.
 
 Columns: ``domain, dataset, upload_date (epoch s), user_id, mode
-('append'|'reload'), rows, columns``. Readers keep the uploads whose
-``upload_date`` is at or after the last reload. The log grows by one row per
-load, so it is read on the driver; data never is.
+('append'|'reload'), rows, columns``.
+
+The log is kept in generations, ``_uploads/gen=<epoch>/``: a reload opens a
+new generation named after its own epoch, appends go into the newest one
+(``gen=0`` before any reload). The visible uploads are exactly the rows of
+the newest generation, so a reader lists one folder level and reads the
+loads since the last reload only, however long the dataset's history. Older
+generations stay untouched (nothing is rewritten or deleted).
 """
 
 from __future__ import annotations
@@ -15,6 +20,7 @@ from pyspark.sql import types as T
 from .. import session
 
 LOG_FOLDER = "_uploads"
+GENERATION_PREFIX = "gen="
 
 LOG_SCHEMA = T.StructType(
     [
@@ -29,30 +35,35 @@ LOG_SCHEMA = T.StructType(
 )
 
 
-def _read(spark: SparkSession, log_dir: str):
-    if not session.path_exists(spark, log_dir):  # no load has finished yet
+def _generations(spark: SparkSession, log_dir: str) -> list[int]:
+    names = session.list_dir_names(spark, log_dir)
+    return sorted(int(n[len(GENERATION_PREFIX):]) for n in names if n.startswith(GENERATION_PREFIX))
+
+
+def current_generation(spark: SparkSession, log_dir: str) -> int | None:
+    gens = _generations(spark, log_dir)
+    return gens[-1] if gens else None
+
+
+def _read_current(spark: SparkSession, log_dir: str):
+    gen = current_generation(spark, log_dir)
+    if gen is None:  # no load has finished yet
         return None
-    return spark.read.schema(LOG_SCHEMA).parquet(log_dir)
+    return spark.read.schema(LOG_SCHEMA).parquet(f"{log_dir}/{GENERATION_PREFIX}{gen}")
 
 
 def visible_uploads(spark: SparkSession, log_dir: str) -> list[dict] | None:
     """Uploads since the last reload, oldest first; ``None`` if no log exists."""
-    log = _read(spark, log_dir)
+    log = _read_current(spark, log_dir)
     if log is None:
         return None
-    # scalar subquery: the epoch of the last reload (0 when there was none)
-    last_reload = log.filter(F.col("mode") == "reload").agg(F.max("upload_date")).scalar()
-    rows = (
-        log.filter(F.col("upload_date") >= F.coalesce(last_reload, F.lit(0)))
-        .select("upload_date", "user_id", "mode", "rows", "columns")
-        .orderBy("upload_date")
-        .collect()
-    )
+    rows = log.select("upload_date", "user_id", "mode", "rows", "columns").orderBy("upload_date").collect()
     return [r.asDict() for r in rows]
 
 
 def last_epoch(spark: SparkSession, log_dir: str) -> int | None:
-    log = _read(spark, log_dir)
+    """Epochs only grow, so the newest generation holds the latest upload."""
+    log = _read_current(spark, log_dir)
     if log is None:
         return None
     return log.agg(F.max("upload_date")).first()[0]
@@ -60,4 +71,9 @@ def last_epoch(spark: SparkSession, log_dir: str) -> int | None:
 
 def append_row(spark: SparkSession, log_dir: str, row: dict) -> None:
     """Written after the data, so a load that failed midway is never visible."""
-    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(log_dir)
+    if row["mode"] == "reload":
+        gen = int(row["upload_date"])
+    else:
+        gen = current_generation(spark, log_dir) or 0
+    target = f"{log_dir}/{GENERATION_PREFIX}{gen}"
+    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(target)

@@ -113,3 +113,17 @@ def test_landing_and_read_roots(spark, tmp_path):
     with pytest.raises(DatasetNotFound):
         read_dataset(spark, lake, REF)
     assert _ids(read_dataset(spark, Lake(str(tmp_path / "lz")), REF)) == ["1"]
+
+
+def test_log_generations(spark, lake):
+    import os
+
+    append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
+    append(spark, _df(spark, [(2, "b")]), lake, REF, "u1", epoch=11)
+    reload(spark, _df(spark, [(3, "c")]), lake, REF, "u1", epoch=12)
+    append(spark, _df(spark, [(4, "d")]), lake, REF, "u1", epoch=13)
+    gens = sorted(os.listdir(lake.log_dir(REF)))
+    assert gens == ["gen=0", "gen=12"]  # the reload opened a new generation; gen=0 is kept
+    assert _ids(read_dataset(spark, lake, REF)) == ["3", "4"]
+    with pytest.raises(UploadRefused):  # the newest generation still knows the last epoch
+        append(spark, _df(spark, [(5, "e")]), lake, REF, "u1", epoch=13)
