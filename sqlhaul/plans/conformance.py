@@ -626,16 +626,30 @@ SCALAR = [
                   unix_timestamp(o_orderdate) AS epoch_s,
                   CAST(datediff(DATE '2002-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS days_left,
                   add_months(CAST(o_orderdate AS DATE), 1) AS next_month, last_day(CAST(o_orderdate AS DATE)) AS eom,
-                  to_timestamp_ntz(date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')) AS ts_again
+                  to_timestamp_ntz(date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')) AS ts_again,
+                  CAST(to_timestamp(date_format(o_orderdate, 'yyyy-MM-dd HH:mm:ss')) AS TIMESTAMP_NTZ) AS ts_parsed,
+                  convert_timezone('UTC', 'Asia/Kolkata', o_orderdate) AS ist
            FROM orders""",
         """SELECT o_orderkey, strftime(o_orderdate, '%Y-%m') AS ym,
                   CAST(epoch(o_orderdate) AS BIGINT) AS epoch_s,
                   CAST(date_diff('day', CAST(o_orderdate AS DATE), DATE '2002-01-01') AS BIGINT) AS days_left,
                   CAST(CAST(o_orderdate AS DATE) + INTERVAL 1 MONTH AS DATE) AS next_month,
                   last_day(CAST(o_orderdate AS DATE)) AS eom,
-                  CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS ts_again
+                  CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS ts_again,
+                  CAST(strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS TIMESTAMP) AS ts_parsed,
+                  o_orderdate + INTERVAL 330 MINUTE AS ist
            FROM orders""",
     ),
+    Conf(
+        # from_utc_timestamp works on session-zone timestamps, so its text form
+        # depends on spark.sql.session.timeZone around DST switches: row count only
+        "date_from_utc_timestamp",
+        ("orders",),
+        """SELECT o_orderkey, from_utc_timestamp(CAST(o_orderdate AS TIMESTAMP), 'Asia/Kolkata') AS ist,
+                  to_utc_timestamp(CAST(o_orderdate AS TIMESTAMP), 'America/New_York') AS utc
+           FROM orders""",
+        None,
+    ),
     Conf(
         "array_functions",
         ("lineitem",),
