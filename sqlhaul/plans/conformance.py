@@ -34,8 +34,20 @@ class Conf:
     setup: tuple[str, ...] = ()  # statements run first (e.g. CREATE TEMPORARY FUNCTION)
 
 
+_FRAMES: dict[tuple[str, str], DataFrame] = {}
+
+
+def _table(spark: SparkSession, path: str) -> DataFrame:
+    """One DataFrame per (application, path): the driver tables are read-only,
+    so their file listing and parquet footers are read once, not per query."""
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _FRAMES:
+        _FRAMES[key] = spark.read.parquet(path)
+    return _FRAMES[key]
+
+
 def _views(spark: SparkSession, sf_dir: str, tables) -> None:
-    register(spark, {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables})
+    register(spark, {t: _table(spark, f"{sf_dir}/{t}.parquet") for t in tables})
 
 
 def _runner(c: Conf) -> Callable[[SparkSession, str], DataFrame]:

@@ -35,13 +35,28 @@ LOG_SCHEMA = T.StructType(
 )
 
 
+# An append-only generation is rewritten into a fresh one-file generation once
+# it holds this many files, so readers never open an unbounded number of them.
+COMPACT_AFTER_FILES = 256
+
+
 def _generations(spark: SparkSession, log_dir: str) -> list[int]:
     names = session.list_dir_names(spark, log_dir)
     return sorted(int(n[len(GENERATION_PREFIX):]) for n in names if n.startswith(GENERATION_PREFIX))
 
 
+def _gen_dir(log_dir: str, gen: int) -> str:
+    return f"{log_dir}/{GENERATION_PREFIX}{gen}"
+
+
 def current_generation(spark: SparkSession, log_dir: str) -> int | None:
+    """The newest generation whose first write has committed (``_SUCCESS``),
+    so a reader racing a reload never sees a half-written generation. If no
+    generation carries the marker (a cluster that turns it off), the newest."""
     gens = _generations(spark, log_dir)
+    for gen in reversed(gens):
+        if session.path_exists(spark, f"{_gen_dir(log_dir, gen)}/_SUCCESS"):
+            return gen
     return gens[-1] if gens else None
 
 
@@ -49,7 +64,7 @@ def _read_current(spark: SparkSession, log_dir: str):
     gen = current_generation(spark, log_dir)
     if gen is None:  # no load has finished yet
         return None
-    return spark.read.schema(LOG_SCHEMA).parquet(f"{log_dir}/{GENERATION_PREFIX}{gen}")
+    return spark.read.schema(LOG_SCHEMA).parquet(_gen_dir(log_dir, gen))
 
 
 def visible_uploads(spark: SparkSession, log_dir: str) -> list[dict] | None:
@@ -70,10 +85,23 @@ def last_epoch(spark: SparkSession, log_dir: str) -> int | None:
 
 
 def append_row(spark: SparkSession, log_dir: str, row: dict) -> None:
-    """Written after the data, so a load that failed midway is never visible."""
+    """Written after the data, so a load that failed midway is never visible.
+
+    A reload opens generation ``gen=<its epoch>``. An append joins the newest
+    generation, unless that one already holds ``COMPACT_AFTER_FILES`` files:
+    then its rows plus the new one are written as a new one-file generation
+    named after the new epoch (the old generation is left as it is)."""
+    new = spark.createDataFrame([row], LOG_SCHEMA)
     if row["mode"] == "reload":
-        gen = int(row["upload_date"])
-    else:
-        gen = current_generation(spark, log_dir) or 0
-    target = f"{log_dir}/{GENERATION_PREFIX}{gen}"
-    spark.createDataFrame([row], LOG_SCHEMA).coalesce(1).write.mode("append").parquet(target)
+        new.coalesce(1).write.mode("errorifexists").parquet(_gen_dir(log_dir, int(row["upload_date"])))
+        return
+    gen = current_generation(spark, log_dir)
+    if gen is None:
+        new.coalesce(1).write.mode("append").parquet(_gen_dir(log_dir, 0))
+        return
+    files = [n for n in session.list_dir_names(spark, _gen_dir(log_dir, gen)) if not n.startswith(("_", "."))]
+    if len(files) < COMPACT_AFTER_FILES:
+        new.coalesce(1).write.mode("append").parquet(_gen_dir(log_dir, gen))
+        return
+    snapshot = spark.read.schema(LOG_SCHEMA).parquet(_gen_dir(log_dir, gen)).unionByName(new)
+    snapshot.coalesce(1).write.mode("errorifexists").parquet(_gen_dir(log_dir, int(row["upload_date"])))

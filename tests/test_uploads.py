@@ -127,3 +127,29 @@ def test_log_generations(spark, lake):
     assert _ids(read_dataset(spark, lake, REF)) == ["3", "4"]
     with pytest.raises(UploadRefused):  # the newest generation still knows the last epoch
         append(spark, _df(spark, [(5, "e")]), lake, REF, "u1", epoch=13)
+
+
+def test_log_compaction_keeps_visibility(spark, lake, monkeypatch):
+    import os
+
+    from sqlhaul.sources import upload_log
+
+    monkeypatch.setattr(upload_log, "COMPACT_AFTER_FILES", 3)
+    for i in range(6):
+        append(spark, _df(spark, [(i, "x")]), lake, REF, "u1", epoch=10 + i)
+    gens = sorted(os.listdir(lake.log_dir(REF)))
+    assert gens == ["gen=0", "gen=13"]  # 3 files in gen=0, then a one-file snapshot + 2 appends
+    snap = [f for f in os.listdir(os.path.join(lake.log_dir(REF), "gen=13")) if f.endswith(".parquet")]
+    assert len(snap) == 3
+    assert _ids(read_dataset(spark, lake, REF)) == [str(i) for i in range(6)]
+    reload(spark, _df(spark, [(9, "z")]), lake, REF, "u1", epoch=30)
+    assert _ids(read_dataset(spark, lake, REF)) == ["9"]
+
+
+def test_uncommitted_generation_is_ignored(spark, lake):
+    import os
+
+    append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
+    # a reload whose log write is still running: its folder exists, no _SUCCESS yet
+    os.makedirs(os.path.join(lake.log_dir(REF), "gen=11", "_temporary"))
+    assert _ids(read_dataset(spark, lake, REF)) == ["1"]
