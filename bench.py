@@ -80,6 +80,15 @@ def main() -> None:
         lambda: load_sql(spark, lake, {"li": items}, q1, DatasetRef("bench", "q1"), USER, epoch=E0 + 1)
     )
 
+    # 2b. the same two steps with a parquet-format dataset (splittable, prunable)
+    items_pq = DatasetRef("bench", "lineitem_pq")
+    results["append_lineitem_parquet"] = timed(
+        lambda: append(spark, table("lineitem"), lake, items_pq, USER, epoch=E0, file_format="parquet")
+    )
+    results["sql_over_parquet_dataset_load"] = timed(
+        lambda: load_sql(spark, lake, {"li": items_pq}, q1, DatasetRef("bench", "q1pq"), USER, epoch=E0 + 1)
+    )
+
     # 3. the reference's UNION ALL job over two mapped datasets
     results["load_union_all"] = timed(lambda: run_all(load_queries.load_union_all(spark, SF_DIR)))
 

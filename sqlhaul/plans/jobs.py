@@ -25,7 +25,7 @@ def _ref(target: DatasetRef | str) -> DatasetRef:
     return target if isinstance(target, DatasetRef) else DatasetRef.parse(target)
 
 
-def _load(spark, df, lake, target, user, *, reload, skip_empty, epoch, show) -> LoadResult:
+def _load(spark, df, lake, target, user, *, reload, skip_empty, epoch, show, file_format) -> LoadResult:
     if show:
         preview(df, show).show(truncate=False)
     return write_upload(
@@ -37,6 +37,7 @@ def _load(spark, df, lake, target, user, *, reload, skip_empty, epoch, show) ->
         mode="reload" if reload else "append",
         epoch=epoch,
         skip_empty=skip_empty,
+        file_format=file_format,
     )
 
 
@@ -53,11 +54,13 @@ def load_sql(
     skip_empty: bool = True,
     epoch: int | None = None,
     show: int = 0,
+    file_format: str = "csv",
 ) -> LoadResult:
     """Mapped datasets -> Spark SQL -> new upload of ``target`` (append by default)."""
     register(spark, mapping, lake)
     df = run_sql(spark, query, args)
-    return _load(spark, df, lake, target, user, reload=reload, skip_empty=skip_empty, epoch=epoch, show=show)
+    return _load(spark, df, lake, target, user, reload=reload, skip_empty=skip_empty, epoch=epoch, show=show,
+                 file_format=file_format)
 
 
 def load_stored(
@@ -75,6 +78,7 @@ def load_stored(
     skip_empty: bool = True,
     epoch: int | None = None,
     show: int = 0,
+    file_format: str = "csv",
 ) -> LoadResult:
     """Stored SQL file -> Spark SQL over ``mapping`` (or the external
     ``source``) -> new upload of ``target``."""
@@ -84,7 +88,8 @@ def load_stored(
     else:
         register(spark, mapping or {}, lake)
         df = run_sql(spark, text, args)
-    return _load(spark, df, lake, target, user, reload=reload, skip_empty=skip_empty, epoch=epoch, show=show)
+    return _load(spark, df, lake, target, user, reload=reload, skip_empty=skip_empty, epoch=epoch, show=show,
+                 file_format=file_format)
 
 
 def load_external(
@@ -99,8 +104,10 @@ def load_external(
     skip_empty: bool = True,
     epoch: int | None = None,
     show: int = 0,
+    file_format: str = "csv",
     **partitioning,
 ) -> LoadResult:
     """Inline SQL run by an external database -> new upload of ``target``."""
     df = read_query(spark, source, query, as_text=True, **partitioning)
-    return _load(spark, df, lake, target, user, reload=reload, skip_empty=skip_empty, epoch=epoch, show=show)
+    return _load(spark, df, lake, target, user, reload=reload, skip_empty=skip_empty, epoch=epoch, show=show,
+                 file_format=file_format)

@@ -112,6 +112,16 @@ def append_twice(spark, sf_dir):
     return read_dataset(spark, lake, ref)
 
 
+def mixed_format_uploads(spark, sf_dir):
+    """One dataset, a CSV upload and a parquet upload (all-string columns in
+    both): read back as one frame."""
+    lake, ref = _lake(spark, "mixed"), DatasetRef("sales", "orders")
+    orders = _table(spark, sf_dir, "orders")
+    append(spark, orders.filter("o_orderstatus = 'F'"), lake, ref, USER, epoch=EPOCH0)
+    append(spark, orders.filter("o_orderstatus <> 'F'"), lake, ref, USER, epoch=EPOCH0 + 1, file_format="parquet")
+    return read_dataset(spark, lake, ref)
+
+
 def reload_then_append(spark, sf_dir):
     lake, ref = _lake(spark, "reload"), DatasetRef("sales", "orders")
     orders = _table(spark, sf_dir, "orders")
@@ -253,6 +263,7 @@ LOAD_QUERIES = {
     "dataset_roundtrip_conversations": dataset_roundtrip_conversations,
     "result_csv_scan": result_csv_scan,
     "append_twice": append_twice,
+    "mixed_format_uploads": mixed_format_uploads,
     "reload_then_append": reload_then_append,
     "reload_from_itself": reload_from_itself,
     "skip_empty": skip_empty,
@@ -344,6 +355,10 @@ LOAD_ORACLES = {
         SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'F'
         UNION ALL
         SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus <> 'F'""",
+    "mixed_format_uploads": f"""
+        SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'F'
+        UNION ALL
+        SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus <> 'F'""",
     "reload_then_append": f"""
         SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'O'
         UNION ALL

@@ -36,20 +36,25 @@ def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
     if len(column_lists) != 1:
         raise HeaderDrift(f"dataset {ref}: cannot publish uploads with columns {sorted(column_lists)}")
     columns = next(iter(column_lists))
+    formats = {u["format"] for u in uploads}
+    if len(formats) != 1:
+        raise ValueError(f"dataset {ref}: one catalog table needs one file format, visible uploads use {sorted(formats)}")
+    fmt = formats.pop()
     db, table = _ident(ref.domain), _ident(ref.dataset)
     name = f"{db}.{table}"
     cols = ", ".join(f"{_ident(c)} STRING" for c in columns)
-    opts = ", ".join(f"{_ident(k)} {_lit(v)}" for k, v in READ_OPTIONS.items())
+    opts = ", ".join(f"{_ident(k)} {_lit(v)}" for k, v in READ_OPTIONS.items()) if fmt == "csv" else ""
     ensure_database(spark, ref.domain)
     spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: metadata only
     spark.sql(
-        f"CREATE TABLE {name} ({cols}, {PARTITION_COLUMN} BIGINT) USING csv "
-        f"OPTIONS ({opts}) PARTITIONED BY ({PARTITION_COLUMN}) "
+        f"CREATE TABLE {name} ({cols}, {PARTITION_COLUMN} BIGINT) USING {fmt} "
+        + (f"OPTIONS ({opts}) " if opts else "")
+        + f"PARTITIONED BY ({PARTITION_COLUMN}) "
         f"LOCATION {_lit(lake.dataset_dir(ref))}"
     )
     specs = " ".join(
         f"PARTITION ({PARTITION_COLUMN}={int(u['upload_date'])}) "
-        f"LOCATION {_lit(lake.upload_dir(ref, u['upload_date'], u['user_id']))}"
+        f"LOCATION {_lit(lake.upload_dir(ref, u['upload_date'], u['user_id'], fmt))}"
         for u in uploads
     )
     if specs:

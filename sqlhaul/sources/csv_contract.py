@@ -39,6 +39,10 @@ READ_OPTIONS = {
     "encoding": "UTF-8",
 }
 
+# Upload file formats: CSV is the dataset format; parquet (still all-string
+# columns) is splittable, compressed and prunable, for large datasets.
+UPLOAD_FORMATS = ("csv", "parquet")
+
 # Rows per written file: multi-line CSV is not splittable, so files are kept
 # small enough for one task each.
 DEFAULT_MAX_RECORDS_PER_FILE = 500_000

@@ -3,7 +3,8 @@
 Layout of one dataset under a lake root::
 
     <root>/<domain>/<dataset>/upload_date=<epoch>/<user>/csv/part-*.csv
-    <root>/<domain>/<dataset>/_uploads/            upload log (parquet)
+    <root>/<domain>/<dataset>/upload_date=<epoch>/<user>/parquet/part-*.parquet   (optional format)
+    <root>/<domain>/<dataset>/_uploads/gen=<epoch>/   upload log (parquet)
 
 Every load writes a new ``upload_date=<epoch>/<user>/csv`` folder and then one
 row into the upload log. A reader opens exactly the uploads the log shows as
@@ -76,8 +77,8 @@ class Lake:
         root = self.landing_root if landing else self.read_root.rstrip("/")
         return f"{root}/{ref.domain}/{ref.dataset}"
 
-    def upload_dir(self, ref: DatasetRef, epoch: int, user: str, *, landing: bool = False) -> str:
-        return f"{self.dataset_dir(ref, landing=landing)}/{PARTITION_COLUMN}={int(epoch)}/{user}/csv"
+    def upload_dir(self, ref: DatasetRef, epoch: int, user: str, fmt: str = "csv", *, landing: bool = False) -> str:
+        return f"{self.dataset_dir(ref, landing=landing)}/{PARTITION_COLUMN}={int(epoch)}/{user}/{fmt}"
 
     def log_dir(self, ref: DatasetRef, *, landing: bool = False) -> str:
         return f"{self.dataset_dir(ref, landing=landing)}/{upload_log.LOG_FOLDER}"
@@ -118,12 +119,20 @@ def read_dataset(
         columns = list(next(iter(column_lists))) if column_lists else []
         if not uploads:
             return spark.createDataFrame([], string_schema(columns))
-        paths = [lake.upload_dir(ref, u["upload_date"], u["user_id"]) for u in uploads]
-        df = _csv_reader(spark, columns, base).csv(paths)
+        df = None
+        for fmt in sorted({u["format"] for u in uploads}):
+            paths = [lake.upload_dir(ref, u["upload_date"], u["user_id"], fmt) for u in uploads if u["format"] == fmt]
+            if fmt == "csv":
+                part = _csv_reader(spark, columns, base).csv(paths)
+            else:
+                part = spark.read.schema(string_schema(columns)).option("basePath", base).parquet(*paths)
+            df = part if df is None else df.unionByName(part)
     else:
-        header = spark.read.options(**READ_OPTIONS).option("enforceSchema", "true").csv(base).columns
+        # files laid down by others: CSV only, the column list from one header
+        reader = spark.read.options(**READ_OPTIONS).option("pathGlobFilter", "*.csv")
+        header = reader.option("enforceSchema", "true").csv(base).columns
         columns = [c for c in header if c != PARTITION_COLUMN]
-        df = _csv_reader(spark, columns, base).csv(base)
+        df = _csv_reader(spark, columns, base).option("pathGlobFilter", "*.csv").csv(base)
     if PARTITION_COLUMN in df.columns:
         if with_upload_date:
             df = df.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("bigint"))

@@ -31,6 +31,7 @@ LOG_SCHEMA = T.StructType(
         T.StructField("mode", T.StringType(), False),
         T.StructField("rows", T.LongType(), False),
         T.StructField("columns", T.ArrayType(T.StringType(), False), False),
+        T.StructField("format", T.StringType(), True),  # csv | parquet; null = csv
     ]
 )
 
@@ -72,7 +73,11 @@ def visible_uploads(spark: SparkSession, log_dir: str) -> list[dict] | None:
     log = _read_current(spark, log_dir)
     if log is None:
         return None
-    rows = log.select("upload_date", "user_id", "mode", "rows", "columns").orderBy("upload_date").collect()
+    rows = (
+        log.select("upload_date", "user_id", "mode", "rows", "columns", F.coalesce("format", F.lit("csv")).alias("format"))
+        .orderBy("upload_date")
+        .collect()
+    )
     return [r.asDict() for r in rows]
 
 

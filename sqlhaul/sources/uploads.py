@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import session
 from ..operators.result import stringify
 from . import upload_log
-from .csv_contract import DEFAULT_MAX_RECORDS_PER_FILE, WRITE_OPTIONS
+from .csv_contract import DEFAULT_MAX_RECORDS_PER_FILE, UPLOAD_FORMATS, WRITE_OPTIONS
 from .datasets import PARTITION_COLUMN, DatasetRef, Lake
 
 
@@ -58,9 +58,18 @@ def write_upload(
     epoch: int | None = None,
     skip_empty: bool = True,
     max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
+    file_format: str = "csv",
 ) -> LoadResult:
+    """Stringify ``df`` and write it as a new upload of ``ref``, then log it.
+
+    ``file_format="parquet"`` writes the same all-string columns as parquet:
+    splittable, compressed and prunable, for datasets too large for
+    one-task-per-file multi-line CSV. Readers handle both, also mixed.
+    """
     if mode not in ("append", "reload"):
         raise ValueError(f"mode must be 'append' or 'reload', not {mode!r}")
+    if file_format not in UPLOAD_FORMATS:
+        raise ValueError(f"file_format must be one of {UPLOAD_FORMATS}, not {file_format!r}")
     _check_user(user)
     text = stringify(df)
     if PARTITION_COLUMN in text.columns:
@@ -71,15 +80,17 @@ def write_upload(
     if last is not None and epoch <= last:
         raise UploadRefused(f"upload_date {epoch} is not after the last upload {last} of {ref}")
 
-    path = lake.upload_dir(ref, epoch, user, landing=True)
+    path = lake.upload_dir(ref, epoch, user, file_format, landing=True)
     obs = Observation(f"rows_{ref.domain}_{ref.dataset}_{epoch}")
-    (
+    writer = (
         text.observe(obs, F.count(F.lit(1)).alias("rows"))
         .write.mode("errorifexists")  # same user + same second: the second load raises
-        .options(**WRITE_OPTIONS)
         .option("maxRecordsPerFile", str(max_records_per_file))
-        .csv(path)
     )
+    if file_format == "csv":
+        writer.options(**WRITE_OPTIONS).csv(path)
+    else:
+        writer.parquet(path)
     rows = int(obs.get["rows"])
     if rows == 0 and skip_empty:
         session.delete_path(spark, path)  # only the folder this write created
@@ -95,6 +106,7 @@ def write_upload(
             "mode": mode,
             "rows": rows,
             "columns": list(text.columns),
+            "format": file_format,
         },
     )
     return LoadResult(ref, epoch, user, mode, rows, path)

@@ -153,3 +153,27 @@ def test_uncommitted_generation_is_ignored(spark, lake):
     # a reload whose log write is still running: its folder exists, no _SUCCESS yet
     os.makedirs(os.path.join(lake.log_dir(REF), "gen=11", "_temporary"))
     assert _ids(read_dataset(spark, lake, REF)) == ["1"]
+
+
+def test_parquet_and_mixed_format_uploads(spark, lake):
+    append(spark, _df(spark, [(1, "a,b\nc")]), lake, REF, "u1", epoch=10)
+    append(spark, _df(spark, [(2, None), (3, "")]), lake, REF, "u1", epoch=11, file_format="parquet")
+    got = {r["id"]: r["v"] for r in read_dataset(spark, lake, REF).collect()}
+    assert got == {"1": "a,b\nc", "2": None, "3": ""}
+    reload(spark, _df(spark, [(4, "d")]), lake, REF, "u1", epoch=12, file_format="parquet")
+    assert _ids(read_dataset(spark, lake, REF)) == ["4"]
+    with pytest.raises(ValueError):
+        append(spark, _df(spark, [(5, "e")]), lake, REF, "u1", epoch=13, file_format="orc")
+
+
+def test_publish_parquet_dataset(spark, lake):
+    from sqlhaul import publish, run_sql
+
+    ref = DatasetRef("pqdom", "items")
+    append(spark, _df(spark, [(1, "a"), (2, "b")]), lake, ref, "u1", epoch=10, file_format="parquet")
+    append(spark, _df(spark, [(3, "c")]), lake, ref, "u1", epoch=11, file_format="parquet")
+    publish(spark, lake, ref)
+    df = run_sql(spark, "SELECT id FROM pqdom.items WHERE upload_date = 11 AND v = 'c'")
+    assert [r["id"] for r in df.collect()] == ["3"]
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters" in plan
