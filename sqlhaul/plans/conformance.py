@@ -224,6 +224,8 @@ JOINS = [
            ON a.k = b.k""",
     ),
     Conf(
+        # non-equi join against a fixed three-row literal table: a broadcast
+        # nested-loop join whose small side cannot grow with the data
         "theta_range_join",
         ("part",),
         """SELECT b.band, count(*) AS n_parts
@@ -278,6 +280,7 @@ JOINS = [
            FROM customer""",
     ),
     Conf(
+        # the hinted side is the 25-row nation dimension (fixed by the schema)
         "hint_broadcast",
         ("customer", "nation"),
         "SELECT /*+ BROADCAST(n) */ c_custkey, n_name FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey",
@@ -422,6 +425,7 @@ AGGREGATION = [
         None,
     ),
     Conf(
+        # collect_list per order: bounded by the lines of one order
         "collect_aggregates",
         ("lineitem",),
         """SELECT l_orderkey,
@@ -462,6 +466,11 @@ AGGREGATION = [
 # Window functions
 # ---------------------------------------------------------------------------
 
+# Window texts partition by customer as a user would write them. A window
+# needs each partition's rows in one ordered group; Spark keeps that group
+# in an external (spilling) buffer. For top-k filters on a rank
+# (``qualify_as_cte``) Spark adds a partial WindowGroupLimit before the
+# shuffle, so a hot key sends at most k rows per map task.
 WINDOWS = [
     Conf(
         "window_ranking",
@@ -775,6 +784,9 @@ TIME_WINDOWS = [
            GROUP BY win_start""",
     ),
     Conf(
+        # Spark's session_window merges sessions after a shuffle by the group
+        # key (only identical sessions are pre-aggregated map-side), so one
+        # user's events are merged in one task; kept as the user's text
         "session_window",
         ("events",),
         """SELECT user_id, session_window.start AS s_start, session_window.end AS s_end, count(*) AS n_events
