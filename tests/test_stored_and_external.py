@@ -76,3 +76,27 @@ def test_jdbc_options_refuse_bad_input():
         query_options(src, " ; ")
     with pytest.raises(ValueError):
         query_options(src, "select 1", partition_column="id")
+
+
+def _python_fields(key: str):
+    """Brute force: the four fields of an object key, by plain string ops."""
+    import re
+
+    parts = key.split("/")[-1].split("_")
+    epoch = parts[2] if len(parts) > 2 else None
+    epoch = int(epoch) if epoch is not None and re.fullmatch("[0-9]{1,18}", epoch) else None
+    return (parts[0], parts[1] if len(parts) > 1 else None, epoch, "_".join(parts[3:]))
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+_field = st.text(alphabet="abcXYZ019_-+.é ", max_size=10)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.builds(lambda d, n: d + n, st.sampled_from(["", "dom/ds/", "a/b/c/"]), _field), min_size=1, max_size=20))
+def test_key_fields_match_brute_force(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "path string")
+    got = [tuple(r) for r in df.select(*upload_key_fields(F.col("path"))).collect()]
+    assert got == [_python_fields(k) for k in keys]
