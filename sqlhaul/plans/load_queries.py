@@ -287,50 +287,7 @@ _KEY_FIELDS = """
            '-- report' || chr(10) || 'SELECT * FROM orders WHERE o_orderkey = ' || CAST(o_orderkey AS VARCHAR) || ';' AS text
     FROM orders),
   p AS (SELECT path, text, string_split(string_split(path, '/')[-1], '_') AS parts FROM k)
-  SELECT path, parts[1] AS user_id, parts[2] AS dataset_id, TRY_CAST(parts[3] AS BIGINT) AS upload_epoch,
-         array_to_string(parts[4:], '_') AS file_name, text
-  FROM p"""
-
-LOAD_ORACLES = {
-    "load_union_all": """
-        SELECT CAST(c_custkey AS VARCHAR) AS key, c_name AS name, CAST(c_nationkey AS VARCHAR) AS nation FROM customer
-        UNION ALL
-        SELECT CAST(s_suppkey AS VARCHAR), s_name, CAST(s_nationkey AS VARCHAR) FROM supplier""",
-    "dataset_roundtrip_customer": """
-        SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey,
-               CAST(c_acctbal AS VARCHAR) AS c_acctbal, c_mktsegment FROM customer""",
-    "dataset_roundtrip_documents": """
-        SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
-        FROM documents""",
-    "dataset_roundtrip_events": """
-        SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS user_id,
-               event_type, CAST(value AS VARCHAR) AS value, props FROM events""",
-    "result_csv_scan": result_csv_scan,
-    "append_twice": append_twice,
-    "reload_then_append": reload_then_append,
-    "reload_from_itself": reload_from_itself,
-    "skip_empty": skip_empty,
-    "qualified_scan": qualified_scan,
-    "limit_ordered": limit_ordered,
-    "qualified_dataset_pruned": qualified_dataset_pruned,
-    "stored_query_keys": stored_query_keys,
-    "stored_query_latest": stored_query_latest,
-    "load_stored_query": load_stored_query,
-}
-
-_ORDERS_TEXT = """CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-       o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
-       CAST(o_orderdate AS VARCHAR) AS o_orderdate, o_orderpriority"""
-
-_KEY_FIELDS = """
-  WITH k AS (
-    SELECT 'sqlstore/reports/u' || CAST(o_custkey AS VARCHAR) || '_d' || CAST(o_orderkey AS VARCHAR)
-           || '_' || CAST(1600000000 + o_orderkey AS VARCHAR) || '_cust_' || CAST(o_custkey AS VARCHAR)
-           || '_orders.sql' AS path,
-           '-- report' || chr(10) || 'SELECT * FROM orders WHERE o_orderkey = ' || CAST(o_orderkey AS VARCHAR) || ';' AS text
-    FROM orders),
-  p AS (SELECT path, text, string_split(string_split(path, '/')[-1], '_') AS parts FROM k)
-  SELECT path, parts[1] AS user_id, parts[2] AS dataset_id, TRY_CAST(parts[3] AS BIGINT) AS upload_epoch,
+  SELECT path, parts[1] AS user_id, parts[2] AS dataset_id, CASE WHEN regexp_full_match(parts[3], '[0-9]{1,18}') THEN CAST(parts[3] AS BIGINT) END AS upload_epoch,
          array_to_string(parts[4:], '_') AS file_name, text
   FROM p"""
 
