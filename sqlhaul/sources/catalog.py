@@ -27,8 +27,27 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def _existing_shape(spark: SparkSession, ref: DatasetRef, name: str):
+    """(columns, provider) of the published table, or None if absent."""
+    if not spark.catalog.tableExists(name):
+        return None
+    columns = spark.table(name).columns
+    provider = [
+        r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Provider"
+    ]
+    return columns, (provider[0].lower() if provider else None)
+
+
 def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
-    """(Re)declare ``domain.dataset`` for the current visible uploads; returns its name."""
+    """Declare ``domain.dataset`` for the current visible uploads; returns its name.
+
+    The first call creates the table. Later calls keep it and only change its
+    partitions: new uploads are added, uploads hidden by a reload are dropped
+    (an external table, so no file is touched). The two ``ALTER TABLE``
+    statements are not one transaction: a query planned between them may see
+    the new uploads together with the ones a reload hides. A table whose
+    columns or format no longer match is declared again.
+    """
     uploads = upload_log.visible_uploads(spark, lake.log_dir(ref))
     if uploads is None:
         raise DatasetNotFound(f"dataset {ref} has no upload log")
@@ -42,21 +61,33 @@ def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
     fmt = formats.pop()
     db, table = _ident(ref.domain), _ident(ref.dataset)
     name = f"{db}.{table}"
-    cols = ", ".join(f"{_ident(c)} STRING" for c in columns)
-    opts = ", ".join(f"{_ident(k)} {_lit(v)}" for k, v in READ_OPTIONS.items()) if fmt == "csv" else ""
     ensure_database(spark, ref.domain)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: metadata only
-    spark.sql(
-        f"CREATE TABLE {name} ({cols}, {PARTITION_COLUMN} BIGINT) USING {fmt} "
-        + (f"OPTIONS ({opts}) " if opts else "")
-        + f"PARTITIONED BY ({PARTITION_COLUMN}) "
-        f"LOCATION {_lit(lake.dataset_dir(ref))}"
-    )
-    specs = " ".join(
-        f"PARTITION ({PARTITION_COLUMN}={int(u['upload_date'])}) "
-        f"LOCATION {_lit(lake.upload_dir(ref, u['upload_date'], u['user_id'], fmt))}"
-        for u in uploads
+
+    existing: set[int] = set()
+    shape = _existing_shape(spark, ref, name)
+    if shape == (list(columns) + [PARTITION_COLUMN], fmt):
+        for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
+            existing.add(int(row[0].split("=", 1)[1]))
+    else:
+        cols = ", ".join(f"{_ident(c)} STRING" for c in columns)
+        opts = ", ".join(f"{_ident(k)} {_lit(v)}" for k, v in READ_OPTIONS.items()) if fmt == "csv" else ""
+        spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: metadata only
+        spark.sql(
+            f"CREATE TABLE {name} ({cols}, {PARTITION_COLUMN} BIGINT) USING {fmt} "
+            + (f"OPTIONS ({opts}) " if opts else "")
+            + f"PARTITIONED BY ({PARTITION_COLUMN}) "
+            f"LOCATION {_lit(lake.dataset_dir(ref))}"
+        )
+
+    visible = {int(u["upload_date"]): u for u in uploads}
+    add = " ".join(
+        f"PARTITION ({PARTITION_COLUMN}={e}) "
+        f"LOCATION {_lit(lake.upload_dir(ref, e, visible[e]['user_id'], fmt))}"
+        for e in sorted(set(visible) - existing)
     )
-    if specs:
-        spark.sql(f"ALTER TABLE {name} ADD {specs}")
+    if add:
+        spark.sql(f"ALTER TABLE {name} ADD {add}")
+    drop = ", ".join(f"PARTITION ({PARTITION_COLUMN}={e})" for e in sorted(existing - set(visible)))
+    if drop:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {drop}")
     return f"{ref.domain}.{ref.dataset}"

@@ -75,3 +75,26 @@ def test_parquet_catalog_table(spark, sf_dir):
     spark.sql("DROP TABLE IF EXISTS rawtest.nation_parquet")
     spark.sql(f"CREATE TABLE rawtest.nation_parquet USING parquet LOCATION '{sf_dir}/nation.parquet'")
     assert run_sql(spark, "-- Sample Query\nselect * from rawtest.nation_parquet;").count() == 25
+
+
+def test_publish_is_incremental(spark, lake):
+    ref = DatasetRef("incdom", "T")
+    df = lambda ids: spark.createDataFrame([(str(i), "x") for i in ids], "id string, v string")
+    parts = lambda: sorted(r[0] for r in spark.sql("SHOW PARTITIONS incdom.T").collect())
+    append(spark, df([1]), lake, ref, "u1", epoch=100)
+    publish(spark, lake, ref)
+    append(spark, df([2]), lake, ref, "u1", epoch=101)
+    publish(spark, lake, ref)
+    assert parts() == ["upload_date=100", "upload_date=101"]
+    reload(spark, df([3]), lake, ref, "u1", epoch=102)
+    publish(spark, lake, ref)
+    assert parts() == ["upload_date=102"]
+    assert [r["id"] for r in spark.table("incdom.T").collect()] == ["3"]
+    # dropping partitions of the external table left the files in place
+    from sqlhaul import read_dataset
+
+    assert sorted(r["id"] for r in read_dataset(spark, lake, ref, logged=False).collect()) == ["1", "2", "3"]
+    # a new column list re-declares the table
+    reload(spark, spark.createDataFrame([("9",)], "other string"), lake, ref, "u1", epoch=103)
+    publish(spark, lake, ref)
+    assert spark.table("incdom.T").columns == ["other", "upload_date"]
