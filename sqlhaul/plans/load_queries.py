@@ -183,6 +183,15 @@ def limit_ordered(spark, sf_dir):
     )
 
 
+def limit_any_ten(spark, sf_dir):
+    """The inline text exactly as users write it, without an order: any ten
+    rows are a right answer, so this one is checked by row count only."""
+    lake, ref = _lake(spark, "limit10"), DatasetRef("domain", "dataset")
+    append(spark, _table(spark, sf_dir, "orders"), lake, ref, USER, epoch=EPOCH0)
+    publish(spark, lake, ref)
+    return run_sql(spark, "select * from domain.dataset LIMIT 10;")
+
+
 def qualified_dataset_pruned(spark, sf_dir):
     """Three uploads, one reload: the catalog table holds only the visible
     uploads, and a filter on ``upload_date`` prunes partitions."""
@@ -269,6 +278,7 @@ LOAD_QUERIES = {
     "skip_empty": skip_empty,
     "qualified_scan": qualified_scan,
     "limit_ordered": limit_ordered,
+    "limit_any_ten": limit_any_ten,
     "qualified_dataset_pruned": qualified_dataset_pruned,
     "stored_query_keys": stored_query_keys,
     "stored_query_latest": stored_query_latest,
