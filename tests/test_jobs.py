@@ -51,3 +51,21 @@ def test_empty_result_is_not_loaded(spark, lake, sf_dir):
 
     with pytest.raises(DatasetNotFound):
         read_dataset(spark, lake, OUT)
+
+
+def test_failed_loads_leave_the_target_unchanged(spark, lake, sf_dir):
+    from pyspark.errors import AnalysisException
+
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    load_sql(spark, lake, {"n": nation}, "SELECT n_name FROM n", OUT, "userid", epoch=1)
+    # fails while planning: nothing is written
+    with pytest.raises(AnalysisException):
+        load_sql(spark, lake, {"n": nation}, "SELECT no_such_column FROM n", OUT, "userid", epoch=2)
+    # fails inside the write job (ANSI cast error on some rows): files may be
+    # left behind, but without a log row the upload is never visible
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT|cannot be cast"):
+        load_sql(spark, lake, {"n": nation},
+                 "SELECT n_name, CAST(CASE WHEN n_nationkey > 20 THEN 'x' ELSE '1' END AS INT) AS v FROM n",
+                 OUT, "userid", epoch=3, reload=True)
+    back = read_dataset(spark, lake, OUT)
+    assert back.columns == ["n_name"] and back.count() == 25
