@@ -27,15 +27,18 @@ def _lit(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _existing_shape(spark: SparkSession, ref: DatasetRef, name: str):
-    """(columns, provider) of the published table, or None if absent."""
+def _norm_location(path: str) -> str:
+    path = path.rstrip("/")
+    return path[len("file:"):] if path.startswith("file:") else path
+
+
+def _existing_shape(spark: SparkSession, name: str):
+    """(columns, provider, location) of the published table, or None if absent."""
     if not spark.catalog.tableExists(name):
         return None
-    columns = spark.table(name).columns
-    provider = [
-        r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect() if r["col_name"] == "Provider"
-    ]
-    return columns, (provider[0].lower() if provider else None)
+    info = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    provider = (info.get("Provider") or "").lower()
+    return spark.table(name).columns, provider, _norm_location(info.get("Location") or "")
 
 
 def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
@@ -46,7 +49,7 @@ def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
     (an external table, so no file is touched). The two ``ALTER TABLE``
     statements are not one transaction: a query planned between them may see
     the new uploads together with the ones a reload hides. A table whose
-    columns or format no longer match is declared again.
+    columns, format or folder no longer match is declared again.
     """
     uploads = upload_log.visible_uploads(spark, lake.log_dir(ref))
     if uploads is None:
@@ -64,8 +67,9 @@ def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
     ensure_database(spark, ref.domain)
 
     existing: set[int] = set()
-    shape = _existing_shape(spark, ref, name)
-    if shape == (list(columns) + [PARTITION_COLUMN], fmt):
+    shape = _existing_shape(spark, name)
+    wanted = (list(columns) + [PARTITION_COLUMN], fmt, _norm_location(lake.dataset_dir(ref)))
+    if shape == wanted:
         for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
             existing.add(int(row[0].split("=", 1)[1]))
     else:

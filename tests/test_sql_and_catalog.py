@@ -83,9 +83,12 @@ def test_publish_is_incremental(spark, lake):
     parts = lambda: sorted(r[0] for r in spark.sql("SHOW PARTITIONS incdom.T").collect())
     append(spark, df([1]), lake, ref, "u1", epoch=100)
     publish(spark, lake, ref)
+    spark.sql("ALTER TABLE incdom.T SET TBLPROPERTIES ('probe' = 'kept')")
     append(spark, df([2]), lake, ref, "u1", epoch=101)
     publish(spark, lake, ref)
     assert parts() == ["upload_date=100", "upload_date=101"]
+    # the table was altered, not declared again
+    assert spark.sql("SHOW TBLPROPERTIES incdom.T ('probe')").first()["value"] == "kept"
     reload(spark, df([3]), lake, ref, "u1", epoch=102)
     publish(spark, lake, ref)
     assert parts() == ["upload_date=102"]
@@ -98,3 +101,16 @@ def test_publish_is_incremental(spark, lake):
     reload(spark, spark.createDataFrame([("9",)], "other string"), lake, ref, "u1", epoch=103)
     publish(spark, lake, ref)
     assert spark.table("incdom.T").columns == ["other", "upload_date"]
+
+
+def test_publish_same_name_from_another_lake(spark, tmp_path):
+    from sqlhaul import Lake
+
+    ref = DatasetRef("movedom", "T")
+    one, two = Lake(str(tmp_path / "one")), Lake(str(tmp_path / "two"))
+    append(spark, spark.createDataFrame([("a",)], "id string"), one, ref, "u1", epoch=100)
+    append(spark, spark.createDataFrame([("b",)], "id string"), two, ref, "u1", epoch=100)
+    publish(spark, one, ref)
+    assert [r["id"] for r in spark.table("movedom.T").collect()] == ["a"]
+    publish(spark, two, ref)
+    assert [r["id"] for r in spark.table("movedom.T").collect()] == ["b"]
