@@ -509,6 +509,14 @@ WINDOWS = [
                                  RANGE BETWEEN 5000 PRECEDING AND CURRENT ROW) AS n_recent
            FROM orders""",
     ),
+    Conf(
+        "window_time_range_frame",
+        ("events",),
+        """SELECT event_id,
+                  count(*) OVER (PARTITION BY user_id ORDER BY ts
+                                 RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n_last_hour
+           FROM events""",
+    ),
     Conf(
         "window_distribution",
         ("orders",),
@@ -610,6 +618,16 @@ SCALAR = [
                   lpad(CAST(c_nationkey AS VARCHAR), 4, '0') AS pad, regexp_replace(c_name, '[0-9]+', '#', 'g') AS rx
            FROM customer""",
     ),
+    Conf(
+        "string_functions_more",
+        ("customer",),
+        """SELECT c_custkey, regexp_extract(c_name, '#([0-9]+)', 1) AS digits, split_part(c_name, '#', 1) AS head,
+                  translate(c_mktsegment, 'AEIOU', 'aeiou') AS tr, CAST(instr(c_name, '0') AS BIGINT) AS first_zero,
+                  reverse(c_mktsegment) AS rev, repeat(substring(c_mktsegment, 1, 1), 3) AS rep3,
+                  left(c_name, 4) AS l4, right(c_name, 3) AS r3, c_name LIKE 'Customer#00000001%' AS lk,
+                  c_mktsegment ILIKE 'auto%' AS ilk
+           FROM customer""",
+    ),
     Conf(
         "math_functions",
         ("orders",),
@@ -837,6 +855,26 @@ def ctas_parquet(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table("conformance.order_totals")
 
 
+def insert_into_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``CREATE TABLE ... USING parquet LOCATION`` then two ``INSERT INTO``."""
+    _views(spark, sf_dir, ("orders",))
+    ensure_database(spark, "conformance")
+    spark.sql("DROP TABLE IF EXISTS conformance.status_counts")
+    spark.sql(
+        "CREATE TABLE conformance.status_counts (o_orderstatus STRING, n_orders BIGINT) USING parquet "
+        f"LOCATION '{scratch_dir(spark, 'insert')}'"
+    )
+    spark.sql(
+        "INSERT INTO conformance.status_counts "
+        "SELECT o_orderstatus, count(*) FROM orders WHERE o_orderstatus = 'F' GROUP BY o_orderstatus"
+    )
+    spark.sql(
+        "INSERT INTO conformance.status_counts "
+        "SELECT o_orderstatus, count(*) FROM orders WHERE o_orderstatus <> 'F' GROUP BY o_orderstatus"
+    )
+    return spark.table("conformance.status_counts")
+
+
 _LINE_COLS = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag", "l_shipdate"]
 _LINE_SQL = "SELECT " + ", ".join(_LINE_COLS) + " FROM lineitem"
 
@@ -851,6 +889,10 @@ EXTRA: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
         _format_roundtrip("text", "customer", ["c_name"]),
         "SELECT c_name AS value FROM customer",
     ),
+    "insert_into_table": (
+        insert_into_table,
+        "SELECT o_orderstatus, count(*) AS n_orders FROM orders GROUP BY o_orderstatus",
+    ),
     "ctas_parquet": (
         ctas_parquet,
         "SELECT o_custkey, count(*) AS n_orders, max(o_totalprice) AS max_price FROM orders GROUP BY o_custkey",
