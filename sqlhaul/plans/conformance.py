@@ -819,6 +819,56 @@ TIME_WINDOWS = [
            SELECT user_id, min(ts) AS s_start, max(ts) + INTERVAL 30 MINUTE AS s_end, count(*) AS n_events
            FROM s GROUP BY user_id, sid""",
     ),
+    Conf(
+        # The same sessions without putting one user's events in one task:
+        # sessions are numbered inside (user, hour) chunks, then stitched
+        # across chunk edges with a running count over a per-(user, hour)
+        # summary (one row per user-hour, however many events a user has).
+        # The final grouping is min/max/count, pre-aggregated map-side.
+        "session_window_chunked",
+        ("events",),
+        """WITH e AS (
+             SELECT user_id, ts,
+                    timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) DIV 3600000000 AS chunk
+             FROM events),
+           g AS (
+             SELECT user_id, chunk, ts,
+                    CASE WHEN lag(ts) OVER (PARTITION BY user_id, chunk ORDER BY ts) >= ts - INTERVAL 30 MINUTES
+                         THEN 0 ELSE 1 END AS new_s
+             FROM e),
+           l AS (
+             SELECT user_id, chunk, ts,
+                    sum(new_s) OVER (PARTITION BY user_id, chunk ORDER BY ts
+                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS local_sid
+             FROM g),
+           c AS (
+             SELECT user_id, chunk, min(ts) AS first_ts, max(ts) AS last_ts, max(local_sid) AS n_local
+             FROM l GROUP BY user_id, chunk),
+           b AS (
+             SELECT user_id, chunk, n_local,
+                    CASE WHEN lag(last_ts) OVER (PARTITION BY user_id ORDER BY chunk) >= first_ts - INTERVAL 30 MINUTES
+                         THEN 1 ELSE 0 END AS joins_prev
+             FROM c),
+           o AS (
+             SELECT user_id, chunk,
+                    coalesce(sum(n_local) OVER (PARTITION BY user_id ORDER BY chunk
+                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+                    - sum(joins_prev) OVER (PARTITION BY user_id ORDER BY chunk
+                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS base
+             FROM b)
+           SELECT l.user_id, min(l.ts) AS s_start, max(l.ts) + INTERVAL 30 MINUTES AS s_end, count(*) AS n_events
+           FROM l JOIN o ON l.user_id = o.user_id AND l.chunk = o.chunk
+           GROUP BY l.user_id, o.base + l.local_sid""",
+        """WITH g AS (
+             SELECT user_id, ts,
+                    CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= ts - INTERVAL 30 MINUTE
+                         THEN 0 ELSE 1 END AS new_s
+             FROM events),
+           s AS (SELECT user_id, ts, sum(new_s) OVER (PARTITION BY user_id ORDER BY ts
+                                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g)
+           SELECT user_id, min(ts) AS s_start, max(ts) + INTERVAL 30 MINUTE AS s_end, count(*) AS n_events
+           FROM s GROUP BY user_id, sid""",
+    ),
 ]
 
 ALL: list[Conf] = SCANS + PROJECT_FILTER + JOINS + AGGREGATION + WINDOWS + SORT_SET + SCALAR + TIME_WINDOWS
