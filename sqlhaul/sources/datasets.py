@@ -118,7 +118,8 @@ def read_dataset(
             raise HeaderDrift(f"dataset {ref}: visible uploads differ in columns: {sorted(column_lists)}")
         columns = list(next(iter(column_lists))) if column_lists else []
         if not uploads:
-            return spark.createDataFrame([], string_schema(columns))
+            empty = spark.createDataFrame([], string_schema(columns))
+            return empty.withColumn(PARTITION_COLUMN, F.lit(None).cast("bigint")) if with_upload_date else empty
         df = None
         for fmt in sorted({u["format"] for u in uploads}):
             paths = [lake.upload_dir(ref, u["upload_date"], u["user_id"], fmt) for u in uploads if u["format"] == fmt]
