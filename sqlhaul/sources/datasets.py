@@ -24,6 +24,10 @@ from .csv_contract import READ_OPTIONS, string_schema
 
 PARTITION_COLUMN = "upload_date"
 
+# Characters a name part may not hold: path separators, the ref separator, and
+# what Hadoop reads as glob syntax in a path.
+PATH_UNSAFE = "/:\\[]{}*?"
+
 
 class DatasetNotFound(LookupError):
     pass
@@ -42,7 +46,7 @@ class DatasetRef:
 
     def __post_init__(self) -> None:
         for part in (self.domain, self.dataset):
-            if not part or "/" in part or ":" in part or part != part.strip():
+            if not part or part != part.strip() or any(ch in part for ch in PATH_UNSAFE):
                 raise ValueError(f"bad dataset name part {part!r}")
 
     @classmethod

@@ -9,6 +9,8 @@ uploaded many times never gathers in one place.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,6 +23,11 @@ class StoredQueryNotFound(LookupError):
     pass
 
 
+def _glob_escape(path: str) -> str:
+    """A path read literally: Hadoop treats these characters as glob syntax."""
+    return re.sub(r"([\\\[\]{}*?])", r"\\\1", path)
+
+
 def _listing(spark: SparkSession, directory: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(directory)
 
@@ -69,7 +76,7 @@ def find_query(spark: SparkSession, directory: str, file_name: str) -> str:
     )
     if not chosen:
         raise StoredQueryNotFound(f"no stored query named {file_name!r} under {directory}")
-    content = _listing(spark, chosen[0]["path"]).select(F.decode("content", "UTF-8").alias("text")).first()
+    content = _listing(spark, _glob_escape(chosen[0]["path"])).select(F.decode("content", "UTF-8").alias("text")).first()
     text = content["text"] if content else None
     if text is None or not text.strip():
         raise StoredQueryNotFound(f"stored query {file_name!r} is empty")

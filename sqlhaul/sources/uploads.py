@@ -20,7 +20,7 @@ from .. import session
 from ..operators.result import stringify
 from . import upload_log
 from .csv_contract import DEFAULT_MAX_RECORDS_PER_FILE, UPLOAD_FORMATS, WRITE_OPTIONS
-from .datasets import PARTITION_COLUMN, DatasetRef, Lake
+from .datasets import PARTITION_COLUMN, PATH_UNSAFE, DatasetRef, Lake
 
 
 class UploadRefused(ValueError):
@@ -43,8 +43,8 @@ class LoadResult:
 
 def _check_user(user: str) -> None:
     # the user id is the first "_" field of object names and a folder name
-    if not user or "_" in user or "/" in user or user != user.strip():
-        raise UploadRefused(f"user id {user!r} must be non-empty without '_', '/' or outer blanks")
+    if not user or "_" in user or user != user.strip() or any(ch in user for ch in PATH_UNSAFE):
+        raise UploadRefused(f"user id {user!r} must be non-empty, without '_', outer blanks or any of {PATH_UNSAFE!r}")
 
 
 def write_upload(

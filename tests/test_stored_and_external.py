@@ -100,3 +100,9 @@ def test_key_fields_match_brute_force(spark, keys):
     df = spark.createDataFrame([(k,) for k in keys], "path string")
     got = [tuple(r) for r in df.select(*upload_key_fields(F.col("path"))).collect()]
     assert got == [_python_fields(k) for k in keys]
+
+
+def test_names_with_glob_characters(spark, lake):
+    put_query(spark, lake, SQL_DS, "u1", "ds9", 100, "q[1]{a,b}*.sql", "SELECT 'star' AS v")
+    put_query(spark, lake, SQL_DS, "u1", "ds9", 101, "q1a.sql", "SELECT 'plain' AS v")
+    assert find_query(spark, lake.dataset_dir(SQL_DS), "q[1]{a,b}*.sql") == "SELECT 'star' AS v"

@@ -72,7 +72,7 @@ def test_unlogged_upload_is_invisible(spark, lake):
 
 
 def test_bad_user_ids_refused(spark, lake):
-    for user in ["a_b", "", "x/y", " u"]:
+    for user in ["a_b", "", "x/y", " u", "u[1]", "u*"]:
         with pytest.raises(UploadRefused):
             append(spark, _df(spark, [(1, "a")]), lake, REF, user, epoch=10)
 
@@ -97,7 +97,7 @@ def test_missing_dataset_raises(spark, lake):
 
 def test_dataset_ref_parsing():
     assert DatasetRef.parse(" dom:Data ") == DatasetRef("dom", "Data")
-    for bad in ["dom", "dom:", ":ds", "a:b:c", "a/b:c"]:
+    for bad in ["dom", "dom:", ":ds", "a:b:c", "a/b:c", "d:ds[1]", "d{x}:ds", "d:a*"]:
         with pytest.raises(ValueError):
             DatasetRef.parse(bad)
     assert DatasetRef("dom", "Data").prefix == "dom/Data/"
