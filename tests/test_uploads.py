@@ -177,3 +177,20 @@ def test_publish_parquet_dataset(spark, lake):
     assert [r["id"] for r in df.collect()] == ["3"]
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters" in plan
+
+
+@pytest.mark.parametrize("second", ["a string", "a string, b string, c string"])
+def test_header_drift_missing_or_extra_columns(spark, lake, second):
+    append(spark, spark.createDataFrame([("1", "2")], "a string, b string"), lake, REF, "u1", epoch=10)
+    row = tuple(str(i) for i in range(second.count(",") + 1))
+    append(spark, spark.createDataFrame([row], second), lake, REF, "u1", epoch=11)
+    with pytest.raises(HeaderDrift):
+        read_dataset(spark, lake, REF)
+
+
+def test_unlogged_reordered_header_fails_fast(spark, lake):
+    opts = {"header": "true", "escape": '"'}
+    spark.createDataFrame([("1", "2")], "a string, b string").write.options(**opts).csv(lake.upload_dir(REF, 10, "x"))
+    spark.createDataFrame([("3", "4")], "b string, a string").write.options(**opts).csv(lake.upload_dir(REF, 11, "x"))
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_dataset(spark, lake, REF, logged=False).collect()
