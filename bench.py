@@ -1,6 +1,7 @@
 """Benchmark: headline loads and the SQL conformance set at one scale factor.
 
     BENCH_SF_DIR=/root/testdata/sf0.1 BENCH_CPUS=8 python bench.py
+    BENCH_EVENT_LOG_DIR=<fresh folder> python bench.py   # plus scripts/stage_times.py
 
 Prints one JSON line. Each query is run to completion on the executors with
 the ``noop`` sink (nothing is collected to the driver); the conformance set
@@ -22,7 +23,7 @@ sys.path.insert(0, ROOT)
 from pyspark.sql import functions as F  # noqa: E402
 
 from sqlhaul import DatasetRef, Lake, append, load_sql, read_dataset, reload  # noqa: E402
-from sqlhaul.plans import conformance, load_queries  # noqa: E402
+from sqlhaul.plans import conformance, inputs, load_queries  # noqa: E402
 from sqlhaul.session import build_session, scratch_dir  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
@@ -50,13 +51,13 @@ def timed(fn) -> float:
 
 
 def main() -> None:
-    spark = build_session(
-        f"local[{CPUS}]",
-        app="sqlhaul-bench",
-        **{"spark.sql.shuffle.partitions": str(int(CPUS) * 2), "spark.driver.memory": "16g"},
-    )
+    conf = {"spark.sql.shuffle.partitions": str(int(CPUS) * 2), "spark.driver.memory": "16g"}
+    event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    if event_dir:  # stage/task times for scripts/stage_times.py (no UI)
+        conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
+    spark = build_session(f"local[{CPUS}]", app="sqlhaul-bench", **conf)
     spark.sparkContext.setLogLevel("ERROR")
-    table = lambda n: spark.read.parquet(f"{SF_DIR}/{n}.parquet")
+    table = lambda n: inputs.table(spark, SF_DIR, n)
     results: dict[str, float] = {}
 
     lake = Lake(scratch_dir(spark, "bench"))

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from ..operators.sql import register, run_sql
 from ..session import ensure_database, scratch_dir
+from .inputs import table
 
 SAME = object()  # oracle text equals the Spark text
 
@@ -34,20 +35,8 @@ class Conf:
     setup: tuple[str, ...] = ()  # statements run first (e.g. CREATE TEMPORARY FUNCTION)
 
 
-_FRAMES: dict[tuple[str, str], DataFrame] = {}
-
-
-def _table(spark: SparkSession, path: str) -> DataFrame:
-    """One DataFrame per (application, path): the driver tables are read-only,
-    so their file listing and parquet footers are read once, not per query."""
-    key = (spark.sparkContext.applicationId, path)
-    if key not in _FRAMES:
-        _FRAMES[key] = spark.read.parquet(path)
-    return _FRAMES[key]
-
-
 def _views(spark: SparkSession, sf_dir: str, tables) -> None:
-    register(spark, {t: _table(spark, f"{sf_dir}/{t}.parquet") for t in tables})
+    register(spark, {t: table(spark, sf_dir, t) for t in tables})
 
 
 def _runner(c: Conf) -> Callable[[SparkSession, str], DataFrame]:
@@ -879,10 +868,10 @@ ALL: list[Conf] = SCANS + PROJECT_FILTER + JOINS + AGGREGATION + WINDOWS + SORT_
 # ---------------------------------------------------------------------------
 
 
-def _format_roundtrip(fmt: str, table: str, columns: list[str], **options):
+def _format_roundtrip(fmt: str, name: str, columns: list[str], **options):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        src = spark.read.parquet(f"{sf_dir}/{table}.parquet").select(*columns)
-        path = f"{scratch_dir(spark, 'fmt-' + fmt)}/{table}.{fmt}"
+        src = table(spark, sf_dir, name).select(*columns)
+        path = f"{scratch_dir(spark, 'fmt-' + fmt)}/{name}.{fmt}"
         src.write.format(fmt).options(**options).save(path)
         reader = spark.read.format(fmt).options(**options)
         if fmt != "text":

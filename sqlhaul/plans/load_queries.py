@@ -20,6 +20,7 @@ from ..operators.result import stringify
 from ..sources.datasets import DatasetRef, Lake, read_dataset, read_result_csv
 from ..sources.stored import files_to_queries, latest_per_name, put_query
 from ..sources.uploads import append, reload
+from .inputs import table
 from .jobs import load_sql, load_stored
 
 EPOCH0 = 1_700_000_000
@@ -27,7 +28,7 @@ USER = "etluser"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return table(spark, sf_dir, name)
 
 
 def _lake(spark: SparkSession, tag: str) -> Lake:
