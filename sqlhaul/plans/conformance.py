@@ -678,6 +678,27 @@ SCALAR = [
            FROM orders""",
         None,
     ),
+    Conf(
+        # spellings common in other engines' SQL that Spark also accepts
+        "portable_function_names",
+        ("orders",),
+        """SELECT o_orderkey, regexp_like(o_orderpriority, '^[12]-') AS urgentish,
+                  CAST(cardinality(split(o_orderpriority, '-')) AS BIGINT) AS n_parts,
+                  datediff(DAY, o_orderdate, TIMESTAMP_NTZ '2002-01-01 00:00:00') AS days_left,
+                  dateadd(DAY, 30, o_orderdate) AS due,
+                  concat_ws('|', o_orderstatus, o_orderpriority) AS cw,
+                  nvl(NULLIF(o_orderstatus, 'F'), 'final') AS st,
+                  if(o_totalprice > 250000, 'big', 'small') AS size_band
+           FROM orders""",
+        """SELECT o_orderkey, regexp_matches(o_orderpriority, '^[12]-') AS urgentish,
+                  CAST(len(string_split(o_orderpriority, '-')) AS BIGINT) AS n_parts,
+                  date_diff('day', o_orderdate, TIMESTAMP '2002-01-01 00:00:00') AS days_left,
+                  o_orderdate + INTERVAL 30 DAY AS due,
+                  concat_ws('|', o_orderstatus, o_orderpriority) AS cw,
+                  coalesce(NULLIF(o_orderstatus, 'F'), 'final') AS st,
+                  CASE WHEN o_totalprice > 250000 THEN 'big' ELSE 'small' END AS size_band
+           FROM orders""",
+    ),
     Conf(
         "array_functions",
         ("lineitem",),
