@@ -51,7 +51,11 @@ def timed(fn) -> float:
 
 
 def main() -> None:
-    conf = {"spark.sql.shuffle.partitions": str(int(CPUS) * 2), "spark.driver.memory": "16g"}
+    conf = {
+        "spark.sql.shuffle.partitions": str(int(CPUS) * 2),
+        "spark.driver.memory": "16g",
+        "spark.ui.showConsoleProgress": "false",
+    }
     event_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
     if event_dir:  # stage/task times for scripts/stage_times.py (no UI)
         conf.update({"spark.eventLog.enabled": "true", "spark.eventLog.dir": event_dir})
