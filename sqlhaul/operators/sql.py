@@ -23,10 +23,14 @@ def register(
     spark: SparkSession,
     mapping: Mapping[str, DataFrame | DatasetRef | str],
     lake: Lake | None = None,
+    *,
+    with_upload_date: bool = False,
 ) -> dict[str, DataFrame]:
     """``alias -> DataFrame | DatasetRef | "domain:dataset"``; each becomes a
     temp view named ``alias`` (an existing view of that name is replaced).
-    Datasets are read lazily: nothing is scanned until the query runs."""
+    Datasets are read lazily: nothing is scanned until the query runs.
+    ``with_upload_date=True`` keeps the ``upload_date`` column on dataset
+    views, so a filter on it prunes uploads (a partition filter)."""
     frames: dict[str, DataFrame] = {}
     for alias, source in mapping.items():
         if isinstance(source, DataFrame):
@@ -35,7 +39,7 @@ def register(
             ref = source if isinstance(source, DatasetRef) else DatasetRef.parse(source)
             if lake is None:
                 raise ValueError(f"alias {alias!r} names dataset {ref} but no lake was given")
-            df = read_dataset(spark, lake, ref)
+            df = read_dataset(spark, lake, ref, with_upload_date=with_upload_date)
         df.createOrReplaceTempView(alias)
         frames[alias] = df
     return frames

@@ -55,9 +55,11 @@ def load_sql(
     epoch: int | None = None,
     show: int = 0,
     file_format: str = "csv",
+    with_upload_date: bool = False,
 ) -> LoadResult:
-    """Mapped datasets -> Spark SQL -> new upload of ``target`` (append by default)."""
-    register(spark, mapping, lake)
+    """Mapped datasets -> Spark SQL -> new upload of ``target`` (append by default).
+    ``with_upload_date=True`` exposes ``upload_date`` on the dataset views."""
+    register(spark, mapping, lake, with_upload_date=with_upload_date)
     df = run_sql(spark, query, args)
     return _load(spark, df, lake, target, user, reload=reload, skip_empty=skip_empty, epoch=epoch, show=show,
                  file_format=file_format)

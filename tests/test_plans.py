@@ -61,3 +61,15 @@ def test_published_dataset_prunes_upload_partitions(spark, lake):
     publish(spark, lake, ref)
     p = plan(run_sql(spark, "SELECT id FROM plandom.events WHERE upload_date = 12"))
     assert re.search(r"PartitionFilters: \[.*upload_date.*= 12\)", p)
+
+
+def test_registered_dataset_view_prunes_uploads(spark, lake):
+    from sqlhaul import register
+
+    ref = DatasetRef("p", "daily")
+    for e in (10, 11, 12):
+        append(spark, spark.createDataFrame([(str(e), "x")], "id string, v string"), lake, ref, "u1", epoch=e)
+    register(spark, {"daily": ref}, lake, with_upload_date=True)
+    df = run_sql(spark, "SELECT id FROM daily WHERE upload_date >= 12")
+    assert [r["id"] for r in df.collect()] == ["12"]
+    assert re.search(r"PartitionFilters: \[.*upload_date", plan(df))
