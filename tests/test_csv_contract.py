@@ -117,3 +117,13 @@ def test_round_trip_property(spark, tmp_path_factory, values):
     df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], "id string, v string")
     append(spark, df, lake, REF, "u1", epoch=100)
     assert _rows(read_dataset(spark, lake, REF)) == _rows(df)
+
+
+def test_awkward_column_names_round_trip(spark, lake):
+    names = ["a,b", 'q"x', "sp ace", "ünï", "#hash"]
+    df = spark.createDataFrame([tuple(f"v{i}" for i in range(len(names)))], [f"c{i}" for i in range(len(names))])
+    df = df.toDF(*names)
+    append(spark, df, lake, REF, "u1", epoch=100)
+    back = read_dataset(spark, lake, REF)
+    assert back.columns == names
+    assert tuple(back.first()) == tuple(f"v{i}" for i in range(len(names)))
