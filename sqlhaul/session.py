@@ -1,9 +1,13 @@
 """Session helpers: the shared workspace folder and Hadoop file system access.
 
-Everything this library writes outside a named lake (scratch datasets for
-conformance queries, lineage cuts) goes under the folder the cluster names in
-``spark.checkpoint.dir``. Only when the session has none (local tests) is a
-temporary folder created and set as the checkpoint dir.
+Everything this library writes outside a named lake (scratch datasets of the
+driver queries, catalog database folders) goes under the folder the cluster
+names in ``spark.checkpoint.dir``. Only when the session has none (local
+tests) is a temporary folder created and set as the checkpoint dir.
+
+The file-system helpers are for metadata only (log generations, one stored
+query file, removing an upload folder this library just wrote); they use the
+Hadoop FileSystem API of a classic session.
 """
 
 from __future__ import annotations
