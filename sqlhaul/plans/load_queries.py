@@ -13,10 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.sql import register, run_sql
+from ..operators.result import stringify
+from ..operators.sql import run_sql
 from ..session import ensure_database, scratch_dir
 from ..sources.catalog import publish
-from ..operators.result import stringify
 from ..sources.datasets import DatasetRef, Lake, read_dataset, read_result_csv
 from ..sources.stored import files_to_queries, latest_per_name, put_query
 from ..sources.uploads import append, reload
