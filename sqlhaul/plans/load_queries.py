@@ -13,8 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.result import stringify
-from ..operators.sql import run_sql
+from ..operators.result import preview, stringify
+from ..operators.sql import register, run_sql
 from ..session import ensure_database, scratch_dir
 from ..sources.catalog import publish
 from ..sources.datasets import DatasetRef, Lake, read_dataset, read_result_csv
@@ -35,6 +35,12 @@ def _lake(spark: SparkSession, tag: str) -> Lake:
     return Lake(scratch_dir(spark, tag))
 
 
+def load_sql_frame(spark: SparkSession, lake: Lake, mapping, query: str) -> DataFrame:
+    """The result a load would write, before the write (what a preview shows)."""
+    register(spark, mapping, lake)
+    return run_sql(spark, query)
+
+
 # -- A1 A3 A4 A9 A14 A19: the mapped-datasets job with the UNION ALL text ----
 
 UNION_ALL_QUERY = """
@@ -193,6 +199,18 @@ def limit_any_ten(spark, sf_dir):
     return run_sql(spark, "select * from domain.dataset LIMIT 10;")
 
 
+def preview_result(spark, sf_dir):
+    """A13: the first rows of a load's result as the preview shows them; the
+    text orders its result so the twenty rows are defined."""
+    lake, ref = _lake(spark, "preview"), DatasetRef("sales", "orders")
+    append(spark, _table(spark, sf_dir, "orders"), lake, ref, USER, epoch=EPOCH0)
+    result = load_sql_frame(
+        spark, lake, {"o": ref},
+        "SELECT o_orderkey, o_orderpriority FROM o ORDER BY CAST(o_totalprice AS DOUBLE) DESC, o_orderkey",
+    )
+    return preview(result, 20)
+
+
 def qualified_dataset_pruned(spark, sf_dir):
     """Three uploads, one reload: the catalog table holds only the visible
     uploads, and a filter on ``upload_date`` prunes partitions."""
@@ -280,6 +298,7 @@ LOAD_QUERIES = {
     "qualified_scan": qualified_scan,
     "limit_ordered": limit_ordered,
     "limit_any_ten": limit_any_ten,
+    "preview_result": preview_result,
     "qualified_dataset_pruned": qualified_dataset_pruned,
     "stored_query_keys": stored_query_keys,
     "stored_query_latest": stored_query_latest,
@@ -344,6 +363,9 @@ LOAD_ORACLES = {
     "limit_ordered": f"""
         SELECT {_ORDERS_TEXT}, CAST(1700000000 AS BIGINT) AS upload_date
         FROM orders ORDER BY orders.o_totalprice DESC, orders.o_orderkey LIMIT 10""",
+    "preview_result": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority
+        FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""",
     "qualified_dataset_pruned": """
         SELECT l_returnflag, l_linestatus, count(*) AS n_lines, CAST(sum(l_quantity) AS DECIMAL(18,2)) AS sum_qty
         FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_returnflag, l_linestatus""",
