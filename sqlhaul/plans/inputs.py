@@ -14,7 +14,7 @@ _FRAMES: dict[tuple[str, str], DataFrame] = {}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, path)
+    key = (spark.conf.get("spark.app.id"), path)
     if key not in _FRAMES:
         _FRAMES[key] = spark.read.parquet(path)
     return _FRAMES[key]
