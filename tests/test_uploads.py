@@ -194,3 +194,13 @@ def test_unlogged_reordered_header_fails_fast(spark, lake):
     spark.createDataFrame([("3", "4")], "b string, a string").write.options(**opts).csv(lake.upload_dir(REF, 11, "x"))
     with pytest.raises(Exception, match="(?i)header|schema"):
         read_dataset(spark, lake, REF, logged=False).collect()
+
+
+def test_collapse_many_uploads_by_reloading_from_itself(spark, lake):
+    for i in range(5):
+        append(spark, _df(spark, [(i, "x")]), lake, REF, "u1", epoch=10 + i)
+    res = load_sql(spark, lake, {"d": REF}, "SELECT * FROM d", REF, "u1", reload=True, epoch=20, file_format="parquet")
+    assert res.rows == 5
+    got = read_dataset(spark, lake, REF, with_upload_date=True)
+    assert {r["upload_date"] for r in got.collect()} == {20}
+    assert _ids(got) == [str(i) for i in range(5)]
