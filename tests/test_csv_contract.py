@@ -127,3 +127,17 @@ def test_awkward_column_names_round_trip(spark, lake):
     back = read_dataset(spark, lake, REF)
     assert back.columns == names
     assert tuple(back.first()) == tuple(f"v{i}" for i in range(len(names)))
+
+
+def test_result_csv_from_another_engine(spark, tmp_path):
+    from sqlhaul import read_result_csv
+
+    path = tmp_path / "query-0001.csv"
+    path.write_text('"id","v","n"\n"1","say ""hi""","007"\n"2","","1.50"\n"3","two\nlines","x"\n', encoding="utf-8")
+    df = read_result_csv(spark, str(path))
+    assert dict(df.dtypes) == {"id": "string", "v": "string", "n": "string"}
+    assert sorted(tuple(r) for r in df.collect()) == [
+        ("1", 'say "hi"', "007"),
+        ("2", None, "1.50"),
+        ("3", "two\nlines", "x"),
+    ]
