@@ -469,6 +469,30 @@ WINDOWS = [
                   CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS tile
            FROM orders""",
     ),
+    Conf(
+        # The same row_number without one task per customer: a row number
+        # within (customer, price bucket) plus the rows of all higher buckets,
+        # from a per-(customer, bucket) count table (a running sum over at most
+        # one row per bucket). The oracle is the plain window.
+        "window_row_number_chunked",
+        ("orders",),
+        """WITH b AS (
+             SELECT o_orderkey, o_custkey, o_totalprice, CAST(floor(o_totalprice / 10000) AS BIGINT) AS bucket
+             FROM orders),
+           c AS (SELECT o_custkey, bucket, count(*) AS n FROM b GROUP BY o_custkey, bucket),
+           o AS (
+             SELECT o_custkey, bucket,
+                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket DESC
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
+             FROM c)
+           SELECT b.o_orderkey, b.o_custkey,
+                  o.before + row_number() OVER (PARTITION BY b.o_custkey, b.bucket
+                                                ORDER BY b.o_totalprice DESC, b.o_orderkey) AS rn
+           FROM b JOIN o ON b.o_custkey = o.o_custkey AND b.bucket = o.bucket""",
+        """SELECT o_orderkey, o_custkey,
+                  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn
+           FROM orders""",
+    ),
     Conf(
         "window_lag_lead",
         ("orders",),

@@ -1,6 +1,7 @@
-"""Event-time texts written to spread a hot key (chunked sessions, as-of and
-interval joins) against plain-Python brute force on dense fixtures: one very
-active user whose sessions and matches run across hour and bucket edges."""
+"""Texts written to spread a hot key (chunked sessions, as-of and interval
+joins, chunked row_number) against plain-Python brute force on dense
+fixtures: one very active user or customer whose sessions, matches and ranks
+run across hour and bucket edges."""
 
 import datetime as dt
 
@@ -101,3 +102,24 @@ def test_asof_and_interval_joins_match_brute_force(spark):
     )
     got = sorted(tuple(r) for r in spark.sql(TEXTS["interval_join"]).collect())
     assert got == interval
+
+
+def test_chunked_row_number_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = []
+    for k in range(600):  # customer 1 is hot; prices repeat within and across buckets
+        cust = 1 if k < 500 else 2 + k % 5
+        price = float(rnd.choice([5000, 9999.99, 10000, 15000, 15000, 25000.5, 99999, 100000]))
+        rows.append((k, cust, "O", price, dt.datetime(2000, 1, 1), "1-URGENT"))
+    spark.createDataFrame(
+        rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string"
+    ).createOrReplaceTempView("orders")
+    expected = []
+    for cust in sorted({r[1] for r in rows}):
+        mine = sorted((r for r in rows if r[1] == cust), key=lambda r: (-r[3], r[0]))
+        expected += [(r[0], cust, i + 1) for i, r in enumerate(mine)]
+    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_row_number_chunked"]).collect())
+    assert got == sorted(expected)
