@@ -74,9 +74,13 @@ def write_upload(
     text = stringify(df)
     if PARTITION_COLUMN in text.columns:
         raise UploadRefused(f"a data column may not be named {PARTITION_COLUMN!r} (it is the upload partition)")
-    epoch = int(time.time()) if epoch is None else int(epoch)
     log_dir = lake.log_dir(ref, landing=True)
     last = upload_log.last_epoch(spark, log_dir)
+    if epoch is None:
+        # automatic: the current second, or one past the last upload if that
+        # is not earlier (several loads of one dataset within one second)
+        epoch = max(int(time.time()), (last or 0) + 1)
+    epoch = int(epoch)
     if last is not None and epoch <= last:
         raise UploadRefused(f"upload_date {epoch} is not after the last upload {last} of {ref}")
 

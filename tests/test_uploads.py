@@ -204,3 +204,10 @@ def test_collapse_many_uploads_by_reloading_from_itself(spark, lake):
     got = read_dataset(spark, lake, REF, with_upload_date=True)
     assert {r["upload_date"] for r in got.collect()} == {20}
     assert _ids(got) == [str(i) for i in range(5)]
+
+
+def test_automatic_epochs_never_collide(spark, lake):
+    results = [append(spark, _df(spark, [(i, "x")]), lake, REF, "u1") for i in range(3)]
+    epochs = [r.upload_date for r in results]
+    assert epochs == sorted(set(epochs))  # strictly increasing, even within one second
+    assert _ids(read_dataset(spark, lake, REF)) == ["0", "1", "2"]
