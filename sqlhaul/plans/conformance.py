@@ -7,6 +7,12 @@ or sampled results, checked by row count only). Where the two engines differ
 in result types (``int`` vs ``BIGINT`` for ranks, lengths, date parts) both
 texts cast explicitly; sums of doubles are cast to decimals so that the
 summation order cannot show.
+
+Where the obvious text would pair every event of a user with every other
+(as-of, interval joins) or put one user's or customer's rows in one task
+(sessions, row_number), the Spark text is written to split the hot key
+(time or value buckets plus a small per-bucket summary) and the DuckDB text
+stays the obvious one, so the oracle checks the rewrite.
 """
 
 from __future__ import annotations
