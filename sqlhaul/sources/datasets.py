@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 from . import upload_log
 from .csv_contract import READ_OPTIONS, string_schema
 
+# The upload folder layout <domain>/<dataset>/upload_date=<epoch
+# seconds>/<user>/<format>/, with "csv" as the folder of CSV uploads.
 PARTITION_COLUMN = "upload_date"
 
 # Characters a name part may not hold: path separators, the ref separator, and
