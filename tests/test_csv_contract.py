@@ -141,3 +141,12 @@ def test_result_csv_from_another_engine(spark, tmp_path):
         ("2", None, "1.50"),
         ("3", "two\nlines", "x"),
     ]
+
+
+def test_stringify_variant_and_interval(spark):
+    df = spark.sql("""SELECT parse_json('{"a": 1, "b": [true, null]}') AS v, INTERVAL 3 DAYS AS d,
+                             CAST(NULL AS VARIANT) AS nv""")
+    out = stringify(df).first()
+    assert out["v"] == '{"a":1,"b":[true,null]}'
+    assert out["d"] == "INTERVAL '3' DAY"
+    assert out["nv"] is None
