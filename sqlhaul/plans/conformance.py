@@ -806,6 +806,30 @@ SCALAR = [
                   to_base64(encode(c_name)) AS b64_name
            FROM customer""",
     ),
+    Conf(
+        # whole texts: lengths and word counts over every document
+        "text_tables_join",
+        ("documents", "labels"),
+        """SELECT d.lang, l.quality, l.toxic, count(*) AS n_docs,
+                  CAST(sum(length(d.text)) AS BIGINT) AS n_chars,
+                  CAST(sum(size(split(trim(d.text), '[ \\n\\t]+'))) AS BIGINT) AS n_words,
+                  CAST(sum(CASE WHEN d.text LIKE '%\n%' THEN 1 ELSE 0 END) AS BIGINT) AS multi_line
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+           GROUP BY d.lang, l.quality, l.toxic""",
+        """SELECT d.lang, l.quality, l.toxic, count(*) AS n_docs,
+                  CAST(sum(length(d.text)) AS BIGINT) AS n_chars,
+                  CAST(sum(len(regexp_split_to_array(trim(d.text), '[ \n\t]+'))) AS BIGINT) AS n_words,
+                  CAST(sum(CASE WHEN contains(d.text, chr(10)) THEN 1 ELSE 0 END) AS BIGINT) AS multi_line
+           FROM documents d JOIN labels l ON d.doc_id = l.doc_id
+           GROUP BY d.lang, l.quality, l.toxic""",
+    ),
+    Conf(
+        "conversation_turns",
+        ("conversations",),
+        """SELECT role, count(*) AS n_turns, count(DISTINCT conv_id) AS n_convs, max(turn) AS max_turn,
+                  CAST(sum(length(text)) AS BIGINT) AS n_chars
+           FROM conversations GROUP BY role""",
+    ),
     Conf(
         "hash_xxhash64",
         ("customer",),
