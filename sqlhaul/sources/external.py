@@ -58,11 +58,51 @@ def query_options(
     return opts
 
 
-def read_query(spark: SparkSession, source: JdbcSource, sql: str, *, as_text: bool = False, **partitioning) -> DataFrame:
+def partition_bounds(spark: SparkSession, source: JdbcSource, sql: str, column: str) -> tuple | None:
+    """``(min, max)`` of ``column`` over the result of ``sql``, computed by the
+    database (one small query); ``None`` when the result is empty."""
+    probe = f"SELECT min({column}) AS lo, max({column}) AS hi FROM ({sql.strip().rstrip(';')}) b"
+    row = spark.read.format("jdbc").options(**query_options(source, probe)).load().first()
+    if row is None or row[0] is None:
+        return None
+    return row[0], row[1]
+
+
+def read_query(
+    spark: SparkSession,
+    source: JdbcSource,
+    sql: str,
+    *,
+    as_text: bool = False,
+    partition_column: str | None = None,
+    lower_bound=None,
+    upper_bound=None,
+    num_partitions: int | None = None,
+    fetch_size: int = 10_000,
+) -> DataFrame:
     """DataFrame of ``sql`` run by the database behind ``source``.
 
-    ``as_text=True`` gives the all-string result the API path produced, without
-    its type guessing (``007`` stays ``007``, nulls stay null).
+    With ``partition_column`` and ``num_partitions`` the fetch is split into
+    parallel range reads; bounds not given are asked from the database first
+    (an empty result is read as one query). ``as_text=True`` gives the
+    all-string result the API path produced, without its type guessing
+    (``007`` stays ``007``, nulls stay null).
     """
-    df = spark.read.format("jdbc").options(**query_options(source, sql, **partitioning)).load()
+    if partition_column is not None and (lower_bound is None or upper_bound is None):
+        bounds = partition_bounds(spark, source, sql, partition_column)
+        if bounds is None:
+            partition_column = None
+        else:
+            lower_bound = bounds[0] if lower_bound is None else lower_bound
+            upper_bound = bounds[1] if upper_bound is None else upper_bound
+    opts = query_options(
+        source,
+        sql,
+        partition_column=partition_column,
+        lower_bound=lower_bound if partition_column else None,
+        upper_bound=upper_bound if partition_column else None,
+        num_partitions=num_partitions if partition_column else None,
+        fetch_size=fetch_size,
+    )
+    df = spark.read.format("jdbc").options(**opts).load()
     return stringify(df) if as_text else df

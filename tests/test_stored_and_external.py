@@ -106,3 +106,35 @@ def test_names_with_glob_characters(spark, lake):
     put_query(spark, lake, SQL_DS, "u1", "ds9", 100, "q[1]{a,b}*.sql", "SELECT 'star' AS v")
     put_query(spark, lake, SQL_DS, "u1", "ds9", 101, "q1a.sql", "SELECT 'plain' AS v")
     assert find_query(spark, lake.dataset_dir(SQL_DS), "q[1]{a,b}*.sql") == "SELECT 'star' AS v"
+
+
+def test_jdbc_bounds_asked_from_the_database(spark):
+    """Stand-in reader: answers the bounds probe, records the main read."""
+    from sqlhaul.sources import external
+
+    calls = []
+
+    class _Reader:
+        def __init__(self, fmt):
+            self.opts = {}
+
+        def options(self, **opts):
+            self.opts = opts
+            return self
+
+        def load(self):
+            calls.append(self.opts)
+            if "min(o_orderkey)" in self.opts.get("query", ""):
+                return spark.sql("SELECT 3 AS lo, 40003 AS hi")
+            return spark.sql("SELECT 1 AS o_orderkey")
+
+    class _Spark:
+        class read:  # noqa: N801
+            format = staticmethod(_Reader)
+
+    src = external.JdbcSource("jdbc:x")
+    external.read_query(_Spark(), src, "SELECT * FROM orders;", partition_column="o_orderkey", num_partitions=8)
+    probe, main = calls
+    assert probe["query"] == "SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT * FROM orders) b"
+    assert (main["lowerBound"], main["upperBound"], main["numPartitions"]) == ("3", "40003", "8")
+    assert main["dbtable"] == "(SELECT * FROM orders) q"
