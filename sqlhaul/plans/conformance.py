@@ -830,6 +830,21 @@ SCALAR = [
                   CAST(sum(length(text)) AS BIGINT) AS n_chars
            FROM conversations GROUP BY role""",
     ),
+    Conf(
+        # whole raw pages: host, <title>, number of links and of characters
+        "pages_html_fields",
+        ("pages",),
+        """SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
+                  regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+                  CAST(size(split(html, '<a ')) - 1 AS BIGINT) AS n_links,
+                  CAST(length(html) AS BIGINT) AS n_chars
+           FROM pages""",
+        """SELECT page_id, regexp_extract(url, '^[a-z]+://([^/?#]+)', 1) AS host,
+                  regexp_extract(html, '<title>([^<]*)</title>', 1) AS title,
+                  CAST(len(string_split(html, '<a ')) - 1 AS BIGINT) AS n_links,
+                  CAST(length(html) AS BIGINT) AS n_chars
+           FROM pages""",
+    ),
     Conf(
         "hash_xxhash64",
         ("customer",),
