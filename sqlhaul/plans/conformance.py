@@ -898,10 +898,10 @@ TIME_WINDOWS = [
     ),
     Conf(
         # The same sessions without putting one user's events in one task:
-        # sessions are numbered inside (user, hour) chunks, then stitched
-        # across chunk edges with a running count over a per-(user, hour)
-        # summary (one row per user-hour, however many events a user has).
-        # The final grouping is min/max/count, pre-aggregated map-side.
+        # sessions are numbered inside (user, hour) chunks and collapsed to
+        # one row per chunk piece, then stitched across chunk edges with a
+        # running count over a per-(user, hour) summary (one row per
+        # user-hour, however many events a user has).
         "session_window_chunked",
         ("events",),
         """WITH e AS (
@@ -918,9 +918,12 @@ TIME_WINDOWS = [
                     sum(new_s) OVER (PARTITION BY user_id, chunk ORDER BY ts
                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS local_sid
              FROM g),
+           s AS (
+             SELECT user_id, chunk, local_sid, min(ts) AS s_min, max(ts) AS s_max, count(*) AS n
+             FROM l GROUP BY user_id, chunk, local_sid),
            c AS (
-             SELECT user_id, chunk, min(ts) AS first_ts, max(ts) AS last_ts, max(local_sid) AS n_local
-             FROM l GROUP BY user_id, chunk),
+             SELECT user_id, chunk, min(s_min) AS first_ts, max(s_max) AS last_ts, max(local_sid) AS n_local
+             FROM s GROUP BY user_id, chunk),
            b AS (
              SELECT user_id, chunk, n_local,
                     CASE WHEN lag(last_ts) OVER (PARTITION BY user_id ORDER BY chunk) >= first_ts - INTERVAL 30 MINUTES
@@ -933,9 +936,9 @@ TIME_WINDOWS = [
                     - sum(joins_prev) OVER (PARTITION BY user_id ORDER BY chunk
                                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS base
              FROM b)
-           SELECT l.user_id, min(l.ts) AS s_start, max(l.ts) + INTERVAL 30 MINUTES AS s_end, count(*) AS n_events
-           FROM l JOIN o ON l.user_id = o.user_id AND l.chunk = o.chunk
-           GROUP BY l.user_id, o.base + l.local_sid""",
+           SELECT s.user_id, min(s.s_min) AS s_start, max(s.s_max) + INTERVAL 30 MINUTES AS s_end, sum(s.n) AS n_events
+           FROM s JOIN o ON s.user_id = o.user_id AND s.chunk = o.chunk
+           GROUP BY s.user_id, o.base + s.local_sid""",
         """WITH g AS (
              SELECT user_id, ts,
                     CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= ts - INTERVAL 30 MINUTE
