@@ -76,15 +76,20 @@ def write_upload(
         raise UploadRefused(f"a data column may not be named {PARTITION_COLUMN!r} (it is the upload partition)")
     log_dir = lake.log_dir(ref, landing=True)
     last = upload_log.last_epoch(spark, log_dir)
-    if epoch is None:
-        # automatic: the current second, or one past the last upload if that
-        # is not earlier (several loads of one dataset within one second)
+    automatic = epoch is None
+    if automatic:
+        # the current second, or one past the last upload if that is not
+        # earlier (several loads of one dataset within one second)
         epoch = max(int(time.time()), (last or 0) + 1)
     epoch = int(epoch)
     if last is not None and epoch <= last:
         raise UploadRefused(f"upload_date {epoch} is not after the last upload {last} of {ref}")
 
     path = lake.upload_dir(ref, epoch, user, file_format, landing=True)
+    while automatic and session.path_exists(spark, path):
+        # left behind by a load that failed before logging: never reused
+        epoch += 1
+        path = lake.upload_dir(ref, epoch, user, file_format, landing=True)
     obs = Observation(f"rows_{ref.domain}_{ref.dataset}_{epoch}")
     writer = (
         text.observe(obs, F.count(F.lit(1)).alias("rows"))

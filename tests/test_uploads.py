@@ -211,3 +211,14 @@ def test_automatic_epochs_never_collide(spark, lake):
     epochs = [r.upload_date for r in results]
     assert epochs == sorted(set(epochs))  # strictly increasing, even within one second
     assert _ids(read_dataset(spark, lake, REF)) == ["0", "1", "2"]
+
+
+def test_automatic_epoch_steps_past_an_orphan_folder(spark, lake):
+    import time as _time
+
+    now = int(_time.time())
+    for e in (now, now + 1, now + 2):  # folders of loads that died before logging
+        _df(spark, [(7, "x")]).write.csv(lake.upload_dir(REF, e, "u1"))
+    res = append(spark, _df(spark, [(1, "a")]), lake, REF, "u1")
+    assert res.upload_date >= now + 3
+    assert _ids(read_dataset(spark, lake, REF)) == ["1"]
