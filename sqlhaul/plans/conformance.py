@@ -499,6 +499,34 @@ WINDOWS = [
                   CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn
            FROM orders""",
     ),
+    Conf(
+        # lag without one task per customer: lag inside (customer, month)
+        # chunks; a chunk's first row takes the last value of the customer's
+        # previous non-empty chunk, from a per-(customer, month) summary.
+        # The oracle is the plain window.
+        "window_lag_chunked",
+        ("orders",),
+        """WITH b AS (
+             SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+                    year(o_orderdate) * 12 + month(o_orderdate) AS chunk
+             FROM orders),
+           w AS (
+             SELECT o_orderkey, o_custkey, chunk,
+                    lag(o_totalprice) OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate, o_orderkey) AS lag_in,
+                    row_number() OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate, o_orderkey) AS rn
+             FROM b),
+           c AS (
+             SELECT o_custkey, chunk, max_by(o_totalprice, struct(o_orderdate, o_orderkey)) AS last_price
+             FROM b GROUP BY o_custkey, chunk),
+           p AS (
+             SELECT o_custkey, chunk, lag(last_price) OVER (PARTITION BY o_custkey ORDER BY chunk) AS prev_chunk_last
+             FROM c)
+           SELECT w.o_orderkey, CASE WHEN w.rn = 1 THEN p.prev_chunk_last ELSE w.lag_in END AS prev_price
+           FROM w JOIN p ON w.o_custkey = p.o_custkey AND w.chunk = p.chunk""",
+        """SELECT o_orderkey,
+                  lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_price
+           FROM orders""",
+    ),
     Conf(
         "window_lag_lead",
         ("orders",),

@@ -123,3 +123,25 @@ def test_chunked_row_number_matches_brute_force(spark):
         expected += [(r[0], cust, i + 1) for i, r in enumerate(mine)]
     got = sorted(tuple(r) for r in spark.sql(TEXTS["window_row_number_chunked"]).collect())
     assert got == sorted(expected)
+
+
+def test_chunked_lag_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(11)
+    rows = []
+    for k in range(700):  # customer 1 is hot, several orders per day, months with gaps
+        cust = 1 if k < 600 else 2 + k % 4
+        day = dt.datetime(1996, 1, 1) + dt.timedelta(days=rnd.choice([0, 1, 2, 40, 41, 95, 300, 301, 302]))
+        price = rnd.choice([None, 10.0, 20.5, 99.0]) if k % 7 else None
+        rows.append((k, cust, "O", price, day, "1-URGENT"))
+    spark.createDataFrame(
+        rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string"
+    ).createOrReplaceTempView("orders")
+    expected = []
+    for cust in sorted({r[1] for r in rows}):
+        mine = sorted((r for r in rows if r[1] == cust), key=lambda r: (r[4], r[0]))
+        expected += [(r[0], mine[i - 1][3] if i else None) for i, r in enumerate(mine)]
+    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_lag_chunked"]).collect())
+    assert got == sorted(expected)
