@@ -527,6 +527,32 @@ WINDOWS = [
                   lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_price
            FROM orders""",
     ),
+    Conf(
+        # the mirror of window_lag_chunked: a chunk's last row takes the first
+        # value of the customer's next non-empty chunk
+        "window_lead_chunked",
+        ("orders",),
+        """WITH b AS (
+             SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
+                    year(o_orderdate) * 12 + month(o_orderdate) AS chunk
+             FROM orders),
+           w AS (
+             SELECT o_orderkey, o_custkey, chunk,
+                    lead(o_totalprice) OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate, o_orderkey) AS lead_in,
+                    row_number() OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn_end
+             FROM b),
+           c AS (
+             SELECT o_custkey, chunk, min_by(o_totalprice, struct(o_orderdate, o_orderkey)) AS first_price
+             FROM b GROUP BY o_custkey, chunk),
+           p AS (
+             SELECT o_custkey, chunk, lead(first_price) OVER (PARTITION BY o_custkey ORDER BY chunk) AS next_chunk_first
+             FROM c)
+           SELECT w.o_orderkey, CASE WHEN w.rn_end = 1 THEN p.next_chunk_first ELSE w.lead_in END AS next_price
+           FROM w JOIN p ON w.o_custkey = p.o_custkey AND w.chunk = p.chunk""",
+        """SELECT o_orderkey,
+                  lead(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price
+           FROM orders""",
+    ),
     Conf(
         "window_lag_lead",
         ("orders",),

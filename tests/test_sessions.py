@@ -125,7 +125,7 @@ def test_chunked_row_number_matches_brute_force(spark):
     assert got == sorted(expected)
 
 
-def test_chunked_lag_matches_brute_force(spark):
+def test_chunked_lag_and_lead_match_brute_force(spark):
     import random
 
     rnd = random.Random(11)
@@ -145,3 +145,9 @@ def test_chunked_lag_matches_brute_force(spark):
         expected += [(r[0], mine[i - 1][3] if i else None) for i, r in enumerate(mine)]
     got = sorted(tuple(r) for r in spark.sql(TEXTS["window_lag_chunked"]).collect())
     assert got == sorted(expected)
+    expected_lead = []
+    for cust in sorted({r[1] for r in rows}):
+        mine = sorted((r for r in rows if r[1] == cust), key=lambda r: (r[4], r[0]))
+        expected_lead += [(r[0], mine[i + 1][3] if i + 1 < len(mine) else None) for i, r in enumerate(mine)]
+    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_lead_chunked"]).collect())
+    assert got == sorted(expected_lead)
