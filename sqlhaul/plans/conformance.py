@@ -553,6 +553,35 @@ WINDOWS = [
                   lead(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price
            FROM orders""",
     ),
+    Conf(
+        # rank and dense_rank with ties, without one task per customer: ranks
+        # inside (customer, value bucket) plus the rows (rank) or distinct
+        # values (dense_rank) of all higher buckets; ties never cross buckets
+        # because the bucket is a function of the ordering value
+        "window_rank_chunked",
+        ("orders",),
+        """WITH b AS (
+             SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice / 1000) AS BIGINT) AS k FROM orders),
+           b2 AS (SELECT *, k DIV 10 AS bucket FROM b),
+           c AS (SELECT o_custkey, bucket, count(*) AS n, count(DISTINCT k) AS nd FROM b2 GROUP BY o_custkey, bucket),
+           o AS (
+             SELECT o_custkey, bucket,
+                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket DESC
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before,
+                    coalesce(sum(nd) OVER (PARTITION BY o_custkey ORDER BY bucket DESC
+                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nd_before
+             FROM c)
+           SELECT b2.o_orderkey, b2.o_custkey,
+                  o.n_before + rank() OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k DESC) AS rk,
+                  o.nd_before + dense_rank() OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k DESC) AS drk
+           FROM b2 JOIN o ON b2.o_custkey = o.o_custkey AND b2.bucket = o.bucket""",
+        """SELECT o_orderkey, o_custkey,
+                  CAST(rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT) DESC)
+                       AS BIGINT) AS rk,
+                  CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT) DESC)
+                       AS BIGINT) AS drk
+           FROM orders""",
+    ),
     Conf(
         "window_lag_lead",
         ("orders",),

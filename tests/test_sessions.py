@@ -151,3 +151,26 @@ def test_chunked_lag_and_lead_match_brute_force(spark):
         expected_lead += [(r[0], mine[i + 1][3] if i + 1 < len(mine) else None) for i, r in enumerate(mine)]
     got = sorted(tuple(r) for r in spark.sql(TEXTS["window_lead_chunked"]).collect())
     assert got == sorted(expected_lead)
+
+
+def test_chunked_rank_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(5)
+    rows = []
+    for k in range(600):  # customer 1 is hot; many equal values inside and across buckets
+        cust = 1 if k < 500 else 2 + k % 3
+        price = float(rnd.choice([999, 1000, 1500, 9999, 10000, 10001, 25000, 99999, 100000, 100999]))
+        rows.append((k, cust, "O", price, dt.datetime(2000, 1, 1), "1-URGENT"))
+    spark.createDataFrame(
+        rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string"
+    ).createOrReplaceTempView("orders")
+    expected = []
+    for cust in sorted({r[1] for r in rows}):
+        keys = [int(r[3] // 1000) for r in rows if r[1] == cust]
+        for r in (r for r in rows if r[1] == cust):
+            k = int(r[3] // 1000)
+            expected.append((r[0], cust, 1 + sum(1 for x in keys if x > k), 1 + len({x for x in keys if x > k})))
+    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_rank_chunked"]).collect())
+    assert got == sorted(expected)
