@@ -1,5 +1,6 @@
 """Skew check: the event-time texts on an `events` copy where one user holds a
-third of the rows, against their naive forms (capped at 120 s each).
+third of the rows, against their naive forms (capped at 120 s each), and the
+chunked window texts on an `orders` copy where one customer holds a third.
 
     python scripts/skew_check.py [sf_dir] [copies]
 
@@ -76,6 +77,37 @@ def main() -> None:
     run("session_window", TEXTS["session_window"])
     run("interval_join, naive key", NAIVE_INTERVAL)
     run("asof_join, naive lateral", NAIVE_ASOF)
+
+    # orders: one customer holding a third of the rows
+    osrc = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    obig = None
+    for k in range(copies):
+        part = osrc.select(
+            (F.col("o_orderkey") + k * 1_000_000_000).alias("o_orderkey"),
+            F.when(F.xxhash64("o_orderkey", F.lit(k)) % 3 == 0, F.lit(0)).otherwise(F.col("o_custkey")).alias("o_custkey"),
+            "o_orderstatus",
+            "o_totalprice",
+            (F.col("o_orderdate") + F.make_interval(days=F.lit(30 * k))).alias("o_orderdate"),
+            "o_orderpriority",
+        )
+        obig = part if obig is None else obig.unionByName(part)
+    oout = f"{scratch_dir(spark, 'skew')}/orders"
+    obig.repartition(16).write.parquet(oout)
+    orders = spark.read.parquet(oout)
+    orders.createOrReplaceTempView("orders")
+    n, hot = orders.count(), orders.filter("o_custkey = 0").count()
+    print(f"orders rows {n}, hot customer rows {hot} ({hot / n:.0%})")
+    plain = {
+        "window_row_number_chunked": "SELECT o_orderkey, row_number() OVER (PARTITION BY o_custkey "
+        "ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders",
+        "window_rank_chunked": "SELECT o_orderkey, rank() OVER (PARTITION BY o_custkey "
+        "ORDER BY floor(o_totalprice / 1000) DESC) AS rk FROM orders",
+        "window_lag_chunked": "SELECT o_orderkey, lag(o_totalprice) OVER (PARTITION BY o_custkey "
+        "ORDER BY o_orderdate, o_orderkey) AS prev_price FROM orders",
+    }
+    for name, sql in plain.items():
+        run(name, TEXTS[name])
+        run(f"{name}, plain window", sql)
     spark.stop()
 
 
