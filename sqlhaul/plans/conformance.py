@@ -582,6 +582,35 @@ WINDOWS = [
                        AS BIGINT) AS drk
            FROM orders""",
     ),
+    Conf(
+        # percent_rank and cume_dist with ties, chunked like window_rank_chunked:
+        # exact integer ranks/counts inside (customer, value bucket) plus the
+        # rows of lower buckets, divided by the customer's total row count
+        "window_distribution_chunked",
+        ("orders",),
+        """WITH b AS (
+             SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice / 1000) AS BIGINT) AS k FROM orders),
+           b2 AS (SELECT *, k DIV 10 AS bucket FROM b),
+           c AS (SELECT o_custkey, bucket, count(*) AS n FROM b2 GROUP BY o_custkey, bucket),
+           o AS (
+             SELECT o_custkey, bucket,
+                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before,
+                    sum(n) OVER (PARTITION BY o_custkey) AS n_total
+             FROM c)
+           SELECT b2.o_orderkey,
+                  CASE WHEN o.n_total = 1 THEN 0.0D
+                       ELSE CAST(o.n_before + rank() OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k) - 1
+                                 AS DOUBLE) / CAST(o.n_total - 1 AS DOUBLE) END AS pr,
+                  CAST(o.n_before + count(*) OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k
+                                                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
+                    / CAST(o.n_total AS DOUBLE) AS cd
+           FROM b2 JOIN o ON b2.o_custkey = o.o_custkey AND b2.bucket = o.bucket""",
+        """SELECT o_orderkey,
+                  percent_rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT)) AS pr,
+                  cume_dist() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT)) AS cd
+           FROM orders""",
+    ),
     Conf(
         "window_lag_lead",
         ("orders",),

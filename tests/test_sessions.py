@@ -174,3 +174,29 @@ def test_chunked_rank_matches_brute_force(spark):
             expected.append((r[0], cust, 1 + sum(1 for x in keys if x > k), 1 + len({x for x in keys if x > k})))
     got = sorted(tuple(r) for r in spark.sql(TEXTS["window_rank_chunked"]).collect())
     assert got == sorted(expected)
+
+
+def test_chunked_distribution_matches_brute_force(spark):
+    import random
+
+    rnd = random.Random(9)
+    rows = []
+    for k in range(500):  # customer 1 is hot; customer 9 has a single order
+        cust = 1 if k < 450 else (9 if k == 499 else 2 + k % 3)
+        price = float(rnd.choice([999, 1000, 1500, 9999, 10000, 10001, 25000, 99999, 100000]))
+        rows.append((k, cust, "O", price, dt.datetime(2000, 1, 1), "1-URGENT"))
+    spark.createDataFrame(
+        rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string"
+    ).createOrReplaceTempView("orders")
+    expected = []
+    for cust in sorted({r[1] for r in rows}):
+        keys = [int(r[3] // 1000) for r in rows if r[1] == cust]
+        n = len(keys)
+        for r in (r for r in rows if r[1] == cust):
+            k = int(r[3] // 1000)
+            rank = 1 + sum(1 for x in keys if x < k)
+            pr = 0.0 if n == 1 else (rank - 1) / (n - 1)
+            expected.append((r[0], pr, sum(1 for x in keys if x <= k) / n))
+    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_distribution_chunked"]).collect())
+    assert got == sorted(expected)
