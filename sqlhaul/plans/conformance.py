@@ -611,6 +611,31 @@ WINDOWS = [
                   cume_dist() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT)) AS cd
            FROM orders""",
     ),
+    Conf(
+        # ntile(4) from the chunked row number and the customer's total: the
+        # first (total mod 4) tiles hold one row more
+        "window_ntile_chunked",
+        ("orders",),
+        """WITH b AS (SELECT o_orderkey, o_custkey, o_orderkey DIV 1000 AS bucket FROM orders),
+           c AS (SELECT o_custkey, bucket, count(*) AS n FROM b GROUP BY o_custkey, bucket),
+           o AS (
+             SELECT o_custkey, bucket,
+                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket
+                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before,
+                    sum(n) OVER (PARTITION BY o_custkey) AS n_total
+             FROM c),
+           r AS (
+             SELECT b.o_orderkey, b.o_custkey, o.n_total,
+                    o.n_before + row_number() OVER (PARTITION BY b.o_custkey, b.bucket ORDER BY b.o_orderkey) AS rn
+             FROM b JOIN o ON b.o_custkey = o.o_custkey AND b.bucket = o.bucket)
+           SELECT o_orderkey, o_custkey,
+                  CASE WHEN rn <= (n_total % 4) * (n_total DIV 4 + 1) THEN (rn - 1) DIV (n_total DIV 4 + 1) + 1
+                       ELSE (rn - 1 - n_total % 4) DIV (n_total DIV 4) + 1 END AS tile
+           FROM r""",
+        """SELECT o_orderkey, o_custkey,
+                  CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS tile
+           FROM orders""",
+    ),
     Conf(
         "window_lag_lead",
         ("orders",),

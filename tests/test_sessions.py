@@ -200,3 +200,28 @@ def test_chunked_distribution_matches_brute_force(spark):
             expected.append((r[0], pr, sum(1 for x in keys if x <= k) / n))
     got = sorted(tuple(r) for r in spark.sql(TEXTS["window_distribution_chunked"]).collect())
     assert got == sorted(expected)
+
+
+def test_chunked_ntile_matches_brute_force(spark):
+    rows = []
+    sizes = {1: 1003, 2: 1, 3: 2, 4: 3, 5: 4, 6: 5, 7: 7}  # every remainder of 4, and tiny customers
+    key = 0
+    for cust, n in sizes.items():
+        for _ in range(n):
+            key += 37 if cust == 1 else 1001  # customer 1 spans many key buckets
+            rows.append((key, cust, "O", 1.0, dt.datetime(2000, 1, 1), "1-URGENT"))
+    spark.createDataFrame(
+        rows, "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string"
+    ).createOrReplaceTempView("orders")
+    expected = []
+    for cust, n in sizes.items():
+        keys = sorted(r[0] for r in rows if r[1] == cust)
+        q, rem = divmod(n, 4)
+        bounds = []
+        for t in range(4):  # tile sizes: the first rem tiles hold q + 1 rows
+            size = q + (1 if t < rem else 0)
+            bounds += [t + 1] * size
+        expected += [(k, cust, bounds[i]) for i, k in enumerate(keys)]
+    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_ntile_chunked"]).collect())
+    assert got == sorted(expected)
