@@ -8,15 +8,45 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from sqlhaul.llm.common import table
+from sqlhaul.llm.decontam_index import benchmark_hits
 from sqlhaul.llm.ngram_join import ngram_jaccard_components
+from sqlhaul.llm.qda_quality import quality_scores
+from sqlhaul.llm.rans_tokens import token_files
+from sqlhaul.llm.zstd_langid import languages
+
+#: The end id that op8 appends to each document.
+END_ID = 2
+
+
+def tokenizer_path() -> str:
+    """The public tokenizer file that op8 is stated over."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=80)
 
 
+def op3_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op4_language_zstd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return languages(table(spark, sf_dir, "documents"))
+
+
+def op8_token_rans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files(table(spark, sf_dir, "documents"), tokenizer_path(), END_ID).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_windows")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    own = [op1_ngram_jaccard]
+    own = [op1_ngram_jaccard, op3_quality_qda, op4_language_zstd, op8_token_rans, op10_decontamination]
     return {f.__name__: f for f in own}
 
 
