@@ -26,7 +26,7 @@ import sqlhaul
 from sqlhaul.session import scratch_dir
 
 #: Bytes of text that one vectorised step works on (a longer text is one step).
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 
 _MASK = (1 << 64) - 1
 _TABLE = np.random.Generator(np.random.PCG64(20240607)).integers(0, 1 << 64, 256, dtype=np.uint64)

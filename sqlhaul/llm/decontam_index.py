@@ -15,9 +15,9 @@ Only DataFrame functions, no Python on the executors.
 4. *Phrases.* Candidates meet their documents' words again, and the whole
    window must be there.
 
-Small test-side tables (vocabulary, windows) are broadcast only when counted
-and below ``BROADCAST_ROWS``; above it the same joins shuffle, and AQE splits
-skewed terms. Every join's output is linear in the postings of rare terms.
+Test-side tables (vocabulary, windows) are broadcast only when counted and
+below ``BROADCAST_ROWS``, keys of documents below ``BROADCAST_KEYS``; above that
+the same joins shuffle, and AQE splits skewed terms. Every join's output is linear in the postings of rare terms.
 
 Defined results: words are maximal runs of ASCII letters and digits and of
 non-ASCII characters, A-Z lower-cased; null and empty texts have none; an item
@@ -35,14 +35,15 @@ from pyspark.sql import functions as F
 
 from sqlhaul.llm.common import save
 
-#: Rows up to which a counted table is broadcast.
-BROADCAST_ROWS = 1_000_000
+#: Rows up to which a counted table of the test side is broadcast, and one of
+#: document keys (16 bytes each), which may grow with the corpus.
+BROADCAST_ROWS, BROADCAST_KEYS = 1_000_000, 200_000
 BREAK = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
-def small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """With a broadcast hint if its counted rows allow one."""
-    return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
 def words(text: Column) -> Column:
@@ -105,7 +106,7 @@ def benchmark_hits(
     """One row for each document: doc_id, n_words, n_hit, n_items,
     items_sha256, contaminated, n_near (items that come near: their two rarest
     terms within ``slop`` words of their places), hit_windows (item, position
-    and length of every exact phrase)."""
+    and length of every exact phrase), copy (a hash of the text)."""
     places = save(item_places(items, item_text, item_id), "item-places")
     terms = save(places.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id()), "item-terms")
     index = build_index(docs, small(terms), text, doc_id)
@@ -131,7 +132,9 @@ def benchmark_hits(
     )
     asked = save(asked, "phrase-candidates")
     texts = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t")).withColumn("c", F.xxhash64("t"))
-    read = texts.join(small(asked), F.expr("d <=> doc_id and c = copy")).select("doc_id", "copy", "asked", words(F.col("t")).alias("w")).dropDuplicates(["doc_id", "copy"])
+    keys = small(asked.select(F.col("doc_id").alias("kd"), F.col("copy").alias("kc")), BROADCAST_KEYS)
+    few = texts.join(keys, F.expr("d <=> kd and c = kc"), "left_semi").dropDuplicates(["d", "c"])
+    read = few.join(asked, F.expr("d <=> doc_id and c = copy")).select("doc_id", "copy", "asked", words(F.col("t")).alias("w"))
     hits = read.select(
         "doc_id", "copy",
         F.transform(
@@ -157,4 +160,17 @@ def benchmark_hits(
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
         F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         "hit_windows",
+        F.col("c").alias("copy"),
+    )
+
+
+def without_contaminated(docs: DataFrame, items: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """``docs`` without the rows in which a window of an item occurs."""
+    bad = benchmark_hits(docs, items, text=text, doc_id=doc_id, **options).where("contaminated").select(
+        F.col("doc_id").alias("__id"), F.col("copy").alias("__copy")
+    ).distinct()
+    bad = small(save(bad, "contaminated"), BROADCAST_KEYS)
+    own = docs.withColumn("__of", F.xxhash64(F.col(text).cast("string")))
+    return own.join(bad, F.col(doc_id).cast("long").eqNullSafe(F.col("__id")) & (F.col("__of") == F.col("__copy")), "left_anti").select(
+        *[F.col(f"`{c}`") for c in docs.columns]
     )

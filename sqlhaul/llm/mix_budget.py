@@ -116,16 +116,19 @@ def mix_sources(
     ends = ends.groupBy("path").agg(F.min(F.struct("r", "before")).alias("e")).select("path", F.col("e.r").alias("last"), F.col("e.before").alias("before"))
     ends = {tuple(r["path"]): (r["last"], r["before"]) for r in ends.collect()}
     cut = [(p, w, rest, *(ends.get(tuple(p), (-1, 0)))) for p, w, rest in rows]
-    plan = spark.createDataFrame(cut, "mix_path array<string>, whole int, rest double, last long, before long")
+    plan = spark.createDataFrame(cut, "mix_path array<string>, __whole int, __rest double, __last long, __before long")
 
     own = docs.columns
-    read = docs.withColumns({"mix_path": path, "key": key}).join(F.broadcast(plan), "mix_path").withColumns({"order": order, "r": at})
-    clear = read.where("r <> last").withColumn("mix_copies", F.col("whole") + F.when(F.col("r") < F.col("last"), 1).otherwise(0))
+    read = docs.withColumns({"mix_path": path, "__key": key}).join(F.broadcast(plan), "mix_path")
+    read = read.withColumn("__order", F.xxhash64(F.lit(seed), F.col("__whole"), F.col("__key")))
+    read = read.withColumn("__r", F.shiftrightunsigned("__order", 64 - RANGES_BITS))
+    clear = read.where("__r <> __last").withColumn("mix_copies", F.col("__whole") + F.when(F.col("__r") < F.col("__last"), 1).otherwise(0))
     clear = clear.where("mix_copies > 0").withColumn("mix_tokens", tokens(F.col(text)))
-    edge = read.where("r = last").withColumn("mix_tokens", tokens(F.col(text)))
-    running = F.sum("mix_tokens").over(Window.partitionBy("mix_path").orderBy("order", F.col(doc_id)).rowsBetween(Window.unboundedPreceding, 0))
-    edge = edge.withColumn("upto", running).withColumn(
-        "mix_copies", F.col("whole") + F.when(F.col("before") + F.col("upto") - F.col("mix_tokens") < F.col("rest"), 1).otherwise(0)
+    edge = read.where("__r = __last").withColumn("mix_tokens", tokens(F.col(text)))
+    by_order = Window.partitionBy("mix_path").orderBy("__order", F.col(doc_id)).rowsBetween(Window.unboundedPreceding, 0)
+    edge = edge.withColumn("__upto", F.sum("mix_tokens").over(by_order)).withColumn(
+        "mix_copies",
+        F.col("__whole") + F.when(F.col("__before") + F.col("__upto") - F.col("mix_tokens") < F.col("__rest"), 1).otherwise(0),
     ).where("mix_copies > 0")
     columns = [*[F.col(f"`{c}`") for c in own], "mix_path", "mix_tokens", "mix_copies"]
     return clear.select(*columns).unionByName(edge.select(*columns))

@@ -51,8 +51,10 @@ from sqlhaul.llm.common import as_hash, as_long, components, mix, save, ship, sl
 #: N-grams in one part, block or cell (8 bytes each and small change).
 PART = 2_000_000
 QUERIES = 250_000
+#: Bytes of a family's sets that meet one copy of its leader.
+SALT_BYTES = 4 << 20
 #: An n-gram that so many documents of one batch have is handled as frequent.
-LOCAL_HOT = 64
+LOCAL_HOT = 32
 #: At most so many frequent n-grams are told to all tasks (16 bytes each); the
 #: bar is raised until they fit. The order alone depends on it, no result does.
 HOT_BOUND = 200_000
@@ -130,18 +132,18 @@ def _by_key(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _sets(docs: DataFrame, text: str, doc_id: str, n: int) -> tuple[DataFrame, dict[str, int]]:
-    """(doc_id, n_shingles, sig) of every row, and the frequent n-grams."""
+    """(doc_id, copy, n_shingles, sig) of every row, and the frequent n-grams."""
 
     ship(docs.sparkSession)
 
     def rows(batches):
         for b in batches:
-            for row, offsets, grams in shingle_sets(b.column(1), n):
+            for row, offsets, grams in shingle_sets(b.column(2), n):
                 k = len(offsets) - 1
                 sig = _signatures(offsets, grams)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(row, k), pa.array(np.diff(offsets), pa.int64()), pa.array(as_long(sig)), pa.nulls(k, pa.int64())],
-                    names=["doc_id", "n_shingles", "sig", "hot"],
+                    [b.column(0).slice(row, k), b.column(1).slice(row, k), pa.array(np.diff(offsets), pa.int64()), pa.array(as_long(sig)), pa.nulls(k, pa.int64())],
+                    names=["doc_id", "copy", "n_shingles", "sig", "hot"],
                 )
                 fresh = _fresh(offsets, sig)
                 s = np.sort(grams[np.repeat(fresh, np.diff(offsets))])
@@ -150,14 +152,14 @@ def _sets(docs: DataFrame, text: str, doc_id: str, n: int) -> tuple[DataFrame, d
                 if hot.any():
                     h = int(hot.sum())
                     yield pa.RecordBatch.from_arrays(
-                        [pa.nulls(h, pa.int64()), pa.array(length[hot], pa.int64()), pa.nulls(h, pa.int64()), pa.array(as_long(s[at[hot]]))],
-                        names=["doc_id", "n_shingles", "sig", "hot"],
+                        [pa.nulls(h, pa.int64()), pa.nulls(h, pa.int64()), pa.array(length[hot], pa.int64()), pa.nulls(h, pa.int64()), pa.array(as_long(s[at[hot]]))],
+                        names=["doc_id", "copy", "n_shingles", "sig", "hot"],
                     )
 
     out = save(
-        docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text")).mapInArrow(
-            rows, "doc_id long, n_shingles long, sig long, hot long"
-        ),
+        docs.select(
+            F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("copy"), F.col(text).cast("string").alias("text")
+        ).mapInArrow(rows, "doc_id long, copy long, n_shingles long, sig long, hot long"),
         "shingle-sets",
     )
     frequent = out.where("hot is not null").groupBy("hot").agg(F.sum("n_shingles").alias("c"))
@@ -478,13 +480,25 @@ def _cell(percent: int, all_links: bool):
 def class_links(sets: DataFrame, families: DataFrame, percent: int, all_links: bool = False) -> DataFrame:
     """(u, v): links between classes. With ``all_links`` every link, both
     ways; else enough of them to connect what is connected."""
-    rows = save(
-        sets.join(families.select(F.col("node").alias("sig"), F.col("root").alias("family")), "sig"), "families"
-    )
-    mean_band = F.udf(lambda n, b: sum(b) / max(n, 1), "double")
-    scored = rows.select("family", "sig", "n", mean_band("n", "bands").alias("score"), F.length("grams").alias("bytes"))
-    lead = scored.groupBy("family").agg(F.max(F.struct("score", F.col("sig"))).alias("x")).select("family", F.col("x.sig").alias("sig"))
-    leaders = rows.join(lead, ["family", "sig"]).select("family", F.col("sig").alias("leader"), F.col("n").alias("ln"), F.col("grams").alias("lg"))
+
+    @F.pandas_udf("double")
+    def mean_band(n: pd.Series, bands: pd.Series) -> pd.Series:
+        return pd.Series([int(np.frombuffer(b, np.uint8).sum()) / max(m, 1) for m, b in zip(n, bands)], dtype=float)
+
+    # what is known of a family (its salts, leader, blocks) meets its members as
+    # narrow rows; the sets themselves move by class, or by family and salt
+    named = sets.select("sig", "n", F.length("grams").alias("bytes"), "bands").join(
+        families.select(F.col("node").alias("sig"), F.col("root").alias("family")), "sig"
+    ).select("sig", "family", "bytes", mean_band("n", "bands").alias("score"))
+    named = save(named, "family-members")
+    heads = named.groupBy("family").agg(
+        F.max(F.struct("score", "sig")).alias("x"), F.ceil(F.sum("bytes") / F.lit(SALT_BYTES)).cast("int").alias("salts")
+    ).select("family", F.col("x.sig").alias("leader"), "salts")
+    heads = save(heads, "family-heads")
+    placed = named.join(heads, "family").select("sig", "family", "leader", F.pmod(F.xxhash64("sig"), F.col("salts")).cast("int").alias("salt"))
+    rows = save(sets.select("sig", "n", "grams").join(placed, "sig"), "families")
+    leaders = rows.where("sig = leader").drop("salt", "leader", "sig").withColumnsRenamed({"n": "ln", "grams": "lg"}).join(heads.select("family", "salts"), "family")
+    leaders = leaders.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
 
     def against(batches):
         for pdf in batches:
@@ -493,18 +507,18 @@ def class_links(sets: DataFrame, families: DataFrame, percent: int, all_links: b
                 for s, n, g, ls, ln, lg in zip(pdf.sig, pdf.n, pdf.grams, pdf.leader, pdf.ln, pdf.lg)
             ]
             linked = np.where(close, pdf.leader, pdf.sig)
-            yield pd.DataFrame({"sig": pdf.sig, "family": pdf.family, "linked": linked.astype(np.int64), "bytes": [len(g) for g in pdf.grams]})
+            yield pd.DataFrame({"sig": pdf.sig, "family": pdf.family, "leader": pdf.leader, "linked": linked.astype(np.int64), "bytes": [len(g) for g in pdf.grams]})
 
     tested = save(
-        rows.select("family", "sig", "n", "grams").join(leaders, "family").mapInPandas(against, "sig long, family long, linked long, bytes long"),
+        rows.join(leaders, ["family", "salt"]).select("family", "sig", "n", "grams", "leader", "ln", "lg").mapInPandas(
+            against, "sig long, family long, leader long, linked long, bytes long"
+        ),
         "leader-links",
     )
     direct = tested.where("linked <> sig").select(F.col("sig").alias("u"), F.col("linked").alias("v"))
-    asks = F.lit(True) if all_links else F.col("linked") == F.col("sig")
     # a leader has met its whole family; it need not ask again
-    asking = tested.join(lead.select("family", F.col("sig").alias("leader")), "family").withColumn(
-        "asks", asks if all_links else asks & (F.col("sig") != F.col("leader"))
-    )
+    asks = F.lit(True) if all_links else (F.col("linked") == F.col("sig")) & (F.col("sig") != F.col("leader"))
+    asking = tested.withColumn("asks", asks)
     plan = asking.groupBy("family").agg(
         F.sum("bytes").alias("all_bytes"), F.sum(F.when(F.col("asks"), F.col("bytes")).otherwise(0)).alias("ask_bytes")
     ).where("ask_bytes > 0").select(
@@ -512,7 +526,7 @@ def class_links(sets: DataFrame, families: DataFrame, percent: int, all_links: b
         F.ceil(F.col("all_bytes") / F.lit(8 * PART)).cast("int").alias("blocks"),
         F.ceil(F.col("ask_bytes") / F.lit(8 * QUERIES)).cast("int").alias("rounds"),
     )
-    todo = rows.select("sig", "n", "grams").join(asking.select("sig", "family", "linked", "asks"), "sig").join(plan, "family")
+    todo = rows.select("sig", "n", "grams").join(asking.join(plan, "family").select("sig", "family", "linked", "asks", "blocks", "rounds"), "sig")
     block = F.pmod(F.xxhash64("sig"), F.col("blocks")).cast("int")
     turn = F.pmod(F.xxhash64("sig", F.lit(7)), F.col("rounds")).cast("int")
     as_index = todo.withColumn("role", F.lit(0)).withColumn("block", block).withColumn(
@@ -528,9 +542,10 @@ def class_links(sets: DataFrame, families: DataFrame, percent: int, all_links: b
     return direct.union(searched)
 
 
-def ngram_jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
-    """(doc_id, n_shingles, component_id) for every row of ``docs``; the
-    component's name is its smallest doc_id. See the module for the method."""
+def with_components(docs: DataFrame, text: str, doc_id: str, n: int, percent: int) -> DataFrame:
+    """(doc_id, copy, n_shingles, root, component_id) of every row: ``copy``
+    tells rows with one id apart by their text, ``root`` names the component
+    (null without words), ``component_id`` is its smallest doc_id."""
     base, hot = _sets(docs, text, doc_id, n)
     total = base.agg(F.sum("n_shingles")).first()[0] or 0
     classes = base.where("n_shingles > 0").groupBy("sig").agg(F.min("doc_id").alias("low"))
@@ -542,18 +557,43 @@ def ngram_jaccard_components(docs: DataFrame, text: str = "text", doc_id: str =
         "sig", "low", F.coalesce("root", "sig").alias("root")
     )
     names = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    by_class = named.join(names, "root").select("sig", "component_id")
+    by_class = named.join(names, "root").select(F.col("sig").alias("key"), "root", "component_id")
     return (
         base.withColumn("key", F.when(F.col("n_shingles") > 0, F.col("sig")))
-        .join(by_class.withColumnRenamed("sig", "key"), "key", "left")
-        .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+        .join(by_class, "key", "left")
+        .select(
+            "doc_id", "copy", "n_shingles", "root",
+            F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        )
+    )
+
+
+def ngram_jaccard_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
+    """(doc_id, n_shingles, component_id) for every row of ``docs``; the
+    component's name is its smallest doc_id. See the module for the method."""
+    return with_components(docs, text, doc_id, n, percent).select("doc_id", "n_shingles", "component_id")
+
+
+def one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", n: int = 5, percent: int = 80) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id (a null id
+    comes last), then the smallest text hash. Documents without words are in
+    no component and stay; rows that are equal in id and text are one."""
+    rows = with_components(docs, text, doc_id, n, percent).withColumn("order", F.struct(F.col("doc_id").isNull(), "doc_id", "copy"))
+    first = rows.where("root is not null").groupBy("root").agg(F.min("order").alias("o")).select("o.doc_id", "o.copy")
+    kept = first.union(rows.where("root is null").select("doc_id", "copy")).distinct().select(
+        F.coalesce("doc_id", F.lit(0)).alias("__id"), F.col("doc_id").isNull().alias("__none"), F.col("copy").alias("__copy")
+    )
+    own = docs.withColumns(
+        {"__id": F.coalesce(F.col(doc_id).cast("long"), F.lit(0)), "__none": F.col(doc_id).cast("long").isNull(), "__copy": F.xxhash64(F.col(text).cast("string"))}
     )
+    keys = ["__id", "__none", "__copy"]
+    return own.join(kept, keys, "left_semi").dropDuplicates(keys).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def ngram_jaccard_links(docs: DataFrame, text: str = "text", n: int = 5, percent: int = 80) -> DataFrame:
     """(u, v) signatures of every pair of similar classes, both ways round:
     the join itself, for callers that need every link and not components."""
-    base, hot = _sets(docs, text, docs.columns[0], n)
+    base, hot = _sets(docs.withColumn("__none", F.lit(None)), text, "__none", n)
     total = base.agg(F.sum("n_shingles")).first()[0] or 0
     sets = _shared(docs, text, n, percent, total, hot)
     sizes = sets.agg(F.sum(F.length("grams") / 8)).first()[0] or 0

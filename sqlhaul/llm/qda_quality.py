@@ -226,6 +226,23 @@ def _line(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
     return max(a, 1e-3), b
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label: str = "quality", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose score is below ``threshold``. The model is
+    fitted as for ``quality_scores``, on the labelled rows alone; the texts are
+    scored where they are read."""
+    ids = labels.select(F.col(doc_id).cast("long").alias("__id")).distinct()
+    known = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(ids, F.expr("doc_id = __id"), "left_semi")
+    shared = docs.sparkSession.sparkContext.broadcast(fit(feature_table(known), labels, label, doc_id))
+
+    @F.pandas_udf("double")
+    def score(t: pd.Series) -> pd.Series:
+        if isinstance(shared.value, float):
+            return pd.Series(np.full(len(t), shared.value))
+        return pd.Series(shared.value.score(features(pa.array(t, pa.string(), from_pandas=True))))
+
+    return docs.withColumn("__score", score(F.col(text).cast("string"))).where(F.col("__score") >= threshold).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label: str = "quality", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``; the
     model learns from the labelled rows that are not held out (crc32 of the id

@@ -86,7 +86,7 @@ def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_windows")
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_windows", "copy")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -32,7 +32,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sqlhaul.llm.common import save, ship, slice_hashes, text_steps
+from sqlhaul.llm.common import STEP_BYTES, save, ship, slice_hashes, text_steps
 from sqlhaul.session import scratch_dir
 
 MAGIC = b"SQHRANS1"
@@ -354,7 +354,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
 
         for batch in batches:
             keys = batch.column(0)
-            for row, data, offsets in text_steps(batch.column(1)):
+            for row, data, offsets in text_steps(batch.column(1), min(STEP_BYTES, 4 * file_ids)):
                 got, size = model.ids(data, offsets)
                 size = size + 1
                 ends = np.cumsum(size)

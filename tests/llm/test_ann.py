@@ -39,7 +39,7 @@ def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0, 0]), (50, [0.0, 0, 0]), (100, None), (150, [1.0, None, 0]), (200, [nan, 1, 0]), (250, [inf, 0, 0]), (300, [0.0, 1, 0]), (300, [0.0, 1, 0])]
     rows += [(i, [1.0, 1e-3 * (i % 3), 0]) for i in range(1, 9)] + [(None, [1.0, 0, 0]), (350, [1.0, 2.0]), (351, [2.0, 1.0]), (400, [])]
-    df = spark.createDataFrame([(*r, "l", 3) for r in rows], "vec_id long, embedding array<double>, codes string, n int")
+    df = spark.createDataFrame([(i, v if v is None else [x if x is None else float(x) for x in v], "l", 3) for i, v in rows], "vec_id long, embedding array<double>, codes string, n int")
     got = [(r["query_id"], r["rank"], r["vec_id"]) for r in A.nearest(df).orderBy("query_id", "rank").collect()]
     assert [x for x in got if x[0] == 0] == [(0, 1, 3), (0, 2, 6), (0, 3, 1), (0, 4, 4), (0, 5, 7)]
     assert [x for x in got if x[0] == 350] == [(350, 1, 351)]
