@@ -26,8 +26,8 @@ def upload_key_fields(path: Column) -> list[Column]:
 
     ``file_name`` is everything after the third ``_`` (so it may itself hold
     ``_``); it is the empty string when the name has three or fewer fields.
-    ``upload_epoch`` is null unless the third field is 1 to 18 ASCII digits
-    (no sign, no blanks).
+    ``upload_epoch`` is null unless the third field is ASCII digits (no sign,
+    no blanks) that fit a bigint.
     """
     parts = F.split(base_name(path), KEY_SEPARATOR)
     rest = F.greatest(F.size(parts) - F.lit(3), F.lit(0))
@@ -35,6 +35,6 @@ def upload_key_fields(path: Column) -> list[Column]:
     return [
         parts.getItem(0).alias("user_id"),
         F.try_element_at(parts, F.lit(2)).alias("dataset_id"),
-        F.when(epoch.rlike("^[0-9]{1,18}$"), epoch.cast("bigint")).alias("upload_epoch"),
+        F.when(epoch.rlike("^[0-9]+$"), epoch.try_cast("bigint")).alias("upload_epoch"),
         F.array_join(F.slice(parts, 4, rest), KEY_SEPARATOR).alias("file_name"),
     ]

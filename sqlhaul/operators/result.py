@@ -15,9 +15,11 @@ class DuplicateColumns(ValueError):
 
 def stringify(df: DataFrame) -> DataFrame:
     """Every column as text (one projection, no UDF). Duplicate output names
-    are refused: a CSV header with two equal names cannot be read back."""
+    are refused: a CSV header with two equal names cannot be read back. Names
+    count as equal without regard to case, as they do for Spark."""
     names = [f.name for f in df.schema.fields]
-    dups = sorted(n for n, k in Counter(names).items() if k > 1)
+    count = Counter(n.lower() for n in names)
+    dups = sorted(n for n in names if count[n.lower()] > 1)
     if dups:
         raise DuplicateColumns(f"duplicate output column names: {dups}")
     return df.select([as_text(f.name, f.dataType) for f in df.schema.fields])

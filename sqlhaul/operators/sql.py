@@ -21,13 +21,13 @@ class EmptyQuery(ValueError):
 
 def register(
     spark: SparkSession,
-    mapping: Mapping[str, DataFrame | DatasetRef | str],
+    mapping: Mapping[str, DataFrame | DatasetRef | str | Mapping[str, str]],
     lake: Lake | None = None,
     *,
     with_upload_date: bool = False,
 ) -> dict[str, DataFrame]:
-    """``alias -> DataFrame | DatasetRef | "domain:dataset"``; each becomes a
-    temp view named ``alias`` (an existing view of that name is replaced).
+    """``alias -> DataFrame | DatasetRef | "domain:dataset" | {"domain": ...,
+    "dataset": ...}``; each becomes a temp view named ``alias`` (an existing view of that name is replaced).
     Datasets are read lazily: nothing is scanned until the query runs.
     ``with_upload_date=True`` keeps the ``upload_date`` column on dataset
     views, so a filter on it prunes uploads (a partition filter)."""
@@ -36,7 +36,10 @@ def register(
         if isinstance(source, DataFrame):
             df = source
         else:
-            ref = source if isinstance(source, DatasetRef) else DatasetRef.parse(source)
+            if isinstance(source, Mapping):
+                ref = DatasetRef(source["domain"], source["dataset"])
+            else:
+                ref = source if isinstance(source, DatasetRef) else DatasetRef.parse(source)
             if lake is None:
                 raise ValueError(f"alias {alias!r} names dataset {ref} but no lake was given")
             df = read_dataset(spark, lake, ref, with_upload_date=with_upload_date)

@@ -15,10 +15,12 @@ from pyspark.sql import functions as F
 
 from ..operators.result import preview, stringify
 from ..operators.sql import register, run_sql
-from ..session import ensure_database, scratch_dir
+from ..session import ensure_database, scratch_dir, sql_literal
 from ..sources.catalog import publish
+from ..sources.csv_contract import WRITE_OPTIONS
 from ..sources.datasets import DatasetRef, Lake, read_dataset, read_result_csv
 from ..sources.stored import files_to_queries, latest_per_name, put_query
+from ..sources.upload_log import append_row
 from ..sources.uploads import append, reload
 from .inputs import table
 from .jobs import load_sql, load_stored
@@ -43,6 +45,7 @@ def load_sql_frame(spark: SparkSession, lake: Lake, mapping, query: str) -> Data
 
 # -- A1 A3 A4 A9 A14 A19: the mapped-datasets job with the UNION ALL text ----
 
+# The original job's inputs, its SQL text and the two aliases.
 UNION_ALL_QUERY = """
     SELECT * FROM dataset_name_1
     UNION ALL
@@ -89,7 +92,12 @@ def dataset_roundtrip_events(spark, sf_dir):
 
 
 def dataset_roundtrip_embeddings(spark, sf_dir):
-    return _roundtrip(spark, sf_dir, "embeddings")
+    """The JSON text of each vector parsed again: every component exact."""
+    back = _roundtrip(spark, sf_dir, "embeddings")
+    return back.select(
+        F.col("vec_id").cast("bigint").alias("vec_id"), F.from_json("embedding", "array<float>").alias("embedding"),
+        F.col("label").cast("int").alias("label"),
+    )
 
 
 def dataset_roundtrip_pages(spark, sf_dir):
@@ -108,6 +116,78 @@ def result_csv_scan(spark, sf_dir):
     return read_result_csv(spark, path)
 
 
+def nested_text_roundtrip(spark, sf_dir):
+    """A8: structs with null fields and arrays of microsecond timestamps, as
+    the text that a load writes."""
+    lake, ref = _lake(spark, "nested"), DatasetRef("rt", "nested")
+    nested = _table(spark, sf_dir, "events").select(
+        "event_id",
+        F.struct(F.lit(None).cast("string").alias("nothing"), F.col("event_type").alias("kind"), F.col("ts").alias("at")).alias("s"),
+        F.array("ts", F.lit(None).cast("timestamp_ntz")).alias("times"),
+    )
+    append(spark, nested, lake, ref, USER, epoch=EPOCH0)
+    return read_dataset(spark, lake, ref)
+
+
+def _laid_down(spark, sf_dir, base: str) -> None:
+    """``orders`` as other writers leave it: several upload folders, one file
+    compressed, no log."""
+    text = stringify(_table(spark, sf_dir, "orders"))
+    for epoch, status, options in ((EPOCH0, "F", {}), (EPOCH0 + 1, "O", {"compression": "gzip"}), (EPOCH0 + 2, "P", {})):
+        part = text.filter(F.col("o_orderstatus") == status)
+        part.write.options(**WRITE_OPTIONS, **options).csv(f"{base}/upload_date={epoch}/other/csv")
+
+
+def unlogged_dataset_all_files(spark, sf_dir):
+    lake, ref = _lake(spark, "unlogged"), DatasetRef("sales", "orders")
+    _laid_down(spark, sf_dir, lake.dataset_dir(ref))
+    return read_dataset(spark, lake, ref)
+
+
+def load_union_all_unlogged(spark, sf_dir):
+    """Datasets that another writer made, mapped by name in the
+    ``{domain, dataset}`` form, and loaded."""
+    lake, ref = _lake(spark, "unionunlogged"), DatasetRef("sales", "orders")
+    _laid_down(spark, sf_dir, lake.dataset_dir(ref))
+    target = DatasetRef("output_domain", "output_dataset")
+    mapping = {"dataset_name_1": {"domain": "sales", "dataset": "orders"}, "dataset_name_2": "sales:orders"}
+    load_sql(spark, lake, mapping, UNION_ALL_QUERY, target, USER, epoch=EPOCH0 + 10)
+    return read_dataset(spark, lake, target)
+
+
+def mapped_parquet_dataset(spark, sf_dir):
+    """An ordinary parquet folder as a mapped dataset: its types stay."""
+    lake, ref = _lake(spark, "mappedparquet"), DatasetRef("sales", "orders_parquet")
+    _table(spark, sf_dir, "orders").write.parquet(lake.dataset_dir(ref))
+    return load_sql_frame(spark, lake, {"o": ref}, "SELECT o_orderkey, o_totalprice, o_orderdate FROM o WHERE o_totalprice > 1000")
+
+
+def publish_two_users_one_epoch(spark, sf_dir):
+    """Two users' uploads of one second (the layout allows it; the loads raced):
+    the published table has both."""
+    lake, ref = _lake(spark, "twousers"), DatasetRef("domain", "twousers")
+    orders = _table(spark, sf_dir, "orders")
+    first = append(spark, orders.filter("o_orderstatus = 'F'"), lake, ref, "one", epoch=EPOCH0)
+    text = stringify(orders.filter("o_orderstatus <> 'F'"))
+    text.write.options(**WRITE_OPTIONS).csv(lake.upload_dir(ref, EPOCH0, "two"))
+    append_row(spark, lake.log_dir(ref), {
+        "domain": ref.domain, "dataset": ref.dataset, "upload_date": EPOCH0, "user_id": "two", "mode": "append",
+        "rows": first.rows, "columns": text.columns, "format": "csv",
+    })
+    publish(spark, lake, ref)
+    return run_sql(spark, "SELECT * FROM domain.twousers").drop("upload_date")
+
+
+def stored_query_long_epoch(spark, sf_dir):
+    """Epochs in nanoseconds (19 digits): the later of two texts of a name wins."""
+    o = _table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").cast("string").alias("c"), (F.lit(1_700_000_000_000_000_000) + F.col("o_orderkey")).cast("string").alias("e")
+    )
+    path = F.concat(F.lit("store/u_d_"), F.col("e"), F.lit("_report_"), F.col("c"), F.lit(".sql"))
+    files = o.select(path.alias("path"), F.encode(F.concat(F.lit("SELECT "), F.col("e")), "UTF-8").alias("content"))
+    return latest_per_name(files_to_queries(files)).select("file_name", "upload_epoch", "text")
+
+
 # -- A9 A10 A11 A12: append / reload / guard -----------------------------------
 
 
@@ -157,7 +237,7 @@ def reload_from_itself(spark, sf_dir):
 def skip_empty(spark, sf_dir):
     lake, ref = _lake(spark, "skipempty"), DatasetRef("ops", "returns")
     items = _table(spark, sf_dir, "lineitem")
-    append(spark, items.filter("l_returnflag = 'R'"), lake, ref, USER, epoch=EPOCH0)
+    append(spark, items, lake, ref, USER, epoch=EPOCH0)
     result = load_sql(
         spark, lake, {"li": items}, "SELECT * FROM li WHERE l_quantity < 0", ref, USER, epoch=EPOCH0 + 1
     )
@@ -173,7 +253,7 @@ def qualified_scan(spark, sf_dir):
     catalog table declared on the given parquet file."""
     ensure_database(spark, "rawtest")
     spark.sql("DROP TABLE IF EXISTS rawtest.orders_parquet")
-    spark.sql(f"CREATE TABLE rawtest.orders_parquet USING parquet LOCATION '{sf_dir}/orders.parquet'")
+    spark.sql(f"CREATE TABLE rawtest.orders_parquet USING parquet LOCATION {sql_literal(sf_dir + '/orders.parquet')}")
     return run_sql(spark, "-- Sample Query\nselect * from rawtest.orders_parquet;")
 
 
@@ -192,11 +272,15 @@ def limit_ordered(spark, sf_dir):
 
 def limit_any_ten(spark, sf_dir):
     """The inline text exactly as users write it, without an order: any ten
-    rows are a right answer, so this one is checked by row count only."""
+    rows of the table are a right answer, and that is what is checked."""
     lake, ref = _lake(spark, "limit10"), DatasetRef("domain", "dataset")
     append(spark, _table(spark, sf_dir, "orders"), lake, ref, USER, epoch=EPOCH0)
     publish(spark, lake, ref)
-    return run_sql(spark, "select * from domain.dataset LIMIT 10;")
+    ten = run_sql(spark, "select * from domain.dataset LIMIT 10;").drop("upload_date", "upload_user")
+    whole = stringify(_table(spark, sf_dir, "orders"))
+    return ten.join(whole, ten.columns, "left_semi").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("o_orderkey").alias("n_keys")
+    )
 
 
 def preview_result(spark, sf_dir):
@@ -223,7 +307,7 @@ def qualified_dataset_pruned(spark, sf_dir):
     return run_sql(
         spark,
         "SELECT l_returnflag, l_linestatus, count(*) AS n_lines, "
-        "CAST(sum(CAST(l_quantity AS DOUBLE)) AS DECIMAL(18,2)) AS sum_qty "
+        "sum(CAST(l_quantity AS DECIMAL(18,2))) AS sum_qty "
         f"FROM domain.lines WHERE upload_date > {EPOCH0 + 1} GROUP BY l_returnflag, l_linestatus",
     )
 
@@ -261,7 +345,7 @@ STORED_REPORT_OLD = "-- Sample Query\nselect o_orderpriority from orders_v;"
 STORED_REPORT = """-- Sample Query
 SELECT o_orderpriority,
        count(*) AS n_orders,
-       CAST(sum(o_totalprice) AS DECIMAL(18,2)) AS total_price
+       sum(CAST(o_totalprice AS DECIMAL(18,2))) AS total_price
 FROM orders_v
 GROUP BY o_orderpriority;
 """
@@ -290,6 +374,12 @@ LOAD_QUERIES = {
     "dataset_roundtrip_pages": dataset_roundtrip_pages,
     "dataset_roundtrip_conversations": dataset_roundtrip_conversations,
     "result_csv_scan": result_csv_scan,
+    "nested_text_roundtrip": nested_text_roundtrip,
+    "unlogged_dataset_all_files": unlogged_dataset_all_files,
+    "load_union_all_unlogged": load_union_all_unlogged,
+    "mapped_parquet_dataset": mapped_parquet_dataset,
+    "publish_two_users_one_epoch": publish_two_users_one_epoch,
+    "stored_query_long_epoch": stored_query_long_epoch,
     "append_twice": append_twice,
     "mixed_format_uploads": mixed_format_uploads,
     "reload_then_append": reload_then_append,
@@ -317,7 +407,7 @@ _KEY_FIELDS = """
            '-- report' || chr(10) || 'SELECT * FROM orders WHERE o_orderkey = ' || CAST(o_orderkey AS VARCHAR) || ';' AS text
     FROM orders),
   p AS (SELECT path, text, string_split(string_split(path, '/')[-1], '_') AS parts FROM k)
-  SELECT path, parts[1] AS user_id, parts[2] AS dataset_id, CASE WHEN regexp_full_match(parts[3], '[0-9]{1,18}') THEN CAST(parts[3] AS BIGINT) END AS upload_epoch,
+  SELECT path, parts[1] AS user_id, parts[2] AS dataset_id, CASE WHEN regexp_full_match(parts[3], '[0-9]+') THEN TRY_CAST(parts[3] AS BIGINT) END AS upload_epoch,
          array_to_string(parts[4:], '_') AS file_name, text
   FROM p"""
 
@@ -332,6 +422,7 @@ LOAD_ORACLES = {
     "dataset_roundtrip_documents": """
         SELECT CAST(doc_id AS VARCHAR) AS doc_id, text, lang, source, CAST(n_chars AS VARCHAR) AS n_chars
         FROM documents""",
+    "dataset_roundtrip_embeddings": "SELECT vec_id, embedding, label FROM embeddings",
     "dataset_roundtrip_events": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, CAST(ts AS VARCHAR) AS ts, CAST(user_id AS VARCHAR) AS user_id,
                event_type, CAST(value AS VARCHAR) AS value, props FROM events""",
@@ -352,22 +443,38 @@ LOAD_ORACLES = {
         SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderstatus = 'P'""",
     "reload_from_itself": f"SELECT {_ORDERS_TEXT} FROM orders WHERE o_orderpriority = '1-URGENT'",
     "result_csv_scan": f"SELECT {_ORDERS_TEXT} FROM orders",
+    "nested_text_roundtrip": """
+        SELECT CAST(event_id AS VARCHAR) AS event_id,
+               '{"nothing":null,"kind":"' || event_type || '","at":"' || CAST(ts AS VARCHAR) || '"}' AS s,
+               '["' || CAST(ts AS VARCHAR) || '",null]' AS times
+        FROM events""",
+    "unlogged_dataset_all_files": f"SELECT {_ORDERS_TEXT} FROM orders",
+    "load_union_all_unlogged": f"SELECT {_ORDERS_TEXT} FROM orders UNION ALL SELECT {_ORDERS_TEXT} FROM orders",
+    "mapped_parquet_dataset": "SELECT o_orderkey, o_totalprice, o_orderdate FROM orders WHERE o_totalprice > 1000",
+    "publish_two_users_one_epoch": f"""
+        SELECT {_ORDERS_TEXT}, CASE WHEN o_orderstatus = 'F' THEN 'one' ELSE 'two' END AS upload_user FROM orders""",
+    "stored_query_long_epoch": """
+        SELECT 'report_' || CAST(o_custkey AS VARCHAR) || '.sql' AS file_name,
+               1700000000000000000 + max(o_orderkey) AS upload_epoch,
+               'SELECT ' || CAST(1700000000000000000 + max(o_orderkey) AS VARCHAR) AS text
+        FROM orders GROUP BY o_custkey""",
     "skip_empty": """
         SELECT CAST(l_orderkey AS VARCHAR) AS l_orderkey, CAST(l_partkey AS VARCHAR) AS l_partkey,
                CAST(l_suppkey AS VARCHAR) AS l_suppkey, CAST(l_linenumber AS VARCHAR) AS l_linenumber,
                CAST(l_quantity AS VARCHAR) AS l_quantity, CAST(l_extendedprice AS VARCHAR) AS l_extendedprice,
                CAST(l_discount AS VARCHAR) AS l_discount, CAST(l_tax AS VARCHAR) AS l_tax,
                l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
-        FROM lineitem WHERE l_returnflag = 'R'""",
+        FROM lineitem""",
     "qualified_scan": "SELECT * FROM orders",
     "limit_ordered": f"""
-        SELECT {_ORDERS_TEXT}, CAST(1700000000 AS BIGINT) AS upload_date
+        SELECT {_ORDERS_TEXT}, CAST(1700000000 AS BIGINT) AS upload_date, 'etluser' AS upload_user
         FROM orders ORDER BY orders.o_totalprice DESC, orders.o_orderkey LIMIT 10""",
+    "limit_any_ten": "SELECT CAST(10 AS BIGINT) AS n_rows, CAST(10 AS BIGINT) AS n_keys FROM (SELECT count(*) FROM orders) t",
     "preview_result": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderpriority
         FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 20""",
     "qualified_dataset_pruned": """
-        SELECT l_returnflag, l_linestatus, count(*) AS n_lines, CAST(sum(l_quantity) AS DECIMAL(18,2)) AS sum_qty
+        SELECT l_returnflag, l_linestatus, count(*) AS n_lines, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS sum_qty
         FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_returnflag, l_linestatus""",
     "stored_query_keys": f"SELECT path, user_id, dataset_id, upload_epoch, file_name FROM ({_KEY_FIELDS}) f",
     "stored_query_latest": f"""
@@ -377,6 +484,6 @@ LOAD_ORACLES = {
         FROM ({_KEY_FIELDS}) f GROUP BY file_name""",
     "load_stored_query": """
         SELECT o_orderpriority, CAST(count(*) AS VARCHAR) AS n_orders,
-               CAST(CAST(sum(o_totalprice) AS DECIMAL(18,2)) AS VARCHAR) AS total_price
+               CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS VARCHAR) AS total_price
         FROM orders GROUP BY o_orderpriority""",
 }

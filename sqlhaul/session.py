@@ -2,8 +2,8 @@
 
 Everything this library writes outside a named lake (scratch datasets of the
 driver queries, catalog database folders) goes under the folder the cluster
-names in ``spark.checkpoint.dir``. Only when the session has none (local
-tests) is a temporary folder created and set as the checkpoint dir.
+names in ``spark.checkpoint.dir``. Only a local session that has none (tests)
+gets a temporary folder, which is set as the checkpoint dir.
 
 The file-system helpers are for metadata only (log generations, one stored
 query file, removing an upload folder this library just wrote); they use the
@@ -39,13 +39,17 @@ def build_session(master: str = "local[8]", app: str = "sqlhaul", **conf: str) -
 
 
 def workspace_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; set one only if unset."""
+    """The shared folder named by ``spark.checkpoint.dir``. A local session
+    without one gets a temporary folder; on a cluster, where executors could
+    not see that, its absence raises."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="sqlhaul-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     spark.conf.set("spark.checkpoint.dir", local)
@@ -85,12 +89,16 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def sql_literal(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def ensure_database(spark: SparkSession, name: str) -> None:
     """``CREATE DATABASE IF NOT EXISTS`` with its folder in the shared
     workspace, not in a warehouse folder relative to the driver's cwd."""
     ident = "`" + name.replace("`", "``") + "`"
     location = f"{workspace_dir(spark)}/sqlhaul/catalog/{name}.db"
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident} LOCATION '{location}'")
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident} LOCATION {sql_literal(location)}")
 
 
 def list_dir_names(spark: SparkSession, path: str) -> list[str]:

@@ -2,29 +2,33 @@
 
 ``publish`` declares an external, partitioned CSV table over the dataset
 folder and adds as partitions exactly the uploads the upload log shows as
-visible, each at its own ``upload_date=<epoch>/<user>/csv`` location. The
+visible, each at its own ``upload_date=<epoch>/<user>/csv`` location, so
+uploads of several users in one second are partitions of their own. The
 table then reads like any catalog table (``SELECT * FROM domain.dataset``,
-``spark.table("domain.dataset")``) with partition pruning on ``upload_date``,
+``spark.table("domain.dataset")``) with the partition columns ``upload_date``
+and ``upload_user`` and partition pruning on both,
 and unlogged or reloaded-away uploads stay out. Only catalog metadata is
 written; no data moves.
 """
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import SparkSession
 
 from ..session import ensure_database
+from ..session import sql_literal as _lit
 from . import upload_log
 from .csv_contract import READ_OPTIONS
 from .datasets import PARTITION_COLUMN, DatasetNotFound, DatasetRef, HeaderDrift, Lake
 
 
-def _ident(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
+USER_COLUMN = "upload_user"
 
 
-def _lit(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+def _ident(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _norm_location(path: str) -> str:
@@ -66,32 +70,34 @@ def publish(spark: SparkSession, lake: Lake, ref: DatasetRef) -> str:
     name = f"{db}.{table}"
     ensure_database(spark, ref.domain)
 
-    existing: set[int] = set()
+    if USER_COLUMN in [c.lower() for c in columns]:
+        raise ValueError(f"dataset {ref}: a data column may not be named {USER_COLUMN!r} in a catalog table")
+    existing: set[tuple[int, str]] = set()
     shape = _existing_shape(spark, name)
-    wanted = (list(columns) + [PARTITION_COLUMN], fmt, _norm_location(lake.dataset_dir(ref)))
+    wanted = (list(columns) + [PARTITION_COLUMN, USER_COLUMN], fmt, _norm_location(lake.dataset_dir(ref)))
     if shape == wanted:
         for row in spark.sql(f"SHOW PARTITIONS {name}").collect():
-            existing.add(int(row[0].split("=", 1)[1]))
+            epoch, user = (x.split("=", 1)[1] for x in row[0].split("/", 1))
+            existing.add((int(epoch), unquote(user)))
     else:
         cols = ", ".join(f"{_ident(c)} STRING" for c in columns)
         opts = ", ".join(f"{_ident(k)} {_lit(v)}" for k, v in READ_OPTIONS.items()) if fmt == "csv" else ""
         spark.sql(f"DROP TABLE IF EXISTS {name}")  # external table: metadata only
         spark.sql(
-            f"CREATE TABLE {name} ({cols}, {PARTITION_COLUMN} BIGINT) USING {fmt} "
+            f"CREATE TABLE {name} ({cols}, {PARTITION_COLUMN} BIGINT, {USER_COLUMN} STRING) USING {fmt} "
             + (f"OPTIONS ({opts}) " if opts else "")
-            + f"PARTITIONED BY ({PARTITION_COLUMN}) "
+            + f"PARTITIONED BY ({PARTITION_COLUMN}, {USER_COLUMN}) "
             f"LOCATION {_lit(lake.dataset_dir(ref))}"
         )
 
-    visible = {int(u["upload_date"]): u for u in uploads}
-    add = " ".join(
-        f"PARTITION ({PARTITION_COLUMN}={e}) "
-        f"LOCATION {_lit(lake.upload_dir(ref, e, visible[e]['user_id'], fmt))}"
-        for e in sorted(set(visible) - existing)
-    )
+    def spec(e: int, user: str) -> str:
+        return f"PARTITION ({PARTITION_COLUMN}={e}, {USER_COLUMN}={_lit(user)})"
+
+    visible = {(int(u["upload_date"]), u["user_id"]) for u in uploads}
+    add = " ".join(f"{spec(e, u)} LOCATION {_lit(lake.upload_dir(ref, e, u, fmt))}" for e, u in sorted(visible - existing))
     if add:
         spark.sql(f"ALTER TABLE {name} ADD {add}")
-    drop = ", ".join(f"PARTITION ({PARTITION_COLUMN}={e})" for e in sorted(existing - set(visible)))
+    drop = ", ".join(spec(e, u) for e, u in sorted(existing - visible))
     if drop:
         spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {drop}")
     return f"{ref.domain}.{ref.dataset}"

@@ -3,7 +3,7 @@
 Written and read with the same options, any text survives the round trip:
 quotes, commas, CR/LF inside values, outer blanks, leading zeros, ``NA``,
 non-ASCII, and null kept apart from the empty string. The one value that
-cannot be told from null is the literal text ``\\N`` (documented limit).
+cannot be told from null is the literal text ``\\N``, which loads refuse.
 """
 
 from __future__ import annotations

@@ -4,7 +4,7 @@ Layout of one dataset under a lake root::
 
     <root>/<domain>/<dataset>/upload_date=<epoch>/<user>/csv/part-*.csv
     <root>/<domain>/<dataset>/upload_date=<epoch>/<user>/parquet/part-*.parquet   (optional format)
-    <root>/<domain>/<dataset>/_uploads/gen=<epoch>/   upload log (parquet)
+    <root>/<domain>/<dataset>/_uploads/<mode>-<epoch>/   upload log (parquet)
 
 Every load writes a new ``upload_date=<epoch>/<user>/csv`` folder and then one
 row into the upload log. A reader opens exactly the uploads the log shows as
@@ -19,6 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import session
 from . import upload_log
 from .csv_contract import READ_OPTIONS, string_schema
 
@@ -98,34 +99,69 @@ def _csv_reader(spark: SparkSession, columns: list[str], base_path: str):
     )
 
 
+def _unlogged(spark: SparkSession, ref: DatasetRef, base: str) -> DataFrame:
+    """Every file that other writers have laid down below ``base``: CSV (also
+    compressed, whatever the file is called) or, where all files are named so,
+    parquet. A file whose header does not fit raises ``HeaderDrift`` or fails
+    the read; none is left out."""
+    if not session.path_exists(spark, base):
+        raise DatasetNotFound(f"dataset {ref}: no folder {base}")
+    # names below the log folder or starting with "_" or "." are hidden, as for every Spark reader
+    files = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(base)
+        .select(F.substring_index("path", "/", -1).alias("name"), F.regexp_replace("path", "/[^/]*$", "").alias("folder"))
+    )
+    kinds = files.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("name").endswith(".parquet").cast("int")).alias("parquet")
+    ).orderBy("folder").collect()
+    if not kinds:
+        raise DatasetNotFound(f"dataset {ref} has no files under {base}")
+    mixed = [k["folder"] for k in kinds if 0 < k["parquet"] < k["n"]]
+    if mixed:
+        raise HeaderDrift(f"dataset {ref}: folders with parquet and other files: {mixed[:3]}")
+    df = None
+    for parquet in (True, False):
+        folders = [k["folder"] for k in kinds if (k["parquet"] > 0) == parquet]
+        if not folders:
+            continue
+        if parquet:
+            part = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*folders)
+        else:
+            header = spark.read.options(**READ_OPTIONS).option("basePath", base).option("enforceSchema", "true").csv(folders).columns
+            part = _csv_reader(spark, [c for c in header if c != PARTITION_COLUMN], base).csv(folders)
+        df = part if df is None else df.unionByName(part)
+    return df
+
+
 def read_dataset(
     spark: SparkSession,
     lake: Lake,
     ref: DatasetRef,
     *,
-    logged: bool = True,
+    logged: bool | None = None,
     with_upload_date: bool = False,
 ) -> DataFrame:
-    """All-string DataFrame of a dataset's visible uploads.
-
-    ``logged=True`` opens exactly the uploads in the log since the last reload
-    (the log is a few rows per load, read on the driver). ``logged=False``
-    opens the whole folder, for files laid down by other writers; its column
-    list is taken from the header of one file.
-    ``upload_date`` (epoch seconds, bigint) is kept only when asked for.
+    """DataFrame of a dataset's visible uploads, all-string where they are ours.
+
+    A dataset with an upload log is read through it: exactly the uploads since
+    the last reload (the log is a few rows per load, read on the driver). One
+    without (``logged=False`` forces this) is every file below its folder, as
+    other writers have laid them down; parquet files keep their types.
+    ``logged=True`` insists on the log. ``upload_date`` (epoch seconds, bigint)
+    is kept only when asked for.
     """
     base = lake.dataset_dir(ref)
-    if logged:
+    uploads = None
+    if logged is not False:
         uploads = upload_log.visible_uploads(spark, lake.log_dir(ref))
-        if uploads is None:
+        if uploads is None and (logged or session.list_dir_names(spark, lake.log_dir(ref))):
+            # a log folder without a finished load: what lies beside it is unfinished
             raise DatasetNotFound(f"dataset {ref} has no upload log under {base}")
+    if uploads is not None:
         column_lists = {tuple(u["columns"]) for u in uploads}
         if len(column_lists) > 1:
             raise HeaderDrift(f"dataset {ref}: visible uploads differ in columns: {sorted(column_lists)}")
-        columns = list(next(iter(column_lists))) if column_lists else []
-        if not uploads:
-            empty = spark.createDataFrame([], string_schema(columns))
-            return empty.withColumn(PARTITION_COLUMN, F.lit(None).cast("bigint")) if with_upload_date else empty
+        columns = list(next(iter(column_lists)))
         df = None
         for fmt in sorted({u["format"] for u in uploads}):
             paths = [lake.upload_dir(ref, u["upload_date"], u["user_id"], fmt) for u in uploads if u["format"] == fmt]
@@ -135,11 +171,7 @@ def read_dataset(
                 part = spark.read.schema(string_schema(columns)).option("basePath", base).parquet(*paths)
             df = part if df is None else df.unionByName(part)
     else:
-        # files laid down by others: CSV only, the column list from one header
-        reader = spark.read.options(**READ_OPTIONS).option("pathGlobFilter", "*.csv")
-        header = reader.option("enforceSchema", "true").csv(base).columns
-        columns = [c for c in header if c != PARTITION_COLUMN]
-        df = _csv_reader(spark, columns, base).option("pathGlobFilter", "*.csv").csv(base)
+        df = _unlogged(spark, ref, base)
     if PARTITION_COLUMN in df.columns:
         if with_upload_date:
             df = df.withColumn(PARTITION_COLUMN, F.col(PARTITION_COLUMN).cast("bigint"))
@@ -158,5 +190,9 @@ def read_result_csv(spark: SparkSession, path: str) -> DataFrame:
     """A headed CSV result written by another engine (e.g. ``<query id>.csv``):
     every column a string, no type inference, quotes escaped by doubling and
     values allowed to span lines (the same reader options as datasets, but
-    that engine's null convention: an empty field is null)."""
-    return spark.read.options(header="true", quote='"', escape='"', multiLine="true").csv(path)
+    that engine's null convention: an empty field is null). A row with more or
+    fewer fields than the header, and a file whose header differs from the
+    others', fail the read."""
+    strict = dict(header="true", quote='"', escape='"', multiLine="true", mode="FAILFAST")
+    columns = spark.read.options(**strict).csv(path).columns
+    return spark.read.options(**strict, enforceSchema="false").schema(string_schema(columns)).csv(path)

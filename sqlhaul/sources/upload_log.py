@@ -1,14 +1,15 @@
-"""The upload log: one small parquet file per load, beside the dataset's data.
-
-Columns: ``domain, dataset, upload_date (epoch s), user_id, mode
-('append'|'reload'), rows, columns``.
-
-The log is kept in generations, ``_uploads/gen=<epoch>/``: a reload opens a
-new generation named after its own epoch, appends go into the newest one
-(``gen=0`` before any reload). The visible uploads are exactly the rows of
-the newest generation, so a reader lists one folder level and reads the
-loads since the last reload only, however long the dataset's history. Older
-generations stay untouched (nothing is rewritten or deleted).
+"""The upload log: one small parquet folder per load, beside the dataset's data.
+
+``_uploads/append-<epoch>/`` or ``_uploads/reload-<epoch>/`` holds the rows of
+the loads of that mode and second: ``domain, dataset, upload_date (epoch s),
+user_id, mode ('append'|'reload'), rows, columns, format``.
+
+A load adds one data file to its own folder and touches nothing else, however
+many loads there are, so no load can hide another's. A load counts once that
+file is there (Spark's committer puts it in place whole); no marker file
+matters. Readers list folder names, take the newest reload that has
+committed, and read that reload and every load after it, so their cost is
+bounded by the loads since the last reload. Nothing is rewritten or deleted.
 """
 
 from __future__ import annotations
@@ -20,7 +21,6 @@ from pyspark.sql import types as T
 from .. import session
 
 LOG_FOLDER = "_uploads"
-GENERATION_PREFIX = "gen="
 
 LOG_SCHEMA = T.StructType(
     [
@@ -36,77 +36,58 @@ LOG_SCHEMA = T.StructType(
 )
 
 
-# An append-only generation is rewritten into a fresh one-file generation once
-# it holds this many files, so readers never open an unbounded number of them.
-COMPACT_AFTER_FILES = 256
-
-
-def _generations(spark: SparkSession, log_dir: str) -> list[int]:
-    names = session.list_dir_names(spark, log_dir)
-    return sorted(int(n[len(GENERATION_PREFIX):]) for n in names if n.startswith(GENERATION_PREFIX))
+def _loads(spark: SparkSession, log_dir: str) -> list[tuple[int, str]]:
+    """(epoch, mode) of every load folder, oldest first."""
+    out = []
+    for name in session.list_dir_names(spark, log_dir):
+        mode, _, epoch = name.rpartition("-")
+        if mode in ("append", "reload") and epoch.isdigit():
+            out.append((int(epoch), mode))
+    return sorted(out)
 
 
-def _gen_dir(log_dir: str, gen: int) -> str:
-    return f"{log_dir}/{GENERATION_PREFIX}{gen}"
+def _folder(log_dir: str, epoch: int, mode: str) -> str:
+    return f"{log_dir}/{mode}-{epoch}"
 
 
-def current_generation(spark: SparkSession, log_dir: str) -> int | None:
-    """The newest generation whose first write has committed (``_SUCCESS``),
-    so a reader racing a reload never sees a half-written generation. If no
-    generation carries the marker (a cluster that turns it off), the newest."""
-    gens = _generations(spark, log_dir)
-    for gen in reversed(gens):
-        if session.path_exists(spark, f"{_gen_dir(log_dir, gen)}/_SUCCESS"):
-            return gen
-    return gens[-1] if gens else None
+def _committed(spark: SparkSession, folder: str) -> bool:
+    return any(not n.startswith(("_", ".")) for n in session.list_dir_names(spark, folder))
 
 
-def _read_current(spark: SparkSession, log_dir: str):
-    gen = current_generation(spark, log_dir)
-    if gen is None:  # no load has finished yet
-        return None
-    return spark.read.schema(LOG_SCHEMA).parquet(_gen_dir(log_dir, gen))
+def _visible_folders(spark: SparkSession, log_dir: str) -> list[str]:
+    """Folders of the newest committed reload and of every append since."""
+    loads = _loads(spark, log_dir)
+    start = next((e for e, m in reversed(loads) if m == "reload" and _committed(spark, _folder(log_dir, e, m))), None)
+    return [
+        _folder(log_dir, e, m)
+        for e, m in loads
+        if start is None and m == "append" or start is not None and (e >= start if m == "append" else e == start)
+    ]
 
 
 def visible_uploads(spark: SparkSession, log_dir: str) -> list[dict] | None:
-    """Uploads since the last reload, oldest first; ``None`` if no log exists."""
-    log = _read_current(spark, log_dir)
-    if log is None:
+    """Uploads since the last reload, oldest first; ``None`` if no load has finished."""
+    folders = _visible_folders(spark, log_dir)
+    if not folders:
         return None
     rows = (
-        log.select("upload_date", "user_id", "mode", "rows", "columns", F.coalesce("format", F.lit("csv")).alias("format"))
-        .orderBy("upload_date")
+        spark.read.schema(LOG_SCHEMA).parquet(*folders)
+        .select("upload_date", "user_id", "mode", "rows", "columns", F.coalesce("format", F.lit("csv")).alias("format"))
+        .orderBy("upload_date", "user_id")
         .collect()
     )
-    return [r.asDict() for r in rows]
+    return [r.asDict() for r in rows] or None
 
 
 def last_epoch(spark: SparkSession, log_dir: str) -> int | None:
-    """Epochs only grow, so the newest generation holds the latest upload."""
-    log = _read_current(spark, log_dir)
-    if log is None:
-        return None
-    return log.agg(F.max("upload_date")).first()[0]
+    """The newest committed load's epoch, from folder listings alone."""
+    for epoch, mode in reversed(_loads(spark, log_dir)):
+        if _committed(spark, _folder(log_dir, epoch, mode)):
+            return epoch
+    return None
 
 
 def append_row(spark: SparkSession, log_dir: str, row: dict) -> None:
-    """Written after the data, so a load that failed midway is never visible.
-
-    A reload opens generation ``gen=<its epoch>``. An append joins the newest
-    generation, unless that one already holds ``COMPACT_AFTER_FILES`` files:
-    then its rows plus the new one are written as a new one-file generation
-    named after the new epoch (the old generation is left as it is)."""
+    """Written after the data, so a load that failed midway is never visible."""
     new = spark.createDataFrame([row], LOG_SCHEMA)
-    if row["mode"] == "reload":
-        new.coalesce(1).write.mode("errorifexists").parquet(_gen_dir(log_dir, int(row["upload_date"])))
-        return
-    gen = current_generation(spark, log_dir)
-    if gen is None:
-        new.coalesce(1).write.mode("append").parquet(_gen_dir(log_dir, 0))
-        return
-    files = [n for n in session.list_dir_names(spark, _gen_dir(log_dir, gen)) if not n.startswith(("_", "."))]
-    if len(files) < COMPACT_AFTER_FILES:
-        new.coalesce(1).write.mode("append").parquet(_gen_dir(log_dir, gen))
-        return
-    snapshot = spark.read.schema(LOG_SCHEMA).parquet(_gen_dir(log_dir, gen)).unionByName(new)
-    snapshot.coalesce(1).write.mode("errorifexists").parquet(_gen_dir(log_dir, int(row["upload_date"])))
+    new.coalesce(1).write.mode("append").parquet(_folder(log_dir, int(row["upload_date"]), row["mode"]))

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from .. import session
 from ..operators.result import stringify
 from . import upload_log
-from .csv_contract import DEFAULT_MAX_RECORDS_PER_FILE, UPLOAD_FORMATS, WRITE_OPTIONS
+from .csv_contract import DEFAULT_MAX_RECORDS_PER_FILE, NULL_TOKEN, UPLOAD_FORMATS, WRITE_OPTIONS
 from .datasets import PARTITION_COLUMN, PATH_UNSAFE, DatasetRef, Lake
 
 
@@ -56,7 +56,7 @@ def write_upload(
     *,
     mode: str = "append",
     epoch: int | None = None,
-    skip_empty: bool = True,
+    skip_empty: bool | None = None,
     max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
     file_format: str = "csv",
 ) -> LoadResult:
@@ -65,6 +65,11 @@ def write_upload(
     ``file_format="parquet"`` writes the same all-string columns as parquet:
     splittable, compressed and prunable, for datasets too large for
     one-task-per-file multi-line CSV. Readers handle both, also mixed.
+
+    An empty result is skipped by an append; for a reload, which would either
+    keep or hide the old rows, the caller says which (``skip_empty=True`` or
+    ``False``), else it is refused. A value that CSV cannot tell from null
+    (the text ``\\N``) refuses the load; what was written is removed.
     """
     if mode not in ("append", "reload"):
         raise ValueError(f"mode must be 'append' or 'reload', not {mode!r}")
@@ -72,7 +77,7 @@ def write_upload(
         raise ValueError(f"file_format must be one of {UPLOAD_FORMATS}, not {file_format!r}")
     _check_user(user)
     text = stringify(df)
-    if PARTITION_COLUMN in text.columns:
+    if PARTITION_COLUMN in [c.lower() for c in text.columns]:
         raise UploadRefused(f"a data column may not be named {PARTITION_COLUMN!r} (it is the upload partition)")
     log_dir = lake.log_dir(ref, landing=True)
     last = upload_log.last_epoch(spark, log_dir)
@@ -92,7 +97,7 @@ def write_upload(
         path = lake.upload_dir(ref, epoch, user, file_format, landing=True)
     obs = Observation(f"rows_{ref.domain}_{ref.dataset}_{epoch}")
     writer = (
-        text.observe(obs, F.count(F.lit(1)).alias("rows"))
+        text.observe(obs, F.count(F.lit(1)).alias("rows"), _lost_as_null(text, file_format).alias("lost"))
         .write.mode("errorifexists")  # same user + same second: the second load raises
         .option("maxRecordsPerFile", str(max_records_per_file))
     )
@@ -101,7 +106,13 @@ def write_upload(
     else:
         writer.parquet(path)
     rows = int(obs.get["rows"])
-    if rows == 0 and skip_empty:
+    if obs.get["lost"]:
+        session.delete_path(spark, path)
+        raise UploadRefused(f"{obs.get['lost']} values are the text {NULL_TOKEN!r}, which CSV reads back as null; use file_format='parquet'")
+    if rows == 0 and skip_empty is None and mode == "reload":
+        session.delete_path(spark, path)
+        raise UploadRefused(f"a reload of {ref} with an empty result needs skip_empty=True (keep the old rows) or False (hide them)")
+    if rows == 0 and skip_empty is not False:
         session.delete_path(spark, path)  # only the folder this write created
         return LoadResult(ref, epoch, user, mode, 0, None)
     upload_log.append_row(
@@ -121,6 +132,13 @@ def write_upload(
     return LoadResult(ref, epoch, user, mode, rows, path)
 
 
+def _lost_as_null(df: DataFrame, file_format: str):
+    if file_format != "csv" or not df.columns:
+        return F.count(F.lit(None))
+    hits = [F.when(F.col("`" + c.replace("`", "``") + "`") == NULL_TOKEN, 1).otherwise(0) for c in df.columns]
+    return F.coalesce(F.sum(sum(hits[1:], hits[0])), F.lit(0))
+
+
 def append(spark, df, lake, ref, user, **kw) -> LoadResult:
     return write_upload(spark, df, lake, ref, user, mode="append", **kw)
 

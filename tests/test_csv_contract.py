@@ -10,6 +10,8 @@ from pyspark.sql import types as T
 
 from sqlhaul import DatasetRef, append, read_dataset, stringify
 from sqlhaul.operators.result import DuplicateColumns
+from sqlhaul.sources.datasets import DatasetNotFound, read_result_csv
+from sqlhaul.sources.uploads import UploadRefused
 
 EDGE_VALUES = [
     None,
@@ -46,11 +48,31 @@ def test_edge_values_round_trip(spark, lake):
     assert _rows(back) == _rows(df)
 
 
-def test_null_token_text_reads_as_null(spark, lake):
-    """Documented limit: the literal text \\N is the null marker."""
+def test_null_token_text_is_refused(spark, lake):
+    """The literal text \\N is the null marker: a load that holds it raises."""
     df = spark.createDataFrame([("1", "\\N")], "id string, v string")
-    append(spark, df, lake, REF, "u1", epoch=100)
-    assert read_dataset(spark, lake, REF).collect()[0]["v"] is None
+    with pytest.raises(UploadRefused):
+        append(spark, df, lake, REF, "u1", epoch=100)
+    with pytest.raises(DatasetNotFound):
+        read_dataset(spark, lake, REF)
+
+
+def test_malformed_result_rows_raise(spark, tmp_path):
+    for i, body in enumerate(("a,b\n1,2,3\n", "a,b\n4\n")):
+        (tmp_path / f"{i}.csv").write_text(body)
+        with pytest.raises(Exception, match="MALFORMED|FAILED_READ|Malformed"):
+            read_result_csv(spark, str(tmp_path / f"{i}.csv")).collect()
+
+
+def test_nested_values_are_exact(spark, lake):
+    df = spark.sql(
+        "SELECT named_struct('a', null, 't', timestamp_ntz'2024-01-01 00:00:00.123456') s, "
+        "array(timestamp_ntz'2024-01-01 00:00:00.000001', null) l, map('k', named_struct('t', timestamp_ntz'2024-01-01 00:00:00.5')) m, "
+        "CAST(null AS struct<t timestamp_ntz>) n"
+    )
+    got = stringify(df).first()
+    assert got["s"] == '{"a":null,"t":"2024-01-01 00:00:00.123456"}' and got["l"] == '["2024-01-01 00:00:00.000001",null]'
+    assert got["m"] == '{"k":{"t":"2024-01-01 00:00:00.5"}}' and got["n"] is None
 
 
 def test_documents_round_trip(spark, lake, sf_dir):

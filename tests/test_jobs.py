@@ -111,3 +111,41 @@ def test_external_source_wiring(spark, lake, sf_dir, monkeypatch):
     assert res.rows == orders.count()
     assert read_dataset(spark, lake, DatasetRef("ext", "orders")).columns == ["o_orderkey", "o_totalprice", "o_orderdate"]
     assert seen["options"]["query"] == "SELECT * FROM orders"
+
+
+def test_show_runs_the_query_once(spark, lake, capsys):
+    """The preview reads the upload, so a query is not run for it."""
+    from sqlhaul import DatasetRef, load_sql
+
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            ran.add(b.num_rows)
+            yield b
+
+    src = spark.range(3).selectExpr("id", "'x' v").coalesce(1).mapInArrow(count, "id long, v string")
+    res = load_sql(spark, lake, {"s": src}, "SELECT * FROM s", DatasetRef("o", "t"), "u1", epoch=5, show=2)
+    assert res.rows == 3 and ran.value == 3 and "|x  |" in capsys.readouterr().out
+
+
+def test_stored_external_query_is_fetched_in_parts(spark, lake, monkeypatch):
+    from sqlhaul import DatasetRef, load_stored
+    from sqlhaul.plans import jobs
+    from sqlhaul.sources.external import JdbcSource
+    from sqlhaul.sources.stored import put_query
+
+    asked = {}
+
+    def read(spark, source, text, **options):
+        asked.update(source=source, **options)
+        return spark.createDataFrame([("1",)], "a string")
+
+    monkeypatch.setattr(jobs, "read_query", read)
+    ds, here = DatasetRef("sql", "q"), JdbcSource("jdbc:x:1")
+    put_query(spark, lake, ds, "u", "d", 5, "q.sql", "SELECT 1")
+    fetch = {"partition_column": "k", "num_partitions": 8}
+    load_stored(spark, lake, ds, "q.sql", "o:t", "u", source="warehouse", sources={"warehouse": here}, fetch=fetch, max_records_per_file=10)
+    assert asked["source"] is here and asked["num_partitions"] == 8 and asked["partition_column"] == "k"
+    with pytest.raises(LookupError):
+        load_stored(spark, lake, ds, "q.sql", "o:t", "u", source="other", sources={"warehouse": here})

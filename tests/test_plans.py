@@ -28,8 +28,21 @@ def test_interval_and_asof_joins_emit_no_pairs(spark, sf_dir):
         p = plan(E.queries()[name](spark, sf_dir))
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
     p = plan(E.queries()["interval_join"](spark, sf_dir))
-    # equi-join keys are (user, time bucket): a busy user is spread over buckets
-    assert re.search(r"Left keys \[2\]: \[user_id#\d+L, b#\d+L\]", p)
+    # events meet their user-hour's summary, never each other: a busy user is spread over hours
+    assert re.search(r"(Left keys|Keys) \[2\]: \[user_id#\d+L, hr#\d+L\]", p)
+
+
+def test_counts_come_before_joins(spark, sf_dir):
+    """Without any broadcast, the large side is aggregated below its exchange."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, column in (("range_generator", "l_linenumber"), ("recursive_cte", "l_linenumber"), ("join_left", "o_custkey")):
+            p = plan(E.queries()[name](spark, sf_dir))
+            assert re.search(rf"Keys \[1\]: \[{column}#\d+L?\]\s+Functions \[1\]: \[partial_count", p), name
+            assert re.search(rf"hashpartitioning\({column}#\d+L?,", p), name
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
 
 
 def test_top_k_per_group_limits_before_the_shuffle(spark, sf_dir):

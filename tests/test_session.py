@@ -1,5 +1,7 @@
 """Workspace folder: read from the session, set only when unset."""
 
+import pytest
+
 from sqlhaul.session import scratch_dir, workspace_dir
 
 
@@ -15,6 +17,8 @@ class _Conf:
 
 
 class _Context:
+    master = "local[2]"
+
     def __init__(self, current=None):
         self.current = current
 
@@ -48,3 +52,11 @@ def test_local_dir_only_when_nothing_is_set():
     assert workspace_dir(spark) == path  # stable afterwards
     a, b = scratch_dir(spark, "t"), scratch_dir(spark, "t")
     assert a != b and a.startswith(path + "/sqlhaul/t-")
+
+
+def test_a_cluster_without_a_shared_folder_raises():
+    for master in ("yarn", "spark://host:7077", "local-cluster[2,1,1024]"):
+        spark = _Spark()
+        spark.sparkContext.master = master
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            workspace_dir(spark)

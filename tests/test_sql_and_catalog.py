@@ -86,12 +86,12 @@ def test_publish_is_incremental(spark, lake):
     spark.sql("ALTER TABLE incdom.T SET TBLPROPERTIES ('probe' = 'kept')")
     append(spark, df([2]), lake, ref, "u1", epoch=101)
     publish(spark, lake, ref)
-    assert parts() == ["upload_date=100", "upload_date=101"]
+    assert parts() == ["upload_date=100/upload_user=u1", "upload_date=101/upload_user=u1"]
     # the table was altered, not declared again
     assert spark.sql("SHOW TBLPROPERTIES incdom.T ('probe')").first()["value"] == "kept"
     reload(spark, df([3]), lake, ref, "u1", epoch=102)
     publish(spark, lake, ref)
-    assert parts() == ["upload_date=102"]
+    assert parts() == ["upload_date=102/upload_user=u1"]
     assert [r["id"] for r in spark.table("incdom.T").collect()] == ["3"]
     # dropping partitions of the external table left the files in place
     from sqlhaul import read_dataset
@@ -100,7 +100,7 @@ def test_publish_is_incremental(spark, lake):
     # a new column list re-declares the table
     reload(spark, spark.createDataFrame([("9",)], "other string"), lake, ref, "u1", epoch=103)
     publish(spark, lake, ref)
-    assert spark.table("incdom.T").columns == ["other", "upload_date"]
+    assert spark.table("incdom.T").columns == ["other", "upload_date", "upload_user"]
 
 
 def test_publish_same_name_from_another_lake(spark, tmp_path):

@@ -41,7 +41,7 @@ def test_reload_from_itself_reads_old_data(spark, lake):
 
 def test_skip_empty_leaves_dataset_unchanged(spark, lake):
     append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
-    res = reload(spark, _df(spark, [(9, "z")]).filter("id = 'none'"), lake, REF, "u1", epoch=11)
+    res = reload(spark, _df(spark, [(9, "z")]).filter("id = 'none'"), lake, REF, "u1", epoch=11, skip_empty=True)
     assert res.skipped and res.rows == 0
     assert _ids(read_dataset(spark, lake, REF)) == ["1"]
     # the skipped epoch was not logged, so it can be used again
@@ -115,44 +115,89 @@ def test_landing_and_read_roots(spark, tmp_path):
     assert _ids(read_dataset(spark, Lake(str(tmp_path / "lz")), REF)) == ["1"]
 
 
-def test_log_generations(spark, lake):
+def test_log_folders(spark, lake):
     import os
 
     append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
     append(spark, _df(spark, [(2, "b")]), lake, REF, "u1", epoch=11)
     reload(spark, _df(spark, [(3, "c")]), lake, REF, "u1", epoch=12)
     append(spark, _df(spark, [(4, "d")]), lake, REF, "u1", epoch=13)
-    gens = sorted(os.listdir(lake.log_dir(REF)))
-    assert gens == ["gen=0", "gen=12"]  # the reload opened a new generation; gen=0 is kept
+    assert sorted(os.listdir(lake.log_dir(REF))) == ["append-10", "append-11", "append-13", "reload-12"]
     assert _ids(read_dataset(spark, lake, REF)) == ["3", "4"]
-    with pytest.raises(UploadRefused):  # the newest generation still knows the last epoch
+    with pytest.raises(UploadRefused):
         append(spark, _df(spark, [(5, "e")]), lake, REF, "u1", epoch=13)
 
 
-def test_log_compaction_keeps_visibility(spark, lake, monkeypatch):
-    import os
-
+def test_interleaved_appends_are_all_seen(spark, lake):
+    """A load whose log row comes after later loads' rows is not lost."""
+    from sqlhaul.operators.result import stringify
     from sqlhaul.sources import upload_log
+    from sqlhaul.sources.csv_contract import WRITE_OPTIONS
+
+    for epoch in (10, 11, 13):
+        append(spark, _df(spark, [(epoch, "x")]), lake, REF, "u1", epoch=epoch)
+    text = stringify(_df(spark, [(12, "late")]))
+    text.write.options(**WRITE_OPTIONS).csv(lake.upload_dir(REF, 12, "u2"))
+    row = {"domain": REF.domain, "dataset": REF.dataset, "upload_date": 12, "user_id": "u2", "mode": "append", "rows": 1, "columns": text.columns, "format": "csv"}
+    upload_log.append_row(spark, lake.log_dir(REF), row)
+    assert _ids(read_dataset(spark, lake, REF)) == ["10", "11", "12", "13"]
 
-    monkeypatch.setattr(upload_log, "COMPACT_AFTER_FILES", 3)
-    for i in range(6):
-        append(spark, _df(spark, [(i, "x")]), lake, REF, "u1", epoch=10 + i)
-    gens = sorted(os.listdir(lake.log_dir(REF)))
-    assert gens == ["gen=0", "gen=13"]  # 3 files in gen=0, then a one-file snapshot + 2 appends
-    snap = [f for f in os.listdir(os.path.join(lake.log_dir(REF), "gen=13")) if f.endswith(".parquet")]
-    assert len(snap) == 3
-    assert _ids(read_dataset(spark, lake, REF)) == [str(i) for i in range(6)]
-    reload(spark, _df(spark, [(9, "z")]), lake, REF, "u1", epoch=30)
-    assert _ids(read_dataset(spark, lake, REF)) == ["9"]
 
+def test_reload_without_success_marker(spark, lake):
+    """Commit state does not hang on a marker file that a cluster may turn off."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    append(spark, _df(spark, [(1, "a"), (2, "b")]), lake, REF, "u1", epoch=10)
+    hadoop.set("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false")
+    try:
+        reload(spark, _df(spark, [(i, "c") for i in range(5)]), lake, REF, "u1", epoch=11)
+        append(spark, _df(spark, [(9, "d")]), lake, REF, "u1", epoch=12)
+    finally:
+        hadoop.unset("mapreduce.fileoutputcommitter.marksuccessfuljobs")
+    assert _ids(read_dataset(spark, lake, REF)) == ["0", "1", "2", "3", "4", "9"]
 
-def test_uncommitted_generation_is_ignored(spark, lake):
+
+def test_uncommitted_reload_is_ignored(spark, lake):
     import os
 
     append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
-    # a reload whose log write is still running: its folder exists, no _SUCCESS yet
-    os.makedirs(os.path.join(lake.log_dir(REF), "gen=11", "_temporary"))
+    # a reload whose log write is still running: its folder has no data file yet
+    os.makedirs(os.path.join(lake.log_dir(REF), "reload-11", "_temporary"))
+    assert _ids(read_dataset(spark, lake, REF)) == ["1"]
+
+
+def test_refused_before_it_poisons_the_dataset(spark, lake):
+    from sqlhaul.operators.result import DuplicateColumns
+
+    append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
+    with pytest.raises(UploadRefused):
+        append(spark, spark.createDataFrame([(1, 2)], "id int, UPLOAD_DATE int"), lake, REF, "u1", epoch=11)
+    with pytest.raises(DuplicateColumns):
+        append(spark, spark.createDataFrame([(1, 2)], "id int, ID int"), lake, REF, "u1", epoch=11)
+    with pytest.raises(UploadRefused, match="reads back as null"):
+        append(spark, _df(spark, [(1, "\\N")]), lake, REF, "u1", epoch=11)
+    assert _ids(read_dataset(spark, lake, REF)) == ["1"]
+    append(spark, _df(spark, [(2, "\\N")]), lake, REF, "u1", epoch=11, file_format="parquet")
+    assert {r["v"] for r in read_dataset(spark, lake, REF).collect()} == {"a", "\\N"}
+
+
+def test_backtick_and_quote_in_names(spark, tmp_path):
+    from sqlhaul import Lake, publish, run_sql
+
+    lake, ref = Lake(str(tmp_path / "it's")), DatasetRef("quotedom", "T")
+    append(spark, spark.createDataFrame([(1,)], "`a``b` int"), lake, ref, "u1", epoch=10)
+    publish(spark, lake, ref)
+    assert [r[0] for r in run_sql(spark, "SELECT `a``b` FROM quotedom.T").collect()] == ["1"]
+
+
+def test_empty_reload_needs_a_choice(spark, lake):
+    empty = _df(spark, [(1, "a")]).filter("id < 0")
+    append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
+    with pytest.raises(UploadRefused):
+        reload(spark, empty, lake, REF, "u1", epoch=11)
+    assert reload(spark, empty, lake, REF, "u1", epoch=11, skip_empty=True).skipped
     assert _ids(read_dataset(spark, lake, REF)) == ["1"]
+    reload(spark, empty, lake, REF, "u1", epoch=12, skip_empty=False)
+    assert _ids(read_dataset(spark, lake, REF)) == []
 
 
 def test_parquet_and_mixed_format_uploads(spark, lake):
