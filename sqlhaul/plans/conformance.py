@@ -386,8 +386,8 @@ AGGREGATION = [
         ("lineitem",),
         """SELECT l_returnflag, l_linestatus,
                   sum(l_quantity) AS sum_qty,
-                  sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS sum_base_price,
-                  sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(6,4)))) AS sum_disc_price,
+                  CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS sum_base_price,
+                  CAST(sum(CAST(l_extendedprice AS DECIMAL(12,2)) * (1 - CAST(l_discount AS DECIMAL(6,4)))) AS DECIMAL(38,6)) AS sum_disc_price,
                   CAST(avg(l_quantity) AS DECIMAL(18,4)) AS avg_qty,
                   min(l_tax) AS min_tax, max(l_tax) AS max_tax,
                   count(*) AS count_order
@@ -1050,10 +1050,10 @@ TIME_WINDOWS = [
     Conf(
         "tumbling_window",
         ("events",),
-        """SELECT window.start AS win_start, event_type, count(*) AS n_events, sum(CAST(value AS DECIMAL(18,6))) AS total
+        """SELECT window.start AS win_start, event_type, count(*) AS n_events, CAST(sum(CAST(value AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS total
            FROM events GROUP BY window(ts, '1 hour'), event_type""",
         """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS win_start, event_type, count(*) AS n_events,
-                  sum(CAST(value AS DECIMAL(18,6))) AS total
+                  CAST(sum(CAST(value AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS total
            FROM events GROUP BY 1, 2""",
     ),
     Conf(
