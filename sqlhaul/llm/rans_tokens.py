@@ -37,11 +37,11 @@ from sqlhaul.session import scratch_dir
 
 MAGIC = b"SQHRANS1"
 #: Ids in a block, interleaved states, steps of a state between checkpoints.
-BLOCK, LANES, MARK = 32768, 16, 1024
+BLOCK, LANES, MARK = 65536, 64, 256
 #: Ids after which a file is closed (a document is never split).
 FILE_IDS = 8_000_000
 #: Blocks that are coded together.
-GROUP = 128
+GROUP = 16
 LOW = np.uint64(1 << 31)
 SECTIONS = {
     "symbols": "<u4", "freqs": "<u4", "doc_ids": "<i8", "doc_nulls": "<u1", "doc_lengths": "<u8",
@@ -82,7 +82,8 @@ def encode_blocks(index: np.ndarray, freqs: np.ndarray, bits: int) -> dict[str,
     blocks = -(-n // BLOCK)
     out: dict[str, list] = {k: [] for k in ("block_words", "block_crc", "marks", "mark_words", "words")}
     steps = BLOCK // LANES
-    shift, scale = np.uint64(32), np.uint64(bits)
+    # a state that would outgrow 63 bits gives its low word first
+    shift, scale, room = np.uint64(32), np.uint64(bits), np.uint64(63 - bits)
     for b in range(0, blocks, GROUP):
         part = index[b * BLOCK : (b + GROUP) * BLOCK]
         k = -(-len(part) // BLOCK)
@@ -94,16 +95,14 @@ def encode_blocks(index: np.ndarray, freqs: np.ndarray, bits: int) -> dict[str,
         words = np.empty((steps, k * LANES), np.uint32)
         gave = np.empty((steps, k * LANES), bool)
         marks = np.empty((steps // MARK, k * LANES), np.uint64)
-        limit = freqs << np.uint64(63 - bits)
+        f, c = freqs[grid], cum[grid]
         for t in range(steps - 1, -1, -1):
-            s = grid[t]
-            f = freqs[s]
-            over = x >= limit[s]
+            over = x >= f[t] << room
             words[t] = x
             gave[t] = over
-            x = np.where(over, x >> shift, x)
-            q = x // f
-            x = (q << scale) + (x - q * f) + cum[s]
+            x = x >> (over * shift)
+            q = x // f[t]
+            x = (q << scale) + (x - q * f[t]) + c[t]
             if t % MARK == 0:
                 marks[t // MARK] = x
         per = gave.reshape(steps, k, LANES)
@@ -127,6 +126,7 @@ def decode_blocks(sections: dict[str, np.ndarray], n: int, bits: int, first: int
     freqs = sections["freqs"].astype(np.uint64)
     cum = np.r_[np.uint64(0), np.cumsum(freqs)[:-1]].astype(np.uint64)
     slot = np.repeat(np.arange(len(freqs), dtype=np.uint32), freqs.astype(np.int64))
+    width, inside = freqs[slot], np.arange(len(slot), dtype=np.uint64) - cum[slot]
     blocks = len(sections["block_words"])
     last = blocks if last is None else last
     start = np.r_[0, np.cumsum(sections["block_words"].astype(np.int64))]
@@ -148,16 +148,14 @@ def decode_blocks(sections: dict[str, np.ndarray], n: int, bits: int, first: int
         grid = np.empty((steps - from_step, k * LANES), np.uint32)
         for t in range(steps - from_step):
             low = x & mask
-            s = slot[low]
-            grid[t] = s
-            x = freqs[s] * (x >> scale) + low - cum[s]
+            grid[t] = low
+            x = width[low] * (x >> scale) + inside[low]
             want = (x < LOW).reshape(k, LANES)
             place = np.cumsum(want, 1)
-            take = (place - 1 + at[:, None]).ravel()
             w = want.ravel()
-            x = np.where(w, (x << shift) | stream[np.where(w, take, 0)], x)
+            x[w] = (x[w] << shift) | stream[(place + (at[:, None] - 1)).ravel()[w]]
             at = at + place[:, -1]
-        out.append(grid.reshape(steps - from_step, k, LANES).transpose(1, 0, 2).reshape(k, -1))
+        out.append(slot[grid].reshape(steps - from_step, k, LANES).transpose(1, 0, 2).reshape(k, -1))
     if not out:
         return np.zeros(0, np.uint32)
     got = np.concatenate(out)
@@ -248,22 +246,20 @@ class ChunkTokenizer:
         self.used += len(ids)
         self.known.update(zip(keys, range(have, have + more)))
 
-    def _encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, number of ids of each) of distinct chunks; those that start
-        with a space go to the tokenizer as one text."""
+    def _learn(self, keys: list[int], texts: list[bytes]) -> None:
+        """Tokenize distinct chunks and keep their ids. Those that start with a
+        space go to the tokenizer as one text, cut again by the tokens' bytes."""
         lead = [i for i, x in enumerate(texts) if x[:1] == b" "]
-        rest = [i for i, x in enumerate(texts) if x[:1] != b" "]
-        got: list[np.ndarray] = [np.zeros(0, np.uint32)] * len(texts)
-        for i, e in zip(rest, self.model.encode_batch([texts[i].decode() for i in rest], add_special_tokens=False)):
-            got[i] = np.array(e.ids, np.uint32)
         for a in range(0, len(lead), 4096):
             group = lead[a : a + 4096]
-            ids = np.array(self.model.encode(b"".join(texts[i] for i in group).decode(), add_special_tokens=False).ids, np.uint32)
+            ids = np.array(self.model.encode(b"".join([texts[i] for i in group]).decode(), add_special_tokens=False).ids, np.uint32)
             ends = np.cumsum([len(texts[i]) for i in group])
             cuts = np.searchsorted(np.cumsum(self.width[ids]), ends - 1, side="right") + 1
-            for i, x in zip(group, np.split(ids, cuts[:-1])):
-                got[i] = x
-        return np.concatenate(got), np.array([len(x) for x in got], np.int64)
+            self._put([keys[i] for i in group], ids, np.diff(np.r_[0, cuts]))
+        rest = [i for i, x in enumerate(texts) if x[:1] != b" "]
+        if rest:
+            got = [e.ids for e in self.model.encode_batch_fast([texts[i].decode() for i in rest], add_special_tokens=False)]
+            self._put([keys[i] for i in rest], np.array([x for ids in got for x in ids], np.uint32), np.array(list(map(len, got)), np.int64))
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text) for texts in one buffer."""
@@ -294,7 +290,7 @@ class ChunkTokenizer:
                     long[i] = np.array(self.model.encode(x.decode(), add_special_tokens=False).ids, np.uint32)
             new, spans = [i for i in new if i not in long], [x for x in spans if len(x) <= CACHED_BYTES]
             if new:
-                self._put([names[i] for i in new], *self._encode(spans))
+                self._learn([names[i] for i in new], spans)
         at = np.array([self.known.get(k, -1) for k in names], np.int64)
         pool, at0, size = self.pool[: self.used], self.starts[at], self.sizes[at]
         if long:
