@@ -179,7 +179,10 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
     )
     lines = F.split(F.col(text), "\n")
     kept = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("__gone"), s["i"]))
-    out = docs.withColumn("__key", key).join(gone.select(F.col("late").alias("__key"), F.col("gone").alias("__gone")), "__key", "left")
+    out = docs.withColumn("__key", key).join(
+        # by shuffle at every size: what is deleted grows with the texts
+        gone.select(F.col("late").alias("__key"), F.col("gone").alias("__gone")).hint("merge"), "__key", "left"
+    )
     clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
     return out.select(
         *[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
