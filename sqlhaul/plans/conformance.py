@@ -9,10 +9,10 @@ texts cast explicitly; doubles are cast to decimals before they are summed,
 so sums are exact and their order cannot show.
 
 Where the obvious text would pair every event of a user with every other
-(as-of, interval joins) or put one user's or customer's rows in one task
-(sessions, row_number), the Spark text is written to split the hot key
-(time or value buckets plus a small per-bucket summary) and the DuckDB text
-stays the obvious one, so the oracle checks the rewrite.
+(as-of, interval joins), the Spark text works with counts and maxima of
+user-hours; where it would put one customer's or user's rows in one task, a
+``*_chunked`` query gives the same answer through ``split_window``. The DuckDB
+text stays the obvious one, so the oracle checks the rewrite.
 """
 
 from __future__ import annotations
@@ -21,8 +21,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.sql import register, run_sql
+from ..operators.windows import split_sessions, split_window
 from ..session import ensure_database, scratch_dir
 from .inputs import table
 
@@ -499,7 +501,8 @@ AGGREGATION = [
 # needs each partition's rows in one ordered group; Spark keeps that group
 # in an external (spilling) buffer. For top-k filters on a rank
 # (``qualify_as_cte``) Spark adds a partial WindowGroupLimit before the
-# shuffle, so a hot key sends at most k rows per map task.
+# shuffle, so a hot key sends at most k rows per map task. The ``*_chunked``
+# queries below use ``split_window`` instead.
 WINDOWS = [
     Conf(
         "window_ranking",
@@ -511,167 +514,6 @@ WINDOWS = [
                   CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS tile
            FROM orders""",
     ),
-    Conf(
-        # The same row_number without one task per customer: a row number
-        # within (customer, price bucket) plus the rows of all higher buckets,
-        # from a per-(customer, bucket) count table (a running sum over at most
-        # one row per bucket). The oracle is the plain window.
-        "window_row_number_chunked",
-        ("orders",),
-        """WITH b AS (
-             SELECT o_orderkey, o_custkey, o_totalprice, CAST(floor(o_totalprice / 10000) AS BIGINT) AS bucket
-             FROM orders),
-           c AS (SELECT o_custkey, bucket, count(*) AS n FROM b GROUP BY o_custkey, bucket),
-           o AS (
-             SELECT o_custkey, bucket,
-                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket DESC
-                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-             FROM c)
-           SELECT b.o_orderkey, b.o_custkey,
-                  o.before + row_number() OVER (PARTITION BY b.o_custkey, b.bucket
-                                                ORDER BY b.o_totalprice DESC, b.o_orderkey) AS rn
-           FROM b JOIN o ON b.o_custkey = o.o_custkey AND b.bucket = o.bucket""",
-        """SELECT o_orderkey, o_custkey,
-                  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn
-           FROM orders""",
-    ),
-    Conf(
-        # lag without one task per customer: lag inside (customer, month)
-        # chunks; a chunk's first row takes the last value of the customer's
-        # previous non-empty chunk, from a per-(customer, month) summary.
-        # The oracle is the plain window.
-        "window_lag_chunked",
-        ("orders",),
-        """WITH b AS (
-             SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
-                    year(o_orderdate) * 12 + month(o_orderdate) AS chunk
-             FROM orders),
-           w AS (
-             SELECT o_orderkey, o_custkey, chunk,
-                    lag(o_totalprice) OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate, o_orderkey) AS lag_in,
-                    row_number() OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate, o_orderkey) AS rn
-             FROM b),
-           c AS (
-             SELECT o_custkey, chunk, max_by(o_totalprice, struct(o_orderdate, o_orderkey)) AS last_price
-             FROM b GROUP BY o_custkey, chunk),
-           p AS (
-             SELECT o_custkey, chunk, lag(last_price) OVER (PARTITION BY o_custkey ORDER BY chunk) AS prev_chunk_last
-             FROM c)
-           SELECT w.o_orderkey, CASE WHEN w.rn = 1 THEN p.prev_chunk_last ELSE w.lag_in END AS prev_price
-           FROM w JOIN p ON w.o_custkey = p.o_custkey AND w.chunk = p.chunk""",
-        """SELECT o_orderkey,
-                  lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_price
-           FROM orders""",
-    ),
-    Conf(
-        # the mirror of window_lag_chunked: a chunk's last row takes the first
-        # value of the customer's next non-empty chunk
-        "window_lead_chunked",
-        ("orders",),
-        """WITH b AS (
-             SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate,
-                    year(o_orderdate) * 12 + month(o_orderdate) AS chunk
-             FROM orders),
-           w AS (
-             SELECT o_orderkey, o_custkey, chunk,
-                    lead(o_totalprice) OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate, o_orderkey) AS lead_in,
-                    row_number() OVER (PARTITION BY o_custkey, chunk ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn_end
-             FROM b),
-           c AS (
-             SELECT o_custkey, chunk, min_by(o_totalprice, struct(o_orderdate, o_orderkey)) AS first_price
-             FROM b GROUP BY o_custkey, chunk),
-           p AS (
-             SELECT o_custkey, chunk, lead(first_price) OVER (PARTITION BY o_custkey ORDER BY chunk) AS next_chunk_first
-             FROM c)
-           SELECT w.o_orderkey, CASE WHEN w.rn_end = 1 THEN p.next_chunk_first ELSE w.lead_in END AS next_price
-           FROM w JOIN p ON w.o_custkey = p.o_custkey AND w.chunk = p.chunk""",
-        """SELECT o_orderkey,
-                  lead(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price
-           FROM orders""",
-    ),
-    Conf(
-        # rank and dense_rank with ties, without one task per customer: ranks
-        # inside (customer, value bucket) plus the rows (rank) or distinct
-        # values (dense_rank) of all higher buckets; ties never cross buckets
-        # because the bucket is a function of the ordering value
-        "window_rank_chunked",
-        ("orders",),
-        """WITH b AS (
-             SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice / 1000) AS BIGINT) AS k FROM orders),
-           b2 AS (SELECT *, k DIV 10 AS bucket FROM b),
-           c AS (SELECT o_custkey, bucket, count(*) AS n, count(DISTINCT k) AS nd FROM b2 GROUP BY o_custkey, bucket),
-           o AS (
-             SELECT o_custkey, bucket,
-                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket DESC
-                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before,
-                    coalesce(sum(nd) OVER (PARTITION BY o_custkey ORDER BY bucket DESC
-                                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS nd_before
-             FROM c)
-           SELECT b2.o_orderkey, b2.o_custkey,
-                  o.n_before + rank() OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k DESC) AS rk,
-                  o.nd_before + dense_rank() OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k DESC) AS drk
-           FROM b2 JOIN o ON b2.o_custkey = o.o_custkey AND b2.bucket = o.bucket""",
-        """SELECT o_orderkey, o_custkey,
-                  CAST(rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT) DESC)
-                       AS BIGINT) AS rk,
-                  CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT) DESC)
-                       AS BIGINT) AS drk
-           FROM orders""",
-    ),
-    Conf(
-        # percent_rank and cume_dist with ties, chunked like window_rank_chunked:
-        # exact integer ranks/counts inside (customer, value bucket) plus the
-        # rows of lower buckets, divided by the customer's total row count
-        "window_distribution_chunked",
-        ("orders",),
-        """WITH b AS (
-             SELECT o_orderkey, o_custkey, CAST(floor(o_totalprice / 1000) AS BIGINT) AS k FROM orders),
-           b2 AS (SELECT *, k DIV 10 AS bucket FROM b),
-           c AS (SELECT o_custkey, bucket, count(*) AS n FROM b2 GROUP BY o_custkey, bucket),
-           o AS (
-             SELECT o_custkey, bucket,
-                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket
-                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before,
-                    sum(n) OVER (PARTITION BY o_custkey) AS n_total
-             FROM c)
-           SELECT b2.o_orderkey,
-                  CASE WHEN o.n_total = 1 THEN 0.0D
-                       ELSE CAST(o.n_before + rank() OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k) - 1
-                                 AS DOUBLE) / CAST(o.n_total - 1 AS DOUBLE) END AS pr,
-                  CAST(o.n_before + count(*) OVER (PARTITION BY b2.o_custkey, b2.bucket ORDER BY b2.k
-                                                   RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DOUBLE)
-                    / CAST(o.n_total AS DOUBLE) AS cd
-           FROM b2 JOIN o ON b2.o_custkey = o.o_custkey AND b2.bucket = o.bucket""",
-        """SELECT o_orderkey,
-                  percent_rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT)) AS pr,
-                  cume_dist() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT)) AS cd
-           FROM orders""",
-    ),
-    Conf(
-        # ntile(4) from the chunked row number and the customer's total: the
-        # first (total mod 4) tiles hold one row more
-        "window_ntile_chunked",
-        ("orders",),
-        """WITH b AS (SELECT o_orderkey, o_custkey, o_orderkey DIV 1000 AS bucket FROM orders),
-           c AS (SELECT o_custkey, bucket, count(*) AS n FROM b GROUP BY o_custkey, bucket),
-           o AS (
-             SELECT o_custkey, bucket,
-                    coalesce(sum(n) OVER (PARTITION BY o_custkey ORDER BY bucket
-                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS n_before,
-                    sum(n) OVER (PARTITION BY o_custkey) AS n_total
-             FROM c),
-           r AS (
-             SELECT b.o_orderkey, b.o_custkey, o.n_total,
-                    o.n_before + row_number() OVER (PARTITION BY b.o_custkey, b.bucket ORDER BY b.o_orderkey) AS rn
-             FROM b JOIN o ON b.o_custkey = o.o_custkey AND b.bucket = o.bucket)
-           SELECT o_orderkey, o_custkey,
-                  CASE WHEN rn <= (n_total % 4) * (n_total DIV 4 + 1) THEN (rn - 1) DIV (n_total DIV 4 + 1) + 1
-                       ELSE (rn - 1 - n_total % 4) DIV (n_total DIV 4) + 1 END AS tile
-           FROM r""",
-        """SELECT o_orderkey, o_custkey,
-                  CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS tile
-           FROM orders""",
-    ),
     Conf(
         "window_lag_lead",
         ("orders",),
@@ -1085,50 +927,66 @@ TIME_WINDOWS = [
            SELECT user_id, min(ts) AS s_start, max(ts) + INTERVAL 30 MINUTE AS s_end, count(*) AS n_events
            FROM s GROUP BY user_id, sid""",
     ),
-    Conf(
-        # The same sessions without putting one user's events in one task:
-        # sessions are numbered inside (user, hour) chunks and collapsed to
-        # one row per chunk piece, then stitched across chunk edges with a
-        # running count over a per-(user, hour) summary (one row per
-        # user-hour, however many events a user has).
-        "session_window_chunked",
-        ("events",),
-        """WITH e AS (
-             SELECT user_id, ts,
-                    timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) DIV 3600000000 AS chunk
-             FROM events),
-           g AS (
-             SELECT user_id, chunk, ts,
-                    CASE WHEN lag(ts) OVER (PARTITION BY user_id, chunk ORDER BY ts) >= ts - INTERVAL 30 MINUTES
-                         THEN 0 ELSE 1 END AS new_s
-             FROM e),
-           l AS (
-             SELECT user_id, chunk, ts,
-                    sum(new_s) OVER (PARTITION BY user_id, chunk ORDER BY ts
-                                     ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS local_sid
-             FROM g),
-           s AS (
-             SELECT user_id, chunk, local_sid, min(ts) AS s_min, max(ts) AS s_max, count(*) AS n
-             FROM l GROUP BY user_id, chunk, local_sid),
-           c AS (
-             SELECT user_id, chunk, min(s_min) AS first_ts, max(s_max) AS last_ts, max(local_sid) AS n_local
-             FROM s GROUP BY user_id, chunk),
-           b AS (
-             SELECT user_id, chunk, n_local,
-                    CASE WHEN lag(last_ts) OVER (PARTITION BY user_id ORDER BY chunk) >= first_ts - INTERVAL 30 MINUTES
-                         THEN 1 ELSE 0 END AS joins_prev
-             FROM c),
-           o AS (
-             SELECT user_id, chunk,
-                    coalesce(sum(n_local) OVER (PARTITION BY user_id ORDER BY chunk
-                                                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
-                    - sum(joins_prev) OVER (PARTITION BY user_id ORDER BY chunk
-                                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS base
-             FROM b)
-           SELECT s.user_id, min(s.s_min) AS s_start, max(s.s_max) + INTERVAL 30 MINUTES AS s_end, sum(s.n) AS n_events
-           FROM s JOIN o ON s.user_id = o.user_id AND s.chunk = o.chunk
-           GROUP BY s.user_id, o.base + s.local_sid""",
-        """WITH g AS (
+]
+
+ALL: list[Conf] = SCANS + PROJECT_FILTER + JOINS + AGGREGATION + WINDOWS + SORT_SET + SCALAR + TIME_WINDOWS
+
+
+# ---------------------------------------------------------------------------
+# Windows and sessions split within keys (library functions, plain oracles)
+# ---------------------------------------------------------------------------
+
+
+def _thousands(orders: DataFrame) -> DataFrame:
+    return orders.withColumn("k", F.floor(F.col("o_totalprice") / 1000).cast("bigint"))
+
+
+def _by_date(orders: DataFrame, outputs: dict) -> DataFrame:
+    return split_window(orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], outputs)
+
+
+SPLIT: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+    "window_row_number_chunked": ("orders", lambda o: split_window(
+        o, ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], {"rn": ("row_number",)}
+    ).select("o_orderkey", "o_custkey", "rn")),
+    "window_lag_chunked": ("orders", lambda o: _by_date(o, {"prev_price": ("lag", "o_totalprice")}).select("o_orderkey", "prev_price")),
+    "window_lead_chunked": ("orders", lambda o: _by_date(o, {"next_price": ("lead", "o_totalprice")}).select("o_orderkey", "next_price")),
+    "window_rank_chunked": ("orders", lambda o: split_window(
+        _thousands(o), ["o_custkey"], [F.desc("k")], {"rk": ("rank",), "drk": ("dense_rank",)}
+    ).select("o_orderkey", "o_custkey", "rk", "drk")),
+    "window_distribution_chunked": ("orders", lambda o: split_window(
+        _thousands(o), ["o_custkey"], [F.col("k")], {"pr": ("percent_rank",), "cd": ("cume_dist",)}
+    ).select("o_orderkey", "pr", "cd")),
+    "window_ntile_chunked": ("orders", lambda o: split_window(
+        o, ["o_custkey"], [F.col("o_orderkey")], {"tile": ("ntile", 4)}
+    ).select("o_orderkey", "o_custkey", "tile")),
+    "session_window_chunked": ("events", lambda e: split_sessions(e, ["user_id"], "ts")),
+}
+
+SPLIT_ORACLES = {
+    "window_row_number_chunked": """SELECT o_orderkey, o_custkey,
+                  CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS BIGINT) AS rn
+           FROM orders""",
+    "window_lag_chunked": """SELECT o_orderkey,
+                  lag(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS prev_price
+           FROM orders""",
+    "window_lead_chunked": """SELECT o_orderkey,
+                  lead(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS next_price
+           FROM orders""",
+    "window_rank_chunked": """SELECT o_orderkey, o_custkey,
+                  CAST(rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT) DESC)
+                       AS BIGINT) AS rk,
+                  CAST(dense_rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT) DESC)
+                       AS BIGINT) AS drk
+           FROM orders""",
+    "window_distribution_chunked": """SELECT o_orderkey,
+                  percent_rank() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT)) AS pr,
+                  cume_dist() OVER (PARTITION BY o_custkey ORDER BY CAST(floor(o_totalprice / 1000) AS BIGINT)) AS cd
+           FROM orders""",
+    "window_ntile_chunked": """SELECT o_orderkey, o_custkey,
+                  CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS tile
+           FROM orders""",
+    "session_window_chunked": """WITH g AS (
              SELECT user_id, ts,
                     CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= ts - INTERVAL 30 MINUTE
                          THEN 0 ELSE 1 END AS new_s
@@ -1137,10 +995,12 @@ TIME_WINDOWS = [
                                                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM g)
            SELECT user_id, min(ts) AS s_start, max(ts) + INTERVAL 30 MINUTE AS s_end, count(*) AS n_events
            FROM s GROUP BY user_id, sid""",
-    ),
-]
+}
 
-ALL: list[Conf] = SCANS + PROJECT_FILTER + JOINS + AGGREGATION + WINDOWS + SORT_SET + SCALAR + TIME_WINDOWS
+
+def _split_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
+    source, build = SPLIT[name]
+    return lambda spark, sf_dir: build(table(spark, sf_dir, source))
 
 
 # ---------------------------------------------------------------------------
@@ -1222,6 +1082,7 @@ EXTRA: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] =
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {c.name: _runner(c) for c in ALL}
+    out.update({name: _split_query(name) for name in SPLIT})
     out.update({name: fn for name, (fn, _) in EXTRA.items()})
     return out
 
@@ -1233,5 +1094,6 @@ def oracles() -> dict[str, str]:
             out[c.name] = c.spark_sql
         elif c.duck_sql is not None:
             out[c.name] = c.duck_sql
+    out.update(SPLIT_ORACLES)
     out.update({name: sql for name, (_, sql) in EXTRA.items() if sql is not None})
     return out

@@ -1,11 +1,13 @@
-"""Texts written to spread a hot key (chunked sessions, as-of and interval
-joins, chunked row_number) against plain-Python brute force on dense
-fixtures: one very active user or customer whose sessions, matches and ranks
+"""Work written to spread a hot key (split windows and sessions, as-of and
+interval joins) against plain-Python brute force on dense fixtures: one very active user or customer whose sessions, matches and ranks
 run across hour and bucket edges."""
 
 import datetime as dt
 
-from sqlhaul.plans.conformance import ALL
+from pyspark.sql import functions as F
+
+from sqlhaul.operators.windows import split_window
+from sqlhaul.plans.conformance import ALL, SPLIT
 
 TEXTS = {c.name: c.spark_sql for c in ALL}
 GAP = dt.timedelta(minutes=30)
@@ -56,9 +58,10 @@ def test_chunked_sessions_match_brute_force(spark):
     ).createOrReplaceTempView("events")
     expected = _brute(rows)
     assert any(n > 20 for *_, n in expected)  # the long session is there
-    for name in ("session_window_chunked", "session_window"):
-        got = sorted(tuple(r) for r in spark.sql(TEXTS[name]).select("user_id", "s_start", "s_end", "n_events").collect())
-        assert got == expected, name
+    events = spark.table("events")
+    for df in (SPLIT["session_window_chunked"][1](events), spark.sql(TEXTS["session_window"])):
+        got = sorted(tuple(r) for r in df.select("user_id", "s_start", "s_end", "n_events").collect())
+        assert got == expected
 
 
 def _events_fixture():
@@ -121,7 +124,7 @@ def test_chunked_row_number_matches_brute_force(spark):
     for cust in sorted({r[1] for r in rows}):
         mine = sorted((r for r in rows if r[1] == cust), key=lambda r: (-r[3], r[0]))
         expected += [(r[0], cust, i + 1) for i, r in enumerate(mine)]
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_row_number_chunked"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["window_row_number_chunked"][1](spark.table("orders")).collect())
     assert got == sorted(expected)
 
 
@@ -143,13 +146,13 @@ def test_chunked_lag_and_lead_match_brute_force(spark):
     for cust in sorted({r[1] for r in rows}):
         mine = sorted((r for r in rows if r[1] == cust), key=lambda r: (r[4], r[0]))
         expected += [(r[0], mine[i - 1][3] if i else None) for i, r in enumerate(mine)]
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_lag_chunked"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["window_lag_chunked"][1](spark.table("orders")).collect())
     assert got == sorted(expected)
     expected_lead = []
     for cust in sorted({r[1] for r in rows}):
         mine = sorted((r for r in rows if r[1] == cust), key=lambda r: (r[4], r[0]))
         expected_lead += [(r[0], mine[i + 1][3] if i + 1 < len(mine) else None) for i, r in enumerate(mine)]
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_lead_chunked"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["window_lead_chunked"][1](spark.table("orders")).collect())
     assert got == sorted(expected_lead)
 
 
@@ -172,7 +175,7 @@ def test_chunked_rank_matches_brute_force(spark):
         for r in (r for r in rows if r[1] == cust):
             k = int(r[3] // 1000)
             expected.append((r[0], cust, 1 + sum(1 for x in keys if x > k), 1 + len({x for x in keys if x > k})))
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_rank_chunked"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["window_rank_chunked"][1](spark.table("orders")).collect())
     assert got == sorted(expected)
 
 
@@ -198,7 +201,7 @@ def test_chunked_distribution_matches_brute_force(spark):
             rank = 1 + sum(1 for x in keys if x < k)
             pr = 0.0 if n == 1 else (rank - 1) / (n - 1)
             expected.append((r[0], pr, sum(1 for x in keys if x <= k) / n))
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_distribution_chunked"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["window_distribution_chunked"][1](spark.table("orders")).collect())
     assert got == sorted(expected)
 
 
@@ -223,5 +226,40 @@ def test_chunked_ntile_matches_brute_force(spark):
             size = q + (1 if t < rem else 0)
             bounds += [t + 1] * size
         expected += [(k, cust, bounds[i]) for i, k in enumerate(keys)]
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["window_ntile_chunked"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["window_ntile_chunked"][1](spark.table("orders")).collect())
     assert got == sorted(expected)
+
+
+def test_split_window_edge_cases(spark):
+    """Null keys and orders, ties, many chunks of one key, an empty table."""
+    rows = [(None if k % 5 == 0 else "hot" if k % 5 < 4 else "b", None if k % 11 == 0 else k % 40, k, float(k % 7)) for k in range(900)]
+    df = spark.createDataFrame(rows, "g string, o int, id int, x double")
+    outputs = {
+        "rk": ("rank",), "drk": ("dense_rank",), "cd": ("cume_dist",), "s": ("running_sum", "x"), "rn": ("row_number",),
+        "t": ("ntile", 7), "p": ("lag", "x"), "q": ("lead", "x"),
+    }
+    order = [F.col("o"), F.col("id")]
+    split = split_window(df.repartition(6), ["g"], order, {k: outputs[k] for k in ("rn", "t", "p", "q", "s")})
+    plain = """SELECT g, o, id, x, CAST(row_number() OVER w AS BIGINT) rn, CAST(ntile(7) OVER w AS BIGINT) t, lag(x) OVER w p, lead(x) OVER w q,
+               sum(x) OVER w s FROM f WINDOW w AS (PARTITION BY g ORDER BY o, id)"""
+    df.createOrReplaceTempView("f")
+    assert sorted(map(repr, split.collect())) == sorted(map(repr, spark.sql(plain).collect()))
+    tied = split_window(df.repartition(6), ["g"], [F.desc("o")], {k: outputs[k] for k in ("rk", "drk", "cd", "s")})
+    plain = """SELECT g, o, id, x, CAST(rank() OVER w AS BIGINT) rk, CAST(dense_rank() OVER w AS BIGINT) drk, cume_dist() OVER w cd,
+               sum(x) OVER w s FROM f WINDOW w AS (PARTITION BY g ORDER BY o DESC)"""
+    assert sorted(map(repr, tied.collect())) == sorted(map(repr, spark.sql(plain).collect()))
+    assert split_window(df.limit(0), ["g"], order, outputs).count() == 0
+
+
+def test_a_hot_key_lies_in_many_chunks(spark):
+    """The largest group that a task orders is a chunk, not the key."""
+    df = spark.range(40_000).selectExpr("0 g", "id o")
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        out = split_window(df, ["g"], [F.col("o")], {"rn": ("row_number",)})
+        assert out.where("rn <> o + 1").count() == 0
+        sizes = [r["count"] for r in df.repartitionByRange("g", "o").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 8 and max(sizes) < 10_000
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
