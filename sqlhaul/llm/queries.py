@@ -13,6 +13,7 @@ from sqlhaul.llm.decontam_index import benchmark_hits
 from sqlhaul.llm.mix_budget import mix_sources
 from sqlhaul.llm.ngram_join import ngram_jaccard_components
 from sqlhaul.llm.onebit_ann import nearest
+from sqlhaul.llm.oracles import DECONTAMINATION, NGRAM_JACCARD, WARC_INDEX
 from sqlhaul.llm.patience_dedup import line_dedup
 from sqlhaul.llm.pii_bootstrap import personal_data
 from sqlhaul.llm.qda_quality import quality_scores
@@ -86,7 +87,7 @@ def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_windows", "copy")
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_windows", "copy", "n_near")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -98,4 +99,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    """Texts for the queries whose answer SQL can state; the others are tested
+    against brute force."""
+    return {
+        "op1_ngram_jaccard": NGRAM_JACCARD,
+        "op2_warc_index": WARC_INDEX,
+        "op10_decontamination": DECONTAMINATION,
+    }
