@@ -26,7 +26,7 @@ import sqlhaul
 from sqlhaul.session import scratch_dir
 
 #: Bytes of text that one vectorised step works on (a longer text is one step).
-STEP_BYTES = 2 << 20
+STEP_BYTES = 1 << 20
 
 _MASK = (1 << 64) - 1
 _TABLE = np.random.Generator(np.random.PCG64(20240607)).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -35,12 +35,17 @@ _INV = pow(_BASE, -1, 1 << 64)
 _POWERS: dict[str, np.ndarray] = {}
 
 
+#: Rows of texts in an Arrow batch, where a session has Spark's default of
+#: 10,000: a batch is in memory several times, in the JVM and in Python.
+BATCH_ROWS = 1500
 _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
     """Give the package's code to the executors, once an application (what
-    ``--py-files`` does for a submitted job)."""
+    ``--py-files`` does for a submitted job), and keep Arrow batches small."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app in _SHIPPED:
         return

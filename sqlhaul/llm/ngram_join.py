@@ -49,12 +49,12 @@ from pyspark.sql import functions as F
 from sqlhaul.llm.common import as_hash, as_long, components, mix, save, ship, slice_hashes, text_steps
 
 #: N-grams in one part, block or cell (8 bytes each and small change).
-PART = 2_000_000
+PART = 1_000_000
 QUERIES = 250_000
 #: Bytes of a family's sets that meet one copy of its leader.
 SALT_BYTES = 4 << 20
 #: An n-gram that so many documents of one batch have is handled as frequent.
-LOCAL_HOT = 32
+LOCAL_HOT = 24
 #: At most so many frequent n-grams are told to all tasks (16 bytes each); the
 #: bar is raised until they fit. The order alone depends on it, no result does.
 HOT_BOUND = 200_000

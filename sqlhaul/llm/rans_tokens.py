@@ -40,16 +40,16 @@ MAGIC = b"SQHRANS1"
 #: Ids in a block, interleaved states, steps of a state between checkpoints.
 BLOCK, LANES, MARK = 65536, 64, 256
 #: Ids after which a file is closed (a document is never split).
-FILE_IDS = 8_000_000
+FILE_IDS = 4_000_000
 #: Blocks that are coded together.
-GROUP = 16
+GROUP = 8
 LOW = np.uint64(1 << 31)
 SECTIONS = {
     "symbols": "<u4", "freqs": "<u4", "doc_ids": "<i8", "doc_nulls": "<u1", "doc_lengths": "<u8",
     "block_words": "<u4", "block_crc": "<u4", "marks": "<u8", "mark_words": "<u4", "words": "<u4",
 }
 #: Token chunks kept by a worker, and the longest one kept.
-CACHE, CACHED_BYTES = 600_000, 64
+CACHE, CACHED_BYTES = 400_000, 64
 
 
 # ---------------------------------------------------------------- coder
