@@ -33,7 +33,7 @@ from sqlhaul.llm.qda_quality import held_out
 SAMPLE_DOCS, DICT_BYTES = 256, 96 << 10
 #: Characters of a piece; texts of up to SHORT bytes are compressed harder.
 PIECE, SHORT = 4096, 512
-LEVEL, SHORT_LEVEL = 3, 19
+LEVEL, SHORT_LEVEL = 9, 19
 REJECT = 0.02
 
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
