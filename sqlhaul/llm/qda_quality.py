@@ -228,12 +228,9 @@ def _line(z: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[float, float]:
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = 0.3, label: str = "quality", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """``docs`` without the rows whose score is below ``threshold``. The model is
-    fitted as for ``quality_scores``, on the labelled rows alone; the texts are
-    scored where they are read."""
-    ship(docs.sparkSession)
-    ids = labels.select(F.col(doc_id).cast("long").alias("__id")).distinct()
-    known = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).join(ids, F.expr("doc_id = __id"), "left_semi")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(feature_table(known), labels, label, doc_id))
+    fitted as for ``quality_scores``; the texts are scored where they are read."""
+    # statistics of all rows, so that labels meet narrow rows and no text is moved
+    shared = docs.sparkSession.sparkContext.broadcast(fit(feature_table(docs, text, doc_id), labels, label))
 
     @F.pandas_udf("double")
     def score(t: pd.Series) -> pd.Series:
