@@ -1,11 +1,13 @@
 """Line de-duplication by pairwise alignment.
 
-Every document is the sequence of its lines' hashes. A line that other
-documents have too names partners: a rare one (``RARE`` documents at most) its
-first document and the one before this, a more common one its first document.
-So the pairs are linear in the lines, however common a line is. A document is
-aligned with each partner by patience diff (anchors are lines that are unique
-in both, in longest increasing order; gaps between anchors are aligned
+Every document is the sequence of its lines' hashes. Its blocks name partners: a
+block is a run of lines that reaches ``min_words`` words and would not without
+its last line, or not without its first. Every common run of that many words is
+a union of blocks, so a document that is aligned with the first document of each
+of its blocks loses what it shares with any earlier one. There are at most two
+blocks a line, so the pairs are linear in the lines, however common a line is. A
+document is aligned with each partner by patience diff (anchors are lines that
+are unique in both, in longest increasing order; gaps between anchors are aligned
 likewise). Runs of aligned lines with at least ``min_words`` words are deleted from
 the later document.
 
@@ -28,9 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sqlhaul.llm.common import as_long, save, ship, slice_hashes, text_steps
+from sqlhaul.llm.common import _powers, as_long, mix, save, ship, slice_hashes, text_steps
 
-RARE, MIN_WORDS = 64, 25
+MIN_WORDS = 25
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 
@@ -64,6 +66,26 @@ def line_table(column: pa.Array):
         yield row, np.searchsorted(doc, np.arange(rows + 1)), hashes, (upto[ends] - upto[starts]).astype(np.int32)
 
 
+def blocks(hashes: np.ndarray, words: np.ndarray, offsets: np.ndarray, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, end, key) of the distinct blocks of documents whose lines
+    lie between ``offsets``: the shortest run from each line on, and up to each
+    line, that has ``min_words`` words."""
+    n = len(hashes)
+    doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+    line = np.arange(n)
+    upto = np.r_[0, np.cumsum(words, dtype=np.int64)]
+    least = max(1, min_words)
+    end = np.searchsorted(upto, upto[:-1] + least)
+    start = np.searchsorted(upto, upto[1:] - least, side="right") - 1
+    on, up = end <= offsets[doc + 1], start >= offsets[doc]
+    s, e = np.divmod(np.unique(np.r_[line[on], start[up]] * (n + 1) + np.r_[end[on], line[up] + 1]), n + 1)
+    power, back = _powers(n + 1)
+    total = np.zeros(n + 1, np.uint64)
+    np.cumsum(mix(hashes + np.uint64(0x9E3779B97F4A7C15)) * power[:n], out=total[1:])
+    key = mix((total[e] - total[s]) * back[s] + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    return doc[s], s, e, key | np.uint64(1)
+
+
 def _increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """The longest subsequence of (i, j), sorted by i, with increasing j."""
     tails: list[int] = []
@@ -132,9 +154,13 @@ def common_blocks(earlier: list[int], later: list[int], words: list[int], min_wo
     return out
 
 
-def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS, rare: int = RARE) -> DataFrame:
+def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS, rare: int | None = None) -> DataFrame:
     """``docs`` with the common blocks deleted from ``text``, and the columns
-    ``lines_before`` and ``lines_deleted``."""
+    ``lines_before`` and ``lines_deleted``.
+
+    With a number for ``rare`` the partners come from single lines instead: a
+    line's first document, and if at most so many have it the one before this.
+    That misses blocks whose lines stood in different documents before."""
     ship(docs.sparkSession)
 
     def scan(batches):
@@ -142,24 +168,30 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
             for row, offsets, hashes, words in line_table(b.column(2)):
                 k = len(offsets) - 1
                 at = pa.array(offsets.astype(np.int32))
+                lines = pa.ListArray.from_arrays(at, pa.array(as_long(hashes)))
+                if rare is None:
+                    doc, _, _, names = blocks(hashes, words, offsets, min_words)
+                    named = pa.ListArray.from_arrays(pa.array(np.searchsorted(doc, np.arange(k + 1)).astype(np.int32)), pa.array(as_long(names)))
+                else:
+                    named = lines
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(row, k), b.column(1).slice(row, k), pa.ListArray.from_arrays(at, pa.array(as_long(hashes))), pa.ListArray.from_arrays(at, pa.array(words))],
-                    names=["doc", "key", "lines", "words"],
+                    [b.column(0).slice(row, k), b.column(1).slice(row, k), lines, pa.ListArray.from_arrays(at, pa.array(words)), named],
+                    names=["doc", "key", "lines", "words", "named"],
                 )
 
     key = F.xxhash64(F.col(doc_id).cast("long"), F.col(text).cast("string"))
     rows = docs.select(F.col(doc_id).cast("long").alias("doc"), key.alias("key"), F.col(text).cast("string").alias("t"))
-    table = save(rows.mapInArrow(scan, "doc long, key long, lines array<long>, words array<int>"), "dedup-lines")
+    table = save(rows.mapInArrow(scan, "doc long, key long, lines array<long>, words array<int>, named array<long>"), "dedup-lines")
     each = table.select(
-        F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "key").alias("place"), F.explode(F.array_distinct("lines")).alias("line")
+        F.struct(F.coalesce("doc", F.lit((1 << 63) - 1)).alias("doc"), "key").alias("place"), F.explode(F.array_distinct("named")).alias("line")
     ).where("line <> 0").distinct()
     stats = each.groupBy("line").agg(F.min("place").alias("first"), F.count(F.lit(1)).alias("c")).where("c > 1")
     shared = save(each.join(stats, "line"), "dedup-shared")
-    later = shared.where("place <> first")
-    previous = shared.where(F.col("c") <= rare).withColumn("before", F.lag("place").over(Window.partitionBy("line").orderBy("place"))).where("before is not null")
-    pairs = later.select(F.col("first.key").alias("early"), F.col("place.key").alias("late")).union(
-        previous.select(F.col("before.key").alias("early"), F.col("place.key").alias("late"))
-    ).where("early <> late").distinct()
+    pairs = shared.where("place <> first").select(F.col("first.key").alias("early"), F.col("place.key").alias("late"))
+    if rare is not None:
+        previous = shared.where(F.col("c") <= rare).withColumn("before", F.lag("place").over(Window.partitionBy("line").orderBy("place"))).where("before is not null")
+        pairs = pairs.union(previous.select(F.col("before.key").alias("early"), F.col("place.key").alias("late")))
+    pairs = pairs.where("early <> late").distinct()
     known = table.dropDuplicates(["key"])
     both = pairs.join(known.select(F.col("key").alias("late"), F.col("lines").alias("b"), "words"), "late").join(
         known.select(F.col("key").alias("early"), F.col("lines").alias("a")), "early"

@@ -124,3 +124,13 @@ def test_dedup_edge_cases(odd_docs):
     assert by[2]["text"] == "" and by[2]["lines_deleted"] == 1 and by[14]["lines_deleted"] == 1
     assert [r["lines_deleted"] for r in got if r["doc_id"] == 12] == [0, 0]
     assert line_dedup(odd_docs.limit(0)).count() == 0
+
+
+def test_block_whose_lines_stood_in_different_documents(spark, words_of):
+    """Four documents hold one line each of a passage, the next ones all of it:
+    it stays in the first of these only, and the single lines stay."""
+    passage = [" ".join(words_of(500 + i, 20)) for i in range(4)]
+    rows = {i: f"{passage[i]}\n{' '.join(words_of(600 + i, 30))}" for i in range(4)}
+    rows |= {i: "\n".join([" ".join(words_of(700 + i, 30)), *passage]) for i in range(4, 104)}
+    got = {x["doc_id"]: x["lines_deleted"] for x in line_dedup(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+    assert got == {i: 4 if i > 4 else 0 for i in rows}
