@@ -9,7 +9,9 @@ blocks a line, so the pairs are linear in the lines, however common a line is. A
 document is aligned with each partner by patience diff (anchors are lines that
 are unique in both, in longest increasing order; gaps between anchors are aligned
 likewise). Runs of aligned lines with at least ``min_words`` words are deleted from
-the later document.
+the later document. So are blocks that the alignment does not reach, because they
+moved or stand more than once in either text: they are looked up among the earlier
+text's blocks, each copy by itself.
 
 Whatever is deleted stays in an earlier document: a line is only deleted from
 a document that comes after another one with the line, so its first one keeps it.
@@ -140,18 +142,39 @@ def patience(a: list[int], b: list[int]) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def _outside(earlier: list[int], later: list[int], words: list[int], aligned: np.ndarray, min_words: int) -> list[tuple[int, int]]:
+    """(start, end) of the later sequence's blocks that the earlier one has too
+    and that are not all ``aligned``."""
+    a, b = (np.array(x, np.int64).view(np.uint64) for x in (earlier, later))
+    count = np.array(words, np.int64)
+    _, s, e, key = blocks(b, count, np.array([0, len(b)]), min_words)
+    done = np.r_[0, np.cumsum(aligned)]
+    open_ = done[e] - done[s] < e - s
+    if not len(a) or not open_.any():
+        return []
+    # lines that the later text does not have are in no common block: their words do not matter
+    lines, first = np.unique(b, return_index=True)
+    at = np.minimum(np.searchsorted(lines, a), len(lines) - 1)
+    there = blocks(a, np.where(lines[at] == a, count[first[at]], 0), np.array([0, len(a)]), min_words)[3]
+    open_ &= np.isin(key, there)
+    return list(zip(s[open_].tolist(), e[open_].tolist()))
+
+
 def common_blocks(earlier: list[int], later: list[int], words: list[int], min_words: int) -> list[tuple[int, int]]:
-    """(start, end) of the later sequence's lines in aligned runs with at least
-    ``min_words`` words."""
-    out, run = [], []
+    """(start, end) of the later sequence's lines that are in common runs with at
+    least ``min_words`` words."""
+    gone, run = np.zeros(len(later) + 2, np.int8), []
     for i, j in [*patience(earlier, later), (-2, -2)]:
         if run and (i, j) != (run[-1][0] + 1, run[-1][1] + 1):
             a, b = run[0][1], run[-1][1] + 1
             if sum(words[a:b]) >= min_words:
-                out.append((a, b))
+                gone[a + 1 : b + 1] = 1
             run = []
         run.append((i, j))
-    return out
+    for a, b in _outside(earlier, later, words, gone[1:-1].copy(), min_words):
+        gone[a + 1 : b + 1] = 1
+    edges = np.flatnonzero(np.diff(gone))
+    return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
 def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_words: int = MIN_WORDS, rare: int | None = None) -> DataFrame:

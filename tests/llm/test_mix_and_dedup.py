@@ -134,3 +134,38 @@ def test_block_whose_lines_stood_in_different_documents(spark, words_of):
     rows |= {i: "\n".join([" ".join(words_of(700 + i, 30)), *passage]) for i in range(4, 104)}
     got = {x["doc_id"]: x["lines_deleted"] for x in line_dedup(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
     assert got == {i: 4 if i > 4 else 0 for i in rows}
+
+
+def runs_brute(rows, min_words):
+    """Lines deleted by document: all common runs with any earlier document."""
+    lines = {k: [(x.strip(), len(x.split())) for x in t.split("\n")] for k, t in rows.items()}
+    gone = {k: set() for k in rows}
+    for d, e in ((d, e) for d in rows for e in rows if e < d):
+        a, b = lines[e], lines[d]
+        for i in range(len(a)):
+            for j in range(len(b)):
+                k = 0
+                while i + k < len(a) and j + k < len(b) and a[i + k] == b[j + k]:
+                    k += 1
+                if sum(w for _, w in b[j : j + k]) >= min_words:
+                    gone[d] |= set(range(j, j + k))
+    return {k: len(g) for k, g in gone.items()}
+
+
+def test_repeated_and_moved_passages_against_all_earlier_documents(spark, words_of):
+    passage = [" ".join(words_of(500 + i, 20)) for i in range(4)]
+    own = lambda i: " ".join(words_of(700 + i, 30))
+    twice_first = {0: "\n".join([own(0), *passage, own(1), *passage, own(2)])} | {i: "\n".join([own(10 + i), *passage, own(50 + i)]) for i in range(1, 20)}
+    twice_later = {0: "\n".join([own(0), *passage, own(1)])} | {i: "\n".join([own(10 + i), *passage, own(50 + i), *passage]) for i in range(1, 20)}
+    r = random.Random(4)
+    pool = [*(" ".join(words_of(800 + i, r.choice([3, 8, 15]))) for i in range(14)), "", "word"]
+    mixed = {}
+    for i in range(50):
+        parts = []
+        for _ in range(r.randint(1, 3)):
+            a = r.randint(0, 13)
+            parts += [own(1000 + 10 * i + len(parts)), *pool[a : a + r.randint(1, 6)]] if r.random() < 0.7 else pool[a : a + 3]
+        mixed[i] = "\n".join(parts).rstrip("\n")  # nothing after a last line break is a line
+    for rows, some in ((twice_first, {i: 4 if i else 0 for i in range(20)}), (twice_later, {i: 8 if i else 0 for i in range(20)}), (mixed, None)):
+        got = {x["doc_id"]: x["lines_deleted"] for x in line_dedup(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
+        assert got == runs_brute(rows, 25) and got == (some or got) and any(got.values())
