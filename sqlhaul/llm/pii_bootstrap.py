@@ -8,7 +8,9 @@ patterns and distinct instances in rounds: a pattern is as good as the
 instances it extracts (unknown ones count against it, few ones are discounted),
 an instance as good as the patterns that extract it together. Tokens that no
 fixed pattern matched and whose patterns reach ``MIN_PATTERN`` become new spans
-of the kind that the pattern's seeds have.
+of the kind that the pattern's seeds have. They are known instances from then on:
+they count as seeds, so that patterns they share can extract in their turn. The
+rounds end when nothing new is found and no score rises by more than ``STILL``.
 
 Texts are read once; what the rounds work on is the stored table of pattern
 occurrences. Both sides of the graph are grouped sums over distinct edges, so
@@ -31,8 +33,10 @@ from pyspark.sql import functions as F
 from sqlhaul.llm.common import save, ship
 
 KINDS = ("email", "ip", "card", "phone")
-#: Rounds of scoring; distinct seeds a pattern needs; scores from which a pattern extracts.
+#: Rounds of scoring, where they are bounded; distinct seeds a pattern needs; scores from which a pattern extracts.
 ROUNDS, MIN_SEEDS, MIN_PATTERN = 3, 5, 0.9
+#: Scores that rise by no more than this in a round have converged.
+STILL = 1e-4
 #: Share of a pattern's seeds that its kind must have.
 MIN_KIND = 0.9
 
@@ -170,42 +174,70 @@ def _scan(batches):
         yield out
 
 
-def score_patterns(edges: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+def _eligible(labelled: DataFrame) -> DataFrame:
+    """(pattern, pattern_kind, seeds) of the patterns with enough known instances, nearly all of one kind."""
+    kinds = labelled.where("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("c"))
+    kinds = kinds.groupBy("pattern").agg(F.max(F.struct("c", "kind")).alias("best"), F.sum("c").alias("seeds")).where(
+        (F.col("seeds") >= MIN_SEEDS) & (F.col("best.c") >= MIN_KIND * F.col("seeds"))
+    )
+    return kinds.select("pattern", F.col("best.kind").alias("pattern_kind"), "seeds")
+
+
+def score_patterns(edges: DataFrame, rounds: int | None = ROUNDS, least: float = MIN_PATTERN) -> DataFrame:
     """(pattern, kind, score, seeds) from the distinct edges (pattern,
     instance, kind), ``kind`` null where no fixed pattern knows the instance.
 
     In each round a pattern's score is the mean score of its instances, less
     for few of them; an unknown instance's is 1 less the product of its
-    patterns' shortfalls, counting only patterns with enough seeds."""
+    patterns' shortfalls, counting only patterns with enough seeds.
+
+    A number for ``rounds`` bounds them, and only what the fixed patterns know
+    are seeds. With None instances of patterns that reach ``least`` are known
+    from then on, of the best pattern's kind, until nothing changes. A pattern
+    that has enough seeds keeps its kind, so scores never fall; ``seeds`` counts
+    the known instances when it first had enough."""
     plain = edges.groupBy("pattern", "instance").agg(F.max("kind").alias("kind"))
     plain = save(plain, "pii-edges")
-    kinds = plain.where("kind is not null").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("c"))
-    kinds = kinds.groupBy("pattern").agg(F.max(F.struct("c", "kind")).alias("best"), F.sum("c").alias("seeds")).where(
-        (F.col("seeds") >= MIN_SEEDS) & (F.col("best.c") >= MIN_KIND * F.col("seeds"))
-    )
-    kinds = save(kinds.select("pattern", F.col("best.kind").alias("pattern_kind"), "seeds"), "pii-patterns")
+    kinds = save(_eligible(plain), "pii-patterns")
     graph = save(plain.join(kinds, "pattern").select("pattern", "instance", "kind"), "pii-graph")
     known = graph.withColumn("s", F.when(F.col("kind").isNotNull(), 1.0).otherwise(0.0))
-    for k in range(rounds):
-        scores = known.groupBy("pattern").agg((F.sum("s") / (F.count(F.lit(1)) + 0.25)).alias("score"))
+    before, k = None, 0
+    while True:
+        scores = known.groupBy("pattern").agg((F.sum("s") / (F.count(F.lit(1)) + 0.25)).alias("score"), F.count_if(F.col("kind").isNull()).alias("unknown"))
         scores = save(scores, "pii-scores")
-        if k + 1 < rounds:
-            told = graph.join(scores, "pattern").groupBy("instance").agg(
-                F.max("kind").alias("k"), (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-6), 1 - F.col("score")))))).alias("p")
-            )
-            known = graph.join(told.select("instance", F.when(F.col("k").isNotNull(), 1.0).otherwise(F.col("p") * F.col("p")).alias("s")), "instance")
+        k += 1
+        if k == rounds:
+            break
+        if rounds is None:
+            old = scores.select("pattern", F.lit(0.0).alias("old")) if before is None else before.select("pattern", F.col("score").alias("old"))
+            rise, finds = scores.join(old, "pattern", "left").agg(
+                F.max(F.col("score") - F.coalesce("old", F.lit(0.0))), F.max((F.col("score") >= least) & (F.col("unknown") > 0))
+            ).first()
+            before = scores
+            if not finds and (rise is None or rise <= STILL):
+                break
+            if finds:
+                new = graph.where("kind is null").join(scores.where(F.col("score") >= least), "pattern").join(kinds, "pattern")
+                new = new.groupBy("instance").agg(F.max(F.struct("score", "pattern_kind")).alias("b")).select("instance", F.col("b.pattern_kind").alias("found"))
+                plain = save(plain.join(new, "instance", "left").select("pattern", "instance", F.coalesce("kind", "found").alias("kind")), "pii-edges")
+                kinds = save(kinds.union(_eligible(plain).join(kinds.select("pattern"), "pattern", "left_anti")), "pii-patterns")
+                graph = save(plain.join(kinds, "pattern").select("pattern", "instance", "kind"), "pii-graph")
+        told = graph.join(scores, "pattern", "left").groupBy("instance").agg(
+            F.max("kind").alias("k"), (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-6), 1 - F.coalesce("score", F.lit(0.0))))))).alias("p")
+        )
+        known = graph.join(told.select("instance", F.when(F.col("k").isNotNull(), 1.0).otherwise(F.col("p") * F.col("p")).alias("s")), "instance")
     return scores.join(kinds, "pattern").select("pattern", F.col("pattern_kind").alias("kind"), "score", "seeds")
 
 
-def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds: int = ROUNDS, least: float = MIN_PATTERN) -> DataFrame:
+def personal_data(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", rounds: int | None = None, least: float = MIN_PATTERN) -> DataFrame:
     """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_found)
     of every row; ``spans`` has the fixed patterns' spans and the discovered
-    ones, ``n_found`` counts the latter."""
+    ones, ``n_found`` counts the latter. ``rounds`` bounds the rounds of scoring."""
     ship(docs.sparkSession)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("t"))
     table = save(rows.mapInPandas(_scan, _DOC), "pii-scan")
     marks = table.select("rid", F.explode("marks").alias("m")).select("rid", "m.kind", "m.start", "m.stop", "m.instance", F.explode("m.patterns").alias("pattern"))
-    scores = score_patterns(marks.select("pattern", "instance", "kind"), rounds).where(F.col("score") >= least)
+    scores = score_patterns(marks.select("pattern", "instance", "kind"), rounds, least).where(F.col("score") >= least)
     found = (
         marks.where("kind is null").join(scores.select("pattern", F.col("kind").alias("k"), "score"), "pattern")
         .groupBy("rid", "start", "stop").agg(F.max(F.struct("score", "k")).alias("b"))

@@ -85,3 +85,25 @@ def test_scores_against_brute_force(spark):
                         miss *= max(1e-6, 1 - score[p])
                 inst[i] = (1 - miss) ** 2
     assert got == {p: ("ip", round(score[p], 9), seeds[p]) for p in by}
+
+
+def test_bootstrap_grows_and_converges(spark):
+    """A pattern with 60 known and 40 unknown instances passes after more than
+    three rounds; what it finds are the only seeds of another pattern, whose
+    other instances are found then. An unseeded pattern stays out."""
+    edges = [("mixed", f"i{i}", "phone" if i < 60 else None) for i in range(100)]
+    edges += [("next", f"i{i}", None) for i in range(61, 100)] + [("next", "far", None), ("none", "other", None)]
+    df = spark.createDataFrame(edges, "pattern string, instance string, kind string")
+    three = {r["pattern"]: r["score"] for r in B.score_patterns(df).collect()}
+    assert set(three) == {"mixed"} and 0.8 < three["mixed"] < B.MIN_PATTERN
+    got = {r["pattern"]: (r["kind"], r["score"] >= B.MIN_PATTERN, r["seeds"]) for r in B.score_patterns(df, None).collect()}
+    assert got == {"mixed": ("phone", True, 60), "next": ("phone", True, 39)}
+
+
+def test_contexts_of_discovered_identifiers_extract(spark):
+    rows = [f"please call me at +1 234 555 {1000 + i} today" for i in range(60)]
+    rows += [f"please call me at 0044-20-{7000 + i} today" for i in range(5)]
+    rows += [f"her number remains 0044-20-{7000 + i} always" for i in range(5)] + ["her number remains 0044-20-9999 always", "chapter 1234 of the book"]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in B.personal_data(df).collect()}
+    assert all(got[i] == "phone:18:30" for i in range(60, 65)) and all(got[i] == "phone:19:31" for i in range(65, 71)) and got[71] == ""
