@@ -1,12 +1,12 @@
 """Personal data by bootstrapped contextual extraction.
 
 Fixed patterns find seed entities of four kinds. Each seed, and each other
-token that looks like an identifier (it holds a digit or an @), votes with its
-context: lexical patterns are the two words before it, the word before and the
+candidate that looks like an identifier (a token with an @, or the longest run of
+adjacent tokens with digits, of any length) votes with its context: lexical patterns are the two words before it, the word before and the
 word after it, and its own shape with the word before. Spark scores the graph of
 patterns and distinct instances in rounds: a pattern is as good as the
 instances it extracts (unknown ones count against it, few ones are discounted),
-an instance as good as the patterns that extract it together. Tokens that no
+an instance as good as the patterns that extract it together. Candidates that no
 fixed pattern matched and whose patterns reach ``MIN_PATTERN`` become new spans
 of the kind that the pattern's seeds have. They are known instances from then on:
 they count as seeds, so that patterns they share can extract in their turn. The
@@ -47,6 +47,8 @@ _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MARK = re.compile(r"[0-9@]+")
 _WORD = re.compile(r"[^\W\d_]+")
+#: What may stand between two tokens with digits of one candidate: blanks of a line, dots, brackets, hyphens.
+_JOINT = re.compile(r"(?:[^\S\n\r\v\f\x1c-\x1e\x85\u2028\u2029]|[.()\[\]{}\u2010-\u2015-])+")
 #: Characters before and after a token in which its context words are looked for.
 REACH = 64
 
@@ -91,9 +93,11 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def other_tokens(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int, int]]:
-    """Tokens with a digit or an @, stripped of outer punctuation, that touch
-    no span taken. The search for a token's ends is linear in the text."""
-    out, at, k = [], 0, 0
+    """Candidates: tokens with a digit or an @, stripped of outer punctuation,
+    that touch no span taken; adjacent ones with digits are one. The search for a
+    token's ends is linear in the text."""
+    out: list[tuple[int, int]] = []
+    at, k, joins = 0, 0, False
     merged: list[list[int]] = []
     for a, b, _ in sorted(taken):
         if merged and a <= merged[-1][1]:
@@ -113,13 +117,19 @@ def other_tokens(text: str, taken: list[tuple[int, int, str]]) -> list[tuple[int
             a += 1
         while b > a and not text[b - 1].isalnum():
             b -= 1
-        if b - a < 4:
+        if a == b:
             continue
         while k < len(merged) and merged[k][1] <= a:
             k += 1
         if k < len(merged) and merged[k][0] < b:
+            joins = False
             continue
-        out.append((a, b))
+        digits = any("0" <= c <= "9" for c in text[a:b])
+        if joins and digits and _JOINT.fullmatch(text, out[-1][1], a):
+            out[-1] = (out[-1][0], b)
+        else:
+            out.append((a, b))
+        joins = digits
     return out
 
 

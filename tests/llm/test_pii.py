@@ -107,3 +107,20 @@ def test_contexts_of_discovered_identifiers_extract(spark):
     df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
     got = {r["doc_id"]: r["spans"] for r in B.personal_data(df).collect()}
     assert all(got[i] == "phone:18:30" for i in range(60, 65)) and all(got[i] == "phone:19:31" for i in range(65, 71)) and got[71] == ""
+
+
+def test_candidates_are_whole_runs_of_any_length():
+    tokens = lambda t: [t[a:b] for a, b in B.other_tokens(t, B.base_spans(t))]
+    assert tokens("call me at 020 7946 0958 today") == ["020 7946 0958"]
+    assert tokens("(020) 7946-0958. or [0161] 496.0000, ext 7") == ["020) 7946-0958", "0161] 496.0000", "7"]
+    assert tokens("pin 42\n17 doors, x@y 5 and AB1 2CD") == ["42", "17", "x@y", "5", "AB1 2CD"]
+    assert tokens("on 1.2.3.4 12 and 4111 1111 1111 1112 @ -") == ["12", "4111 1111 1111 1112"]
+    assert tokens("12 a@b.cd 34") == ["12", "34"]
+
+
+def test_spaced_and_short_identifiers_are_found_whole(spark):
+    rows = [f"please call me at +1 234 555 {1000 + i} today" for i in range(60)]
+    hidden = ["please call me at 020 7946 0958 today", "please call me at 112 today", "please call me at 4111 1111 1111 1112 today", "please call me at (020) 7946 0958 today"]
+    df = spark.createDataFrame(list(enumerate([*rows, *hidden, "chapter 7 of the book"])), "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in B.personal_data(df).collect()}
+    assert [got[i] for i in range(60, 65)] == ["phone:18:31", "phone:18:21", "phone:18:37", "phone:19:33", ""]
