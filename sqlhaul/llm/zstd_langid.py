@@ -7,9 +7,11 @@ pieces are independent, so a long text does not turn into its own dictionary.
 A margin below ``reject`` leaves the decision open (``accepted`` is false).
 
 The dictionaries come from a bounded sample: for each language the
-``SAMPLE_DOCS`` training rows of the smallest id hash, up to ``DICT_BYTES`` of
-their plain text in all. That bounds what passes through the driver and what
-is sent to the tasks (``DICT_BYTES`` for each language).
+``SAMPLE_DOCS`` training rows of the smallest id hash, ``DICT_BYTES`` of their
+plain text in all. Every distinct text has an equal share; what short ones leave
+of theirs goes to the longer ones, whose share is taken in pieces spread over the
+whole text. That bounds what passes through the driver and what is sent to the
+tasks (``DICT_BYTES`` for each language).
 
 Defined results: a null text, or one without letters, is ``und`` with score 0
 and not accepted; rows with a null language or id teach nothing; equal sizes
@@ -27,10 +29,12 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sqlhaul.llm.common import ship
+from sqlhaul.llm.common import save, ship
 from sqlhaul.llm.qda_quality import held_out
 
 SAMPLE_DOCS, DICT_BYTES = 256, 96 << 10
+#: Bytes of one of the pieces that a long text's share is made of.
+SPREAD = 1024
 #: Characters of a piece; texts of up to SHORT bytes are compressed harder.
 PIECE, SHORT = 4096, 512
 LEVEL, SHORT_LEVEL = 9, 19
@@ -44,6 +48,29 @@ def plain(text: str | None) -> str:
     return _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
 
 
+def share(sizes: list[int], budget: int) -> int:
+    """The most bytes that each text may have, so that all, with a space between
+    two, fit the budget: equal shares, what short texts leave going to the others."""
+    rest, most = budget + 1, 0
+    for i, n in enumerate(sorted(sizes)):
+        most = rest // (len(sizes) - i) - 1
+        if n > most:
+            return max(0, most)
+        rest -= n + 1
+    return max(sizes, default=0)
+
+
+def spread(text: str, most: int) -> bytes:
+    """The text, or ``most`` bytes of it in pieces at equal distances."""
+    raw = text.encode()
+    if len(raw) <= most:
+        return raw
+    k = max(1, -(-most // SPREAD))
+    piece = (most - (k - 1)) // k
+    starts = [(len(raw) - piece) // 2] if k == 1 else [i * (len(raw) - piece) // (k - 1) for i in range(k)]
+    return b" ".join(raw[a : a + piece].decode(errors="ignore").encode() for a in starts)
+
+
 class CompressionLanguages:
     """Dictionaries, by language in order of preference at equal sizes."""
 
@@ -84,19 +111,27 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     counts = {r["lang"]: r["count"] for r in train.groupBy("lang").count().collect()}
     by_hash = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
     chosen = train.select("lang", "id").withColumn("k", F.row_number().over(by_hash)).where(F.col("k") <= SAMPLE_DOCS).drop("k").distinct()
-    most = max(1, 4 * DICT_BYTES // SAMPLE_DOCS)
-    texts = train.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "id", F.substring("t", 1, most).alias("t"))
-    got: dict[str, list[str]] = {}
-    for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["id"], r["t"])):
-        got.setdefault(r["lang"], []).append(plain(r["t"]))
-    out = {}
-    for name in sorted(got, key=lambda x: (-counts[x], x)):
-        parts, size = [], 0
-        for t in dict.fromkeys(got[name]):
-            b = t.encode()[: max(0, DICT_BYTES - size)]
-            parts.append(b)
-            size += len(b) + 1
-        out[name] = b" ".join(parts)
+    texts = train.join(F.broadcast(chosen), ["lang", "id"]).select("lang", "id", "t")
+
+    @F.pandas_udf("string")
+    def plain_text(t: pd.Series) -> pd.Series:
+        return t.map(plain)
+
+    found = texts.select("lang", "id", plain_text("t").alias("t")).groupBy("lang", "t").agg(F.min("id").alias("id"))
+    sample = save(found.withColumn("n", F.octet_length("t")), "language-sample")
+    sizes: dict[str, list[int]] = {}
+    for r in sample.select("lang", "n").collect():
+        sizes.setdefault(r["lang"], []).append(r["n"])
+    shares = {name: share(n, DICT_BYTES) for name, n in sizes.items()}
+
+    @F.pandas_udf("binary")
+    def pieces(name: pd.Series, t: pd.Series) -> pd.Series:
+        return pd.Series([spread(x, shares[k]) for k, x in zip(name, t)], dtype=object)
+
+    got: dict[str, list[bytes]] = {}
+    for r in sorted(sample.select("lang", "id", pieces("lang", "t").alias("b")).collect(), key=lambda r: (r["lang"], r["id"], bytes(r["b"]))):
+        got.setdefault(r["lang"], []).append(bytes(r["b"]))
+    out = {name: b" ".join(got[name]) for name in sorted(got, key=lambda x: (-counts[x], x))}
     return {k: v for k, v in out.items() if len(v) >= 8}
 
 

@@ -87,3 +87,26 @@ def test_language_edge_cases(spark):
     assert {g[1] for g in got} == {"en", "de", "und"}
     assert {r["lang_pred"] for r in Z.languages(docs.selectExpr("doc_id", "text", "cast(null as string) lang")).collect()} == {"und"}
     assert Z.languages(docs.limit(0)).count() == 0
+
+
+def test_few_long_texts_fill_a_dictionary(spark, words_of):
+    """Two long training texts: their whole length teaches, not their beginning,
+    and the dictionary is as large as the bound allows."""
+    ids = [i for i in range(1, 60) if not held(i)]
+    text = lambda i: " ".join(w + c for c in "xyz" for w in words_of(10 * i + ord(c), 15_000))
+    short = [(i, " ".join(words_of(900 + i, 30)), "short") for i in ids[2:]]
+    rows = [(ids[0], text(ids[0]), "long"), (ids[1], text(ids[1]), "long"), *short]
+    made = Z.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert Z.DICT_BYTES - 200 <= len(made["long"]) <= Z.DICT_BYTES
+    ends = [w[-1:] for w in made["long"].split()]
+    assert all(0.3 < ends.count(c) / len(ends) < 0.37 for c in (b"x", b"y", b"z"))
+    assert sorted(made["short"]) == sorted(" ".join(t for _, t, _ in short).encode())
+
+
+def test_shares_of_the_budget():
+    assert Z.share([10, 20], 100) == 20 and Z.share([], 100) == 0
+    for sizes in ([5, 1000, 1000], [50] * 10, [1, 2, 3, 400], [0, 0, 10**6]):
+        most = Z.share(sizes, 200)
+        used = sum(min(n, most) for n in sizes) + len(sizes) - 1
+        assert 200 - len(sizes) < used <= 200
+    assert all(len(Z.spread("\u00e9" * 5000, m)) <= m for m in (1, 7, 1024, 5000))
