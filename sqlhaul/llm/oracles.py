@@ -59,3 +59,45 @@ h AS (
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
        sha256(coalesce(n.items, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN h ON h.doc_id = d.doc_id"""
+
+_RATIOS = (
+    ("word_length", "10000 * word_chars // greatest(n_words, 1)", 2500), ("symbols", "10000 * n_symbols // greatest(n_words, 1)", 250),
+    ("repeated_lines", "10000 * n_dup_lines // greatest(n_lines, 1)", 1000), ("repeated_words", "10000 * n_repeat_words // greatest(n_words, 1)", 600),
+)
+_QUARTILES = """
+SELECT {by}, ratio, min(e) FILTER (4 * upto >= n) AS q1, min(e) FILTER (4 * upto >= 3 * n) AS q3
+FROM (SELECT {by}, ratio, e, sum(c) OVER (PARTITION BY {by}, ratio ORDER BY e) AS upto, sum(c) OVER (PARTITION BY {by}, ratio) AS n
+      FROM (SELECT {by}, ratio, e, count(*) AS c FROM v WHERE NOT base_failed GROUP BY ALL))
+WHERE n >= 50 GROUP BY {by}, ratio"""
+
+QUANTILE_RULES = rf"""
+WITH t AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT r, i, array_to_string(w[i:i + 4], chr(10)) AS g FROM t, unnest(range(1, len(w) - 3)) u(i)),
+m AS (SELECT r, i FROM g QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+x AS (SELECT r, count(DISTINCT i + j) AS n_repeat_words FROM m, unnest(range(0, 5)) u(j) GROUP BY r),
+l AS (
+  SELECT r, list_filter(string_split(t, chr(10)), lambda z: regexp_matches(z, '[^\x20\x09-\x0D]')) AS z FROM t),
+s AS (
+  SELECT t.r, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, len(z) AS n_lines,
+         CAST(len(z) - len(list_distinct(z)) AS BIGINT) AS n_dup_lines, coalesce(n_repeat_words, 0) AS n_repeat_words
+  FROM t JOIN l ON l.r = t.r LEFT JOIN x ON x.r = t.r),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, length(bin(n_words)) // 2 AS band FROM s),
+y AS (
+  {" UNION ALL ".join(f"SELECT r, lang, source, band, base_failed, '{n}' AS ratio, {x} AS value, {k} AS least FROM b" for n, x, k in _RATIOS)}),
+v AS (SELECT *, (value >> greatest(length(bin(value)) - 7, 0)) << greatest(length(bin(value)) - 7, 0) AS e FROM y),
+q1 AS ({_QUARTILES.format(by="lang, source, band")}),
+q2 AS ({_QUARTILES.format(by="lang, band")}),
+q3 AS ({_QUARTILES.format(by="band")}),
+q AS (
+  SELECT v.*, coalesce(q1.q1, q2.q1, q3.q1) AS lo, coalesce(q1.q3, q2.q3, q3.q3) AS hi
+  FROM v LEFT JOIN q1 ON v.lang IS NOT DISTINCT FROM q1.lang AND v.source IS NOT DISTINCT FROM q1.source AND v.band = q1.band AND v.ratio = q1.ratio
+  LEFT JOIN q2 ON v.lang IS NOT DISTINCT FROM q2.lang AND v.band = q2.band AND v.ratio = q2.ratio
+  LEFT JOIN q3 ON v.band = q3.band AND v.ratio = q3.ratio),
+o AS (
+  SELECT r, bool_or(coalesce(value > hi + 3 * greatest(hi - lo, least), false)
+                    OR ratio = 'word_length' AND coalesce(value < lo - 3 * greatest(hi - lo, least), false)) AS bad
+  FROM q GROUP BY r)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
+FROM b JOIN o ON o.r = b.r"""

@@ -13,10 +13,11 @@ from sqlhaul.llm.decontam_index import benchmark_hits
 from sqlhaul.llm.mix_budget import mix_sources
 from sqlhaul.llm.ngram_join import ngram_jaccard_components
 from sqlhaul.llm.onebit_ann import nearest
-from sqlhaul.llm.oracles import DECONTAMINATION, NGRAM_JACCARD, WARC_INDEX
+from sqlhaul.llm.oracles import DECONTAMINATION, NGRAM_JACCARD, QUANTILE_RULES, WARC_INDEX
 from sqlhaul.llm.patience_dedup import line_dedup
 from sqlhaul.llm.pii_bootstrap import personal_data
 from sqlhaul.llm.qda_quality import quality_scores
+from sqlhaul.llm.quantile_rules import COUNTS, quality_rules
 from sqlhaul.llm.rans_tokens import token_files
 from sqlhaul.llm.warc_index import round_trip
 from sqlhaul.llm.zstd_langid import languages
@@ -90,10 +91,16 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_windows", "copy", "n_near")
 
 
+def op11_quantile_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ruled = quality_rules(table(spark, sf_dir, "documents"))
+    return ruled.select("doc_id", *[c for c in COUNTS if c != "n_lines"], "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_ngram_jaccard, op2_warc_index, op3_quality_qda, op4_language_zstd, op5_mix_budget, op6_onebit_neighbours,
         op7_line_patience, op8_token_rans, op9_pii_bootstrap, op10_decontamination,
+        op11_quantile_rules,
     ]
     return {f.__name__: f for f in own}
 
@@ -105,4 +112,5 @@ def oracles() -> dict[str, str]:
         "op1_ngram_jaccard": NGRAM_JACCARD,
         "op2_warc_index": WARC_INDEX,
         "op10_decontamination": DECONTAMINATION,
+        "op11_quantile_rules": QUANTILE_RULES,
     }
