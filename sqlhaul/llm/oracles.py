@@ -101,3 +101,49 @@ o AS (
   FROM q GROUP BY r)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT bad AS kept
 FROM b JOIN o ON o.r = b.r"""
+
+_FIELD = "CASE WHEN {0} IS NULL THEN '-' ELSE octet_length(encode(CAST({0} AS VARCHAR))) || ':' || CAST({0} AS VARCHAR) END"
+_LEAF = "sha256(" + " || ".join(_FIELD.format(c) for c in ("doc_id", "source", "lang", "n_chars", "{0}")) + ")"
+_CRC32 = (
+    "xor(list_reduce(list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT)), "
+    "lambda a, b: list_reduce(range(0, 8), lambda x, i: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)), 4294967295), 4294967295)"
+)
+# a tree's nodes, level by level; {0} are its leaves (g, p, d, n)
+_LEVELS = """
+  SELECT g, 0 AS level, p, d, n FROM {0}
+  UNION ALL
+  SELECT g, level + 1, p // 8, sha256(string_agg(d, '' ORDER BY p)), (any_value(n) + 7) // 8 FROM {1} WHERE n > 1 GROUP BY g, level, p // 8"""
+# siblings of the ancestors of each leaf
+_SIDES = """
+  SELECT l.g, l.p, v.level, string_agg(v.d, '' ORDER BY v.p) FILTER (v.p < (l.p >> (3 * v.level))) AS a,
+         string_agg(v.d, '' ORDER BY v.p) FILTER (v.p > (l.p >> (3 * v.level))) AS b
+  FROM {0} l JOIN {1} v ON l.g IS NOT DISTINCT FROM v.g AND v.n > 1 AND v.p >> 3 = l.p >> (3 * (v.level + 1)) GROUP BY ALL"""
+
+MERKLE_VERSIONS = f"""
+WITH RECURSIVE z AS (
+  SELECT doc_id, lang AS g, {_LEAF.format("text")} AS d,
+         CASE WHEN {_CRC32} % 3 = 0 THEN {_LEAF.format(f"translate(text, '{string.ascii_uppercase}', '{string.ascii_lowercase}')")}
+              ELSE {_LEAF.format("text")} END AS t
+  FROM documents),
+x AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, d) - 1 AS p, count(*) OVER (PARTITION BY g) AS n FROM z),
+v AS ({_LEVELS.format("x", "v")}),
+s AS (SELECT g, d, row_number() OVER (ORDER BY encode(g) NULLS FIRST) - 1 AS p, count(*) OVER () AS n FROM v WHERE n = 1),
+y AS (SELECT 'all' AS g, p, d, n FROM s),
+u AS ({_LEVELS.format("y", "u")}),
+w AS ({_SIDES.format("x", "v")}),
+k AS ({_SIDES.format("y", "u")}),
+m AS (
+  SELECT x.g, x.p, w.level, coalesce(a, '') AS a, coalesce(b, '') AS b FROM x JOIN w ON x.g IS NOT DISTINCT FROM w.g AND x.p = w.p
+  UNION ALL
+  SELECT x.g, x.p, 100 + k.level, coalesce(a, ''), coalesce(b, '') FROM x JOIN s ON x.g IS NOT DISTINCT FROM s.g JOIN k ON k.p = s.p),
+r AS (SELECT *, row_number() OVER (PARTITION BY g, p ORDER BY level) AS step FROM m),
+f AS (
+  SELECT g, p, CAST(1 AS BIGINT) AS step, t AS d FROM x
+  UNION ALL
+  SELECT f.g, f.p, f.step + 1, sha256(r.a || f.d || r.b) FROM f JOIN r ON f.g IS NOT DISTINCT FROM r.g AND f.p = r.p AND f.step = r.step),
+e AS (SELECT g, p, max_by(d, step) AS folded FROM f GROUP BY g, p),
+o AS (SELECT g, p, string_agg(a || b, '' ORDER BY step) AS proof FROM r GROUP BY g, p)
+SELECT x.doc_id, x.d AS leaf, s.d AS subroot, (SELECT d FROM u WHERE n = 1) AS root, sha256(coalesce(o.proof, '')) AS proof_sha256,
+       e.folded AS folded_root, e.folded = (SELECT d FROM u WHERE n = 1) AS verified
+FROM x JOIN s ON x.g IS NOT DISTINCT FROM s.g
+JOIN e ON x.g IS NOT DISTINCT FROM e.g AND x.p = e.p LEFT JOIN o ON x.g IS NOT DISTINCT FROM o.g AND x.p = o.p"""

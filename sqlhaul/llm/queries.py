@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 from sqlhaul.llm.common import table
 from sqlhaul.llm.decontam_index import benchmark_hits
+from sqlhaul.llm.merkle_versions import tamper_versions
 from sqlhaul.llm.mix_budget import mix_sources
 from sqlhaul.llm.ngram_join import ngram_jaccard_components
 from sqlhaul.llm.onebit_ann import nearest
-from sqlhaul.llm.oracles import DECONTAMINATION, NGRAM_JACCARD, QUANTILE_RULES, WARC_INDEX
+from sqlhaul.llm.oracles import DECONTAMINATION, MERKLE_VERSIONS, NGRAM_JACCARD, QUANTILE_RULES, WARC_INDEX
 from sqlhaul.llm.patience_dedup import line_dedup
 from sqlhaul.llm.pii_bootstrap import personal_data
 from sqlhaul.llm.qda_quality import quality_scores
 from sqlhaul.llm.quantile_rules import COUNTS, quality_rules
 from sqlhaul.llm.rans_tokens import token_files
+from sqlhaul.llm.token_alignment import align_tokenizers
 from sqlhaul.llm.warc_index import round_trip
 from sqlhaul.llm.zstd_langid import languages
 
@@ -49,6 +51,13 @@ def tokenizer_path() -> str:
     return str(public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def piece_path() -> str:
+    """The public piece model that op13 is stated over."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(table(spark, sf_dir, "documents"), n=5, percent=80)
 
@@ -96,11 +105,20 @@ def op11_quantile_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ruled.select("doc_id", *[c for c in COUNTS if c != "n_lines"], "base_failed", "kept")
 
 
+def op12_merkle_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = tamper_versions(table(spark, sf_dir, "documents"), every=3)
+    return made.select(F.col("key").alias("doc_id"), "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf_dir, "documents"), tokenizer_path(), piece_path())
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     own = [
         op1_ngram_jaccard, op2_warc_index, op3_quality_qda, op4_language_zstd, op5_mix_budget, op6_onebit_neighbours,
         op7_line_patience, op8_token_rans, op9_pii_bootstrap, op10_decontamination,
-        op11_quantile_rules,
+        op11_quantile_rules, op12_merkle_versions, op13_token_alignment,
     ]
     return {f.__name__: f for f in own}
 
@@ -113,4 +131,5 @@ def oracles() -> dict[str, str]:
         "op2_warc_index": WARC_INDEX,
         "op10_decontamination": DECONTAMINATION,
         "op11_quantile_rules": QUANTILE_RULES,
+        "op12_merkle_versions": MERKLE_VERSIONS,
     }
