@@ -71,8 +71,9 @@ def main() -> None:
         finally:
             timer.cancel()
 
-    run("asof_join", TEXTS["asof_join"])
-    run("interval_join", TEXTS["interval_join"])
+    for name in ("asof_join", "interval_join", "window_time_range_frame_split"):
+        run(name, lambda name=name: SPLIT[name][1](events))
+    run("window_time_range_frame, plain", TEXTS["window_time_range_frame"])
     run("session_window_chunked", lambda: SPLIT["session_window_chunked"][1](events))
     run("session_window", TEXTS["session_window"])
     run("interval_join, naive key", NAIVE_INTERVAL)
@@ -105,6 +106,9 @@ def main() -> None:
         "window_lag_chunked": "SELECT o_orderkey, lag(o_totalprice) OVER (PARTITION BY o_custkey "
         "ORDER BY o_orderdate, o_orderkey) AS prev_price FROM orders",
     }
+    run("window_edges_split", lambda: SPLIT["window_edges_split"][1](orders))
+    run("window_range_frame_split", lambda: SPLIT["window_range_frame_split"][1](orders))
+    run("window_range_frame, plain", TEXTS["window_range_frame"])
     for name, sql in plain.items():
         run(name, lambda name=name: SPLIT[name][1](orders))
         run(f"{name}, plain window", sql)

@@ -20,20 +20,25 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
+from .ordered import chunk_count, stored
 
-FUNCTIONS = ("row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile", "lag", "lead", "running_sum")
+FUNCTIONS = (
+    "row_number", "rank", "dense_rank", "percent_rank", "cume_dist", "ntile", "lag", "lead", "running_sum", "first_value", "last_value", "nth_value",
+)
 
 
 def split_window(df: DataFrame, keys: list[str], order: list[Column], outputs: dict[str, tuple]) -> DataFrame:
     """``df`` with one more column for each of ``outputs``: name -> (function,
-    argument). ``ntile`` takes a number; ``lag``, ``lead`` (by one row) and
-    ``running_sum`` (ties share a value, as in SQL) take a column name. Null
-    keys are a group, as in SQL."""
+    arguments). ``ntile`` takes a number; ``running_sum`` (ties share a value, as
+    in SQL) a column name; ``lag`` and ``lead`` a column name and a distance (1
+    where it is not given); ``first_value``, ``last_value`` (a column name) and
+    ``nth_value`` (a column name and a number from 1) are those of the whole
+    group, from its first to its last row. Null keys are a group, as in SQL."""
     unknown = sorted(f for f, *_ in outputs.values() if f not in FUNCTIONS)
     if unknown:
         raise ValueError(f"unknown functions {unknown}; known are {FUNCTIONS}")
     spark = df.sparkSession
-    base = df.repartitionByRange(*[F.col(k) for k in keys], *order).withColumn("__chunk", F.spark_partition_id())
+    base = df.repartitionByRange(chunk_count(spark, df.count()), *[F.col(k) for k in keys], *order).withColumn("__chunk", F.spark_partition_id())
     group = Window.partitionBy("__chunk", *keys)
     inside = group.orderBy(*order)
     upto = inside.rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -43,7 +48,7 @@ def split_window(df: DataFrame, keys: list[str], order: list[Column], outputs: d
         if kind == "cume_dist":
             local["__upto"] = F.count(F.lit(1)).over(upto)
         elif kind in ("lag", "lead"):
-            local[f"__{kind}_{name}"] = (F.lag if kind == "lag" else F.lead)(F.col(arg[0])).over(inside)
+            local[f"__{kind}_{name}"] = (F.lag if kind == "lag" else F.lead)(F.col(arg[0]), _distance(arg)).over(inside)
             edge.append((F.max_by if kind == "lag" else F.min_by)(F.col(arg[0]), F.col("__rn")).alias(f"__edge_{name}"))
         elif kind == "running_sum":
             local[f"__sum_{name}"] = F.sum(F.col(arg[0])).over(upto)
@@ -67,14 +72,24 @@ def split_window(df: DataFrame, keys: list[str], order: list[Column], outputs: d
         elif kind == "running_sum":
             known[f"__near_{name}"] = F.sum(f"__edge_{name}").over(earlier)
     summary = pieces.withColumns(known)
+    summary = _with_values(numbered, summary, keys, names, outputs)
     match = F.col("__chunk") == F.col("__piece")
     for k, n in zip(keys, names):
         match = match & F.col(k).eqNullSafe(F.col(n))
     row, total = F.col("__before") + F.col("__rn"), F.col("__total")
     rank = F.col("__before") + F.col("__rank")
+    placed = numbered.join(summary, match)
+    far = {name: (kind, arg[0], _distance(arg)) for name, (kind, *arg) in outputs.items() if kind in ("lag", "lead") and _distance(arg) > 1}
+    if far:
+        placed = _with_far(placed, keys, names, far)
     made = []
     for name, (kind, *arg) in outputs.items():
-        if kind == "row_number":
+        if kind in ("first_value", "last_value", "nth_value"):
+            out = F.col(f"__value_{name}")
+        elif name in far:
+            inside_chunk = F.col("__rn") > _distance(arg) if kind == "lag" else F.col("__rn") <= F.col("__n") - _distance(arg)
+            out = F.when(inside_chunk, F.col(f"__{kind}_{name}")).otherwise(F.col(f"__far_{name}"))
+        elif kind == "row_number":
             out = row
         elif kind == "rank":
             out = rank
@@ -98,7 +113,58 @@ def split_window(df: DataFrame, keys: list[str], order: list[Column], outputs: d
             here, there = F.col(f"__sum_{name}"), F.col(f"__near_{name}")
             out = F.when(there.isNull(), here).when(here.isNull(), there).otherwise(here + there)
         made.append(out.alias(name))
-    return numbered.join(summary, match).select(*[F.col(f"`{c}`") for c in df.columns], *made)
+    return placed.select(*[F.col(f"`{c}`") for c in df.columns], *made)
+
+
+def _distance(arg: list) -> int:
+    k = int(arg[1]) if len(arg) > 1 else 1
+    if k < 1:
+        raise ValueError(f"a distance of {k}")
+    return k
+
+
+def _with_values(numbered: DataFrame, summary: DataFrame, keys: list[str], names: list[str], outputs: dict[str, tuple]) -> DataFrame:
+    """``summary`` with ``__value_<output>``: the value at one place of the
+    group. It is looked for only in rows that can stand there."""
+    for name, (kind, *arg) in outputs.items():
+        if kind not in ("first_value", "last_value", "nth_value"):
+            continue
+        place = {"first_value": F.lit(1), "last_value": F.col("__total")}.get(kind) if kind != "nth_value" else F.lit(_distance(arg))
+        rows = numbered if kind == "last_value" else numbered.where(F.col("__rn") <= place)
+        here = (F.col("__chunk") == F.col("__piece")) & (F.col("__before") + F.col("__rn") == place)
+        if kind == "last_value":
+            here = here & (F.col("__rn") == F.col("__n"))
+        for k, n in zip(keys, names):
+            here = here & F.col(k).eqNullSafe(F.col(n))
+        edges = summary.select("__piece", "__before", "__total", "__n", *names)
+        found = rows.join(edges, here).select(*[F.col(n).alias(f"__of_{n}") for n in names], F.col(arg[0]).alias(f"__value_{name}"))
+        same = F.lit(True)
+        for n in names:
+            same = same & F.col(n).eqNullSafe(F.col(f"__of_{n}"))
+        summary = summary.join(found, same, "left").drop(*[f"__of_{n}" for n in names])
+    return summary
+
+
+def _with_far(placed: DataFrame, keys: list[str], names: list[str], far: dict[str, tuple[str, str, int]]) -> DataFrame:
+    """``placed`` with ``__far_<output>``: values from other chunks. A value that
+    lies k rows away in another chunk is among the k last (first) rows that a
+    chunk has of the key, and is asked for by the k first (last) ones: these
+    edges meet by the number of the row within its key."""
+    placed = stored(placed, "split-window-far")
+    most = max(k for _, _, k in far.values())
+    rn, n, row = F.col("__rn"), F.col("__n"), F.col("__before") + F.col("__rn")
+    at_edge = (rn <= most) | (rn > n - most)
+    inner = placed.where(~at_edge)
+    outer = placed.where(at_edge)
+    for name, (kind, column, k) in far.items():
+        kept = rn > n - k if kind == "lag" else rn <= k
+        buffer = placed.where(kept).select(*[F.col(x).alias(f"__of_{x}") for x in names], row.alias("__at"), F.col(column).alias(f"__far_{name}"))
+        same = F.col("__at") == (row - k if kind == "lag" else row + k)
+        for x in names:
+            same = same & F.col(x).eqNullSafe(F.col(f"__of_{x}"))
+        outer = outer.join(buffer, same, "left").drop("__at", *[f"__of_{x}" for x in names])
+        inner = inner.withColumn(f"__far_{name}", F.lit(None).cast(placed.schema[column].dataType))
+    return inner.unionByName(outer)
 
 
 def split_sessions(df: DataFrame, keys: list[str], ts: str, gap: str = "30 minutes") -> DataFrame:

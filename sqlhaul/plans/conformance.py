@@ -9,10 +9,10 @@ texts cast explicitly; doubles are cast to decimals before they are summed,
 so sums are exact and their order cannot show.
 
 Where the obvious text would pair every event of a user with every other
-(as-of, interval joins), the Spark text works with counts and maxima of
-user-hours; where it would put one customer's or user's rows in one task, a
-``*_chunked`` query gives the same answer through ``split_window``. The DuckDB
-text stays the obvious one, so the oracle checks the rewrite.
+(as-of, interval and band joins), or put one customer's or user's rows in one
+task (windows, frames, sessions), the query is one of the library's functions
+(``operators.ordered``, ``operators.windows``). The DuckDB text stays the obvious
+one, so the oracle checks the function.
 """
 
 from __future__ import annotations
@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import band_join, split_asof, split_interval, split_range_frame
+from ..operators.rollups import cube_sets, lattice, sliding_panes
 from ..operators.sql import register, run_sql
 from ..operators.windows import split_sessions, split_window
 from ..session import ensure_database, scratch_dir
@@ -308,74 +310,6 @@ JOINS = [
         """SELECT o.o_orderpriority, count(*) AS n_lines
            FROM orders o JOIN lineitem l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_orderpriority""",
     ),
-    Conf(
-        # Views in the two hours before each purchase of the same user. Nothing
-        # is paired: the answer is the number of views before the purchase less
-        # the number before the time two hours earlier, so each purchase asks
-        # twice. A count of earlier views is one inside the (user, hour) by a
-        # RANGE frame, plus one of earlier hours from a per-user-hour summary.
-        "interval_join",
-        ("events",),
-        """WITH e AS (
-             SELECT event_id, user_id, event_type,
-                    timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS t
-             FROM events),
-           r AS (
-             SELECT user_id, t, 1 AS is_view, CAST(NULL AS BIGINT) AS id, 0 AS sign FROM e WHERE event_type = 'view'
-             UNION ALL SELECT user_id, t, 0, event_id, 1 FROM e WHERE event_type = 'purchase'
-             UNION ALL SELECT user_id, t - 7200000000, 0, event_id, -1 FROM e WHERE event_type = 'purchase'),
-           b AS (SELECT *, t DIV 3600000000 AS hr FROM r),
-           w AS (
-             SELECT user_id, hr, id, sign,
-                    coalesce(sum(is_view) OVER (PARTITION BY user_id, hr ORDER BY t
-                                                RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS inside
-             FROM b),
-           h AS (
-             SELECT user_id, hr,
-                    coalesce(sum(n) OVER (PARTITION BY user_id ORDER BY hr
-                                          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS earlier
-             FROM (SELECT user_id, hr, sum(is_view) AS n FROM b GROUP BY user_id, hr))
-           SELECT w.id AS purchase_id, sum(w.sign * (w.inside + h.earlier)) AS views_before
-           FROM w JOIN h ON w.user_id = h.user_id AND w.hr = h.hr
-           WHERE w.id IS NOT NULL GROUP BY w.id HAVING sum(w.sign * (w.inside + h.earlier)) > 0""",
-        """SELECT a.event_id AS purchase_id, count(b.event_id) AS views_before
-           FROM events a JOIN events b
-             ON a.user_id = b.user_id AND b.ts >= a.ts - INTERVAL 2 HOUR AND b.ts < a.ts
-           WHERE a.event_type = 'purchase' AND b.event_type = 'view'
-           GROUP BY a.event_id""",
-    ),
-    Conf(
-        # Latest earlier event of the same user for each purchase. The oracle
-        # is the plain lateral max; the Spark text never pairs events: the
-        # strictly-earlier max inside the purchase's hour comes from a RANGE
-        # frame over (user, hour), and the max of all earlier hours from a
-        # running max over the per-(user, hour) maxima, a table with one row
-        # per user-hour however many events a user has.
-        "asof_join",
-        ("events",),
-        """WITH e AS (
-             SELECT event_id, user_id, event_type, ts,
-                    timestampdiff(MICROSECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts) AS t
-             FROM events),
-           b AS (SELECT *, t DIV 3600000000 AS hr FROM e),
-           within_hour AS (
-             SELECT event_id, user_id, hr, event_type,
-                    max(ts) OVER (PARTITION BY user_id, hr ORDER BY t
-                                  RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_in_hour
-             FROM b),
-           hours AS (
-             SELECT user_id, hr,
-                    max(hour_max) OVER (PARTITION BY user_id ORDER BY hr
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prev_hours_max
-             FROM (SELECT user_id, hr, max(ts) AS hour_max FROM b GROUP BY user_id, hr))
-           SELECT w.event_id, coalesce(w.prev_in_hour, h.prev_hours_max) AS prev_ts
-           FROM within_hour w JOIN hours h ON w.user_id = h.user_id AND w.hr = h.hr
-           WHERE w.event_type = 'purchase'""",
-        """SELECT a.event_id, t.prev_ts
-           FROM events a LEFT JOIN LATERAL (
-             SELECT max(b.ts) AS prev_ts FROM events b WHERE b.user_id = a.user_id AND b.ts < a.ts) t ON true
-           WHERE a.event_type = 'purchase'""",
-    ),
 ]
 
 # ---------------------------------------------------------------------------
@@ -945,7 +879,7 @@ def _by_date(orders: DataFrame, outputs: dict) -> DataFrame:
     return split_window(orders, ["o_custkey"], [F.col("o_orderdate"), F.col("o_orderkey")], outputs)
 
 
-SPLIT: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
+SPLIT: dict[str, tuple[str | tuple[str, ...], Callable[..., DataFrame]]] = {
     "window_row_number_chunked": ("orders", lambda o: split_window(
         o, ["o_custkey"], [F.desc("o_totalprice"), F.col("o_orderkey")], {"rn": ("row_number",)}
     ).select("o_orderkey", "o_custkey", "rn")),
@@ -961,6 +895,53 @@ SPLIT: dict[str, tuple[str, Callable[[DataFrame], DataFrame]]] = {
         o, ["o_custkey"], [F.col("o_orderkey")], {"tile": ("ntile", 4)}
     ).select("o_orderkey", "o_custkey", "tile")),
     "session_window_chunked": ("events", lambda e: split_sessions(e, ["user_id"], "ts")),
+    "window_edges_split": ("orders", lambda o: _by_date(o, {
+        "prev3": ("lag", "o_orderkey", 3), "next2": ("lead", "o_orderkey", 2), "first_order": ("first_value", "o_orderkey"),
+        "second_order": ("nth_value", "o_orderkey", 2), "last_order": ("last_value", "o_orderkey"),
+    }).select("o_orderkey", "prev3", "next2", "first_order", "second_order", "last_order")),
+    "window_range_frame_split": ("orders", lambda o: split_range_frame(
+        o.withColumn("price", F.col("o_totalprice").cast("decimal(18,2)")), ["o_custkey"], "o_orderkey", "5000", "200",
+        {"n_near": ("count", "*"), "price_near": ("sum", "price"), "most_near": ("max", "o_totalprice")},
+    ).select("o_orderkey", "n_near", F.col("price_near").cast("decimal(38,2)").alias("price_near"), "most_near")),
+    "window_time_range_frame_split": ("events", lambda e: split_range_frame(
+        e, ["user_id"], "ts", "INTERVAL 1 HOUR", "0", {"n_last_hour": ("count", "*")}
+    ).select("event_id", "n_last_hour")),
+    # views in the two hours before each purchase of the same user
+    "interval_join": ("events", lambda e: split_interval(
+        e.where("event_type = 'purchase'"), e.where("event_type = 'view'"), ["user_id"], "ts", "ts", "-INTERVAL 2 HOURS", "0", {"views_before": ("count", "*")}
+    ).where("views_before > 0").select(F.col("event_id").alias("purchase_id"), "views_before")),
+    # latest earlier event of the same user for each purchase
+    "asof_join": ("events", lambda e: split_asof(
+        e.where("event_type = 'purchase'"), e, ["user_id"], "ts", "ts", {"prev_ts": "ts"}, equal=False
+    ).select("event_id", "prev_ts")),
+    # the view that led to each purchase, with what it was worth
+    "asof_join_values": ("events", lambda e: split_asof(
+        e.where("event_type = 'purchase'"), e.where("event_type = 'view'"), ["user_id"], "ts", "ts", {"view_ts": "ts", "view_value": "value"}
+    ).select("event_id", "view_ts", "view_value")),
+    # orders in overlapping bands of prices, one for each part
+    "band_join": (("orders", "part"), lambda o, p: band_join(
+        o.select("o_orderkey", "o_totalprice"),
+        p.select("p_partkey", (F.col("p_retailprice") * 100).alias("lo"), (F.col("p_retailprice") * 100 + 40 * F.col("p_size")).alias("hi")),
+        "o_totalprice", "lo", "hi",
+    ).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n_orders"), F.min("o_orderkey").alias("first_order"))),
+    # orders of a customer's own range of prices: equal keys and a band
+    "band_join_keys": (("orders", "customer"), lambda o, c: band_join(
+        o.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice"),
+        c.select("c_custkey", (F.col("c_acctbal") * 10).alias("lo"), (F.col("c_acctbal") * 10 + 100000).alias("hi")),
+        "o_totalprice", "lo", "hi", ["c_custkey"],
+    ).select("o_orderkey", "c_custkey")),
+    "sliding_window_panes": ("events", lambda e: sliding_panes(
+        e.withColumn("worth", F.col("value").cast("decimal(18,6)")), "ts", 5400, 1200, ["event_type"],
+        {"n_events": ("count", "*"), "total": ("sum", "worth"), "least": ("min", "value")},
+    ).withColumn("total", F.col("total").cast("decimal(38,6)"))),
+    "cube_lattice": ("lineitem", lambda x: lattice(
+        x.withColumn("price", F.col("l_extendedprice").cast("decimal(18,2)")), ["l_returnflag", "l_linestatus", "l_linenumber"],
+        cube_sets(["l_returnflag", "l_linestatus", "l_linenumber"]),
+        {"n": ("count", "*"), "total": ("sum", "price"), "most": ("max", "l_quantity"), "mean": ("avg", "l_suppkey")},
+    ).withColumns({"total": F.col("total").cast("decimal(38,2)"), "mean": F.col("mean").cast("decimal(18,6)")})),
+    "grouping_sets_lattice": ("orders", lambda o: lattice(
+        o, ["o_orderpriority", "o_orderstatus"], [("o_orderpriority",), ("o_orderstatus",), ()], {"n": ("count", "*"), "last": ("max", "o_orderdate")}
+    )),
 }
 
 SPLIT_ORACLES = {
@@ -986,6 +967,46 @@ SPLIT_ORACLES = {
     "window_ntile_chunked": """SELECT o_orderkey, o_custkey,
                   CAST(ntile(4) OVER (PARTITION BY o_custkey ORDER BY o_orderkey) AS BIGINT) AS tile
            FROM orders""",
+    "window_edges_split": """SELECT o_orderkey, lag(o_orderkey, 3) OVER w AS prev3, lead(o_orderkey, 2) OVER w AS next2,
+                  first_value(o_orderkey) OVER w AS first_order, nth_value(o_orderkey, 2) OVER w AS second_order, last_value(o_orderkey) OVER w AS last_order
+           FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+    "window_range_frame_split": """SELECT o_orderkey, count(*) OVER w AS n_near,
+                  CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) OVER w AS DECIMAL(38,2)) AS price_near, max(o_totalprice) OVER w AS most_near
+           FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderkey RANGE BETWEEN 5000 PRECEDING AND 200 FOLLOWING)""",
+    "window_time_range_frame_split": """SELECT event_id,
+                  count(*) OVER (PARTITION BY user_id ORDER BY ts RANGE BETWEEN INTERVAL 1 HOUR PRECEDING AND CURRENT ROW) AS n_last_hour
+           FROM events""",
+    "interval_join": """SELECT a.event_id AS purchase_id, count(b.event_id) AS views_before
+           FROM events a JOIN events b
+             ON a.user_id = b.user_id AND b.ts >= a.ts - INTERVAL 2 HOUR AND b.ts < a.ts
+           WHERE a.event_type = 'purchase' AND b.event_type = 'view'
+           GROUP BY a.event_id""",
+    "asof_join": """SELECT a.event_id, t.prev_ts
+           FROM events a LEFT JOIN LATERAL (
+             SELECT max(b.ts) AS prev_ts FROM events b WHERE b.user_id = a.user_id AND b.ts < a.ts) t ON true
+           WHERE a.event_type = 'purchase'""",
+    "asof_join_values": """WITH v AS (
+             SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'view' GROUP BY user_id, ts)
+           SELECT a.event_id, v.ts AS view_ts, v.value AS view_value
+           FROM events a ASOF LEFT JOIN v ON a.user_id = v.user_id AND a.ts >= v.ts
+           WHERE a.event_type = 'purchase'""",
+    "band_join": """SELECT p_partkey, count(*) AS n_orders, min(o_orderkey) AS first_order
+           FROM orders JOIN part ON o_totalprice >= p_retailprice * 100 AND o_totalprice < p_retailprice * 100 + 40 * p_size
+           GROUP BY p_partkey""",
+    "band_join_keys": """SELECT o_orderkey, c_custkey
+           FROM orders JOIN customer ON o_custkey = c_custkey AND o_totalprice >= c_acctbal * 10 AND o_totalprice < c_acctbal * 10 + 100000""",
+    "sliding_window_panes": """SELECT win_start, win_start + INTERVAL 5400 SECOND AS win_end, event_type, count(*) AS n_events,
+                  CAST(sum(CAST(value AS DECIMAL(18,6))) AS DECIMAL(38,6)) AS total, min(value) AS least
+           FROM (SELECT *, time_bucket(INTERVAL 1200 SECOND, ts, TIMESTAMP '1970-01-01') - k * INTERVAL 1200 SECOND AS win_start
+                 FROM events, unnest([0, 1, 2, 3, 4]) t(k))
+           WHERE ts < win_start + INTERVAL 5400 SECOND GROUP BY win_start, event_type""",
+    "cube_lattice": """SELECT l_returnflag, l_linestatus, l_linenumber, CAST(grouping_id(l_returnflag, l_linestatus, l_linenumber) AS BIGINT) AS grouping_id,
+                  count(*) AS n, CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DECIMAL(38,2)) AS total, max(l_quantity) AS most,
+                  CAST(avg(l_suppkey) AS DECIMAL(18,6)) AS mean
+           FROM lineitem GROUP BY CUBE (l_returnflag, l_linestatus, l_linenumber)""",
+    "grouping_sets_lattice": """SELECT o_orderpriority, o_orderstatus, CAST(grouping_id(o_orderpriority, o_orderstatus) AS BIGINT) AS grouping_id,
+                  count(*) AS n, max(o_orderdate) AS last
+           FROM orders GROUP BY GROUPING SETS ((o_orderpriority), (o_orderstatus), ())""",
     "session_window_chunked": """WITH g AS (
              SELECT user_id, ts,
                     CASE WHEN lag(ts) OVER (PARTITION BY user_id ORDER BY ts) >= ts - INTERVAL 30 MINUTE
@@ -1000,7 +1021,8 @@ SPLIT_ORACLES = {
 
 def _split_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     source, build = SPLIT[name]
-    return lambda spark, sf_dir: build(table(spark, sf_dir, source))
+    sources = (source,) if isinstance(source, str) else source
+    return lambda spark, sf_dir: build(*[table(spark, sf_dir, t) for t in sources])
 
 
 # ---------------------------------------------------------------------------

@@ -95,7 +95,7 @@ def test_asof_and_interval_joins_match_brute_force(spark):
     asof = sorted(
         (p[0], max((r[1] for r in rows if r[2] == p[2] and r[1] < p[1]), default=None)) for p in purchases
     )
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["asof_join"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["asof_join"][1](spark.table("events")).collect())
     assert got == asof
     window = dt.timedelta(hours=2)
     interval = sorted(
@@ -103,7 +103,7 @@ def test_asof_and_interval_joins_match_brute_force(spark):
         for p in purchases
         if (n := sum(1 for r in rows if r[2] == p[2] and r[3] == "view" and p[1] - window <= r[1] < p[1]))
     )
-    got = sorted(tuple(r) for r in spark.sql(TEXTS["interval_join"]).collect())
+    got = sorted(tuple(r) for r in SPLIT["interval_join"][1](spark.table("events")).collect())
     assert got == interval
 
 
