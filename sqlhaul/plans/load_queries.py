@@ -10,7 +10,7 @@ answer, computed straight from the parquet tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.result import preview, stringify
@@ -19,7 +19,8 @@ from ..session import ensure_database, scratch_dir, sql_literal
 from ..sources.catalog import publish
 from ..sources.csv_contract import WRITE_OPTIONS
 from ..sources.datasets import DatasetRef, Lake, read_dataset, read_result_csv
-from ..sources.stored import files_to_queries, latest_per_name, put_query
+from ..sources.sketches import summaries
+from ..sources.stored import latest_per_name, put_queries, put_query, stored_queries, stored_query_index
 from ..sources.upload_log import append_row
 from ..sources.uploads import append, reload
 from .inputs import table
@@ -180,12 +181,17 @@ def publish_two_users_one_epoch(spark, sf_dir):
 
 def stored_query_long_epoch(spark, sf_dir):
     """Epochs in nanoseconds (19 digits): the later of two texts of a name wins."""
-    o = _table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").cast("string").alias("c"), (F.lit(1_700_000_000_000_000_000) + F.col("o_orderkey")).cast("string").alias("e")
+    epoch = F.lit(1_700_000_000_000_000_000) + F.col("o_orderkey")
+    base = f"{scratch_dir(spark, 'stored')}/store"
+    put_queries(
+        _table(spark, sf_dir, "orders").select(
+            F.lit("u").alias("user"), F.lit("d").alias("dataset_id"), epoch.alias("epoch"),
+            F.concat(F.lit("report_"), F.col("o_custkey").cast("string"), F.lit(".sql")).alias("file_name"),
+            F.concat(F.lit("SELECT "), epoch.cast("string")).alias("text"),
+        ),
+        base,
     )
-    path = F.concat(F.lit("store/u_d_"), F.col("e"), F.lit("_report_"), F.col("c"), F.lit(".sql"))
-    files = o.select(path.alias("path"), F.encode(F.concat(F.lit("SELECT "), F.col("e")), "UTF-8").alias("content"))
-    return latest_per_name(files_to_queries(files)).select("file_name", "upload_epoch", "text")
+    return latest_per_name(stored_queries(spark, base)).select("file_name", "upload_epoch", "text")
 
 
 # -- A9 A10 A11 A12: append / reload / guard -----------------------------------
@@ -257,6 +263,63 @@ def qualified_scan(spark, sf_dir):
     return run_sql(spark, "-- Sample Query\nselect * from rawtest.orders_parquet;")
 
 
+def publish_mixed(spark, sf_dir):
+    """A21: a dataset of CSV and parquet uploads by its qualified name; a filter
+    on ``upload_date`` leaves uploads of both formats unread."""
+    lake, ref = _lake(spark, "publishmixed"), DatasetRef("mixed_domain", "orders")
+    orders = _table(spark, sf_dir, "orders")
+    for i, (status, fmt) in enumerate((("F", "csv"), ("O", "parquet"), ("P", "csv"))):
+        append(spark, orders.filter(F.col("o_orderstatus") == status), lake, ref, USER, epoch=EPOCH0 + i, file_format=fmt)
+    publish(spark, lake, ref)
+    return run_sql(spark, f"SELECT * FROM mixed_domain.orders WHERE upload_date >= {EPOCH0 + 1}")
+
+
+def publish_typed(spark, sf_dir):
+    """A21: ``select * from domain.dataset`` with the types of its uploads."""
+    lake, ref = _lake(spark, "publishtyped"), DatasetRef("typed_domain", "orders")
+    orders = _table(spark, sf_dir, "orders")
+    append(spark, orders.filter("o_orderstatus = 'F'"), lake, ref, USER, epoch=EPOCH0, file_format="parquet", typed=True)
+    append(spark, orders.filter("o_orderstatus <> 'F'"), lake, ref, "other", epoch=EPOCH0 + 1, file_format="parquet", typed=True)
+    publish(spark, lake, ref)
+    return run_sql(spark, "SELECT * FROM typed_domain.orders WHERE o_totalprice > 100000")
+
+
+def publish_unlogged(spark, sf_dir):
+    """A21: the files of other writers by a qualified name, CSV (one upload
+    compressed) and parquet; a filter on ``upload_date`` prunes."""
+    lake, ref = _lake(spark, "publishunlogged"), DatasetRef("rawtest", "orders_laid_down")
+    base = lake.dataset_dir(ref)
+    _laid_down(spark, sf_dir, base)
+    stringify(_table(spark, sf_dir, "orders").filter("o_totalprice < 50000")).write.parquet(f"{base}/upload_date={EPOCH0 + 3}/more/parquet")
+    publish(spark, lake, ref)
+    return run_sql(spark, f"-- Sample Query\nselect * from rawtest.orders_laid_down where upload_date <> {EPOCH0};").drop("upload_folder")
+
+
+def typed_uploads(spark, sf_dir):
+    """A1 A9: uploads that keep their types, read together and filtered."""
+    lake, ref = _lake(spark, "typed"), DatasetRef("sales", "lines_typed")
+    lines = _table(spark, sf_dir, "lineitem")
+    append(spark, lines.filter("l_returnflag = 'N'").withColumn("l_linenumber", F.col("l_linenumber").cast("smallint")), lake, ref, USER, epoch=EPOCH0, file_format="parquet", typed=True)
+    append(spark, lines.filter("l_returnflag <> 'N'"), lake, ref, USER, epoch=EPOCH0 + 1, file_format="parquet", typed=True)
+    return read_dataset(spark, lake, ref).where("l_quantity > 30 and l_linenumber < 4")
+
+
+def sketched_uploads(spark, sf_dir):
+    """Distinct counts and medians over three uploads from the sketches kept with
+    them, held against the exact ones."""
+    lake, ref = _lake(spark, "sketched"), DatasetRef("sales", "lines_sketched")
+    lines, columns = _table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_extendedprice", "l_shipdate"]
+    for i, flag in enumerate("ANR"):
+        append(spark, lines.filter(F.col("l_returnflag") == flag), lake, ref, USER, epoch=EPOCH0 + i, file_format="parquet", typed=True, sketch=columns)
+    near = summaries(spark, lake, ref, columns, [0.5])
+    exact = lines.agg(*[F.count_distinct(c).alias(c) for c in columns], F.percentile("l_extendedprice", 0.5).alias("median"))
+    rows = exact.select(F.col("median"), F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("exact")) for c in columns])))
+    return near.join(rows, F.col("column") == F.col("c")).select(
+        "column", (F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.08 * F.col("exact")).alias("distinct_near"),
+        F.when(F.col("column") == "l_extendedprice", F.abs(F.col("quantiles")[0] - F.col("median")) <= 0.02 * F.col("median")).alias("median_near"),
+    )
+
+
 def limit_ordered(spark, sf_dir):
     """``select * from domain.dataset ... LIMIT 10;`` on a published dataset,
     with an order so the ten rows are defined."""
@@ -315,30 +378,37 @@ def qualified_dataset_pruned(spark, sf_dir):
 # -- A5 A15: stored queries ----------------------------------------------------
 
 
-def _stored_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(path, content) of one stored query per order, named
+def _stored_files(spark: SparkSession, sf_dir: str) -> str:
+    """A folder of one stored query per order, named
     ``u<custkey>_d<orderkey>_<epoch>_cust_<custkey>_orders.sql``: every
     customer's report name is uploaded once per order of theirs."""
     o = _table(spark, sf_dir, "orders")
-    epoch = F.lit(1_600_000_000) + F.col("o_orderkey")
-    name = F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"), F.lit("_orders.sql"))
-    path = F.concat(
-        F.lit("sqlstore/reports/u"), F.col("o_custkey").cast("string"),
-        F.lit("_d"), F.col("o_orderkey").cast("string"),
-        F.lit("_"), epoch.cast("string"), F.lit("_"), name,
+    base = f"{scratch_dir(spark, 'stored')}/sqlstore/reports"
+    text = F.concat(F.lit("-- report\nSELECT * FROM orders WHERE o_orderkey = "), F.col("o_orderkey").cast("string"), F.lit(";"))
+    put_queries(
+        o.select(
+            F.concat(F.lit("u"), F.col("o_custkey").cast("string")).alias("user"), F.concat(F.lit("d"), F.col("o_orderkey").cast("string")).alias("dataset_id"),
+            (F.lit(1_600_000_000) + F.col("o_orderkey")).alias("epoch"),
+            F.concat(F.lit("cust_"), F.col("o_custkey").cast("string"), F.lit("_orders.sql")).alias("file_name"), text.alias("text"),
+        ),
+        base,
     )
-    text = F.concat(
-        F.lit("-- report\nSELECT * FROM orders WHERE o_orderkey = "), F.col("o_orderkey").cast("string"), F.lit(";")
-    )
-    return o.select(path.alias("path"), F.encode(text, "UTF-8").alias("content"))
+    return base
+
+
+def _below(path: Column) -> Column:
+    """A listed path without the scratch folder it is in."""
+    return F.concat(F.lit("sqlstore/reports/"), F.substring_index(path, "/", -1))
 
 
 def stored_query_keys(spark, sf_dir):
-    return files_to_queries(_stored_files(spark, sf_dir)).drop("text")
+    """A5: the listing of a folder of files, by their names alone."""
+    return stored_query_index(spark, _stored_files(spark, sf_dir)).withColumn("path", _below(F.col("path")))
 
 
 def stored_query_latest(spark, sf_dir):
-    return latest_per_name(files_to_queries(_stored_files(spark, sf_dir)))
+    """A5: every file read, the newest upload of each name."""
+    return latest_per_name(stored_queries(spark, _stored_files(spark, sf_dir)).withColumn("path", _below(F.col("path"))))
 
 
 STORED_REPORT_OLD = "-- Sample Query\nselect o_orderpriority from orders_v;"
@@ -387,6 +457,11 @@ LOAD_QUERIES = {
     "skip_empty": skip_empty,
     "qualified_scan": qualified_scan,
     "limit_ordered": limit_ordered,
+    "publish_mixed": publish_mixed,
+    "publish_typed": publish_typed,
+    "publish_unlogged": publish_unlogged,
+    "typed_uploads": typed_uploads,
+    "sketched_uploads": sketched_uploads,
     "limit_any_ten": limit_any_ten,
     "preview_result": preview_result,
     "qualified_dataset_pruned": qualified_dataset_pruned,
@@ -466,6 +541,23 @@ LOAD_ORACLES = {
                l_returnflag, l_linestatus, CAST(l_shipdate AS VARCHAR) AS l_shipdate
         FROM lineitem""",
     "qualified_scan": "SELECT * FROM orders",
+    "publish_mixed": f"""
+        SELECT {_ORDERS_TEXT}, CAST(CASE WHEN o_orderstatus = 'O' THEN 1700000001 ELSE 1700000002 END AS BIGINT) AS upload_date, 'etluser' AS upload_user
+        FROM orders WHERE o_orderstatus <> 'F'""",
+    "publish_typed": """
+        SELECT *, CAST(CASE WHEN o_orderstatus = 'F' THEN 1700000000 ELSE 1700000001 END AS BIGINT) AS upload_date,
+               CASE WHEN o_orderstatus = 'F' THEN 'etluser' ELSE 'other' END AS upload_user
+        FROM orders WHERE o_totalprice > 100000""",
+    "publish_unlogged": f"""
+        SELECT {_ORDERS_TEXT}, CAST(CASE WHEN o_orderstatus = 'O' THEN 1700000001 ELSE 1700000002 END AS BIGINT) AS upload_date
+        FROM orders WHERE o_orderstatus <> 'F'
+        UNION ALL
+        SELECT {_ORDERS_TEXT}, CAST(1700000003 AS BIGINT) FROM orders WHERE o_totalprice < 50000""",
+    "typed_uploads": "SELECT * FROM lineitem WHERE l_quantity > 30 AND l_linenumber < 4",
+    "sketched_uploads": """
+        SELECT 'l_orderkey' AS "column", true AS distinct_near, CAST(NULL AS BOOLEAN) AS median_near FROM (SELECT count(*) FROM lineitem) t
+        UNION ALL SELECT 'l_extendedprice', true, true FROM (SELECT count(*) FROM lineitem) t
+        UNION ALL SELECT 'l_shipdate', true, NULL FROM (SELECT count(*) FROM lineitem) t""",
     "limit_ordered": f"""
         SELECT {_ORDERS_TEXT}, CAST(1700000000 AS BIGINT) AS upload_date, 'etluser' AS upload_user
         FROM orders ORDER BY orders.o_totalprice DESC, orders.o_orderkey LIMIT 10""",

@@ -5,7 +5,7 @@ driver queries, catalog database folders) goes under the folder the cluster
 names in ``spark.checkpoint.dir``. Only a local session that has none (tests)
 gets a temporary folder, which is set as the checkpoint dir.
 
-The file-system helpers are for metadata only (log generations, one stored
+The file-system helpers are for metadata only (log entries, claims, one stored
 query file, removing an upload folder this library just wrote); they use the
 Hadoop FileSystem API of a classic session.
 """
@@ -15,6 +15,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -89,6 +90,40 @@ def write_bytes(spark: SparkSession, path: str, data: bytes) -> None:
         out.close()
 
 
+def _plain_fs(spark: SparkSession, path: str):
+    """As ``_fs_and_path``; a local folder gets no checksum files."""
+    fs, hpath = _fs_and_path(spark, path)
+    return (fs.getRawFileSystem() if fs.getScheme() == "file" else fs), hpath
+
+
+def create_new(spark: SparkSession, path: str) -> bool:
+    """Create an empty file; ``False`` if it is there already. The file system
+    decides (one call, atomic wherever its exclusive create is), so of several
+    callers one gets ``True``."""
+    fs, hpath = _plain_fs(spark, path)
+    try:
+        fs.create(hpath, False).close()
+    except Py4JJavaError:
+        if fs.exists(hpath):
+            return False
+        raise
+    return True
+
+
+def put_file(spark: SparkSession, path: str, data: bytes) -> None:
+    """A small file that appears whole: written beside under a hidden name,
+    then renamed."""
+    folder, _, name = path.rpartition("/")
+    fs, hidden = _plain_fs(spark, f"{folder}/.{name}-{uuid.uuid4().hex[:12]}")
+    out = fs.create(hidden, False)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    if not fs.rename(hidden, _fs_and_path(spark, path)[1]):
+        raise OSError(f"cannot put {path} in place")
+
+
 def sql_literal(text: str) -> str:
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
@@ -101,10 +136,21 @@ def ensure_database(spark: SparkSession, name: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {ident} LOCATION {sql_literal(location)}")
 
 
-def list_dir_names(spark: SparkSession, path: str) -> list[str]:
-    """Names of the entries directly under ``path`` (one listing call); empty
-    if the folder does not exist."""
+def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """(name, whether it is a folder) of the entries directly under ``path``
+    (one listing call); empty if the folder does not exist."""
     fs, hpath = _fs_and_path(spark, path)
     if not fs.exists(hpath):
         return []
-    return [status.getPath().getName() for status in fs.listStatus(hpath)]
+    return [(status.getPath().getName(), bool(status.isDirectory())) for status in fs.listStatus(hpath)]
+
+
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the data files directly under ``path``, by full path."""
+    fs, hpath = _fs_and_path(spark, path)
+    found = {s.getPath().toString(): int(s.getLen()) for s in fs.listStatus(hpath) if s.isFile()}
+    return {p: n for p, n in found.items() if not p.rpartition("/")[2].startswith(("_", "."))}
+
+
+def list_dir_names(spark: SparkSession, path: str) -> list[str]:
+    return [name for name, _ in list_dir(spark, path)]

@@ -46,6 +46,9 @@ UPLOAD_FORMATS = ("csv", "parquet")
 # Rows per written file: multi-line CSV is not splittable, so files are kept
 # small enough for one task each.
 DEFAULT_MAX_RECORDS_PER_FILE = 500_000
+# Bytes of a written file: larger ones (of few long rows) are cut before the
+# load is logged.
+DEFAULT_MAX_FILE_BYTES = 256 << 20
 
 
 def string_schema(columns: list[str]) -> T.StructType:

@@ -4,7 +4,7 @@ Layout of one dataset under a lake root::
 
     <root>/<domain>/<dataset>/upload_date=<epoch>/<user>/csv/part-*.csv
     <root>/<domain>/<dataset>/upload_date=<epoch>/<user>/parquet/part-*.parquet   (optional format)
-    <root>/<domain>/<dataset>/_uploads/<mode>-<epoch>/   upload log (parquet)
+    <root>/<domain>/<dataset>/_uploads/<mode>-<epoch>   upload log
 
 Every load writes a new ``upload_date=<epoch>/<user>/csv`` folder and then one
 row into the upload log. A reader opens exactly the uploads the log shows as
@@ -14,12 +14,16 @@ in place and a failed load, whose log row was never written, stays invisible.
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import session
+from ..functions.strings import as_text
+from ..functions.widening import widest
 from . import upload_log
 from .csv_contract import READ_OPTIONS, string_schema
 
@@ -90,6 +94,9 @@ class Lake:
     def log_dir(self, ref: DatasetRef, *, landing: bool = False) -> str:
         return f"{self.dataset_dir(ref, landing=landing)}/{upload_log.LOG_FOLDER}"
 
+    def claims_dir(self, ref: DatasetRef, *, landing: bool = False) -> str:
+        return f"{self.dataset_dir(ref, landing=landing)}/{upload_log.CLAIMS_FOLDER}"
+
 
 def _csv_reader(spark: SparkSession, columns: list[str], base_path: str):
     return (
@@ -99,11 +106,18 @@ def _csv_reader(spark: SparkSession, columns: list[str], base_path: str):
     )
 
 
-def _unlogged(spark: SparkSession, ref: DatasetRef, base: str) -> DataFrame:
-    """Every file that other writers have laid down below ``base``: CSV (also
-    compressed, whatever the file is called) or, where all files are named so,
-    parquet. A file whose header does not fit raises ``HeaderDrift`` or fails
-    the read; none is left out."""
+@dataclass(frozen=True)
+class Folders:
+    """The folders below a dataset's that hold files, by what they hold."""
+
+    root: str
+    parquet: list[str]
+    other: list[str]
+
+
+def unlogged_folders(spark: SparkSession, ref: DatasetRef, base: str) -> Folders:
+    """Folders with files that other writers have laid down below ``base``;
+    one row for each folder passes through the driver."""
     if not session.path_exists(spark, base):
         raise DatasetNotFound(f"dataset {ref}: no folder {base}")
     # names below the log folder or starting with "_" or "." are hidden, as for every Spark reader
@@ -119,16 +133,57 @@ def _unlogged(spark: SparkSession, ref: DatasetRef, base: str) -> DataFrame:
     mixed = [k["folder"] for k in kinds if 0 < k["parquet"] < k["n"]]
     if mixed:
         raise HeaderDrift(f"dataset {ref}: folders with parquet and other files: {mixed[:3]}")
+    return Folders(base, [k["folder"] for k in kinds if k["parquet"]], [k["folder"] for k in kinds if not k["parquet"]])
+
+
+def read_folders(spark: SparkSession, base: str, folders: list[str], fmt: str) -> DataFrame:
+    if fmt == "parquet":
+        return spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*folders)
+    header = spark.read.options(**READ_OPTIONS).option("basePath", base).option("enforceSchema", "true").csv(folders).columns
+    return _csv_reader(spark, [c for c in header if c != PARTITION_COLUMN], base).csv(folders)
+
+
+def _unlogged(spark: SparkSession, ref: DatasetRef, base: str) -> DataFrame:
+    """Every file that other writers have laid down below ``base``: CSV (also
+    compressed, whatever the file is called) or, where all files are named so,
+    parquet. A file whose header does not fit raises ``HeaderDrift`` or fails
+    the read; none is left out."""
+    found = unlogged_folders(spark, ref, base)
     df = None
-    for parquet in (True, False):
-        folders = [k["folder"] for k in kinds if (k["parquet"] > 0) == parquet]
-        if not folders:
-            continue
-        if parquet:
-            part = spark.read.option("basePath", base).option("mergeSchema", "true").parquet(*folders)
+    for fmt, folders in (("parquet", found.parquet), ("csv", found.other)):
+        if folders:
+            part = read_folders(spark, base, folders, fmt)
+            df = part if df is None else df.unionByName(part)
+    return df
+
+
+def _widened(name: str, own: T.DataType, wide: T.DataType) -> Column:
+    if isinstance(wide, T.StringType):
+        return as_text(name, own)
+    col = F.col("`" + name.replace("`", "``") + "`")
+    return col if own == wide else col.cast(wide).alias(name)
+
+
+def _union_uploads(spark: SparkSession, lake: Lake, ref: DatasetRef, base: str, uploads: list[dict], columns: list[str]) -> DataFrame:
+    """One scan for each format and schema. Where all uploads are typed, a
+    column has the narrowest type that holds those of all uploads; where some
+    are text, all are."""
+    schemas = {u["schema"]: T.StructType.fromJson(json.loads(u["schema"])) for u in uploads if u["schema"]}
+    typed = len(schemas) > 0 and all(u["schema"] for u in uploads)
+    wide = widest(list(schemas.values())) if typed else string_schema(columns)
+    df = None
+    for fmt, schema in sorted({(u["format"], u["schema"] or "") for u in uploads}):
+        paths = [lake.upload_dir(ref, u["upload_date"], u["user_id"], fmt) for u in uploads if (u["format"], u["schema"] or "") == (fmt, schema)]
+        if fmt == "csv":
+            part = _csv_reader(spark, columns, base).csv(paths)
         else:
-            header = spark.read.options(**READ_OPTIONS).option("basePath", base).option("enforceSchema", "true").csv(folders).columns
-            part = _csv_reader(spark, [c for c in header if c != PARTITION_COLUMN], base).csv(folders)
+            own = schemas[schema] if schema else string_schema(columns)
+            part = spark.read.schema(own).option("basePath", base).parquet(*paths)
+            kept = [c for c in part.columns if c not in columns]  # the partition column
+            if schema and not typed:
+                part = part.select(*[as_text(f.name, f.dataType) for f in own.fields], *kept)
+            elif schema:
+                part = part.select(*[_widened(f.name, own[f.name].dataType, f.dataType) for f in wide.fields], *kept)
         df = part if df is None else df.unionByName(part)
     return df
 
@@ -141,7 +196,9 @@ def read_dataset(
     logged: bool | None = None,
     with_upload_date: bool = False,
 ) -> DataFrame:
-    """DataFrame of a dataset's visible uploads, all-string where they are ours.
+    """DataFrame of a dataset's visible uploads: all strings, or, where every
+    visible upload was written with ``typed=True``, the types of the uploads
+    widened to what holds all of them.
 
     A dataset with an upload log is read through it: exactly the uploads since
     the last reload (the log is a few rows per load, read on the driver). One
@@ -161,15 +218,7 @@ def read_dataset(
         column_lists = {tuple(u["columns"]) for u in uploads}
         if len(column_lists) > 1:
             raise HeaderDrift(f"dataset {ref}: visible uploads differ in columns: {sorted(column_lists)}")
-        columns = list(next(iter(column_lists)))
-        df = None
-        for fmt in sorted({u["format"] for u in uploads}):
-            paths = [lake.upload_dir(ref, u["upload_date"], u["user_id"], fmt) for u in uploads if u["format"] == fmt]
-            if fmt == "csv":
-                part = _csv_reader(spark, columns, base).csv(paths)
-            else:
-                part = spark.read.schema(string_schema(columns)).option("basePath", base).parquet(*paths)
-            df = part if df is None else df.unionByName(part)
+        df = _union_uploads(spark, lake, ref, base, uploads, list(next(iter(column_lists))))
     else:
         df = _unlogged(spark, ref, base)
     if PARTITION_COLUMN in df.columns:

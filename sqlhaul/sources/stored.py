@@ -83,6 +83,35 @@ def find_query(spark: SparkSession, directory: str, file_name: str) -> str:
     return text
 
 
+def put_queries(queries: DataFrame, directory: str) -> int:
+    """Upload many SQL files at once: one for each row of (user, dataset_id,
+    epoch, file_name, text), written by Spark tasks under ``directory`` (a
+    shared one) with the four-field name. A task that is run again writes the
+    same files again. Returns the number of files."""
+    bad = "user rlike '_|/|^$' or dataset_id rlike '_|/|^$' or file_name rlike '/|^$'"
+    wrong = queries.where(bad).limit(1).collect()
+    if wrong:
+        raise ValueError(f"bad key fields: {wrong[0].asDict()}")
+    named = queries.select(
+        F.concat_ws("_", "user", "dataset_id", F.col("epoch").cast("string"), "file_name").alias("name"), F.encode("text", "UTF-8").alias("content")
+    )
+    base = re.sub(r"^file:/+", "/", directory.rstrip("/")) if directory.startswith("file:") else directory.rstrip("/")
+
+    def write(batches):
+        import pyarrow as pa
+        from pyarrow import fs
+
+        store, folder = fs.FileSystem.from_uri(base)
+        store.create_dir(folder, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                with store.open_output_stream(f"{folder}/{name}") as out:
+                    out.write(content)
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows]})
+
+    return int(named.mapInArrow(write, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0])
+
+
 def put_query(
     spark: SparkSession,
     lake: Lake,

@@ -267,3 +267,137 @@ def test_automatic_epoch_steps_past_an_orphan_folder(spark, lake):
     res = append(spark, _df(spark, [(1, "a")]), lake, REF, "u1")
     assert res.upload_date >= now + 3
     assert _ids(read_dataset(spark, lake, REF)) == ["1"]
+
+
+# -- typed uploads, claims, log entries
+
+
+def test_typed_uploads_push_filters_and_widen(spark, lake):
+    a = spark.createDataFrame([(1, 1.5, "x"), (2, None, None)], "k int, d double, s string")
+    b = spark.createDataFrame([(2**40, 2.5, "y")], "k long, d double, s string")
+    append(spark, a, lake, REF, "u1", epoch=10, file_format="parquet", typed=True)
+    one = read_dataset(spark, lake, REF)
+    assert one.dtypes == a.dtypes
+    assert "GreaterThan(k,1)" in one.where("k > 1")._jdf.queryExecution().executedPlan().toString()
+    append(spark, b, lake, REF, "u1", epoch=11, file_format="parquet", typed=True)
+    both = read_dataset(spark, lake, REF, with_upload_date=True)
+    assert both.dtypes == [("k", "bigint"), ("d", "double"), ("s", "string"), ("upload_date", "bigint")]
+    assert sorted(tuple(r) for r in both.where("k > 1").collect()) == [(2, None, None, 10), (2**40, 2.5, "y", 11)]
+    plan = both.where("k > 1")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("GreaterThan(k,1)") == 2
+    # beside text uploads all is text
+    append(spark, a.selectExpr("k", "d", "s"), lake, REF, "u1", epoch=12)
+    mixed = read_dataset(spark, lake, REF)
+    assert mixed.dtypes == [("k", "string"), ("d", "string"), ("s", "string")]
+    assert sorted(r["k"] for r in mixed.collect()) == ["1", "1", str(2**40), "2", "2"]
+    with pytest.raises(ValueError, match="parquet"):
+        append(spark, a, lake, REF, "u1", epoch=13, typed=True)
+
+
+def test_typed_upload_of_every_kind(spark, lake):
+    df = spark.sql("""SELECT id, cast(id as decimal(5,2)) d, date'2024-01-02' day, timestamp_ntz'2024-01-02 03:04:05.678901' t,
+                      array(id, null) a, named_struct('x', id) st, map('k', id) m, cast('b' as binary) b, id = 1 ok FROM range(3)""")
+    append(spark, df, lake, REF, "u1", epoch=10, file_format="parquet", typed=True)
+    got = read_dataset(spark, lake, REF)
+    assert got.dtypes == df.dtypes and sorted(map(str, got.collect())) == sorted(map(str, df.collect()))
+    append(spark, df.withColumn("st", df["a"]), lake, REF, "u1", epoch=11, file_format="parquet", typed=True)
+    texts = sorted(r["st"] for r in read_dataset(spark, lake, REF).collect())
+    assert texts == sorted([f"[{i},null]" for i in range(3)] + [f'{{"x":{i}}}' for i in range(3)])
+
+
+def test_wider_types():
+    from pyspark.sql import types as T
+
+    from sqlhaul.functions.widening import wider
+
+    i, l, d, s = T.IntegerType(), T.LongType(), T.DoubleType(), T.StringType()
+    assert wider(i, l) == l and wider(l, i) == l and wider(i, d) == d and wider(l, d) == s and wider(s, i) == s
+    assert wider(T.DecimalType(10, 2), l) == T.DecimalType(21, 2) and wider(T.DecimalType(28, 0), T.DecimalType(10, 10)) == T.DecimalType(38, 10)
+    assert wider(T.DecimalType(38, 30), l) == s and wider(T.DateType(), T.TimestampType()) == T.TimestampType()
+
+
+@pytest.mark.parametrize("other", ["u1", "u2"])
+def test_of_two_loads_of_one_second_the_second_raises(spark, lake, other, monkeypatch):
+    """The second load starts while the first one writes."""
+    from sqlhaul.sources import uploads
+
+    seen = []
+
+    def between(*args, **kw):
+        monkeypatch.setattr(uploads.upload_log, "append_row", real)
+        with pytest.raises(UploadRefused, match="another load"):
+            append(spark, _df(spark, [(2, "b")]), lake, REF, other, epoch=10)
+        seen.append(append(spark, _df(spark, [(3, "c")]), lake, REF, other).upload_date)  # takes a second of its own
+        return real(*args, **kw)
+
+    real = uploads.upload_log.append_row
+    monkeypatch.setattr(uploads.upload_log, "append_row", between)
+    append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
+    assert seen and seen[0] != 10
+    assert _ids(read_dataset(spark, lake, REF)) == ["1", "3"]
+    with pytest.raises(UploadRefused):
+        append(spark, _df(spark, [(4, "d")]), lake, REF, other, epoch=10)
+
+
+def test_two_automatic_loads_of_one_second(spark, lake, monkeypatch):
+    from sqlhaul.sources import uploads
+
+    monkeypatch.setattr(uploads.time, "time", lambda: 1000.5)
+    real, dates = uploads.upload_log.append_row, []
+
+    def between(*args, **kw):
+        monkeypatch.setattr(uploads.upload_log, "append_row", real)
+        dates.append(append(spark, _df(spark, [(2, "b")]), lake, REF, "u2").upload_date)
+        return real(*args, **kw)
+
+    monkeypatch.setattr(uploads.upload_log, "append_row", between)
+    dates.append(append(spark, _df(spark, [(1, "a")]), lake, REF, "u1").upload_date)
+    assert sorted(dates) == [1000, 1001]
+    assert _ids(read_dataset(spark, lake, REF)) == ["1", "2"]
+
+
+def test_a_failed_load_gives_its_second_back(spark, lake):
+    from pyspark.sql import functions as F
+
+    bad = _df(spark, [(1, "a")]).withColumn("v", F.raise_error(F.lit("no")).cast("string"))
+    with pytest.raises(Exception, match="no"):
+        append(spark, bad, lake, REF, "u1", epoch=10)
+    append(spark, _df(spark, [(1, "a")]), lake, REF, "u2", epoch=10)
+    assert _ids(read_dataset(spark, lake, REF)) == ["1"]
+
+
+def test_log_folders_of_earlier_versions_are_read(spark, lake):
+    from pyspark.sql.types import StructType
+
+    from sqlhaul.sources import upload_log
+
+    append(spark, _df(spark, [(1, "a")]), lake, REF, "u1", epoch=10)
+    reload(spark, _df(spark, [(2, "b")]), lake, REF, "u1", epoch=11)
+    append(spark, _df(spark, [(3, "c")]), lake, REF, "u1", epoch=12)
+    # the same log as parquet folders, but for the last load
+    other = f"{lake.read_root}/old_log"
+    for u in upload_log.visible_uploads(spark, lake.log_dir(REF)):
+        row = {"domain": "d", "dataset": "ds", **u}
+        if u["upload_date"] == 12:
+            upload_log.append_row(spark, other, row)
+        else:
+            old = spark.createDataFrame([{k: v for k, v in row.items() if k not in ("schema", "sketched")}], StructType(upload_log.LOG_SCHEMA.fields[:-2]))
+            old.coalesce(1).write.parquet(f"{other}/{u['mode']}-{u['upload_date']}")
+    assert [u["upload_date"] for u in upload_log.visible_uploads(spark, other)] == [11, 12]
+    assert upload_log.last_epoch(spark, other) == 12
+
+
+def test_no_csv_file_above_the_byte_bound(spark, lake):
+    import os
+
+    rows = [(str(i), ('a "quoted", text\n' * (1 + 40 * (i % 7 == 0)) + "é" * (i % 90)) if i % 13 else None) for i in range(600)] + [("big", "x" * 30_000), ("é", ""), ("big2", '"' * 9_000)]
+    df = _df(spark, rows).coalesce(2)
+    res = append(spark, df, lake, REF, "u1", epoch=10, max_file_bytes=8_000)
+    sizes = {f: os.path.getsize(os.path.join(res.path, f)) for f in os.listdir(res.path) if f.endswith(".csv")}
+    assert sum(n > 8_000 for n in sizes.values()) == 2  # the two rows that are larger themselves
+    assert len(sizes) < 60
+    got = read_dataset(spark, lake, REF)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, rows))
+    # nothing to cut: the files are left as they are
+    res = append(spark, df, lake, DatasetRef("d", "small"), "u1", epoch=10)
+    assert len([f for f in os.listdir(res.path) if f.endswith(".csv")]) == 2
