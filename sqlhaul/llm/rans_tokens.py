@@ -28,9 +28,10 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sqlhaul.llm.common import STEP_BYTES, save, ship, slice_hashes, text_steps
@@ -48,8 +49,17 @@ SECTIONS = {
     "symbols": "<u4", "freqs": "<u4", "doc_ids": "<i8", "doc_nulls": "<u1", "doc_lengths": "<u8",
     "block_words": "<u4", "block_crc": "<u4", "marks": "<u8", "mark_words": "<u4", "words": "<u4",
 }
-#: Token chunks kept by a worker, and the longest one kept.
-CACHE, CACHED_BYTES = 400_000, 64
+#: Token chunks kept by a worker (about 35 bytes each), the longest one kept, and
+#: those that are given to the tokenizer as one text.
+CACHE, CACHED_BYTES, TOGETHER = 2_000_000, 64, 128
+
+_LETTER = np.zeros(256, bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+#: Bytes that, after a space, are no white space: printable ASCII, and lead bytes
+#: that start none.
+_PLAIN = np.zeros(256, bool)
+_PLAIN[0x21:0x7F] = _PLAIN[0xC3:] = True
+_PLAIN[0xE1:0xE4] = False
 
 
 # ---------------------------------------------------------------- coder
@@ -211,13 +221,16 @@ class ChunkTokenizer:
     """A byte-level BPE file applied to columns of texts.
 
     A space before anything that is not white space always starts a new
-    pre-token, so a text is cut there into chunks whose ids do not depend on
-    each other. Each different chunk is given to the tokenizer once (as long
-    as it stays cached); the ids of a column are gathered from the chunks'.
-    Strings of special tokens are ordinary text.
+    pre-token, and so does an ASCII character that is no letter after an ASCII
+    letter; a text is cut there into chunks whose ids do not depend on each
+    other. Each different chunk is given to the tokenizer once (as long as it
+    stays cached); the ids of a column are gathered from the chunks'. The cache
+    is arrays sorted by the chunks' hashes; when it is full, the chunks that have
+    not been met since it was full before go. Strings of special tokens are
+    ordinary text.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, cache: int = CACHE):
         # one thread: a task has one core
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
@@ -228,81 +241,102 @@ class ChunkTokenizer:
         self.width = np.zeros(max(vocab.values()) + 1, np.int64)
         for token, i in vocab.items():
             self.width[i] = len(token)
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.starts = np.zeros(1024, np.int64)
-        self.sizes = np.zeros(1024, np.int64)
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-
-    def _put(self, keys: list[int], ids: np.ndarray, sizes: np.ndarray) -> None:
-        have, more = len(self.known), len(keys)
-        while have + more > len(self.starts):
-            self.starts, self.sizes = np.r_[self.starts, self.starts], np.r_[self.sizes, self.sizes]
+        self.cache = cache
+        self.keys = np.zeros(0, np.uint64)
+        self.starts, self.sizes, self.met = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+
+    def _turn(self) -> None:
+        """Forget the chunks that were not met since the last turn."""
+        keep = self.met
+        sizes = self.sizes[keep].astype(np.int64)
+        ends = np.cumsum(sizes)
+        total = int(ends[-1]) if len(ends) else 0
+        self.pool = self.pool[np.arange(total) + np.repeat(self.starts[keep] - (ends - sizes), sizes)]
+        self.used = total
+        self.keys, self.starts, self.sizes = self.keys[keep], ends - sizes, self.sizes[keep]
+        self.met = np.zeros(len(self.keys), bool)
+
+    def _put(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
+        """Add the ids of new chunks, in the order of their hashes."""
         while self.used + len(ids) > len(self.pool):
-            self.pool = np.r_[self.pool, self.pool]
+            self.pool = np.r_[self.pool, np.zeros(max(len(self.pool), 1 << 16), np.uint32)]
         self.pool[self.used : self.used + len(ids)] = ids
-        self.starts[have : have + more] = self.used + np.r_[0, np.cumsum(sizes)[:-1]]
-        self.sizes[have : have + more] = sizes
+        starts = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
-        self.known.update(zip(keys, range(have, have + more)))
-
-    def _learn(self, keys: list[int], texts: list[bytes]) -> None:
-        """Tokenize distinct chunks and keep their ids. Those that start with a
-        space go to the tokenizer as one text, cut again by the tokens' bytes."""
-        lead = [i for i, x in enumerate(texts) if x[:1] == b" "]
-        for a in range(0, len(lead), 4096):
-            group = lead[a : a + 4096]
+        at = np.searchsorted(self.keys, keys)
+        self.keys, self.starts = np.insert(self.keys, at, keys), np.insert(self.starts, at, starts)
+        self.sizes, self.met = np.insert(self.sizes, at, sizes), np.insert(self.met, at, True)
+
+    def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(place in the cache, whether it is there) of ascending hashes."""
+        at = np.searchsorted(self.keys, keys)
+        have = at < len(self.keys)
+        have[have] = self.keys[at[have]] == keys[have]
+        return at, have
+
+    def _learn(self, keys: np.ndarray, texts: list[bytes]) -> None:
+        """Tokenize new chunks, given in the order of their hashes, and keep
+        their ids. Those of a space and a plain character go to the tokenizer
+        many as one text, cut again by the tokens' bytes."""
+        got: list = [None] * len(texts)
+        lead = [i for i, x in enumerate(texts) if len(x) > 1 and x[0] == 0x20 and _PLAIN[x[1]]]
+        for a in range(0, len(lead), TOGETHER):
+            group = lead[a : a + TOGETHER]
             joined = b"".join([texts[i] for i in group]).decode()
             ids = np.array(self.model.encode_batch_fast([joined], add_special_tokens=False)[0].ids, np.uint32)
             ends = np.cumsum([len(texts[i]) for i in group])
             cuts = np.searchsorted(np.cumsum(self.width[ids]), ends - 1, side="right") + 1
-            self._put([keys[i] for i in group], ids, np.diff(np.r_[0, cuts]))
-        rest = [i for i, x in enumerate(texts) if x[:1] != b" "]
+            low = 0
+            for i, high in zip(group, cuts.tolist()):
+                got[i] = ids[low:high]
+                low = high
+        rest = [i for i, x in enumerate(got) if x is None]
         if rest:
-            got = [e.ids for e in self.model.encode_batch_fast([texts[i].decode() for i in rest], add_special_tokens=False)]
-            self._put([keys[i] for i in rest], np.array([x for ids in got for x in ids], np.uint32), np.array(list(map(len, got)), np.int64))
+            for i, e in zip(rest, self.model.encode_batch_fast([texts[i].decode() for i in rest], add_special_tokens=False)):
+                got[i] = np.array(e.ids, np.uint32)
+        self._put(keys, np.concatenate(got), np.array(list(map(len, got)), np.int64))
 
     def ids(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text) for texts in one buffer."""
-        rows = len(offsets) - 1
         cut = np.zeros(len(data) + 1, bool)
+        filled = np.diff(offsets) > 0
         if len(data) > 1:
-            nxt = data[1:]
-            # next: printable ASCII, or a lead byte that starts no white space
-            plain = ((nxt > 0x20) & (nxt < 0x7F)) | ((nxt >= 0xC3) & (nxt != 0xE1) & (nxt != 0xE2) & (nxt != 0xE3))
-            cut[:-2] = (data[:-1] == 0x20) & plain
-        last = offsets[1:][np.diff(offsets) > 0] - 1
-        cut[last] = False  # a space that ends a text
-        cut[offsets[:-1][np.diff(offsets) > 0]] = True
+            cut[:-2] = (data[:-1] == 0x20) & _PLAIN[data[1:]]
+            cut[offsets[1:][filled] - 1] = False  # a space that ends a text
+            letter = _LETTER[data]
+            cut[1:-1] |= letter[:-1] & ~letter[1:] & (data[1:] < 0x80)
+        cut[offsets[:-1][filled]] = True
         cut[len(data)] = False
         starts = np.flatnonzero(cut)
         ends = np.r_[starts[1:], len(data)] if len(starts) else starts
-        keys, first, back = np.unique(slice_hashes(data, starts, ends), return_index=True, return_inverse=True)
-        names = keys.tolist()
-        if len(self.known) + len(names) > CACHE:
-            self._forget()
-        new = [i for i, k in enumerate(names) if k not in self.known]
+        back, keys = pd.factorize(slice_hashes(data, starts, ends))
+        first = np.zeros(len(keys), np.int64)
+        first[back[::-1]] = np.arange(len(back))[::-1]
+        order = np.argsort(keys)
+        at, have = self._find(keys[order])
+        self.met[at[have]] = True
         long: dict[int, np.ndarray] = {}
-        if new:
+        new = order[~have]
+        if len(new):
+            wide = ends[first[new]] - starts[first[new]] > CACHED_BYTES
             raw = data.tobytes()
-            spans = [(raw[starts[first[i]] : ends[first[i]]]) for i in new]
-            for i, x in zip(new, spans):
-                if len(x) > CACHED_BYTES:
-                    long[i] = np.array(self.model.encode(x.decode(), add_special_tokens=False).ids, np.uint32)
-            new, spans = [i for i in new if i not in long], [x for x in spans if len(x) <= CACHED_BYTES]
-            if new:
-                self._learn([names[i] for i in new], spans)
-        at = np.array([self.known.get(k, -1) for k in names], np.int64)
-        pool, at0, size = self.pool[: self.used], self.starts[at], self.sizes[at]
+            for i in new[wide].tolist():
+                long[i] = np.array(self.model.encode(raw[starts[first[i]] : ends[first[i]]].decode(), add_special_tokens=False).ids, np.uint32)
+            new = new[~wide]
+            if len(new):
+                if len(self.keys) + len(new) > self.cache:
+                    self._turn()
+                self._learn(keys[new], [raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
+            at, have = self._find(keys[order])
+        size, at0 = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        size[order[have]], at0[order[have]] = self.sizes[at[have]], self.starts[at[have]]
+        pool = self.pool[: self.used]
         if long:
-            extra = np.concatenate(list(long.values()))
             where = np.fromiter(long.keys(), np.int64)
             size[where] = [len(x) for x in long.values()]
-            at0[where] = self.used + np.r_[0, np.cumsum(size[where])[:-1]]
-            pool = np.concatenate([pool, extra])
+            at0[where] = self.used + np.cumsum(size[where]) - size[where]
+            pool = np.concatenate([pool, *long.values()])
         size, at0 = size[back], at0[back]
         total = np.r_[0, np.cumsum(size)]
         ids = pool[np.arange(total[-1]) + np.repeat(at0 - total[:-1], size)]
@@ -386,9 +420,9 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     for r in manifest.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect():
         base[r["part"]] = total
         total += r["n"]
-    files = manifest.alias("a").join(
-        manifest.select("part", "seq", "n_ids").alias("b"), F.expr("a.part = b.part and b.seq < a.seq"), "left"
-    ).groupBy("a.part", "a.seq", "a.path").agg(F.coalesce(F.sum("b.n_ids"), F.lit(0)).alias("before"))
+    # a part has one manifest row for each of its files
+    earlier = Window.partitionBy("part").orderBy("seq").rowsBetween(Window.unboundedPreceding, -1)
+    files = manifest.select("part", "seq", "path", F.coalesce(F.sum("n_ids").over(earlier), F.lit(0)).alias("before"))
     shared = manifest.sparkSession.sparkContext.broadcast(base)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
