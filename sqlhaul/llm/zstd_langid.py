@@ -16,16 +16,18 @@ tasks (``DICT_BYTES`` for each language).
 Defined results: a null text, or one without letters, is ``und`` with score 0
 and not accepted; rows with a null language or id teach nothing; equal sizes
 go to the language with more training rows, then to the smaller name; without
-training rows all is ``und``; repeated rows are predicted alike; other columns
+training rows all is ``und``; a language whose training texts have no letters is
+never predicted; repeated rows are predicted alike; other columns
 are ignored.
 """
 
 from __future__ import annotations
 
-import re
+import hashlib
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -40,11 +42,14 @@ PIECE, SHORT = 4096, 512
 LEVEL, SHORT_LEVEL = 9, 19
 REJECT = 0.02
 
-_NOT_LETTERS = re.compile(r"[\W\d_]+")
+#: Bytes below which zstandard does not use a dictionary; shorter ones are repeated.
+LEAST_BYTES = 8
+
+_NOT_LETTERS = regex.compile(r"\P{L}+")
 
 
 def plain(text: str | None) -> str:
-    """Lower-cased letters, everything else one space."""
+    """Lower-cased letters (Unicode category L), everything else one space."""
     return _NOT_LETTERS.sub(" ", (text or "").lower()).strip()
 
 
@@ -132,20 +137,22 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str =
     for r in sorted(sample.select("lang", "id", pieces("lang", "t").alias("b")).collect(), key=lambda r: (r["lang"], r["id"], bytes(r["b"]))):
         got.setdefault(r["lang"], []).append(bytes(r["b"]))
     out = {name: b" ".join(got[name]) for name in sorted(got, key=lambda x: (-counts[x], x))}
-    return {k: v for k, v in out.items() if len(v) >= 8}
+    return {k: v if len(v) >= LEAST_BYTES else b" ".join([v] * LEAST_BYTES) for k, v in out.items() if v}
 
 
-_MODELS: dict[int, CompressionLanguages] = {}
+_MODELS: dict[str, CompressionLanguages] = {}
 
 
 def languages(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", reject: float = REJECT) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, accepted) of every row."""
     ship(docs.sparkSession)
-    shared = docs.sparkSession.sparkContext.broadcast(learn(docs, text, lang, doc_id))
+    learned = learn(docs, text, lang, doc_id)
+    # workers keep a model by what it is made of
+    key = hashlib.sha256(repr(list(learned.items())).encode()).hexdigest()
+    shared = docs.sparkSession.sparkContext.broadcast(learned)
 
     @F.pandas_udf("lang_pred string, score double")
     def predict(t: pd.Series) -> pd.DataFrame:
-        key = id(shared)
         if key not in _MODELS:
             _MODELS.clear()
             _MODELS[key] = CompressionLanguages(shared.value)
