@@ -5,19 +5,22 @@ Only DataFrame functions, no Python on the executors.
 1. *Index.* Every text is split once; the postings (term, document, position)
    of all terms that the test items use are stored in files sorted by term,
    as they come from the scan (each file indexes its own documents; nothing is
-   shuffled), with one row more for each document's number of words.
+   shuffled), with one row more for each document's number of words. No text is
+   read after that.
 2. *Rarest terms.* The index gives each term's frequency over all documents.
-   Each window of an item names its two rarest places.
+   Each different window of the items, a phrase, names its two rarest places.
 3. *Intersection.* The postings of the rarest term, moved back by its place in
-   the item, say where the item would have to begin; the postings of the second
-   rarest one, moved likewise, must agree: at the same beginning (a phrase
-   candidate) or at most ``slop`` words from it (a proximity match).
-4. *Phrases.* Candidates meet their documents' words again, and the whole
-   window must be there.
-
-Test-side tables (vocabulary, windows) are broadcast only when counted and
-below ``BROADCAST_ROWS``, keys of documents below ``BROADCAST_KEYS``; above that
-the same joins shuffle, and AQE splits skewed terms. Every join's output is linear in the postings of rare terms.
+   the phrase, say where the phrase would have to begin. The postings of the
+   second rarest one, moved likewise, must agree: at the same beginning (a
+   phrase candidate) or at most ``slop`` words from it (a proximity match).
+   Candidates then ask for the postings of all their other terms by document,
+   position and term; those that get every one are exact.
+
+All joins of positions are by equality (the one with ``slop`` by cells of its
+width), so work is linear in the postings of rare terms, also where a text
+repeats one word. Test-side tables (vocabulary, phrases) are broadcast only when
+counted and below ``BROADCAST_ROWS``, keys of documents below
+``BROADCAST_KEYS``; above that the same joins shuffle, and AQE splits skewed terms.
 
 Defined results: words are maximal runs of ASCII letters and digits and of
 non-ASCII characters, A-Z lower-cased; null and empty texts have none; an item
@@ -76,27 +79,69 @@ def build_index(docs: DataFrame, terms: DataFrame, text: str = "text", doc_id: s
     )
 
 
-def _windows(places: DataFrame, terms: DataFrame, index: DataFrame, window: int) -> DataFrame:
-    """(item, term1, place1, term2, place2, begin, terms): every window of
-    every item with its two rarest places; windows with a term that no
-    document has are left out, as they cannot occur."""
+def _phrases(places: DataFrame, terms: DataFrame, index: DataFrame, window: int) -> DataFrame:
+    """(phrase, terms, items, size, term_id, place1, term2, place2): every
+    different window of the items, the items that have it, and its two rarest
+    places. Windows with a term that no document has are left out, as they
+    cannot occur."""
     freq = index.where("term_id is not null").groupBy("term_id").agg(F.count(F.lit(1)).alias("f"))
     known = places.join(small(terms), "term").join(freq, "term_id", "left")
     begins = known.withColumn(
         "begin",
         F.explode(F.sequence(F.greatest(F.lit(0), F.col("place") - (window - 1)), F.least(F.col("place"), F.greatest(F.lit(0), F.col("n") - window)))),
-    )
+    ).withColumn("place", F.col("place") - F.col("begin"))
     ranked = begins.groupBy("item", "copy", "begin").agg(
         F.sort_array(F.collect_list(F.struct("f", "place", "term_id"))).alias("r"),
-        F.transform(F.sort_array(F.collect_list(F.struct("place", "term"))), lambda x: x["term"]).alias("terms"),
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "term_id"))), lambda x: x["term_id"]).alias("terms"),
         F.min(F.coalesce("f", F.lit(0))).alias("least"),
     ).where("least > 0")
     other = F.when(F.size("r") > 1, F.col("r")[1]).otherwise(F.col("r")[0])
-    return ranked.select(
-        "item", "begin", "terms",
+    # the order of places follows from the terms: it is the same in all items
+    return ranked.groupBy("terms").agg(F.first("r").alias("r"), F.array_sort(F.collect_set("item")).alias("items")).select(
+        F.monotonically_increasing_id().alias("phrase"), "terms", "items", F.size("terms").alias("size"),
         F.col("r")[0]["term_id"].alias("term_id"), F.col("r")[0]["place"].alias("place1"),
         other["term_id"].alias("term2"), other["place"].alias("place2"),
-    ).distinct()
+    )
+
+
+def _met(lists: DataFrame, phrases: DataFrame, slop: int) -> DataFrame:
+    """(phrase, doc_id, copy, begin, off): where the rarest term of a phrase says
+    it would begin, and how far from its place the nearest occurrence of the
+    second rarest one is, up to ``slop``. Positions meet by cells of 2 * slop + 1
+    words, so a place meets a bounded number of others however often a term
+    stands in a text."""
+    wide = 2 * slop + 1
+    asked = small(phrases.select("phrase", "term_id", "place1", "term2", "place2"))
+    first = lists.join(asked, "term_id").where("pos >= place1").selectExpr(
+        "phrase", "doc_id", "copy", "pos - place1 as begin", "term2", "pos - place1 + place2 as want"
+    )
+    ends = [F.expr(f"(want + {d}) DIV {wide}") for d in (wide - slop, wide + slop)]
+    first = first.withColumn("cell", F.explode(F.array_distinct(F.array(*ends))))
+    second = lists.join(small(phrases.select(F.col("term2").alias("term_id")).distinct()), "term_id", "left_semi")
+    second = second.withColumn("cell", F.expr(f"(pos + {wide}) DIV {wide}"))
+    near = first.alias("a").join(
+        second.alias("b"), F.expr(f"a.doc_id <=> b.doc_id and a.copy = b.copy and a.term2 = b.term_id and a.cell = b.cell and abs(b.pos - a.want) <= {slop}")
+    )
+    off = F.expr("b.pos - a.want")
+    return near.groupBy("a.phrase", "a.doc_id", "a.copy", "a.begin").agg(F.min(F.struct(F.abs(off).alias("far"), off.alias("off"))).alias("o")).select(
+        "phrase", "doc_id", "copy", "begin", "o.off"
+    )
+
+
+def _exact(lists: DataFrame, phrases: DataFrame, met: DataFrame) -> DataFrame:
+    """(phrase, doc_id, copy, begin, size): the candidates whose other terms all
+    have a posting at their place."""
+    rest = "filter(sequence(0, size - 1), x -> x <> place1 and x <> place2)"
+    asked = phrases.select("phrase", "size", "terms", F.expr(rest).alias("rest")).withColumn("missing", F.size("rest"))
+    found = save(met.where("off = 0").join(small(asked), "phrase").drop("off"), "phrase-candidates")
+    places = found.where("missing > 0").select("phrase", "doc_id", "copy", "begin", "size", "missing", "terms", F.explode("rest").alias("place")).selectExpr(
+        "phrase", "doc_id", "copy", "begin", "size", "missing", "begin + place as pos", "terms[place] as term_id"
+    )
+    keys = small(found.select(F.col("doc_id").alias("kd"), F.col("copy").alias("kc")).distinct(), BROADCAST_KEYS)
+    own = lists.join(keys, F.expr("doc_id <=> kd and copy = kc"), "left_semi")
+    there = places.alias("a").join(own.alias("b"), F.expr("a.doc_id <=> b.doc_id and a.copy = b.copy and a.pos = b.pos and a.term_id = b.term_id"))
+    whole = there.groupBy("a.phrase", "a.doc_id", "a.copy", "a.begin", "a.size", "a.missing").agg(F.count_distinct("a.pos").alias("there")).where("there = missing")
+    return whole.select("phrase", "doc_id", "copy", "begin", "size").union(found.where("missing = 0").select("phrase", "doc_id", "copy", "begin", "size"))
 
 
 def benchmark_hits(
@@ -104,62 +149,43 @@ def benchmark_hits(
     text: str = "text", doc_id: str = "doc_id", item_text: str = "text", item_id: str = "item_id",
 ) -> DataFrame:
     """One row for each document: doc_id, n_words, n_hit, n_items,
-    items_sha256, contaminated, n_near (items that come near: their two rarest
-    terms within ``slop`` words of their places), hit_windows (item, position
-    and length of every exact phrase), copy (a hash of the text)."""
+    items_sha256, contaminated, hit_windows (item, position and length of every
+    exact phrase), n_near (items that come near), near (item, begin, offset:
+    a window of the item would begin at that word by its rarest term, and its
+    second rarest one is that many words, at most ``slop``, from its place),
+    copy (a hash of the text)."""
     places = save(item_places(items, item_text, item_id), "item-places")
     terms = save(places.select("term").distinct().withColumn("term_id", F.monotonically_increasing_id()), "item-terms")
     index = build_index(docs, small(terms), text, doc_id)
     lists = index.where("term_id is not null").select("term_id", "doc_id", "copy", "pos")
-    windows = save(_windows(places, terms, index, window), "item-windows")
-
-    first = lists.join(small(windows.drop("terms")), "term_id").select(
-        "doc_id", "copy", "item", "begin", "term2", "place2", (F.col("pos") - F.col("place1")).alias("shift")
-    )
-    second = lists.join(small(windows.select(F.col("term2").alias("term_id")).distinct()), "term_id", "left_semi")
-    met = first.alias("a").join(
-        second.alias("b"),
-        F.expr(f"a.doc_id <=> b.doc_id and a.copy = b.copy and a.term2 = b.term_id and abs(b.pos - a.place2 - a.shift) <= {int(slop)}"),
-    ).groupBy("a.doc_id", "a.copy", "a.item", "a.begin", "a.shift").agg(F.min(F.expr("abs(b.pos - a.place2 - a.shift)")).alias("off"))
-    met = save(met, "window-candidates")
-
-    phrases = windows.select("item", "begin", "terms").distinct()
-    asked = (
-        met.where("off = 0 and shift + begin >= 0")
-        .join(small(phrases), ["item", "begin"])
-        .groupBy("doc_id", "copy")
-        .agg(F.collect_list(F.struct("item", (F.col("shift") + F.col("begin")).alias("pos"), "terms")).alias("asked"))
+    phrases = save(_phrases(places, terms, index, window), "item-phrases")
+    met = save(_met(lists, phrases, int(slop)), "phrase-places")
+    exact = save(_exact(lists, phrases, met), "exact-phrases")
+
+    of = small(phrases.select("phrase", "items"))
+    hits = exact.join(of, "phrase").groupBy("doc_id", "copy").agg(
+        F.array_sort(F.flatten(F.collect_list(F.transform("items", lambda x: F.struct(x.alias("item"), F.col("begin").alias("pos"), F.col("size").alias("len")))))).alias("hit_windows"),
+        F.size(F.array_distinct(F.flatten(F.collect_list(F.sequence("begin", F.col("begin") + F.col("size") - 1))))).cast("long").alias("n_hit"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("found"),
     )
-    asked = save(asked, "phrase-candidates")
-    texts = docs.select(F.col(doc_id).cast("long").alias("d"), F.col(text).cast("string").alias("t")).withColumn("c", F.xxhash64("t"))
-    keys = small(asked.select(F.col("doc_id").alias("kd"), F.col("copy").alias("kc")), BROADCAST_KEYS)
-    few = texts.join(keys, F.expr("d <=> kd and c = kc"), "left_semi").dropDuplicates(["d", "c"])
-    read = few.join(asked, F.expr("d <=> doc_id and c = copy")).select("doc_id", "copy", "asked", words(F.col("t")).alias("w"))
-    hits = read.select(
-        "doc_id", "copy",
-        F.transform(
-            F.filter("asked", lambda x: F.slice(F.col("w"), x["pos"] + 1, F.size(x["terms"])) == x["terms"]),
-            lambda x: F.struct(x["item"].alias("item"), x["pos"].alias("pos"), F.size(x["terms"]).alias("len")),
-        ).alias("hit_windows"),
-    ).where(F.size("hit_windows") > 0)
-    found = F.array_sort(F.array_distinct(F.transform("hit_windows", lambda h: h["item"])))
-    hits = hits.select(
-        "doc_id", "copy", "hit_windows",
-        F.size(F.array_distinct(F.flatten(F.transform("hit_windows", lambda h: F.sequence(h["pos"], h["pos"] + h["len"] - 1))))).cast("long").alias("n_hit"),
-        F.size(found).cast("long").alias("n_items"), F.array_join(found, ",").alias("items"),
+    # a set of structs hashes; array_distinct of them would compare all pairs
+    each = met.join(of, "phrase").select("doc_id", "copy", F.explode("items").alias("item"), "begin", F.col("off").alias("offset"))
+    near = each.groupBy("doc_id", "copy").agg(
+        F.array_sort(F.collect_set(F.struct("item", "begin", "offset"))).alias("near"), F.size(F.collect_set("item")).cast("long").alias("n_near")
     )
-    near = met.groupBy("doc_id", "copy").agg(F.count_distinct("item").alias("n_near"))
     base = index.where("n_words is not null").select(F.col("doc_id").alias("id"), F.col("copy").alias("c"), "n_words")
     out = base.join(hits, F.expr("id <=> doc_id and c = copy"), "left").drop("doc_id", "copy").join(near, F.expr("id <=> doc_id and c = copy"), "left")
+    found = F.coalesce("found", F.array().cast("array<string>"))
     return out.select(
         F.col("id").alias("doc_id"),
         F.col("n_words").cast("long").alias("n_words"),
         F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("n_items", F.lit(0)).cast("long").alias("n_items"),
-        F.sha2(F.coalesce("items", F.lit("")), 256).alias("items_sha256"),
+        F.size(found).cast("long").alias("n_items"),
+        F.sha2(F.array_join(found, ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"),
-        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         "hit_windows",
+        F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
+        "near",
         F.col("c").alias("copy"),
     )
 

@@ -55,10 +55,30 @@ n AS (
   SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS items
   FROM m GROUP BY doc_id),
 h AS (
-  SELECT doc_id, count(DISTINCT k + j) AS n_hit FROM m, unnest(range(0, size)) t(j) GROUP BY doc_id)
+  SELECT doc_id, count(DISTINCT k + j) AS n_hit FROM m, unnest(range(0, size)) t(j) GROUP BY doc_id),
+xi AS (
+  SELECT DISTINCT item_id, w[k:k + 9] AS p FROM i, unnest(range(1, greatest(len(w) - 9, 1) + 1)) t(k) WHERE len(w) > 0),
+y AS (SELECT p, j - 1 AS place, p[j] AS term FROM (SELECT DISTINCT p FROM xi), unnest(range(1, len(p) + 1)) t(j)),
+post AS (SELECT doc_id, k - 1 AS pos, w[k] AS term FROM d, unnest(range(1, len(w) + 1)) t(k)),
+f AS (SELECT term, count(*) AS f FROM post GROUP BY term),
+rare AS (
+  SELECT p, place, y.term, row_number() OVER (PARTITION BY p ORDER BY f, place) AS r, count(*) OVER (PARTITION BY p) AS size, count(f) OVER (PARTITION BY p) AS known
+  FROM y LEFT JOIN f ON y.term = f.term),
+two AS (
+  SELECT p, max(place) FILTER (r = 1) AS place1, max(term) FILTER (r = 1) AS term1,
+         max(place) FILTER (r = least(size, 2)) AS place2, max(term) FILTER (r = least(size, 2)) AS term2
+  FROM rare WHERE known = size GROUP BY p),
+want AS (SELECT p, doc_id, pos - place1 AS b, term2, pos - place1 + place2 AS want FROM two JOIN post ON term = term1 AND pos >= place1),
+off AS (
+  SELECT p, want.doc_id, b, arg_min(pos - want, 2 * abs(pos - want) + CASE WHEN pos > want THEN 1 ELSE 0 END) AS off
+  FROM want JOIN post ON post.doc_id = want.doc_id AND term = term2 AND abs(pos - want) <= 3 GROUP BY ALL),
+near AS (
+  SELECT doc_id, count(DISTINCT item) AS n_near, string_agg(item || ':' || b || ':' || off, ',' ORDER BY item, b, off) AS near
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item, b, off FROM off JOIN xi ON xi.p = off.p) GROUP BY doc_id)
 SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(n.n_items, 0) AS n_items,
-       sha256(coalesce(n.items, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated
-FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN h ON h.doc_id = d.doc_id"""
+       sha256(coalesce(n.items, '')) AS items_sha256, h.n_hit IS NOT NULL AS contaminated,
+       coalesce(near.n_near, 0) AS n_near, sha256(coalesce(near.near, '')) AS near_sha256
+FROM d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN near ON near.doc_id = d.doc_id LEFT JOIN h ON h.doc_id = d.doc_id"""
 
 _RATIOS = (
     ("word_length", "10000 * word_chars // greatest(n_words, 1)", 2500), ("symbols", "10000 * n_symbols // greatest(n_words, 1)", 250),

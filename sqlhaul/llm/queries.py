@@ -97,7 +97,10 @@ def op9_pii_bootstrap(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("hit_windows", "copy", "n_near")
+    return benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "n_near",
+        F.sha2(F.array_join(F.transform(F.coalesce("near", F.array()), lambda x: F.concat_ws(":", x["item"], x["begin"].cast("string"), x["offset"].cast("string"))), ","), 256).alias("near_sha256"),
+    )
 
 
 def op11_quantile_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

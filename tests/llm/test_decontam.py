@@ -54,7 +54,21 @@ def test_edge_cases(spark, odd_docs, words_of):
     frame = spark.createDataFrame([(*d, "x", 1, 2) for d in docs], "doc_id long, text string, item string, begin int, pos int")
     bench = spark.createDataFrame([(*i, "x", 1) for i in items], "item_id long, text string, doc_id string, n int")
     assert got(benchmark_hits(frame, bench)) == brute(docs, items)
-    near = {r["doc_id"]: r["n_near"] for r in benchmark_hits(frame, bench).collect()}
-    assert near[52] >= 1
+    found = {r["doc_id"]: r for r in benchmark_hits(frame, bench).collect()}
+    assert found[52]["n_near"] >= 1
+    assert {(x["item"], x["offset"]) for x in found[52]["near"]} >= {("1", 0)} and any(x["offset"] for x in found[52]["near"])
+    assert [(x["item"], x["pos"], x["len"]) for x in found[50]["hit_windows"]] == [("8", p, 10) for p in range(31)]
     assert got(benchmark_hits(frame, bench.limit(0))) == brute(docs, [])
     assert benchmark_hits(frame.limit(0), bench).count() == 0
+
+
+def test_a_repeated_word_is_linear(spark):
+    """Ten, twenty and forty thousand times one word against ten of it."""
+    docs = spark.createDataFrame([(n, "the " * n) for n in (10_000, 20_000, 40_000)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "the " * 10), (2, "the " * 300)], "item_id long, text string")
+    out = benchmark_hits(docs, items)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" not in plan and "pos" in plan
+    rows = {r["doc_id"]: r for r in out.collect()}
+    for n in (10_000, 20_000, 40_000):
+        assert (rows[n]["n_words"], rows[n]["n_hit"], rows[n]["n_items"], rows[n]["n_near"], len(rows[n]["near"])) == (n, n, 2, 2, 2 * n)

@@ -110,3 +110,55 @@ def test_shares_of_the_budget():
         used = sum(min(n, most) for n in sizes) + len(sizes) - 1
         assert 200 - len(sizes) < used <= 200
     assert all(len(Z.spread("\u00e9" * 5000, m)) <= m for m in (1, 7, 1024, 5000))
+
+
+def test_signs_that_are_no_letters(spark):
+    en = "the cat and the dog were in the house with their friends "
+    rows = [(i, en * 3, "en") for i in range(1, 30)] + [(100 + i, t, None) for i, t in enumerate(["²³ ½", "Ⅷ ①", "½", "٣٤", "́", "_ 12"])]
+    rows += [(200, "ªº the cat", None), (300, "12 ½", "nn"), (301, "3", "nn"), (302, "4", "nn")]
+    got = {r["doc_id"]: r for r in Z.languages(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert {(got[i]["lang_pred"], got[i]["score"]) for i in range(100, 106)} == {("und", 0.0)}
+    assert got[200]["lang_pred"] == "en" and "nn" not in {r["lang_pred"] for r in got.values()}
+
+
+def test_short_training_texts_teach(spark):
+    """A language whose whole sample is below zstandard's least dictionary."""
+    ids = [i for i in range(1, 80) if not held(i)]
+    rows = [(ids[0], "qxz", "short"), (ids[1], "qxz", "short")] + [(i, "the cat and the dog were in the house", "en") for i in ids[2:]]
+    rows += [(900 + i, "qxz qxz qxz qxz", None) for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert len(Z.learn(docs)["short"]) >= Z.LEAST_BYTES
+    assert {r["lang_pred"] for r in Z.languages(docs).where("doc_id >= 900").collect()} == {"short"}
+
+
+def test_language_against_plain_zstandard(spark, sf_dir):
+    """Every text of a table, by a plain loop over the library's frames."""
+    import unicodedata
+
+    import zstandard as z
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    samples = Z.learn(docs)
+
+    def size(name, piece, level):
+        params = z.ZstdCompressionParameters.from_level(level, write_content_size=0, write_checksum=0, write_dict_id=0)
+        return len(z.ZstdCompressor(dict_data=dicts[name], compression_params=params).compress(piece))
+
+    dicts = {n: z.ZstdCompressionDict(s, dict_type=z.DICT_TYPE_RAWCONTENT) for n, s in samples.items()}
+    got = {r["doc_id"]: r["lang_pred"] for r in Z.languages(docs).collect()}
+    checked = 0
+    for r in docs.collect():
+        low = "".join(c if unicodedata.category(c)[0] == "L" else " " for c in (r["text"] or "").lower())
+        words = low.split(" ")
+        plain = " ".join(w for w in words if w)
+        if not plain:
+            assert got[r["doc_id"]] == "und"
+            continue
+        if len(plain) > 40_000:
+            continue  # the plain loop loads the dictionaries anew for each piece
+        pieces = [plain[i : i + Z.PIECE].encode() for i in range(0, len(plain), Z.PIECE)]
+        level = Z.SHORT_LEVEL if len(pieces) == 1 and len(pieces[0]) <= Z.SHORT else Z.LEVEL
+        totals = {n: sum(size(n, p, level) for p in pieces) for n in samples}
+        assert totals[got[r["doc_id"]]] == min(totals.values())
+        checked += 1
+    assert checked > 150

@@ -92,3 +92,26 @@ def test_quantise():
         bits = R.table_bits(len(counts))
         f = R.quantise(np.array(counts), bits)
         assert f.sum() == 1 << bits and f.min() >= 1
+
+
+def test_a_full_cache_gives_the_same_ids(words_of):
+    """Far more chunks than the cache holds: generations go, ids stay."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    from sqlhaul.llm.common import text_steps
+    from sqlhaul.llm.queries import tokenizer_path
+    from sqlhaul.llm.rans_tokens import ChunkTokenizer
+
+    plain = Tokenizer.from_file(tokenizer_path())
+    plain.encode_special_tokens = True
+    odd = ["  two", " \n x", "it's I'M don't", "a  b", " ", "\n", "x ", "word“quote”", "tab\tx", "é'll", "<|endoftext|>", "", "end.\n\nNext", " 　x", "   ", "a,b;c 1,000.5", "\x00\x01", "Ab's"]
+    texts = [" ".join(words_of(k, 60)) + odd[k % len(odd)] for k in range(300)] + odd + [a + b for a in odd for b in odd]
+    model = ChunkTokenizer(tokenizer_path(), cache=500)
+    for _, data, offsets in text_steps(pa.array(texts), 2000):
+        ids, size = model.ids(data, offsets)
+        ends = size.cumsum()
+        for i in range(len(size)):
+            text = bytes(data[offsets[i] : offsets[i + 1]]).decode()
+            assert ids[ends[i] - size[i] : ends[i]].tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
+        assert len(model.keys) <= 500 + 2000
