@@ -3,7 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sqlhaul.llm.mix_budget import allocate, mix_sources, share_out
+from sqlhaul.llm import mix_budget
+from sqlhaul.llm.mix_budget import allocate, allocate_table, mix_sources, share_out
 from sqlhaul.llm.patience_dedup import common_blocks, line_dedup, patience
 
 
@@ -58,6 +59,38 @@ def test_selection_against_brute_force(spark, budget):
     assert got == brute(spark, rows, (2, 3), quota, 9)
 
 
+@pytest.mark.parametrize("budget", [10, 900, 5000, 10**6])
+def test_tables_share_out_like_plain_code(spark, budget):
+    r = random.Random(3)
+    leaves = {(r.choice("abc"), r.choice(["x", None]), f"s{i}"): r.randint(0, 60) for i in range(150)}
+    weights = {("a",): 3.0, ("b",): 0.0, ("c", None): 0.25, **{p: r.choice([0.0, 0.5, 4.0]) for p in list(leaves)[::3]}}
+    table = spark.createDataFrame([(list(p), n) for p, n in leaves.items()], "path array<string>, n long")
+    got = {tuple(x["path"]): x["quota"] for x in allocate_table(table, weights, 3, budget, 2.0, 1.0).collect()}
+    want = allocate(leaves, lambda p: weights.get(p, 1.0), budget, 2.0)
+    assert got.keys() == want.keys()
+    assert all(got[p] == pytest.approx(want[p], rel=1e-9, abs=1e-9) for p in want)
+
+
+def test_more_leaves_than_are_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(mix_budget, "BROADCAST_LEAVES", 1000)
+    docs = spark.range(150_000).selectExpr("id as doc_id", "repeat('w ', cast(id % 3 as int) + 1) as text", "concat('host', id) as source", "concat('l', id % 2) as lang")
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    out = mix_sources(docs, levels, {("l0",): 1.0, ("l1",): 3.0}, 100_000, 1.0, seed=1)
+    sums = {r["lang"]: r["n"] for r in out.groupBy("lang").agg(F.sum(F.col("mix_tokens") * F.col("mix_copies")).alias("n")).collect()}
+    # a leaf is one document: taken whole as soon as its quota is above nothing
+    assert sums == {"l0": 150_000, "l1": 150_000}
+    wide = mix_sources(docs.withColumn("source", F.lit("one")), levels, {("l0",): 1.0, ("l1",): 3.0}, 100_000, 1.0, seed=1)
+    sums = {r["lang"]: r["n"] for r in wide.groupBy("lang").agg(F.sum(F.col("mix_tokens") * F.col("mix_copies")).alias("n")).collect()}
+    assert 25_000 <= sums["l0"] < 25_003 and 75_000 <= sums["l1"] < 75_003
+
+
+def test_equal_rows_at_the_cut(spark):
+    docs = spark.range(3000).selectExpr("cast(7 as long) as doc_id", "'five words in a text' as text", "id as other")
+    out = mix_sources(docs, {"all": F.lit("x")}, {}, 5 * 3000 + 5 * 1234 - 2, 4.0).collect()
+    assert len(out) == 3000 and sum(r["mix_copies"] for r in out) == 3000 + 1234
+    assert len({r["other"] for r in out}) == 3000
+
+
 def test_mix_edge_cases(spark, odd_docs):
     levels = {"l": F.lit("one"), "k": F.col("key")}
     every = mix_sources(odd_docs, levels, {}, None, 1.0)
