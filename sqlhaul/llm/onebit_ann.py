@@ -11,16 +11,19 @@ reranked, by its exact cosine in double precision, when its estimate and error
 bound together reach the exact cosine of the ``k``-th best found so far.
 
 The index is a stored table, one row for each block of vectors (packed codes,
-corrections, original vectors, ids). The stated queries run in rounds of at
-most ``ROUND`` queries, which are what is sent to the tasks; every task scans its
-blocks for all of them and hands on its ``k`` best a query, so what is shuffled is
-``k`` rows for each query and task.
+corrections, original vectors, ids, row numbers). The stated queries are packed
+into blocks alike. Index blocks are dealt into slots of about ``SLOT`` vectors,
+query blocks into rounds of about ``ROUND`` queries, and the two meet in a grid: a
+task has one slot and one round of one dimension, looks through the slot for
+all queries of the round and hands on its ``k`` best a query. Nothing passes
+through the driver but counts, and nothing is broadcast; the shuffle moves the
+index once a round and the queries once a slot.
 
 Defined results: vectors that are null, zero, or hold null or non-finite
 components take no part, neither as queries nor as candidates; vectors with
-another dimension than most are searched among their own; repeated rows are
-candidates of each other (a query's own are all rows with its id); a null id
-takes no part; with fewer candidates all are returned; ties go to the smaller
+another dimension than most are searched among their own; a query's own row is
+no candidate, others with its id are; rows equal in id and vector are one query,
+whose own row is one of them; a null id takes no part; with fewer candidates all are returned; ties go to the smaller
 id; an empty table has an empty result; other columns are ignored.
 """
 
@@ -29,14 +32,16 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sqlhaul.llm.common import save, ship
 
-#: Vectors in a block, queries in a round and in a step, reach of the bound.
-BLOCK, ROUND, STEP = 4096, 16_384, 128
+#: Vectors in a block and about in a slot, queries about in a round and in a
+#: step, reach of the bound.
+BLOCK, SLOT, ROUND, STEP = 4096, 65_536, 16_384, 128
 EPSILON = 2.5
 SEED = 20240611
 #: Best estimates that are reranked before the bound is used.
@@ -111,13 +116,13 @@ class _Best:
         return self.score[:, -1]
 
 
-def search_block(best: _Best, at: slice, queries: np.ndarray, norms: np.ndarray, query_ids: np.ndarray, block: dict, epsilon: float) -> int:
+def search_block(best: _Best, at: slice, queries: np.ndarray, norms: np.ndarray, own_rows: np.ndarray, block: dict, epsilon: float) -> int:
     """Look through one block for the queries ``at``; returns how many
     vectors were reranked."""
     x, xn, ids = block["x"], block["norm"], block["ids"]
-    q, qn, own = queries[at], norms[at], query_ids[at]
+    q, qn, own = queries[at], norms[at], own_rows[at]
     est = estimates(q / qn[:, None], block["codes"], block["corr"])
-    est[own[:, None] == ids[None, :]] = -np.inf
+    est[own[:, None] == block["rows"][None, :]] = -np.inf
     done = np.zeros(est.shape, bool)
     first = min(max(FIRST, best.k), len(ids))
     top = np.argpartition(-est, first - 1, axis=1)[:, :first]
@@ -143,82 +148,93 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda v: v != 0)
 
 
-def build_index(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The stored index: one row for each block (d, n, ids, codes, corr, x)."""
-    ship(vectors.sparkSession)
+def numbered(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """(id, x, row) of the usable rows, stored, so that a row has one number."""
     rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
     rows = rows.where(F.col("id").isNotNull() & usable(F.col("x")))
+    return save(rows.withColumn("row", F.monotonically_increasing_id()), "onebit-rows")
+
+
+def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(dimension, ids, row numbers, vectors) in blocks of ``most`` of (id, x, row)."""
+    for b in batches:
+        ids, rows, lists = np.asarray(b.column(0)), np.asarray(b.column(2)), b.column(1)
+        size = np.diff(np.asarray(lists.offsets))
+        flat = np.asarray(lists.flatten())
+        start = np.cumsum(size) - size
+        for d in np.unique(size).tolist():
+            mine = np.flatnonzero(size == d)
+            for a in range(0, len(mine), most):
+                m = mine[a : a + most]
+                yield d, ids[m], rows[m], flat[start[m][:, None] + np.arange(d)]
+
+
+def build_index(rows: DataFrame) -> DataFrame:
+    """The stored index over ``numbered`` rows: one row for each block (d, n,
+    ids, rows, codes, corr, x)."""
+    ship(rows.sparkSession)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ids = np.asarray(b.column(0))
-            lists = b.column(1)
-            size = np.diff(np.asarray(lists.offsets))
-            flat = np.asarray(lists.flatten())
-            start = np.r_[0, np.cumsum(size)[:-1]]
-            for d in np.unique(size).tolist():
-                mine = np.flatnonzero(size == d)
-                for a in range(0, len(mine), BLOCK):
-                    m = mine[a : a + BLOCK]
-                    x = flat[start[m][:, None] + np.arange(d)]
-                    packed, corr = codes(x / np.linalg.norm(x, axis=1, keepdims=True))
-                    yield pa.RecordBatch.from_pylist(
-                        [{"d": d, "n": len(m), "ids": ids[m].tobytes(), "codes": packed.tobytes(), "corr": corr.tobytes(), "x": x.tobytes()}]
-                    )
-
-    return save(rows.mapInArrow(blocks, "d long, n long, ids binary, codes binary, corr binary, x binary"), "onebit-index")
+        for d, ids, own, x in _packed(batches, BLOCK):
+            packed, corr = codes(x / np.linalg.norm(x, axis=1, keepdims=True))
+            yield pa.RecordBatch.from_pylist(
+                [{"d": d, "n": len(ids), "ids": ids.tobytes(), "rows": own.tobytes(), "codes": packed.tobytes(), "corr": corr.tobytes(), "x": x.tobytes()}]
+            )
+
+    return save(rows.mapInArrow(blocks, "d long, n long, ids binary, rows binary, codes binary, corr binary, x binary"), "onebit-index")
 
 
 def _block(r: dict) -> dict:
     x = np.frombuffer(r["x"]).reshape(r["n"], r["d"])
     return {
-        "ids": np.frombuffer(r["ids"], np.int64), "codes": np.frombuffer(r["codes"], np.uint8).reshape(r["n"], -1),
+        "ids": np.frombuffer(r["ids"], np.int64), "rows": np.frombuffer(r["rows"], np.int64), "codes": np.frombuffer(r["codes"], np.uint8).reshape(r["n"], -1),
         "corr": np.frombuffer(r["corr"]), "x": x, "norm": np.linalg.norm(x, axis=1),
     }
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", epsilon: float = EPSILON) -> DataFrame:
-    """(query_id, rank, vec_id, score) of the ``k`` nearest of each query.
-
-    ``queries`` is a stated set; it goes through in rounds of ``ROUND`` rows."""
+def search(index: DataFrame, queries: DataFrame, k: int = 5, epsilon: float = EPSILON, slot: int = SLOT, round_size: int = ROUND) -> DataFrame:
+    """(query_id, query_row, rank, vec_id, score) of the ``k`` nearest of each of
+    ``queries`` (``numbered`` rows: those of the index, or others with numbers
+    below 0, which leave nothing out)."""
     spark = index.sparkSession
-    asked = queries.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
-    asked = asked.where(F.col("id").isNotNull() & usable(F.col("x"))).dropDuplicates(["id"]).withColumn("d", F.size("x"))
-    rounds = -(-asked.count() // (ROUND // 2)) or 1
-    asked = save(asked.withColumn("round", F.pmod(F.xxhash64("id"), F.lit(rounds))), "onebit-queries")
-    found = None
-    for turn in range(rounds):
-        got = asked.where(F.col("round") == turn).orderBy("d", "id").collect()
-        by_d = {}
-        for r in got:
-            by_d.setdefault(r["d"], []).append(r)
-        packed = {d: (np.array([r["id"] for r in rs]), np.array([r["x"] for r in rs])) for d, rs in by_d.items()}
-        shared = spark.sparkContext.broadcast(packed)
-
-        def scan(batches, shared=shared):
-            best = {d: _Best(len(ids), k) for d, (ids, _) in shared.value.items()}
-            norms = {d: np.linalg.norm(q, axis=1) for d, (_, q) in shared.value.items()}
-            for b in batches:
-                for r in b.to_pylist():
-                    if r["d"] in best:
-                        ids, q = shared.value[r["d"]]
-                        block = _block(r)
-                        for a in range(0, len(ids), STEP):
-                            search_block(best[r["d"]], slice(a, a + STEP), q, norms[r["d"]], ids, block, epsilon)
-            for d, x in best.items():
-                full = np.isfinite(x.score)
-                who = np.repeat(shared.value[d][0], k).reshape(-1, k)
-                if full.any():
-                    yield pa.RecordBatch.from_arrays([pa.array(who[full]), pa.array(x.id[full]), pa.array(x.score[full])], names=["query_id", "vec_id", "score"])
-
-        part = index.mapInArrow(scan, "query_id long, vec_id long, score double")
-        found = part if found is None else found.union(part)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def nearest(vectors: DataFrame, every: int = 50, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """The stated search: queries are the rows whose id is divisible by
-    ``every``, candidates all rows but the query's own."""
-    index = build_index(vectors, vec_id, vector)
-    return search(index, vectors.where(F.col(vec_id) % every == 0), k, vec_id, vector)
+    asked = queries.groupBy("id", "x").agg(F.min("row").alias("row"))
+
+    def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for d, ids, own, x in _packed(batches, min(1024, round_size)):
+            yield pa.RecordBatch.from_pylist([{"d": d, "n": len(ids), "ids": ids.tobytes(), "rows": own.tobytes(), "x": x.tobytes()}])
+
+    asked = save(asked.select("id", "x", "row").mapInArrow(blocks, "d long, n long, ids binary, rows binary, x binary"), "onebit-queries")
+    count = {t: (x.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()) for t, x in (("index", index), ("asked", asked))}
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    slots = max(-(-count["index"][0] // slot), min(parts, count["index"][1]), 1)
+    rounds = max(-(-count["asked"][0] // round_size), 1)
+    left = index.withColumn("slot", F.pmod(F.xxhash64("rows"), F.lit(slots))).withColumn("round", F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))))
+    right = asked.withColumn("round", F.pmod(F.xxhash64("rows"), F.lit(rounds)).cast("int")).withColumn("slot", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(slots - 1).cast("long"))))
+
+    def scan(vectors: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        if not len(vectors) or not len(wanted):
+            return pd.DataFrame({"query_id": [], "query_row": [], "vec_id": [], "score": []})
+        d = int(wanted["d"].iloc[0])
+        ids, own = (np.concatenate([np.frombuffer(b, np.int64) for b in wanted[c]]) for c in ("ids", "rows"))
+        q = np.concatenate([np.frombuffer(b).reshape(-1, d) for b in wanted["x"]])
+        norms, best = np.linalg.norm(q, axis=1), _Best(len(ids), k)
+        for r in vectors.to_dict("records"):
+            block = _block(r)
+            for a in range(0, len(ids), STEP):
+                search_block(best, slice(a, a + STEP), q, norms, own, block, epsilon)
+        full = np.isfinite(best.score)
+        at = np.repeat(np.arange(len(ids)), k).reshape(-1, k)[full]
+        return pd.DataFrame({"query_id": ids[at], "query_row": own[at], "vec_id": best.id[full], "score": best.score[full]})
+
+    cell = ["d", "slot", "round"]
+    found = left.groupBy(*cell).cogroup(right.groupBy(*cell)).applyInPandas(scan, "query_id long, query_row long, vec_id long, score double")
+    order = Window.partitionBy("query_id", "query_row").orderBy(F.desc("score"), "vec_id")
+    ranked = found.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+    return ranked.select("query_id", "query_row", "rank", "vec_id", "score")
+
+
+def nearest(vectors: DataFrame, every: int = 50, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", **options) -> DataFrame:
+    """(query_id, rank, vec_id, score) of the stated search: queries are the rows
+    whose id is divisible by ``every``, candidates all rows but the query's own."""
+    rows = numbered(vectors, vec_id, vector)
+    return search(build_index(rows), rows.where(F.col("id") % every == 0), k, **options).select("query_id", "rank", "vec_id", "score")

@@ -64,3 +64,23 @@ def test_estimates_keep_their_bound():
     est = A.estimates(x[:50], packed, corr)
     off = np.abs(est - x[:50] @ x.T) > A.bound(corr, 40)[None, :]
     assert off[~np.eye(50, 2000, dtype=bool)].mean() < 0.02
+
+
+def test_many_rounds_and_slots(spark):
+    """The grid gives what one cell gives; clustered vectors keep their recall."""
+    r = np.random.default_rng(6)
+    centres = r.normal(size=(12, 24))
+    rows = [(i, (centres[i % 12] + r.normal(scale=0.15, size=24)).tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(6)
+    got = A.nearest(df, every=10, slot=200, round_size=40).collect()
+    wanted = brute(rows, 10, 5)
+    assert len(got) == len(wanted) == 1500 and recall(got, wanted) >= 0.98
+    assert not [1 for x in got if x["query_id"] == x["vec_id"]]
+
+
+def test_rows_of_one_id(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (0, [0.0, 1.0]), (1, [1.0, 0.1]), (2, [0.1, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["query_id"], r["rank"], r["vec_id"], round(r["score"], 3)) for r in A.nearest(df, every=50, k=2).collect()]
+    # the first row; the two equal rows, one query: the other of them is nearest
+    assert sorted(got) == sorted([(0, 1, 1, 0.995), (0, 2, 2, 0.1), (0, 1, 0, 1.0), (0, 2, 2, 0.995)])
