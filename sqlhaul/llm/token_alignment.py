@@ -40,6 +40,8 @@ from sqlhaul.llm.rans_tokens import tokenizer
 PART_BYTES = 16 << 20
 #: Bytes of text that are aligned in one step, or one text.
 STEP = 1 << 20
+#: Bits of a link (A's id times B's size plus B's id) beside a step's text number.
+KEY_BITS = 40
 
 
 # ------------------------------------------------------------ intersection
@@ -133,6 +135,8 @@ class TokenizerPair:
         self.entries_a = Entries(entries)
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         size = self.b.get_piece_size()
+        if len(entries) * size >> KEY_BITS:
+            raise ValueError("the vocabularies are too large for a link's bits")
         pieces = [self.b.id_to_piece(i) for i in range(size)]
         self.entries_b = Entries([
             bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)
@@ -215,15 +219,11 @@ def align_texts(pair: TokenizerPair, texts: list[str | None], data: np.ndarray,
         ends_of = np.cumsum(size_b[of]) - 1
         words[place_b[ends_of]] = entry_b[b""][b[ends_of]]
         upto = np.cumsum(size_a[of] + size_b[of])
-        # a text's distinct links
-        keys = a[at_a] * len(pair.entries_b.width) + b[at_b]
-        order = np.lexsort((keys, row[at_a]))
-        k, r = keys[order], row[at_a][order]
-        new = np.ones(len(k), bool)
-        new[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
-        begin = np.flatnonzero(new)
-        times = np.diff(np.r_[begin, len(k)]).astype("<i4")
-        distinct, owner = k[begin].astype("<i8"), r[begin]
+        # a text's distinct links, in order of text and link
+        both = np.sort(row[at_a] << KEY_BITS | a[at_a] * len(pair.entries_b.width) + b[at_b])
+        begin = np.flatnonzero(np.r_[True, both[1:] != both[:-1]])
+        times = np.diff(np.r_[begin, len(both)]).astype("<i4")
+        distinct, owner = (both[begin] & (1 << KEY_BITS) - 1).astype("<i8"), both[begin] >> KEY_BITS
         bound = np.searchsorted(owner, np.r_[of, rows])
         for i, x in enumerate(of.tolist()):
             out["groups_sha256"][x] = hashlib.sha256(b"".join(words[upto[i] - size_a[x] - size_b[x] : upto[i]].tolist())).hexdigest()
@@ -262,9 +262,11 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, text: str = "text", doc_i
 
         pair = _pair(path_a, path_b)
         part, held = TaskContext.get().partitionId() << 32, 0
-        keys, number = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        met: list[tuple[np.ndarray, np.ndarray]] = []
 
         def close() -> pa.RecordBatch:
+            keys, back = np.unique(np.concatenate([k for k, _ in met]), return_inverse=True)
+            number = np.bincount(back, np.concatenate([n for _, n in met]), len(keys))
             row = {"part": part, "document": False, "pairs": keys.astype("<i8").tobytes(), "times": number.astype("<i4").tobytes()}
             return pa.RecordBatch.from_pylist([row], schema=ALIGNED)
 
@@ -273,11 +275,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, text: str = "text", doc_i
             for first, data, offsets in text_steps(texts, STEP):
                 rows = len(offsets) - 1
                 got = align_texts(pair, texts.slice(first, rows).to_pylist(), data, offsets)
-                pairs = np.frombuffer(b"".join(got["pairs"]), "<i8")
-                # a document has each of its links once here: add up documents
-                merged, back = np.unique(np.r_[keys, pairs], return_inverse=True)
-                number = np.bincount(back, np.r_[number, np.ones(len(pairs), np.int64)], len(merged)).astype(np.int64)
-                keys = merged
+                # a document has each of its links once here: count documents
+                met.append(np.unique(np.frombuffer(b"".join(got["pairs"]), "<i8"), return_counts=True))
                 n = [pa.array(got[c], pa.int64()) for c in ("n_a", "n_b", "n_groups", "n_links")]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -289,8 +288,8 @@ def aligned(docs: DataFrame, path_a: str, path_b: str, text: str = "text", doc_i
                 held += len(data)
                 if held >= part_bytes:
                     yield close()
-                    part, held, keys, number = part + 1, 0, keys[:0], number[:0]
-        if held or len(keys):
+                    part, held, met = part + 1, 0, []
+        if met:
             yield close()
 
     rows = docs.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
