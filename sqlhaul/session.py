@@ -74,6 +74,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(hpath))
 
 
+def modified(spark: SparkSession, path: str) -> int:
+    """When a file, or the listing of a folder, last changed (ms)."""
+    fs, hpath = _fs_and_path(spark, path)
+    return int(fs.getFileStatus(hpath).getModificationTime())
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     """Remove one folder this library created itself (never user data)."""
     fs, hpath = _fs_and_path(spark, path)

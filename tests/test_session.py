@@ -60,3 +60,17 @@ def test_a_cluster_without_a_shared_folder_raises():
         spark.sparkContext.master = master
         with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
             workspace_dir(spark)
+
+
+def test_frames_follow_their_files(spark, tmp_path):
+    import os
+
+    from sqlhaul.plans.inputs import table
+
+    path = str(tmp_path / "t.parquet")
+    spark.range(3).write.parquet(path)
+    first = table(spark, str(tmp_path), "t")
+    assert first.count() == 3 and table(spark, str(tmp_path), "t") is first
+    spark.range(2).write.mode("append").parquet(path)
+    os.utime(path, (2_000_000_000, 2_000_000_000))
+    assert table(spark, str(tmp_path), "t").count() == 5
