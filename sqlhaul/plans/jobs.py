@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators.result import preview
 from ..operators.sql import register, run_sql
-from ..sources.csv_contract import DEFAULT_MAX_RECORDS_PER_FILE, READ_OPTIONS, string_schema
+from ..sources.csv_contract import READ_OPTIONS, string_schema
 from ..sources.datasets import DatasetRef, Lake
 from ..sources.external import JdbcSource, read_query
 from ..sources.stored import find_query
@@ -27,6 +27,10 @@ def _ref(target: DatasetRef | str) -> DatasetRef:
     return target if isinstance(target, DatasetRef) else DatasetRef.parse(target)
 
 
+#: How ``read_query`` splits a fetch.
+FETCH = ("partition_column", "lower_bound", "upper_bound", "num_partitions", "fetch_size")
+
+
 def _source(source: JdbcSource | str, sources: Mapping[str, JdbcSource] | None) -> JdbcSource:
     """A database given itself, or by its name among ``sources``."""
     if isinstance(source, JdbcSource):
@@ -64,8 +68,8 @@ def load_sql(
 ) -> LoadResult:
     """Mapped datasets -> Spark SQL -> new upload of ``target`` (append by default).
     ``with_upload_date=True`` exposes ``upload_date`` on the dataset views;
-    ``writing`` (``epoch``, ``skip_empty``, ``file_format``,
-    ``max_records_per_file``) goes to ``write_upload``."""
+    ``writing`` (``epoch``, ``skip_empty``, ``file_format``, ``typed``, ``sketch``,
+    ``max_records_per_file``, ``max_file_bytes``) goes to ``write_upload``."""
     register(spark, mapping, lake, with_upload_date=with_upload_date)
     return _load(spark, run_sql(spark, query, args), lake, target, user, reload=reload, show=show, **writing)
 
@@ -94,7 +98,7 @@ def load_stored(
     (``partition_column``, ``num_partitions``, bounds, ``fetch_size``)."""
     text = find_query(spark, lake.dataset_dir(_ref(sql_dataset)), file_name)
     if source is not None:
-        df = read_query(spark, _source(source, sources), text, as_text=True, **(fetch or {}))
+        df = read_query(spark, _source(source, sources), text, as_text=not writing.get("typed"), **(fetch or {}))
     else:
         register(spark, mapping or {}, lake, with_upload_date=with_upload_date)
         df = run_sql(spark, text, args)
@@ -112,13 +116,12 @@ def load_external(
     sources: Mapping[str, JdbcSource] | None = None,
     reload: bool = False,
     show: int = 0,
-    skip_empty: bool | None = None,
-    epoch: int | None = None,
-    file_format: str = "csv",
-    max_records_per_file: int = DEFAULT_MAX_RECORDS_PER_FILE,
-    **partitioning,
+    **options,
 ) -> LoadResult:
-    """Inline SQL run by an external database -> new upload of ``target``."""
-    df = read_query(spark, _source(source, sources), query, as_text=True, **partitioning)
-    return _load(spark, df, lake, target, user, reload=reload, show=show, skip_empty=skip_empty, epoch=epoch,
-                 file_format=file_format, max_records_per_file=max_records_per_file)
+    """Inline SQL run by an external database -> new upload of ``target``.
+    ``options`` named in ``FETCH`` split the fetch (``read_query``), the others go
+    to ``write_upload``; ``typed=True`` keeps the database's types."""
+    fetch = {k: v for k, v in options.items() if k in FETCH}
+    writing = {k: v for k, v in options.items() if k not in FETCH}
+    df = read_query(spark, _source(source, sources), query, as_text=not writing.get("typed"), **fetch)
+    return _load(spark, df, lake, target, user, reload=reload, show=show, **writing)

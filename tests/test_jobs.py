@@ -149,3 +149,22 @@ def test_stored_external_query_is_fetched_in_parts(spark, lake, monkeypatch):
     assert asked["source"] is here and asked["num_partitions"] == 8 and asked["partition_column"] == "k"
     with pytest.raises(LookupError):
         load_stored(spark, lake, ds, "q.sql", "o:t", "u", source="other", sources={"warehouse": here})
+
+
+def test_external_options_go_to_the_fetch_or_the_write(spark, lake, monkeypatch):
+    from sqlhaul import JdbcSource, load_external, read_dataset
+    from sqlhaul.sources.datasets import DatasetRef
+
+    asked = {}
+
+    def stand_in(spark_, source, sql, **kw):
+        asked.update(kw)
+        return spark_.range(5).selectExpr("id", "cast(id / 2 as decimal(5,1)) AS half")
+
+    monkeypatch.setattr("sqlhaul.plans.jobs.read_query", stand_in)
+    load_external(
+        spark, lake, JdbcSource("jdbc:x:1"), "SELECT 1", "ext:typed", "userid", epoch=7, file_format="parquet", typed=True,
+        sketch=["id"], partition_column="id", num_partitions=3,
+    )
+    assert asked == {"as_text": False, "partition_column": "id", "num_partitions": 3}
+    assert read_dataset(spark, lake, DatasetRef("ext", "typed")).dtypes == [("id", "bigint"), ("half", "decimal(5,1)")]

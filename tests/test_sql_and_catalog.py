@@ -5,6 +5,7 @@ from pyspark.errors import ParseException
 
 from sqlhaul import DatasetRef, append, publish, register, reload, run_sql
 from sqlhaul.operators.sql import EmptyQuery
+from sqlhaul.sources.datasets import DatasetNotFound
 
 
 def test_register_and_union_all_by_position(spark, lake):
@@ -114,3 +115,49 @@ def test_publish_same_name_from_another_lake(spark, tmp_path):
     assert [r["id"] for r in spark.table("movedom.T").collect()] == ["a"]
     publish(spark, two, ref)
     assert [r["id"] for r in spark.table("movedom.T").collect()] == ["b"]
+
+
+def _pruned_files(df) -> set[str]:
+    return {f.rsplit("upload_date=", 1)[-1].split("/")[0] for f in df.inputFiles()}
+
+
+def test_publish_turns_between_table_and_view(spark, lake):
+    """One format, then two (a view), then one again after a reload."""
+    ref = DatasetRef("turning", "ds")
+    rows = lambda *ids: spark.createDataFrame([(i, f"v{i}") for i in ids], "id int, v string")
+    append(spark, rows(1), lake, ref, "u", epoch=10)
+    publish(spark, lake, ref)
+    assert spark.table("turning.ds").count() == 1
+    append(spark, rows(2), lake, ref, "u", epoch=11, file_format="parquet")
+    append(spark, rows(3), lake, ref, "u", epoch=12, file_format="parquet", typed=True)
+    publish(spark, lake, ref)
+    assert sorted((r["id"], r["upload_date"]) for r in spark.table("turning.ds").collect()) == [("1", 10), ("2", 11), ("3", 12)]
+    assert _pruned_files(spark.sql("SELECT * FROM turning.ds WHERE upload_date >= 12")) == {"12"}
+    append(spark, rows(4), lake, ref, "u", epoch=13)
+    publish(spark, lake, ref)
+    assert spark.table("turning.ds").count() == 4
+    reload(spark, rows(5, 6), lake, ref, "u", epoch=14, file_format="parquet", typed=True)
+    publish(spark, lake, ref)
+    assert spark.table("turning.ds").dtypes[:2] == [("id", "int"), ("v", "string")]
+    assert sorted(r["id"] for r in spark.table("turning.ds").collect()) == [5, 6]
+
+
+def test_publish_unlogged_folders(spark, lake):
+    ref = DatasetRef("unlogged", "ds")
+    base = lake.dataset_dir(ref)
+    df = spark.createDataFrame([(1, "a"), (2, None)], "id int, v string")
+    df.write.parquet(f"{base}/upload_date=5/x/parquet")
+    df.selectExpr("id + 10 AS id", "v").write.parquet(f"{base}/upload_date=6/parquet")
+    publish(spark, lake, ref)
+    table = spark.table("unlogged.ds")
+    assert table.dtypes == [("id", "int"), ("v", "string"), ("upload_date", "bigint"), ("upload_folder", "string")]
+    assert sorted((r["id"], r["upload_date"]) for r in table.collect()) == [(1, 5), (2, 5), (11, 6), (12, 6)]
+    assert _pruned_files(spark.sql("SELECT * FROM unlogged.ds WHERE upload_date = 6")) == {"6"}
+    # without dates there is the folder alone
+    other = DatasetRef("unlogged", "plain")
+    df.write.option("header", True).csv(f"{lake.dataset_dir(other)}/a b/part one")
+    df.write.option("header", True).csv(f"{lake.dataset_dir(other)}/c")
+    publish(spark, lake, other)
+    assert spark.table("unlogged.plain").columns == ["id", "v", "upload_folder"] and spark.table("unlogged.plain").count() == 4
+    with pytest.raises(DatasetNotFound):
+        publish(spark, lake, DatasetRef("unlogged", "nothing"))

@@ -138,3 +138,18 @@ def test_jdbc_bounds_asked_from_the_database(spark):
     assert probe["query"] == "SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM (SELECT * FROM orders) b"
     assert (main["lowerBound"], main["upperBound"], main["numPartitions"]) == ("3", "40003", "8")
     assert main["dbtable"] == "(SELECT * FROM orders) q"
+
+
+def test_many_stored_queries_at_once(spark, lake):
+    from sqlhaul.sources.stored import put_queries, stored_query_index
+
+    ref = DatasetRef("sqlstore", "bulk")
+    base = lake.dataset_dir(ref)
+    rows = [("u1", f"d{i}", 1000 + i, f"report_{i % 7}.sql", f"SELECT {i}\n-- é ;") for i in range(60)]
+    df = spark.createDataFrame(rows, "user string, dataset_id string, epoch long, file_name string, text string").repartition(4)
+    assert put_queries(df, base) == 60
+    assert stored_query_index(spark, base).count() == 60
+    assert find_query(spark, base, "report_3.sql") == "SELECT 59\n-- é ;"
+    assert put_queries(df.limit(0), base) == 0
+    with pytest.raises(ValueError, match="bad key"):
+        put_queries(df.selectExpr("'a_b' AS user", "dataset_id", "epoch", "file_name", "text"), base)
