@@ -29,7 +29,7 @@ import bisect
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sqlhaul.llm.common import _powers, as_long, mix, save, ship, slice_hashes, text_steps
@@ -229,18 +229,32 @@ def line_dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", min_
             yield pd.DataFrame(got, columns=["late", "s", "e"])
 
     cut = both.select("late", "a", "b", "words").mapInPandas(align, "late long, s int, e int")
-    gone = save(
-        cut.select("late", F.explode(F.sequence("s", F.col("e") - 1)).alias("i")).groupBy("late").agg(F.collect_set("i").alias("gone")), "dedup-deleted"
-    )
+    # what goes from a text as runs of lines, sorted and apart from each other
+    each = cut.select("late", F.explode(F.sequence("s", F.col("e") - 1)).alias("i")).distinct()
+    runs = each.withColumn("run", F.col("i") - F.row_number().over(Window.partitionBy("late").orderBy("i")))
+    runs = runs.groupBy("late", "run").agg(F.struct(F.min("i").alias("s"), (F.max("i") + 1).alias("e")).alias("r"))
+    gone = save(runs.groupBy("late").agg(F.array_sort(F.collect_list("r")).alias("runs"), F.sum(F.col("r.e") - F.col("r.s")).alias("gone")), "dedup-deleted")
     lines = F.split(F.col(text), "\n")
-    kept = F.filter(F.transform(lines, lambda x, i: F.struct(x.alias("x"), i.alias("i"))), lambda s: ~F.array_contains(F.col("__gone"), s["i"]))
+
+    def between(x: Column) -> Column:
+        """The lines before, between and after the runs, in one pass."""
+
+        def part(k: Column) -> Column:
+            start = F.when(k == 0, F.lit(0)).otherwise(F.get(x["runs"], k - 1)["e"])
+            end = F.when(k == F.size(x["runs"]), F.size(x["lines"])).otherwise(F.get(x["runs"], k)["s"])
+            return F.slice(x["lines"], start + 1, end - start)
+
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.size(x["runs"])), part))
+
+    # a lambda's variable, so that the text is split once
+    kept = F.transform(F.array(F.struct(lines.alias("lines"), F.col("__runs").alias("runs"))), between)[0]
     out = docs.withColumn("__key", key).join(
         # by shuffle at every size: what is deleted grows with the texts
-        gone.select(F.col("late").alias("__key"), F.col("gone").alias("__gone")).hint("merge"), "__key", "left"
+        gone.select(F.col("late").alias("__key"), F.col("runs").alias("__runs"), F.col("gone").alias("__gone")).hint("merge"), "__key", "left"
     )
-    clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(F.transform(kept, lambda s: s["x"]), "\n"))
+    clean = F.when(F.col("__gone").isNull(), F.col(text)).otherwise(F.array_join(kept, "\n"))
     return out.select(
         *[clean.alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns],
         F.when(F.col(text).isNull(), 0).otherwise(F.size(lines)).alias("lines_before"),
-        F.when(F.col("__gone").isNull(), 0).otherwise(F.size("__gone")).alias("lines_deleted"),
+        F.coalesce("__gone", F.lit(0)).cast("int").alias("lines_deleted"),
     )

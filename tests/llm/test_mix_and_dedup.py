@@ -202,3 +202,13 @@ def test_repeated_and_moved_passages_against_all_earlier_documents(spark, words_
     for rows, some in ((twice_first, {i: 4 if i else 0 for i in range(20)}), (twice_later, {i: 8 if i else 0 for i in range(20)}), (mixed, None)):
         got = {x["doc_id"]: x["lines_deleted"] for x in line_dedup(spark.createDataFrame(list(rows.items()), "doc_id long, text string")).collect()}
         assert got == runs_brute(rows, 25) and got == (some or got) and any(got.values())
+
+
+def test_a_text_of_many_deleted_lines(spark):
+    """Half a million deleted lines in one text go in one pass."""
+    block = [f"line {i % 1000} of a long block of words" for i in range(250_000)]
+    late = ["first own line"] + block + ["own line between"] + block + ["last own line"]
+    docs = spark.createDataFrame([(1, "\n".join(block)), (2, "\n".join(late))], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in line_dedup(docs).collect()}
+    assert got[1]["lines_deleted"] == 0 and got[2]["lines_deleted"] == 500_000
+    assert got[2]["text"] == "first own line\nown line between\nlast own line"
