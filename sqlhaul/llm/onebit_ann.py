@@ -36,6 +36,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sqlhaul.llm.common import save, ship
 
@@ -148,60 +149,88 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(vector, lambda v: v != 0)
 
 
-def numbered(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
-    """(id, x, row) of the usable rows, stored, so that a row has one number."""
-    rows = vectors.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("x"))
-    rows = rows.where(F.col("id").isNotNull() & usable(F.col("x")))
-    return save(rows.withColumn("row", F.monotonically_increasing_id()), "onebit-rows")
+def _vectors(frame: DataFrame, vec_id: str, vector: str) -> DataFrame:
+    """(id, x) of the usable rows; single precision stays as it is."""
+    single = isinstance(frame.schema[vector].dataType.elementType, T.FloatType)
+    rows = frame.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<float>" if single else "array<double>").alias("x"))
+    return rows.where(F.col("id").isNotNull() & usable(F.col("x")))
 
 
-def _packed(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(dimension, ids, row numbers, vectors) in blocks of ``most`` of (id, x, row)."""
-    for b in batches:
-        ids, rows, lists = np.asarray(b.column(0)), np.asarray(b.column(2)), b.column(1)
-        size = np.diff(np.asarray(lists.offsets))
-        flat = np.asarray(lists.flatten())
-        start = np.cumsum(size) - size
-        for d in np.unique(size).tolist():
-            mine = np.flatnonzero(size == d)
-            for a in range(0, len(mine), most):
-                m = mine[a : a + most]
-                yield d, ids[m], rows[m], flat[start[m][:, None] + np.arange(d)]
+def _packed(ids: np.ndarray, rows: np.ndarray, lists: pa.Array, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """(dimension, ids, row numbers, vectors) in blocks of at most ``most``."""
+    size = np.diff(np.asarray(lists.offsets))
+    flat = np.asarray(lists.flatten())
+    start = np.cumsum(size) - size
+    for d in np.unique(size).tolist():
+        mine = np.flatnonzero(size == d)
+        for a in range(0, len(mine), most):
+            m = mine[a : a + most]
+            yield d, ids[m], rows[m], flat[start[m][:, None] + np.arange(d)]
 
 
-def build_index(rows: DataFrame) -> DataFrame:
-    """The stored index over ``numbered`` rows: one row for each block (d, n,
-    ids, rows, codes, corr, x)."""
-    ship(rows.sparkSession)
+def build_index(vectors: DataFrame, vec_id: str = "vec_id", vector: str = "embedding") -> DataFrame:
+    """The stored index: one row for each block (d, n, ids, rows, codes, corr,
+    x), with a number for each row of the table. Vectors are kept in the
+    precision that they have."""
+    ship(vectors.sparkSession)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for d, ids, own, x in _packed(batches, BLOCK):
-            packed, corr = codes(x / np.linalg.norm(x, axis=1, keepdims=True))
-            yield pa.RecordBatch.from_pylist(
-                [{"d": d, "n": len(ids), "ids": ids.tobytes(), "rows": own.tobytes(), "codes": packed.tobytes(), "corr": corr.tobytes(), "x": x.tobytes()}]
-            )
+        from pyspark import TaskContext
 
-    return save(rows.mapInArrow(blocks, "d long, n long, ids binary, rows binary, codes binary, corr binary, x binary"), "onebit-index")
+        first = TaskContext.get().partitionId() << 33
+        for b in batches:
+            numbers = np.arange(first, first + b.num_rows)
+            first += b.num_rows
+            for d, ids, own, x in _packed(np.asarray(b.column(0)), numbers, b.column(1), BLOCK):
+                whole = x.astype(float)
+                packed, corr = codes(whole / np.linalg.norm(whole, axis=1, keepdims=True))
+                yield pa.RecordBatch.from_pylist(
+                    [{"d": d, "n": len(ids), "ids": ids.tobytes(), "rows": own.tobytes(), "codes": packed.tobytes(), "corr": corr.tobytes(), "x": x.tobytes()}]
+                )
+
+    made = _vectors(vectors, vec_id, vector).mapInArrow(blocks, "d long, n long, ids binary, rows binary, codes binary, corr binary, x binary")
+    return save(made, "onebit-index")
+
+
+def _doubles(raw: bytes, n: int, d: int) -> np.ndarray:
+    return np.frombuffer(raw, "<f4" if len(raw) == 4 * n * d else "<f8").reshape(n, d).astype(float)
 
 
 def _block(r: dict) -> dict:
-    x = np.frombuffer(r["x"]).reshape(r["n"], r["d"])
+    x = _doubles(r["x"], r["n"], r["d"])
     return {
         "ids": np.frombuffer(r["ids"], np.int64), "rows": np.frombuffer(r["rows"], np.int64), "codes": np.frombuffer(r["codes"], np.uint8).reshape(r["n"], -1),
         "corr": np.frombuffer(r["corr"]), "x": x, "norm": np.linalg.norm(x, axis=1),
     }
 
 
+def stated(index: DataFrame, every: int) -> DataFrame:
+    """(id, x, row) of the indexed rows whose id is divisible by ``every``."""
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for r in b.to_pylist():
+                ids, x = np.frombuffer(r["ids"], np.int64), _doubles(r["x"], r["n"], r["d"])
+                use = np.flatnonzero(ids % every == 0)
+                for a in range(0, len(use), 1024):
+                    m = use[a : a + 1024]
+                    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(m) + 1) * r["d"], pa.int32()), pa.array(x[m].ravel()))
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[m]), lists, pa.array(np.frombuffer(r["rows"], np.int64)[m])], names=["id", "x", "row"])
+
+    return index.select("d", "n", "ids", "rows", "x").mapInArrow(pick, "id long, x array<double>, row long")
+
+
 def search(index: DataFrame, queries: DataFrame, k: int = 5, epsilon: float = EPSILON, slot: int = SLOT, round_size: int = ROUND) -> DataFrame:
     """(query_id, query_row, rank, vec_id, score) of the ``k`` nearest of each of
-    ``queries`` (``numbered`` rows: those of the index, or others with numbers
-    below 0, which leave nothing out)."""
+    ``queries`` (id, x, row): ``stated`` rows of the index, or others with numbers
+    below 0, which leave nothing out."""
     spark = index.sparkSession
     asked = queries.groupBy("id", "x").agg(F.min("row").alias("row"))
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for d, ids, own, x in _packed(batches, min(1024, round_size)):
-            yield pa.RecordBatch.from_pylist([{"d": d, "n": len(ids), "ids": ids.tobytes(), "rows": own.tobytes(), "x": x.tobytes()}])
+        for b in batches:
+            for d, ids, own, x in _packed(np.asarray(b.column(0)), np.asarray(b.column(2)), b.column(1), min(1024, round_size)):
+                yield pa.RecordBatch.from_pylist([{"d": d, "n": len(ids), "ids": ids.tobytes(), "rows": own.tobytes(), "x": x.tobytes()}])
 
     asked = save(asked.select("id", "x", "row").mapInArrow(blocks, "d long, n long, ids binary, rows binary, x binary"), "onebit-queries")
     count = {t: (x.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()) for t, x in (("index", index), ("asked", asked))}
@@ -236,5 +265,5 @@ def search(index: DataFrame, queries: DataFrame, k: int = 5, epsilon: float = EP
 def nearest(vectors: DataFrame, every: int = 50, k: int = 5, vec_id: str = "vec_id", vector: str = "embedding", **options) -> DataFrame:
     """(query_id, rank, vec_id, score) of the stated search: queries are the rows
     whose id is divisible by ``every``, candidates all rows but the query's own."""
-    rows = numbered(vectors, vec_id, vector)
-    return search(build_index(rows), rows.where(F.col("id") % every == 0), k, **options).select("query_id", "rank", "vec_id", "score")
+    index = build_index(vectors, vec_id, vector)
+    return search(index, stated(index, every), k, **options).select("query_id", "rank", "vec_id", "score")
