@@ -17,7 +17,9 @@ The number of chunks follows the counted rows (``CHUNK_ROWS``).
 * ``split_interval``: aggregates over another table's rows within a distance.
 * ``band_join``: rows whose value lies within other rows' bounds. Bounds are
   turned into ranks of the values, ranks into cells; a band is copied only to
-  the cells that it covers, so the work is in proportion to the result.
+  the cells that it covers, so the work is in proportion to the result. Where
+  only aggregates over each band are asked for, no pair is made.
+* ``split_percentile``: an exact percentile of a column of many values.
 
 Intermediate tables are written to the shared workspace, so a lost executor
 costs a retry of its tasks only.
@@ -35,6 +37,8 @@ from ..session import scratch_dir
 CHUNK_ROWS = 1_000_000
 #: Rows of a cell of a band join.
 CELL_ROWS = 512
+#: Items of a cell in the levels of least and largest values.
+LEVEL_FAN = 64
 
 _EXACT = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType)
 
@@ -269,28 +273,104 @@ def split_asof(left: DataFrame, right: DataFrame, keys: list[str], left_on: str,
     return out.select(*[_name(c) for c in left.columns], *[F.col("__m").getField(n).alias(n) for n in take])
 
 
-def band_join(points: DataFrame, bands: DataFrame, value: str, low: str, high: str, keys: list[str] | None = None) -> DataFrame:
+def split_percentile(df: DataFrame, column: str, share: float) -> DataFrame:
+    """One row (value): what ``percentile`` gives for a column of numbers, from
+    the counts of its values in chunks instead of one task's map of them all."""
+    value = _name(column).cast("double")
+    counted = df.where(value.isNotNull()).groupBy(F.lit(0).alias("__k0"), value.alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
+    values = stored(counted, "value-counts")
+    upto = _accumulated(_chunked(values, ["__k0"], ["__v"]), ["__k0"], ["__v"], {"__upto": F.col("__n")}, "true")
+    at = values.agg((F.lit(float(share)) * (F.sum("__n") - 1)).alias("__at"))
+    ends = upto.crossJoin(F.broadcast(at)).agg(
+        F.min(F.when(F.col("__upto") > F.floor("__at"), F.col("__v"))).alias("low"),
+        F.min(F.when(F.col("__upto") > F.ceil("__at"), F.col("__v"))).alias("high"), F.max("__at").alias("at"),
+    )
+    between = (F.ceil("at") - F.col("at")) * F.col("low") + (F.col("at") - F.floor("at")) * F.col("high")
+    return ends.select(F.when(F.col("low") == F.col("high"), F.col("low")).otherwise(between).alias("value"))
+
+
+def _extremes(items: DataFrame, asks: DataFrame, names: list[str], kinds: dict[str, str]) -> DataFrame:
+    """(__id, measures): for each of ``asks`` (keys, __id, __from, __to) the
+    ``min`` or ``max`` (``kinds``) of each measure of ``items`` (keys, __rank,
+    measures) with ranks from ``__from`` to before ``__to``. A span is the tail
+    of its first cell, the head of its last one and whole cells between, which
+    are the items of the next level; in a cell of its own it meets at most
+    ``LEVEL_FAN`` items. So a level costs its items and two lookups an ask."""
+    least = {x: F.min if kind == "min" else F.max for x, kind in kinds.items()}
+    found, cell = None, f"DIV {LEVEL_FAN}"
+    while True:
+        cells = items.withColumn("__cell", F.expr(f"__rank {cell}"))
+        asked = asks.withColumns({"__a": F.expr(f"__from {cell}"), "__b": F.expr(f"(__to - 1) {cell}")})
+        within = cells.alias("c").join(
+            asked.where("__a = __b").alias("q"), F.expr(_same("c", "q", names) + " and c.__cell = q.__a and c.__rank >= q.__from and c.__rank < q.__to")
+        ).groupBy("q.__id").agg(*[f(f"c.{x}").alias(x) for x, f in least.items()])
+        group = Window.partitionBy(*names, "__cell")
+        upto = (Window.unboundedPreceding, Window.currentRow)
+        runs = cells.select(
+            *names, "__rank", *[f(x).over(group.orderBy("__rank").rowsBetween(*upto)).alias(f"__head_{x}") for x, f in least.items()],
+            *[f(x).over(group.orderBy(F.desc("__rank")).rowsBetween(*upto)).alias(f"__tail_{x}") for x, f in least.items()],
+        )
+        spread = asked.where("__a < __b")
+        ends = spread.select(*names, "__id", F.explode(F.array(F.struct(F.lit(True).alias("first"), F.col("__from").alias("at")), F.struct(F.lit(False).alias("first"), (F.col("__to") - 1).alias("at")))).alias("end"))
+        sides = runs.alias("r").join(ends.alias("q"), F.expr(_same("r", "q", names) + " and r.__rank = q.end.at")).select(
+            "q.__id", *[F.when(F.col("q.end.first"), F.col(f"r.__tail_{x}")).otherwise(F.col(f"r.__head_{x}")).alias(x) for x in kinds]
+        )
+        level = within.unionByName(sides)
+        found = level if found is None else found.unionByName(level)
+        asks = stored(spread.select(*names, "__id", (F.col("__a") + 1).alias("__from"), F.col("__b").alias("__to")).where("__from < __to"), "band-asks")
+        if asks.isEmpty():
+            return found.groupBy("__id").agg(*[f(x).alias(x) for x, f in least.items()])
+        items = stored(cells.groupBy(*names, F.col("__cell").alias("__rank")).agg(*[f(x).alias(x) for x, f in least.items()]), "band-level")
+
+
+def band_join(
+    points: DataFrame, bands: DataFrame, value: str, low: str, high: str, keys: list[str] | None = None, outputs: dict[str, tuple] | None = None
+) -> DataFrame:
     """All columns of both sides, for each row of ``points`` and ``bands`` with
     equal ``keys`` (columns of both, given once in the result) and ``low <=
-    value < high``. Null keys, values and bounds meet nothing."""
-    keys = keys or []
+    value < high``. Null keys, values and bounds meet nothing.
+
+    With ``outputs`` (name -> (function, column of ``points``); functions and
+    types as in ``split_range_frame``) the pairs are not made: one row for each
+    row of ``bands`` that meets any, its columns and the aggregates over the
+    rows of ``points`` that it meets."""
+    keys, outputs = keys or [], outputs or {}
     clash = set(points.columns) & set(bands.columns) - set(keys)
     if clash:
         raise ValueError(f"columns of both sides: {sorted(clash)}")
+    kinds = {f"__x{i}": kind for i, (kind, *_) in enumerate(outputs.values()) if kind in ("min", "max")}
+    measures, results = _measures(points, {n: o for n, o in outputs.items() if o[0] not in ("min", "max")})
     names = _names(keys)
     rows = stored(points.dropna(subset=[*keys, value]).withColumn("__id", F.monotonically_increasing_id()), "band-points")
     spans = stored(bands.dropna(subset=[*keys, low, high]).withColumn("__band", F.monotonically_increasing_id()), "bands")
-    told = rows.select(*_keyed(keys), _name(value).alias("__v"), F.lit(1).alias("__kind"), "__id", F.lit(0).alias("__side"), F.lit(1).cast("long").alias("__one"))
+    told = rows.select(
+        *_keyed(keys), _name(value).alias("__v"), F.lit(1).alias("__kind"), "__id", F.lit(0).alias("__side"), F.lit(1).cast("long").alias("__one"), *[c.alias(n) for n, c in measures.items()]
+    )
     both = told
     for side, bound in enumerate((low, high)):
-        asked = spans.select(*_keyed(keys), _name(bound).alias("__v"), F.lit(0).alias("__kind"), F.col("__band").alias("__id"), F.lit(side).alias("__side"), F.lit(None).cast("long").alias("__one"))
+        asked = spans.select(
+            *_keyed(keys), _name(bound).alias("__v"), F.lit(0).alias("__kind"), F.col("__band").alias("__id"), F.lit(side).alias("__side"),
+            *[F.lit(None).cast(told.schema[m].dataType).alias(m) for m in ["__one", *measures]],
+        )
         both = both.unionByName(asked)
     chunks = _chunked(both, names, ["__v", "__kind", "__id", "__side"])
-    ranked = stored(_accumulated(chunks, names, ["__v", "__kind", "__id", "__side"], {"__rank": F.col("__one")}, "true").drop("__v", "__one", "__chunk"), "band-ranks")
+    sums = {"__rank": F.col("__one"), **{f"__p_{m[2:]}": F.col(m) for m in measures}}
+    ranked = _accumulated(chunks, names, ["__v", "__kind", "__id", "__side"], sums, "true").drop("__v", "__one", "__chunk", *measures)
+    ranked = stored(ranked, "band-ranks")
     places = ranked.where("__kind = 1").select("__id", (F.col("__rank") - 1).alias("__rank"))
-    edges = ranked.where("__kind = 0").groupBy("__id").agg(
-        F.max(F.expr("if(__side = 0, __rank, null)")).alias("__from"), F.max(F.expr("if(__side = 1, __rank, null)")).alias("__to")
+    edges = ranked.where("__kind = 0").groupBy("__id", *names).agg(
+        F.max(F.expr("if(__side = 0, __rank, null)")).alias("__from"), F.max(F.expr("if(__side = 1, __rank, null)")).alias("__to"),
+        *[F.sum(F.when(F.col("__side") == 1, F.col(f"__p_{m[2:]}")).otherwise(-F.col(f"__p_{m[2:]}"))).alias(f"__d_{m[2:]}") for m in measures],
     ).where("__from < __to")
+    if outputs:
+        met = spans.join(edges.drop(*names), F.expr("__band = __id")).drop("__band")
+        if kinds:
+            taken = [_name(o[1]).alias(f"__x{i}") for i, o in enumerate(outputs.values()) if f"__x{i}" in kinds]
+            items = stored(rows.join(places, "__id").select(*_keyed(keys), "__rank", *taken), "band-items")
+            met = met.join(_extremes(items, edges.select(*names, "__id", "__from", "__to"), names, kinds), "__id", "left")
+        made = [results[n].alias(n) if n in results else F.col(f"__x{i}").alias(n) for i, n in enumerate(outputs)]
+        return met.select(*[_name(c) for c in bands.columns], *made)
+    edges = edges.drop(*names)
     cell = f"DIV {CELL_ROWS}"
     held = rows.join(places, "__id").withColumn("__cell", F.expr(f"__rank {cell}")).drop("__id")
     copied = spans.join(edges, F.expr("__band = __id")).drop("__id", "__band").withColumn("__cell", F.explode(F.expr(f"sequence(__from {cell}, (__to - 1) {cell})")))

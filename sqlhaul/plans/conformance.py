@@ -922,8 +922,8 @@ SPLIT: dict[str, tuple[str | tuple[str, ...], Callable[..., DataFrame]]] = {
     "band_join": (("orders", "part"), lambda o, p: band_join(
         o.select("o_orderkey", "o_totalprice"),
         p.select("p_partkey", (F.col("p_retailprice") * 100).alias("lo"), (F.col("p_retailprice") * 100 + 40 * F.col("p_size")).alias("hi")),
-        "o_totalprice", "lo", "hi",
-    ).groupBy("p_partkey").agg(F.count(F.lit(1)).alias("n_orders"), F.min("o_orderkey").alias("first_order"))),
+        "o_totalprice", "lo", "hi", outputs={"n_orders": ("count", "*"), "first_order": ("min", "o_orderkey")},
+    ).groupBy("p_partkey").agg(F.sum("n_orders").alias("n_orders"), F.min("first_order").alias("first_order"))),
     # orders of a customer's own range of prices: equal keys and a band
     "band_join_keys": (("orders", "customer"), lambda o, c: band_join(
         o.select("o_orderkey", F.col("o_custkey").alias("c_custkey"), "o_totalprice"),

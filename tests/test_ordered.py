@@ -116,6 +116,42 @@ def test_band_join_of_other_types_and_clashes(spark):
         ordered.band_join(a, a, "v", "id", "id")
 
 
+@pytest.mark.parametrize("keys", [[], ["k"]])
+def test_band_aggregates_without_pairs(spark, keys, monkeypatch):
+    r = random.Random(19)
+    points = rows_of(7, 400)
+    bands = []
+    for i in range(80):
+        low = r.choice([r.randint(0, 400), 20, None])
+        bands.append((1000 + i % 70, r.choice(["hot", "hot", "a", None]), low, None if low is None else low + r.choice([0, 1, 30, 500, 900, -3])))
+    a = spark.createDataFrame(points, SCHEMA)
+    b = spark.createDataFrame(bands, "band long, k string, lo long, hi long")
+    b = b if keys else b.drop("k")
+    tags = []
+    monkeypatch.setattr(ordered, "LEVEL_FAN", 3)
+    monkeypatch.setattr(ordered, "stored", lambda df, tag, own=ordered.stored: tags.append(tag) or own(df, tag))
+    outputs = {"n": ("count", "*"), "least": ("min", "id"), "most": ("max", "x"), "total": ("sum", "x"), "there": ("count", "x")}
+    out = ordered.band_join(a, b, "o", "lo", "hi", keys, outputs)
+    want = []
+    for q in bands:
+        met = [p for p in points if None not in (p[2], q[2]) and (not keys or p[1] is not None and p[1] == q[1]) and q[2] <= p[2] < q[3]]
+        xs = [p[3] for p in met if p[3] is not None]
+        if met:
+            want.append((q[0], q[2], q[3], len(met), min(p[0] for p in met), max(xs, default=None), sum(xs) if xs else None, len(xs)))
+    got = [(x["band"], x["lo"], x["hi"], *(x[c] for c in outputs)) for x in out.collect()]
+    assert sorted(got, key=str) == sorted(want, key=str)
+    assert tags.count("band-level") >= 2, "wide bands go up several levels"
+
+
+def test_split_percentile(spark):
+    values = [5.0, 1.0, 1.0, None, 9.5, 3.25, float("inf"), 3.25, -2.0, 0.0, -0.0]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for share in (0.0, 0.3, 0.5, 0.77, 1.0):
+        want = df.agg(F.percentile("v", share)).first()[0]
+        assert ordered.split_percentile(df, "v", share).first()["value"] == want
+    assert ordered.split_percentile(df.limit(0), "v", 0.5).first()["value"] is None
+
+
 def test_empty_sides(spark):
     a, b = spark.createDataFrame([(1, "k", 1, 1)], SCHEMA), spark.createDataFrame([], SCHEMA)
     assert ordered.split_asof(a, b, ["k"], "o", "o", {"y": "x"}).collect()[0]["y"] is None
