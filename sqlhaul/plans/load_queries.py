@@ -10,9 +10,12 @@ answer, computed straight from the parquet tables.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.ordered import split_percentile
 from ..operators.result import preview, stringify
 from ..operators.sql import register, run_sql
 from ..session import ensure_database, scratch_dir, sql_literal
@@ -312,8 +315,9 @@ def sketched_uploads(spark, sf_dir):
     for i, flag in enumerate("ANR"):
         append(spark, lines.filter(F.col("l_returnflag") == flag), lake, ref, USER, epoch=EPOCH0 + i, file_format="parquet", typed=True, sketch=columns)
     near = summaries(spark, lake, ref, columns, [0.5])
-    exact = lines.agg(*[F.count_distinct(c).alias(c) for c in columns], F.percentile("l_extendedprice", 0.5).alias("median"))
-    rows = exact.select(F.col("median"), F.inline(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("exact")) for c in columns])))
+    # each exact count by itself: together they would make every row once for each
+    exact = reduce(DataFrame.unionByName, [lines.agg(F.count_distinct(c).alias("exact")).select(F.lit(c).alias("c"), "exact") for c in columns])
+    rows = exact.crossJoin(split_percentile(lines, "l_extendedprice", 0.5).select(F.col("value").alias("median")))
     return near.join(rows, F.col("column") == F.col("c")).select(
         "column", (F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.08 * F.col("exact")).alias("distinct_near"),
         F.when(F.col("column") == "l_extendedprice", F.abs(F.col("quantiles")[0] - F.col("median")) <= 0.02 * F.col("median")).alias("median_near"),

@@ -26,6 +26,8 @@ from . import upload_log
 from .datasets import DatasetNotFound, DatasetRef, Lake
 
 SMALLEST, BITS = 4096, 7
+#: Classes of hashes that are ordered apart.
+PARTS = 64
 SKETCH_FOLDER = "_sketches"
 SCHEMA = "column string, kind string, hash long, bin double, n long"
 
@@ -55,9 +57,13 @@ def sketch(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def _least(hashes: DataFrame) -> DataFrame:
-    """The smallest hashes of each column; every task hands on so many at most."""
-    order = Window.partitionBy("column").orderBy("hash")
-    return hashes.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SMALLEST).drop("k")
+    """The smallest hashes of each column: first of each of ``PARTS`` classes of
+    them, so that no task orders more than its class and each hands on
+    ``SMALLEST`` at most, then of these."""
+    for group in (["column", F.pmod("hash", F.lit(PARTS))], ["column"]):
+        order = Window.partitionBy(*group).orderBy("hash")
+        hashes = hashes.withColumn("k", F.row_number().over(order)).where(F.col("k") <= SMALLEST).drop("k")
+    return hashes
 
 
 def merge(sketches: DataFrame) -> DataFrame:

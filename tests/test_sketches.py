@@ -61,3 +61,13 @@ def test_odd_numbers(spark):
     bins = {r["bin"]: r["n"] for r in sketches.sketch(df, ["x"]).where("kind = 'bin'").collect()}
     assert sum(bins.values()) == 6 and bins[float("inf")] == bins[float("-inf")] == 1 and bins[0.0] >= 2
     assert sketches.answers(sketches.sketch(df.where(F.lit(False)), ["x"]), [0.5]).count() == 0
+
+
+def test_smallest_hashes_are_ordered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sketches, "SMALLEST", 50)
+    df = spark.range(3000).select(F.col("id").alias("k"))
+    got = sketches.sketch(df, ["k"]).where("kind = 'hash'")
+    want = sorted(r[0] for r in df.select(F.xxhash64(F.col("k").cast("string"))).collect())[:50]
+    assert sorted(r["hash"] for r in got.collect()) == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(column" in plan and "pmod(hash" in plan, "not all hashes of a column in one task"
