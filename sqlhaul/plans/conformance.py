@@ -23,11 +23,11 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.ordered import band_join, split_asof, split_interval, split_range_frame
+from ..operators.ordered import band_join, split_asof, split_interval, split_range_frame, stored
 from ..operators.rollups import cube_sets, lattice, sliding_panes
 from ..operators.sql import register, run_sql
 from ..operators.windows import split_sessions, split_window
-from ..session import ensure_database, scratch_dir
+from ..session import ensure_database, scratch_dir, settings
 from .inputs import table
 
 SAME = object()  # oracle text equals the Spark text
@@ -41,6 +41,9 @@ class Conf:
     duck_sql: object = SAME  # str | SAME | None
     args: dict | None = None
     setup: tuple[str, ...] = ()  # statements run first (e.g. CREATE TEMPORARY FUNCTION)
+    # run with aggregates dealt by all their keys: else one over (group, value) that
+    # follows a join on the group alone has a task for each group, however large
+    all_keys: bool = False
 
 
 def _views(spark: SparkSession, sf_dir: str, tables) -> None:
@@ -52,7 +55,11 @@ def _runner(c: Conf) -> Callable[[SparkSession, str], DataFrame]:
         _views(spark, sf_dir, c.tables)
         for stmt in c.setup:
             spark.sql(stmt)
-        return run_sql(spark, c.spark_sql, c.args)
+        if not c.all_keys:
+            return run_sql(spark, c.spark_sql, c.args)
+        # partial aggregates hold the values of one split of a file, so splits are small
+        with settings(spark, {"spark.sql.requireAllClusterKeysForDistribution": "true", "spark.sql.files.maxPartitionBytes": "16m"}):
+            return stored(run_sql(spark, c.spark_sql, c.args), c.name)
 
     run.__name__ = c.name
     return run
@@ -388,6 +395,7 @@ AGGREGATION = [
                   abs(sum(CASE WHEN l.l_extendedprice <= a.median_price THEN 1 ELSE 0 END) - 0.5 * count(*)) <= 0.002 * count(*) + 2 AS median_near
            FROM lineitem l JOIN a ON l.l_returnflag = a.l_returnflag GROUP BY l.l_returnflag""",
         "SELECT l_returnflag, true AS distinct_near, true AS median_near FROM lineitem GROUP BY l_returnflag",
+        all_keys=True,
     ),
     Conf(
         # collect_list per order: bounded by the lines of one order

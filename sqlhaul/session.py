@@ -14,6 +14,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -39,6 +41,20 @@ def build_session(master: str = "local[8]", app: str = "sqlhaul", **conf: str) -
     return builder.getOrCreate()
 
 
+@contextmanager
+def settings(spark: SparkSession, wanted: dict[str, str]) -> Iterator[None]:
+    """The session with ``wanted`` settings, as they were before afterwards: for
+    jobs that run meanwhile, not for frames that are run later."""
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    try:
+        for k, v in wanted.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def workspace_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. A local session
     without one gets a temporary folder; on a cluster, where executors could

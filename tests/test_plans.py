@@ -86,3 +86,22 @@ def test_registered_dataset_view_prunes_uploads(spark, lake):
     df = run_sql(spark, "SELECT id FROM daily WHERE upload_date >= 12")
     assert [r["id"] for r in df.collect()] == ["12"]
     assert re.search(r"PartitionFilters: \[.*upload_date", plan(df))
+
+
+def test_approx_aggregates_deal_distinct_values_by_value(spark, tmp_path, monkeypatch):
+    from sqlhaul.plans import conformance
+
+    rows = [(i // 3, 100.0 + i * 7 % 600, "ANR"[i % 3]) for i in range(600)]
+    spark.createDataFrame(rows, "l_orderkey long, l_extendedprice double, l_returnflag string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    plans = []
+    monkeypatch.setattr(conformance, "stored", lambda df, tag, own=conformance.stored: plans.append(plan(df)) or own(df, tag))
+    key, threshold = "spark.sql.requireAllClusterKeysForDistribution", "spark.sql.autoBroadcastJoinThreshold"
+    old, before = spark.conf.get(threshold), spark.conf.get(key)
+    spark.conf.set(threshold, "-1")  # as for tables that are too large for it
+    try:
+        got = E.queries()["approx_aggregates"](spark, str(tmp_path))
+        assert sorted(map(tuple, got.collect())) == [(f, True, True) for f in "ANR"]
+    finally:
+        spark.conf.set(threshold, old)
+    assert re.search(r"hashpartitioning\(l_returnflag#\d+, l_orderkey#\d+", plans[0])
+    assert spark.conf.get(key) == before

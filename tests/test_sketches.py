@@ -69,5 +69,5 @@ def test_smallest_hashes_are_ordered_in_parts(spark, monkeypatch):
     got = sketches.sketch(df, ["k"]).where("kind = 'hash'")
     want = sorted(r[0] for r in df.select(F.xxhash64(F.col("k").cast("string"))).collect())[:50]
     assert sorted(r["hash"] for r in got.collect()) == want
-    plan = got._jdf.queryExecution().executedPlan().toString()
-    assert "hashpartitioning(column" in plan and "pmod(hash" in plan, "not all hashes of a column in one task"
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 2 and "pmod(" in plan, "not all hashes of a column are ordered in one task"
