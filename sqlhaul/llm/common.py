@@ -27,6 +27,9 @@ from sqlhaul.session import scratch_dir
 
 #: Bytes of text that one vectorised step works on (a longer text is one step).
 STEP_BYTES = 1 << 20
+#: The same for steps that hold many arrays beside the text, some of 8 bytes for
+#: each of its bytes.
+SMALL_STEP = 1 << 18
 
 _MASK = (1 << 64) - 1
 _TABLE = np.random.Generator(np.random.PCG64(20240607)).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -84,7 +87,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     have = _POWERS.get("up")
     if have is not None and len(have) >= n:
         return have[:n], _POWERS["down"][:n]
-    size = max(n, STEP_BYTES + 1)
+    size = max(n, (SMALL_STEP if n <= SMALL_STEP + 1 else STEP_BYTES) + 1)
     out = []
     for b in (_BASE, _INV):
         p = np.ones(size, np.uint64)

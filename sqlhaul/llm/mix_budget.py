@@ -32,6 +32,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -93,11 +94,15 @@ def allocate(leaves: dict[tuple, int], weight: Callable[[tuple], float], budget:
 
 def _weighted(leaves: DataFrame, weights: dict[tuple, float], depth: int, default_weight: float) -> DataFrame:
     """``leaves`` with ``w1``, ``w2``, ...: the weights along their paths. The
-    given weights are as many as the caller has written down."""
+    given weights are as many as the caller has written down; as an Arrow table
+    they are a local relation, which starts no Python workers on the executors."""
     spark = leaves.sparkSession
     for i in range(1, depth + 1):
-        own = [(list(p), float(w)) for p, w in weights.items() if len(p) == i]
-        given = spark.createDataFrame(own, f"p{i} array<string>, g{i} double")
+        own = {p: float(w) for p, w in weights.items() if len(p) == i}
+        if not own:
+            leaves = leaves.withColumn(f"w{i}", F.lit(float(default_weight)))
+            continue
+        given = spark.createDataFrame(pa.table({f"p{i}": pa.array(list(map(list, own)), pa.list_(pa.string())), f"g{i}": pa.array(list(own.values()), pa.float64())}))
         leaves = leaves.join(F.broadcast(given), F.slice("path", 1, i) == F.col(f"p{i}"), "left").withColumn(f"w{i}", F.coalesce(f"g{i}", F.lit(float(default_weight))))
     return leaves.drop(*[f"{c}{i}" for c in "pg" for i in range(1, depth + 1)])
 

@@ -34,7 +34,7 @@ from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sqlhaul.llm.common import STEP_BYTES, save, ship, slice_hashes, text_steps
+from sqlhaul.llm.common import SMALL_STEP, save, ship, slice_hashes, text_steps
 from sqlhaul.session import scratch_dir
 
 MAGIC = b"SQHRANS1"
@@ -49,9 +49,9 @@ SECTIONS = {
     "symbols": "<u4", "freqs": "<u4", "doc_ids": "<i8", "doc_nulls": "<u1", "doc_lengths": "<u8",
     "block_words": "<u4", "block_crc": "<u4", "marks": "<u8", "mark_words": "<u4", "words": "<u4",
 }
-#: Token chunks kept by a worker (about 35 bytes each), the longest one kept, and
-#: those that are given to the tokenizer as one text.
-CACHE, CACHED_BYTES, TOGETHER = 2_000_000, 64, 128
+#: Token chunks kept by a worker (about 30 bytes each), the longest one kept, and
+#: those that are given to the tokenizer as one text, or as one batch.
+CACHE, CACHED_BYTES, TOGETHER, BATCH = 2_000_000, 64, 128, 1024
 
 _LETTER = np.zeros(256, bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -86,17 +86,17 @@ def table_bits(symbols: int) -> int:
     return max(14, int(np.ceil(np.log2(max(symbols, 2)))) + 2)
 
 
-def encode_blocks(index: np.ndarray, freqs: np.ndarray, bits: int) -> dict[str, np.ndarray]:
-    """Code symbol numbers as blocks; the sections of blocks and words."""
+def encode_blocks(ids: np.ndarray, number: np.ndarray, freqs: np.ndarray, bits: int) -> dict[str, np.ndarray]:
+    """Code ids, by their symbol numbers, as blocks; the sections of blocks and words."""
     cum = np.r_[np.uint64(0), np.cumsum(freqs)[:-1]].astype(np.uint64)
-    n = len(index)
+    n = len(ids)
     blocks = -(-n // BLOCK)
     out: dict[str, list] = {k: [] for k in ("block_words", "block_crc", "marks", "mark_words", "words")}
     steps = BLOCK // LANES
     # a state that would outgrow 63 bits gives its low word first
     shift, scale, room = np.uint64(32), np.uint64(bits), np.uint64(63 - bits)
     for b in range(0, blocks, GROUP):
-        part = index[b * BLOCK : (b + GROUP) * BLOCK]
+        part = number[ids[b * BLOCK : (b + GROUP) * BLOCK]]
         k = -(-len(part) // BLOCK)
         # the last block is filled up with symbol 0; the counts say where it ends
         full = np.zeros(k * BLOCK, part.dtype)
@@ -106,14 +106,14 @@ def encode_blocks(index: np.ndarray, freqs: np.ndarray, bits: int) -> dict[str,
         words = np.empty((steps, k * LANES), np.uint32)
         gave = np.empty((steps, k * LANES), bool)
         marks = np.empty((steps // MARK, k * LANES), np.uint64)
-        f, c = freqs[grid], cum[grid]
         for t in range(steps - 1, -1, -1):
-            over = x >= f[t] << room
+            f = freqs[grid[t]]
+            over = x >= f << room
             words[t] = x
             gave[t] = over
             x = x >> (over * shift)
-            q = x // f[t]
-            x = (q << scale) + (x - q * f[t]) + c[t]
+            q = x // f
+            x = (q << scale) + (x - q * f) + cum[grid[t]]
             if t % MARK == 0:
                 marks[t // MARK] = x
         per = gave.reshape(steps, k, LANES)
@@ -175,21 +175,32 @@ def decode_blocks(sections: dict[str, np.ndarray], n: int, bits: int, first: int
     return got.ravel()
 
 
-def pack_file(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> bytes:
-    """A whole file for the ids of some documents, one after the other."""
-    counts = np.bincount(ids) if len(ids) else np.zeros(0, np.int64)
+def id_counts(ids: np.ndarray) -> np.ndarray:
+    """How often each id is there; counted in slices, as each is widened."""
+    counts = np.zeros(int(ids.max()) + 1 if len(ids) else 0, np.int64)
+    for a in range(0, len(ids), GROUP * BLOCK):
+        counts += np.bincount(ids[a : a + GROUP * BLOCK], minlength=len(counts))
+    return counts
+
+
+def file_parts(ids: np.ndarray, doc_ids: np.ndarray, doc_nulls: np.ndarray, lengths: np.ndarray) -> list:
+    """The buffers that make a whole file, one after the other, for the ids of
+    some documents."""
+    counts = id_counts(ids)
     symbols = np.flatnonzero(counts)
     bits = table_bits(len(symbols))
     freqs = quantise(counts[symbols], bits) if len(symbols) else np.zeros(0, np.uint64)
     number = np.zeros(len(counts), np.uint32)
     number[symbols] = np.arange(len(symbols))
-    body = encode_blocks(number[ids], freqs, bits) | {
-        "symbols": symbols, "freqs": freqs, "doc_ids": np.array([x or 0 for x in doc_ids], np.int64),
-        "doc_nulls": np.array([x is None for x in doc_ids], np.uint8), "doc_lengths": lengths,
-    }
-    parts = [np.ascontiguousarray(body[k], kind).tobytes() for k, kind in SECTIONS.items()]
-    header = json.dumps({"n_ids": len(ids), "bits": bits, "block": BLOCK, "lanes": LANES, "mark": MARK, "bytes": list(map(len, parts)), "crc": [zlib.crc32(p) for p in parts[:-1]]}).encode()
-    return b"".join([MAGIC, struct.pack("<II", len(header), zlib.crc32(header)), header, *parts])
+    body = encode_blocks(ids, number, freqs, bits) | {"symbols": symbols, "freqs": freqs, "doc_ids": doc_ids, "doc_nulls": doc_nulls, "doc_lengths": lengths}
+    parts = [np.ascontiguousarray(body[k], kind) for k, kind in SECTIONS.items()]
+    header = json.dumps({"n_ids": len(ids), "bits": bits, "block": BLOCK, "lanes": LANES, "mark": MARK, "bytes": [p.nbytes for p in parts], "crc": [zlib.crc32(p) for p in parts[:-1]]}).encode()
+    return [MAGIC, struct.pack("<II", len(header), zlib.crc32(header)), header, *parts]
+
+
+def pack_file(ids: np.ndarray, doc_ids: list[int | None], lengths: np.ndarray) -> bytes:
+    """A whole file for the ids of some documents, one after the other."""
+    return b"".join(file_parts(ids, np.array([x or 0 for x in doc_ids], np.int64), np.array([x is None for x in doc_ids], np.uint8), lengths))
 
 
 def unpack_file(raw: bytes) -> tuple[dict, dict[str, np.ndarray]]:
@@ -225,8 +236,9 @@ class ChunkTokenizer:
     letter; a text is cut there into chunks whose ids do not depend on each
     other. Each different chunk is given to the tokenizer once (as long as it
     stays cached); the ids of a column are gathered from the chunks'. The cache
-    is arrays sorted by the chunks' hashes; when it is full, the chunks that have
-    not been met since it was full before go. Strings of special tokens are
+    is arrays sorted by the chunks' hashes, its ids as narrow as the vocabulary
+    allows; when it is full, the chunks that have not been met since it was full
+    before go. Strings of special tokens are
     ordinary text.
     """
 
@@ -242,38 +254,61 @@ class ChunkTokenizer:
         for token, i in vocab.items():
             self.width[i] = len(token)
         self.cache = cache
-        self.keys = np.zeros(0, np.uint64)
-        self.starts, self.sizes, self.met = np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, bool)
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.kind = np.uint16 if len(self.width) <= 1 << 16 else np.uint32
+        # chunks by number: where their ids are; by hash: their numbers, the latest apart
+        self.starts, self.sizes, self.met = np.zeros(0, np.uint32), np.zeros(0, np.uint16), np.zeros(0, bool)
+        self.keys, self.rows = self.late_keys, self.late_rows = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
+        self.pool, self.used = np.empty(1 << 16, self.kind), 0
+
+    def _merge(self) -> None:
+        """Put the latest chunks among the others."""
+        at = np.searchsorted(self.keys, self.late_keys)
+        self.keys, self.rows = np.insert(self.keys, at, self.late_keys), np.insert(self.rows, at, self.late_rows)
+        self.late_keys, self.late_rows = np.zeros(0, np.uint64), np.zeros(0, np.uint32)
 
     def _turn(self) -> None:
         """Forget the chunks that were not met since the last turn."""
+        self._merge()
         keep = self.met
-        sizes = self.sizes[keep].astype(np.int64)
-        ends = np.cumsum(sizes)
-        total = int(ends[-1]) if len(ends) else 0
-        self.pool = self.pool[np.arange(total) + np.repeat(self.starts[keep] - (ends - sizes), sizes)]
-        self.used = total
-        self.keys, self.starts, self.sizes = self.keys[keep], ends - sizes, self.sizes[keep]
-        self.met = np.zeros(len(self.keys), bool)
+        mine = keep[self.rows]
+        self.keys, self.rows = self.keys[mine], (np.cumsum(keep, dtype=np.uint32) - np.uint32(1))[self.rows[mine]]
+        self.starts, self.sizes = self.starts[keep], self.sizes[keep]
+        pool, self.used = np.empty(max(int(self.sizes.sum(dtype=np.int64)), 1 << 16), self.kind), 0
+        for a in range(0, len(self.sizes), 1 << 16):  # in slices: the places of all ids are four times the pool
+            starts, sizes = self.starts[a : a + (1 << 16)], self.sizes[a : a + (1 << 16)].astype(np.int64)
+            ends = self.used + np.cumsum(sizes)
+            pool[self.used : ends[-1]] = self.pool[np.arange(self.used, ends[-1]) + np.repeat(starts - (ends - sizes), sizes)]
+            self.starts[a : a + (1 << 16)] = ends - sizes
+            self.used = int(ends[-1])
+        self.pool, self.met = pool, np.zeros(len(self.sizes), bool)
 
     def _put(self, keys: np.ndarray, ids: np.ndarray, sizes: np.ndarray) -> None:
         """Add the ids of new chunks, in the order of their hashes."""
-        while self.used + len(ids) > len(self.pool):
-            self.pool = np.r_[self.pool, np.zeros(max(len(self.pool), 1 << 16), np.uint32)]
+        if self.used + len(ids) > len(self.pool):
+            more = np.empty(max(self.used + len(ids), len(self.pool) * 3 // 2), self.kind)
+            more[: self.used] = self.pool[: self.used]
+            self.pool = more
         self.pool[self.used : self.used + len(ids)] = ids
         starts = self.used + np.cumsum(sizes) - sizes
         self.used += len(ids)
-        at = np.searchsorted(self.keys, keys)
-        self.keys, self.starts = np.insert(self.keys, at, keys), np.insert(self.starts, at, starts)
-        self.sizes, self.met = np.insert(self.sizes, at, sizes), np.insert(self.met, at, True)
+        at = np.searchsorted(self.late_keys, keys)
+        rows = np.arange(len(self.sizes), len(self.sizes) + len(keys), dtype=np.uint32)
+        self.late_keys, self.late_rows = np.insert(self.late_keys, at, keys), np.insert(self.late_rows, at, rows)
+        self.starts, self.sizes = np.append(self.starts, starts.astype(np.uint32)), np.append(self.sizes, sizes.astype(np.uint16))
+        self.met = np.append(self.met, np.ones(len(keys), bool))
+        if len(self.late_keys) > max(1 << 14, len(self.keys) >> 3):
+            self._merge()
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in the cache, whether it is there) of ascending hashes."""
-        at = np.searchsorted(self.keys, keys)
-        have = at < len(self.keys)
-        have[have] = self.keys[at[have]] == keys[have]
-        return at, have
+        """(number in the cache, whether it is there) of ascending hashes."""
+        found, have = np.zeros(len(keys), np.uint32), np.zeros(len(keys), bool)
+        for known, rows in ((self.keys, self.rows), (self.late_keys, self.late_rows)):
+            at = np.searchsorted(known, keys)
+            here = at < len(known)
+            here[here] = known[at[here]] == keys[here]
+            found[here] = rows[at[here]]
+            have |= here
+        return found, have
 
     def _learn(self, keys: np.ndarray, texts: list[bytes]) -> None:
         """Tokenize new chunks, given in the order of their hashes, and keep
@@ -292,8 +327,9 @@ class ChunkTokenizer:
                 got[i] = ids[low:high]
                 low = high
         rest = [i for i, x in enumerate(got) if x is None]
-        if rest:
-            for i, e in zip(rest, self.model.encode_batch_fast([texts[i].decode() for i in rest], add_special_tokens=False)):
+        for a in range(0, len(rest), BATCH):
+            group = rest[a : a + BATCH]
+            for i, e in zip(group, self.model.encode_batch_fast([texts[i].decode() for i in group], add_special_tokens=False)):
                 got[i] = np.array(e.ids, np.uint32)
         self._put(keys, np.concatenate(got), np.array(list(map(len, got)), np.int64))
 
@@ -325,21 +361,28 @@ class ChunkTokenizer:
                 long[i] = np.array(self.model.encode(raw[starts[first[i]] : ends[first[i]]].decode(), add_special_tokens=False).ids, np.uint32)
             new = new[~wide]
             if len(new):
-                if len(self.keys) + len(new) > self.cache:
+                if len(self.sizes) + len(new) > self.cache:
                     self._turn()
                 self._learn(keys[new], [raw[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())])
             at, have = self._find(keys[order])
         size, at0 = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         size[order[have]], at0[order[have]] = self.sizes[at[have]], self.starts[at[have]]
-        pool = self.pool[: self.used]
+        where = np.fromiter(long.keys(), np.int64, len(long))
         if long:
-            where = np.fromiter(long.keys(), np.int64)
             size[where] = [len(x) for x in long.values()]
-            at0[where] = self.used + np.cumsum(size[where]) - size[where]
-            pool = np.concatenate([pool, *long.values()])
-        size, at0 = size[back], at0[back]
+            at0[where] = np.cumsum(size[where]) - size[where]
+        own = np.zeros(len(keys), bool)
+        own[where] = True
+        size, at0, own = size[back], at0[back], own[back]
         total = np.r_[0, np.cumsum(size)]
-        ids = pool[np.arange(total[-1]) + np.repeat(at0 - total[:-1], size)]
+        place = np.arange(total[-1]) + np.repeat(at0 - total[:-1], size)
+        if long:  # their ids are not in the pool
+            own = np.repeat(own, size)
+            ids = np.empty(len(place), np.uint32)
+            ids[~own] = self.pool[place[~own]]
+            ids[own] = np.concatenate(list(long.values()))[place[own]]
+        else:
+            ids = self.pool[place].astype(np.uint32)
         return ids, np.diff(total[np.searchsorted(starts, offsets)])
 
 
@@ -363,8 +406,9 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
     committed table. Null and empty texts have the end id alone; an empty
     table has no files. Other columns are ignored.
 
-    A worker holds one file's ids (4 bytes each) and the chunks it has
-    tokenized, whatever the size of its partition.
+    A worker holds one file's ids (2 or 4 bytes each, by the vocabulary) and the
+    chunks it has tokenized, whatever the size of its partition; its steps and
+    the file's buffers are small beside these.
     """
     ship(docs.sparkSession)
 
@@ -375,30 +419,35 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer_path: str, end_id:
         model = tokenizer(tokenizer_path)
         store, base = pafs.FileSystem.from_uri(folder)
         store.create_dir(base, recursive=True)
+        kind = np.promote_types(model.kind, np.min_scalar_type(end_id))
         ids, lengths, names, held = [], [], [], 0
 
         def close():
             nonlocal ids, lengths, names, held, seq
             path = f"{base}/part-{part:06d}-{seq:04d}-{uuid.uuid4().hex}.rans"
+            whole, ids = np.concatenate(ids), []
+            keys = pa.chunked_array(names)
+            docs = file_parts(whole, keys.fill_null(0).to_numpy(), keys.is_null().to_numpy(), np.concatenate(lengths))
             with store.open_output_stream(path) as f:
-                f.write(pack_file(np.concatenate(ids), names, np.concatenate(lengths)))
-            row = pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "path": path, "n_docs": len(names), "n_ids": held}])
-            ids, lengths, names, held, seq = [], [], [], 0, seq + 1
+                for x in docs:
+                    f.write(x)
+            row = pa.RecordBatch.from_pylist([{"part": part, "seq": seq, "path": path, "n_docs": len(keys), "n_ids": held}])
+            lengths, names, held, seq = [], [], 0, seq + 1
             return row
 
         for batch in batches:
             keys = batch.column(0)
-            for row, data, offsets in text_steps(batch.column(1), min(STEP_BYTES, 4 * file_ids)):
+            for row, data, offsets in text_steps(batch.column(1), min(SMALL_STEP, 4 * file_ids)):
                 got, size = model.ids(data, offsets)
                 size = size + 1
                 ends = np.cumsum(size)
-                out = np.full(int(ends[-1]), end_id, np.uint32)
+                out = np.full(int(ends[-1]), end_id, kind)
                 keep = np.ones(len(out), bool)
                 keep[ends - 1] = False
                 out[keep] = got
                 ids.append(out)
                 lengths.append(size)
-                names.extend(keys.slice(row, len(size)).to_pylist())
+                names.append(pa.concat_arrays([keys.slice(row, len(size))]))  # a copy: a slice would keep its batch
                 held += len(out)
                 if held >= file_ids:
                     yield close()
@@ -431,11 +480,14 @@ def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
             for f in batch.to_pylist():
                 with store.open_input_file(f["path"]) as h:
                     header, s = unpack_file(h.read())
-                ids = s["symbols"][decode_blocks(s, header["n_ids"], header["bits"])].astype("<u4")
+                ids, at, blocks = np.empty(header["n_ids"], "<u4"), 0, len(s["block_words"])
+                for b in range(0, blocks, GROUP):  # the decoder's arrays are several times a group's ids
+                    some = s["symbols"][decode_blocks(s, header["n_ids"], header["bits"], b, min(b + GROUP, blocks))]
+                    ids[at : at + len(some)] = some
+                    at += len(some)
                 ends = np.cumsum(s["doc_lengths"].astype(np.int64))
                 starts = np.r_[0, ends[:-1]].astype(np.int64)
-                raw = memoryview(ids.tobytes())
-                crc = [zlib.crc32(raw[4 * a : 4 * b]) for a, b in zip(starts.tolist(), ends.tolist())]
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(starts.tolist(), ends.tolist())]
                 offset = shared.value[f["part"]] + f["before"]
                 for a in range(0, len(crc), 10_000):
                     b = a + 10_000

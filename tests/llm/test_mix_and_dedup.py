@@ -212,3 +212,15 @@ def test_a_text_of_many_deleted_lines(spark):
     got = {r["doc_id"]: r for r in line_dedup(docs).collect()}
     assert got[1]["lines_deleted"] == 0 and got[2]["lines_deleted"] == 500_000
     assert got[2]["text"] == "first own line\nown line between\nlast own line"
+
+
+def test_weights_are_a_local_relation(spark):
+    """The weights start no Python workers on the executors; null level values,
+    and levels without a weight, get theirs."""
+    from sqlhaul.llm.mix_budget import _weighted
+
+    leaves = spark.sql("select * from values (array('a', 'x')), (array('a', null)), (array(cast(null as string), 'x')) t(path)")
+    got = _weighted(leaves, {("a",): 2.0, (None,): 3, ("a", None): 0.5}, 3, 1.0)
+    rows = {tuple(r["path"]): (r["w1"], r["w2"], r["w3"]) for r in got.collect()}
+    assert rows == {("a", "x"): (2.0, 1.0, 1.0), ("a", None): (2.0, 0.5, 1.0), (None, "x"): (3.0, 1.0, 1.0)}
+    assert "RDD" not in got._jdf.queryExecution().toString()

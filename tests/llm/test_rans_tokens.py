@@ -115,3 +115,37 @@ def test_a_full_cache_gives_the_same_ids(words_of):
             text = bytes(data[offsets[i] : offsets[i + 1]]).decode()
             assert ids[ends[i] - size[i] : ends[i]].tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
         assert len(model.keys) <= 500 + 2000
+
+
+def test_the_cache_and_a_file_take_little_beside_their_ids(words_of):
+    """Bytes of a cached chunk, and of packing a file beside its ids."""
+    import tracemalloc
+
+    model = R.ChunkTokenizer(PATH)
+    texts = [" ".join(words_of(k, 400)) for k in range(200)]
+    for _, data, offsets in text_steps(pa.array(texts), 1 << 16):
+        model.ids(data, offsets)
+    held = sum(x.nbytes for x in vars(model).values() if isinstance(x, np.ndarray) and x is not model.width)
+    assert held < 32 * len(model.sizes)
+    ids = (np.random.default_rng(1).zipf(1.4, 3_000_000) % 50_000).astype(np.uint16)
+    tracemalloc.start()
+    raw = R.pack_file(ids, [1], np.array([len(ids)]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 8 * len(ids)
+    header, s = R.unpack_file(raw)
+    assert (s["symbols"][R.decode_blocks(s, len(ids), header["bits"])] == ids).all()
+
+
+def test_long_chunks_beside_cached_ones_over_turns(words_of):
+    """Chunks that are not cached, small steps, and a cache that turns often."""
+    plain = Tokenizer.from_file(PATH)
+    plain.encode_special_tokens = True
+    texts = [" ".join([*words_of(k, 30), "z" * (60 + k), *words_of(k // 2, 30), "中" * (k % 40)]) for k in range(120)]
+    model = R.ChunkTokenizer(PATH, cache=400)
+    for row, data, offsets in text_steps(pa.array(texts), 1500):
+        ids, size = model.ids(data, offsets)
+        ends = size.cumsum()
+        for i in range(len(size)):
+            assert ids[ends[i] - size[i] : ends[i]].tolist() == plain.encode(texts[row + i], add_special_tokens=False).ids
+        assert len(model.sizes) <= 400 + 1500 and len(model.sizes) == len(model.keys) + len(model.late_keys)
